@@ -29,7 +29,7 @@ def round_div(num, den, scale: int = 6, mode: str = "half_up", num_scale: int =
     num, den = _col(num), _col(den)
     shift = F.lit(10 ** (scale + num_scale)).cast("decimal(38,0)")
     n = (num.cast(f"decimal(38,{num_scale})") * shift).cast("decimal(38,0)")
-    d = den.cast("decimal(38,0)")
+    d = (den.cast("decimal(38,0)") * F.lit(10 ** num_scale).cast("decimal(38,0)")).cast("decimal(38,0)")
     q0 = F.floor(n / d).cast("decimal(38,0)")
     r0 = (n - q0 * d).cast("decimal(38,0)")
     q = F.when(r0 < 0, q0 - 1).when(r0 >= d, q0 + 1).otherwise(q0)
@@ -67,7 +67,7 @@ def duck_round_div(num_sql: str, den_sql: str, scale: int = 6, mode: str = "half
     returned as DOUBLE (the registry compares 6-decimal values as DOUBLE)."""
     n = (f"(CAST(CAST(({num_sql}) AS DECIMAL(38,{num_scale})) * {10 ** num_scale} AS HUGEINT)"
          f" * CAST({10 ** scale} AS HUGEINT))")
-    d = f"CAST(({den_sql}) AS HUGEINT)"
+    d = f"(CAST(({den_sql}) AS HUGEINT) * CAST({10 ** num_scale} AS HUGEINT))"
     q0 = f"CAST(floor(CAST({n} AS DOUBLE) / CAST({d} AS DOUBLE)) AS HUGEINT)"
     r0 = f"({n} - {q0} * {d})"
     q = f"(CASE WHEN {r0} < 0 THEN {q0} - 1 WHEN {r0} >= {d} THEN {q0} + 1 ELSE {q0} END)"
