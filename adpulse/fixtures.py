@@ -249,6 +249,20 @@ VIEWS["f_country"] = """
 SELECT n_name AS a2, upper(n_name) AS a3, CAST(n_nationkey - 12 AS INT) AS tz, CAST(n_regionkey AS INT) AS dcenter FROM ${nation}
 """
 
+# Daily per-app x country UAR price series (stat_pub_app_country_uar), derived
+# from f_stat; ad types 0/1 are relabelled US/DE so the region whitelist of
+# f_app ('US,DE') selects some of them. All values are exact at 8 decimals.
+VIEWS["f_uar"] = """
+SELECT pub_app_id, CASE WHEN ad_type = 0 THEN 'US' WHEN ad_type = 1 THEN 'DE' ELSE country END AS country, day,
+       CAST(CAST(SUM(revenue) AS DECIMAL(20,2)) / CAST(100000 AS DECIMAL(10,0)) AS DECIMAL(10,8)) AS uar1,
+       CAST(CAST(SUM(api_click) AS DECIMAL(20,0)) / CAST(10000 AS DECIMAL(10,0)) AS DECIMAL(10,8)) AS uar2,
+       CAST(CAST(SUM(api_impr) AS DECIMAL(20,0)) / CAST(10000000 AS DECIMAL(10,0)) AS DECIMAL(10,8)) AS uar3,
+       CAST(CAST(SUM(revenue) AS DECIMAL(20,2)) / CAST(1000000 AS DECIMAL(10,0)) AS DECIMAL(10,8)) AS uar4,
+       CAST(CAST(COUNT(*) AS DECIMAL(20,0)) / CAST(1000 AS DECIMAL(10,0)) AS DECIMAL(10,8)) AS uar5
+FROM ${f_stat} s WHERE country IS NOT NULL
+GROUP BY pub_app_id, CASE WHEN ad_type = 0 THEN 'US' WHEN ad_type = 1 THEN 'DE' ELSE country END, day
+"""
+
 _TOKEN = re.compile(r"\$\{(\w+)\}")
 
 
@@ -257,6 +271,8 @@ def render(view_sql: str, dialect: str, sf_dir: str | None = None) -> str:
         name = m.group(1)
         if name == "MS":
             return _MS[dialect]
+        if name in VIEWS:  # a view built on another view
+            return f"({render(VIEWS[name], dialect, sf_dir)})" if dialect == "spark" else name
         if dialect == "spark":
             return f"parquet.`{sf_dir.rstrip('/')}/{name}.parquet`"
         return name
