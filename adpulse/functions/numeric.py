@@ -30,10 +30,10 @@ def round_div(num, den, scale: int = 6, mode: str = "half_up", num_scale: int =
     shift = F.lit(10 ** (scale + num_scale)).cast("decimal(38,0)")
     n = (num.cast(f"decimal(38,{num_scale})") * shift).cast("decimal(38,0)")
     d = (den.cast("decimal(38,0)") * F.lit(10 ** num_scale).cast("decimal(38,0)")).cast("decimal(38,0)")
-    q0 = F.floor(n / d).cast("decimal(38,0)")
-    r0 = (n - q0 * d).cast("decimal(38,0)")
-    q = F.when(r0 < 0, q0 - 1).when(r0 >= d, q0 + 1).otherwise(q0)
-    r = F.when(r0 < 0, r0 + d).when(r0 >= d, r0 - d).otherwise(r0)
+    # exact floor division: non-negative remainder, then an integral divide of
+    # an exact multiple (the quotient, value * 10^scale, must fit in a long)
+    r = F.pmod(n, d)
+    q = F.call_function("div", n - r, d)
     twice = r * 2
     if mode == "half_up":
         tie_up = q >= 0
@@ -44,7 +44,7 @@ def round_div(num, den, scale: int = 6, mode: str = "half_up", num_scale: int =
     else:
         raise ValueError(f"unknown rounding mode {mode}")
     bump = F.when((twice > d) | ((twice == d) & tie_up), 1).otherwise(0)
-    unscaled = (q + bump).cast(f"decimal(38,{scale})")
+    unscaled = (q + bump).cast("decimal(19,0)")
     out = (unscaled / F.lit(10 ** scale).cast(f"decimal({scale + 1},0)")).cast(f"decimal(38,{scale})")
     return F.when(d > 0, out)
 

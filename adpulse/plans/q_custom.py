@@ -1 +1,179 @@
-"""Registered queries."""
+"""Registered custom reports (F1-F12) and their generated DuckDB oracles."""
+
+from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql import functions as F
+
+from ..fixtures import Views, with_views
+from ..functions.numeric import duck_round_div
+from ..operators import funnel, report, users
+from ..operators.report import ReportSpec
+from .oracle_sql import counter, duck_day, price
+from .registry import register
+
+TASK_DAY = _dt.date(2024, 2, 1)
+# a daily schedule whose look-back covers every fixture day (1995 .. 2024)
+PERIOD = (TASK_DAY - _dt.date(1995, 1, 1)).days
+
+SPECS = {
+    "custom_report_performance": ReportSpec(
+        publisher_id=1, dimensions="day,adnId",
+        metrics="request,filled,fillRate,isReady,isReadyTrue,isReadyRate,impr,click,ctr,cost,ecpm",
+        cond_day_period=PERIOD),
+    "custom_report_user_activity": ReportSpec(
+        publisher_id=2, dimensions="day,pubAppId,country", data_source=report.DS_USER_ACTIVITY,
+        metrics="impr,click,dau,deu,imprDau,imprDeu,arpDau,arpDeu,engagementRate,cost,fillRate",
+        cond_day_period=PERIOD, cond_country_list="US,DE,NATION_3,NATION_7"),
+    "custom_report_labels": ReportSpec(
+        publisher_id=1, dimensions="pubAppId,placementId,instanceId,adnId",
+        metrics="impr,click,ctr,ecpm,cost,request,filled,fillRate", cond_day_period=PERIOD,
+        cond_adn_list="1,2,3,4,13,22"),
+}
+
+
+def inputs(spark, sf_dir):
+    """Stat tables for the builder: network stats (f_stat), the funnel
+    report (C1) and the user report (C3) over f_lr, and label tables."""
+    v = Views(spark, sf_dir)
+    stat = v.f_stat.withColumns({"api_video_start": F.lit(None).cast("bigint"),
+                                 "api_video_complete": F.lit(None).cast("bigint")})
+    lr = v.f_lr
+    stat_lr = funnel.common_report(lr).withColumn("day", F.to_date("day"))
+    stat_dau = users.user_report(lr).withColumn("day", F.to_date("day"))
+    labels = {
+        "adn_id": v.f_adn.select("id", F.col("class_name").alias("label")),
+        "pub_app_id": v.f_app.select("id", F.col("app_name").alias("label")),
+        "placement_id": v.f_placement.select("id", F.col("name").alias("label")),
+        "instance_id": v.f_instance.select("id", F.col("name").alias("label")),
+    }
+    return stat, stat_lr, stat_dau, labels
+
+
+def _builder(spec):
+    def build(spark, sf_dir):
+        stat, stat_lr, stat_dau, labels = inputs(spark, sf_dir)
+        return report.custom_report(spec, stat, stat_lr, stat_dau, labels, TASK_DAY)
+    return build
+
+
+# ---------------------------------------------------------------- oracle text
+
+_SLR = f"""
+, slr AS (SELECT CAST({duck_day('serverTs')} AS DATE) AS day, country, coalesce(publisherId, 0) AS publisher_id,
+                 coalesce(pubAppId, 0) AS pub_app_id, coalesce(pid, 0) AS placement_id, coalesce(iid, 0) AS instance_id,
+                 coalesce(mid, 0) AS adn_id,
+                 {", ".join(f"SUM({counter(c, f)}) AS {n}" for n, c, f in funnel.FUNNEL_COUNTERS)}
+          FROM f_lr WHERE serverTs IS NOT NULL AND type <> 1 GROUP BY ALL)
+, sdau AS (SELECT dt AS day, coalesce(publisherId, 0) AS publisher_id, coalesce(pubAppId, 0) AS pub_app_id, country,
+                  count(DISTINCT ip) AS ip_count, count(DISTINCT uid) AS dau,
+                  count(DISTINCT CASE WHEN type = 6 THEN uid ELSE '' END) - 1 AS deu
+           FROM f_lr WHERE serverTs IS NOT NULL
+           GROUP BY dt, coalesce(publisherId, 0), coalesce(pubAppId, 0), coalesce(plat, -1), country, appv, sdkv, osv)"""
+
+
+def _where(spec: ReportSpec, begin, end, dau: bool = False) -> str:
+    w = [f"publisher_id = {spec.publisher_id}", f"day >= DATE '{begin}'", f"day <= DATE '{end}'"]
+    lists = [("adn_id", spec.cond_adn_list), ("pub_app_id", spec.cond_pub_app_list),
+             ("placement_id", spec.cond_placement_list), ("instance_id", spec.cond_instance_list)]
+    if dau:
+        lists = [lists[1]]
+    for col, text in lists:
+        if text.strip():
+            w.append(f"{col} IN ({text})")
+    if spec.cond_country_list.strip():
+        w.append("country IN (" + ", ".join(f"'{c}'" for c in spec.cond_country_list.split(",")) + ")")
+    return " AND ".join(w)
+
+
+def _oracle(spec: ReportSpec) -> str:
+    begin, end = report.report_window(spec, TASK_DAY, TASK_DAY)
+    dims = spec.dims
+    has = lambda present: ", ".join(f"{'TRUE' if d in present else 'FALSE'} AS _has_{d}" for d in dims)
+    gd = ", ".join(dims)
+    adn = (f"SELECT {gd}, SUM(api_request) AS api_request, SUM(api_filled) AS api_filled, SUM(api_click) AS click, "
+           f"SUM(api_impr) AS impr, CAST(NULL AS HUGEINT) AS api_video_start, CAST(NULL AS HUGEINT) AS api_video_complete, "
+           f"SUM(revenue) AS revenue, SUM(cost) AS cost, 0 AS _side, {has(dims)} "
+           f"FROM f_stat WHERE {_where(spec, begin, end)} GROUP BY {gd}")
+    lr = (f"SELECT {gd}, {', '.join(f'SUM({m}) AS {m}' for m in report.LR_SUMS)}, 1 AS _side, {has(dims)} "
+          f"FROM slr WHERE {_where(spec, begin, end)} GROUP BY {gd}")
+    parts = [adn, lr]
+    if spec.data_source == report.DS_USER_ACTIVITY:
+        dd = [d for d in dims if d in report.DAU_DIMS]
+        parts.append(f"SELECT {', '.join(dd)}, SUM(ip_count) AS ip_count, SUM(dau) AS dau, SUM(deu) AS deu, "
+                     f"2 AS _side, {has(dd)} FROM sdau WHERE {_where(spec, begin, end, dau=True)} "
+                     f"GROUP BY {', '.join(dd)}")
+    union = " UNION ALL BY NAME ".join(f"({p})" for p in parts)
+    metric_cols = [n for n, _ in report.ADN_SUMS] + report.LR_SUMS + (
+        report.DAU_SUMS if spec.data_source == report.DS_USER_ACTIVITY else [])
+    key = "concat_ws(',', " + ", ".join(f"coalesce(CAST({d} AS VARCHAR), '')" for d in dims) + ")"
+    merged = ("SELECT " + ", ".join(
+        [f"arg_max_null({d}, CASE WHEN _has_{d} THEN _side END) AS {d}" for d in dims]
+        + [f"arg_max_null({m}, CASE WHEN {m} IS NOT NULL THEN _side END) AS {m}" for m in metric_cols])
+        + f" FROM u GROUP BY {key}")
+    req, fil = report.pick_request_cols(spec)
+
+    def lng(c):
+        return f"coalesce(CAST({c} AS BIGINT), 0)" if c in metric_cols else "CAST(0 AS BIGINT)"
+
+    def txt6(expr):
+        return f"CAST(CAST({expr} AS DECIMAL(38,6)) AS VARCHAR)"
+
+    def div_txt(a, b):
+        return f"CASE WHEN {b} <> 0 THEN {txt6(duck_round_div(a, b))} ELSE '0' END"
+
+    has_dau = spec.data_source == report.DS_USER_ACTIVITY
+    dau, deu = (lng("dau"), lng("deu")) if has_dau else ("CAST(0 AS BIGINT)", "CAST(0 AS BIGINT)")
+    impr, click, request, filled = lng("impr"), lng("click"), lng(req), lng(fil)
+    rt, rf = lng("is_ready_true"), lng("is_ready_false")
+    ratio = duck_round_div(filled, request)
+    derived = {
+        "request": f"CAST({request} AS VARCHAR)", "filled": f"CAST({filled} AS VARCHAR)",
+        "fill_rate": (f"CASE WHEN {request} <> 0 THEN CASE WHEN {ratio} > {report.FILL_RATE_CAP} THEN "
+                      f"'{report.FILL_RATE_CAP}' ELSE {txt6(ratio)} END WHEN {filled} > 0 THEN "
+                      f"'{report.FILL_RATE_CAP}' ELSE '0' END"),
+        "is_ready": f"CAST({rt} + {rf} AS VARCHAR)", "is_ready_rate": div_txt(rt, f"({rt} + {rf})"),
+        "ctr": f"CASE WHEN {impr} > 0 THEN {txt6(duck_round_div(click, impr))} WHEN {click} > 0 THEN '1' END",
+        "ecpm": (f"CASE WHEN cost IS NOT NULL AND {impr} <> 0 THEN {txt6(duck_round_div('cost * 1000', impr))} "
+                 f"WHEN cost IS NOT NULL THEN '0' END"),
+        "impr_dau": div_txt(impr, dau), "impr_deu": div_txt(impr, deu),
+        "arp_dau": f"CASE WHEN cost IS NOT NULL AND {dau} <> 0 THEN {txt6(duck_round_div('cost', dau))} ELSE '0' END",
+        "arp_deu": f"CASE WHEN cost IS NOT NULL AND {deu} <> 0 THEN {txt6(duck_round_div('cost', deu))} ELSE '0' END",
+        "engagement_rate": div_txt(deu, dau),
+    }
+    label_src = {"adn_id": ("f_adn", "class_name"), "pub_app_id": ("f_app", "app_name"),
+                 "placement_id": ("f_placement", "name"), "instance_id": ("f_instance", "name")}
+    joins, dim_sel = [], []
+    for i, d in enumerate(dims):
+        title = report.TITLES.get(d, d)
+        if d in label_src:
+            t, lab = label_src[d]
+            joins.append(f"LEFT JOIN {t} l{i} ON m.{d} = l{i}.id")
+            dim_sel.append(f"coalesce(l{i}.{lab}, CAST(m.{d} AS VARCHAR), '') AS \"{title}\"")
+        else:
+            dim_sel.append(f"coalesce(CAST(m.{d} AS VARCHAR), '') AS \"{title}\"")
+    met_sel = []
+    for mname in spec.metric_list:
+        title = report.TITLES.get(mname, mname)
+        expr = derived.get(mname) or (f"CAST(m.{mname} AS VARCHAR)" if mname in metric_cols else "NULL")
+        met_sel.append(f"coalesce({expr}, '0') AS \"{title}\"")
+    body = (f"{_SLR}\n, u AS ({union})\n, m AS ({merged})\n"
+            f"SELECT {', '.join(dim_sel + met_sel)} FROM m {' '.join(joins)}")
+    # metric expressions refer to bare metric names of m
+    return with_views(["f_lr", "f_stat", "f_adn", "f_app", "f_placement", "f_instance"], body)
+
+
+for _name, _spec in SPECS.items():
+    register(_name, _oracle(_spec), headline=_name == "custom_report_performance")(_builder(_spec))
+
+
+@register("snake_case_columns", with_views(["f_lr"], """
+SELECT serverTs AS server_ts, pubAppId AS pub_app_id, publisherId AS publisher_id, CAST(bidResPrice AS DOUBLE) AS bid_res_price
+FROM f_lr
+"""))
+def q_snake_case_columns(spark, sf_dir):
+    """camelCase log columns renamed to report (snake_case) names."""
+    lr = Views(spark, sf_dir).f_lr.select("serverTs", "pubAppId", "publisherId", "bidResPrice")
+    out = report.snake_case_columns(lr)
+    return out.withColumn("bid_res_price", F.col("bid_res_price").cast("double"))
