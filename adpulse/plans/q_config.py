@@ -1 +1,507 @@
-"""Registered queries."""
+"""Registered configuration snapshots (G1-G33), nested columns flattened to
+text so the DuckDB oracle can compare them: lists joined with ``|`` (in the
+operator's order), structs with ``:``, maps as sorted ``k=v`` entries,
+floats through ``decimal(18,3)``."""
+
+from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from ..fixtures import Views, with_views
+from ..functions.text import range_exp, render_ranges, text_list
+from ..operators import forecast
+from ..snapshots import common, inventory, promotion, rules
+from .registry import register
+
+CP_NOW = _dt.datetime(1998, 6, 15, 3, 0, 0)       # fixture clock: bit 8 set in the hour masks
+
+
+# ---------------------------------------------------------------- flatten helpers (Spark)
+
+def j(arr: Column) -> Column:
+    return F.array_join(arr, "|")
+
+
+def f3(x: Column) -> Column:
+    return x.cast("decimal(18,3)").cast("string")
+
+
+def map_text(m: Column, value_fn=lambda v: v.cast("string"), sep: str = "|") -> Column:
+    """Sorted ``key=value`` entries (keys sorted; values may be any type)."""
+    return F.array_join(F.transform(F.array_sort(F.map_keys(m)), lambda k: F.concat(
+        k.cast("string"), F.lit("="), value_fn(F.element_at(m, k)))), sep)
+
+
+# ---------------------------------------------------------------- DuckDB text helpers
+
+def d_list(x: str, split: str = "[,\\r\\n]", lower: bool = False) -> str:
+    item = "lower(trim(s))" if lower else "trim(s)"
+    return (f"list_filter(list_transform(regexp_split_to_array(coalesce({x}, ''), '{split}'), lambda s: {item}), "
+            f"lambda s: s <> '')")
+
+
+def d_parts(x: str) -> str:
+    return (f"list_filter(list_transform(string_split(coalesce({x}, ''), ';'), lambda s: trim(s)), "
+            f"lambda s: s <> '')")
+
+
+def d_ranges(x: str) -> str:
+    inner = "substr(r, 2, length(r) - 2)"
+    body = (f"(CASE WHEN left(r, 1) = '(' THEN '(' ELSE '[' END) || trim(split_part({inner}, ',', 1)) || ',' || "
+            f"trim(split_part({inner}, ',', 2)) || (CASE WHEN right(r, 1) = ')' THEN ')' ELSE ']' END)")
+    return (f"array_to_string(list_transform(list_filter({d_parts(x)}, lambda r: left(r, 1) IN ('[', '(')), "
+            f"lambda r: {body}), '|')")
+
+
+def d_items(x: str) -> str:
+    return f"array_to_string(list_filter({d_parts(x)}, lambda r: left(r, 1) NOT IN ('[', '(')), '|')"
+
+
+# ---------------------------------------------------------------- G20 / G21
+
+@register("range_exprs", with_views(["f_placement", "f_rule"], f"""
+SELECT 'placement' AS src, id, {d_ranges('osv_exp')} AS ranges, {d_items('osv_exp')} AS items FROM f_placement
+UNION ALL
+SELECT 'rule' AS src, id, {d_ranges('osv_exp')} AS ranges, {d_items('osv_exp')} AS items FROM f_rule
+"""))
+def q_range_exprs(spark, sf_dir):
+    v = Views(spark, sf_dir)
+
+    def parse(df, src):
+        r = range_exp("osv_exp")
+        return df.select(F.lit(src).alias("src"), "id", render_ranges(r["ranges"]).alias("ranges"),
+                         j(r["items"]).alias("items"))
+    return parse(v.f_placement, "placement").unionByName(parse(v.f_rule, "rule"))
+
+
+@register("text_lists", with_views(["f_placement", "f_block_rule"], f"""
+SELECT 'placement' AS src, id, array_to_string({d_list('make_blacklist')}, '|') AS items FROM f_placement
+UNION ALL
+SELECT 'block_rule' AS src, id, array_to_string({d_list('make_device_blacklist', lower=True)}, '|') AS items
+FROM f_block_rule
+"""))
+def q_text_lists(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    a = v.f_placement.select(F.lit("placement").alias("src"), "id", j(text_list("make_blacklist")).alias("items"))
+    b = v.f_block_rule.select(F.lit("block_rule").alias("src"), "id",
+                              j(text_list("make_device_blacklist", lower=True)).alias("items"))
+    return a.unionByName(b)
+
+
+# ---------------------------------------------------------------- G22 / G23
+
+_DICT_PATHS_SQL = """
+, RECURSIVE p(id, path) AS (SELECT id, '/' || name FROM f_dict WHERE pid = 0
+                            UNION ALL SELECT c.id, p.path || '/' || c.name FROM f_dict c JOIN p ON c.pid = p.id)"""
+
+
+@register("dict_paths", "WITH RECURSIVE " + with_views(["f_dict"], """
+, p(id, path) AS (SELECT id, '/' || name FROM f_dict WHERE pid = 0
+                  UNION ALL SELECT c.id, p.path || '/' || c.name FROM f_dict c JOIN p ON c.pid = p.id)
+, kids AS (SELECT pid AS id, array_to_string(list(value ORDER BY id), '|') AS children FROM f_dict GROUP BY pid)
+SELECT p.path, t.value, coalesce(TRY_CAST(t.value AS INTEGER), 0) AS int_value, coalesce(k.children, '') AS children
+FROM p JOIN f_dict t ON p.id = t.id LEFT JOIN kids k ON k.id = p.id
+""")[len("WITH "):])
+def q_dict_paths(spark, sf_dir):
+    """Dictionary rows with resolved paths, typed lookups with a
+    default and child values."""
+    d = common.dict_table(Views(spark, sf_dir).f_dict)
+    paths = common.dict_paths(d)
+    ints = common.dict_lookup(paths, "int", 0).withColumnRenamed("value", "int_value")
+    kids = common.dict_children(d, paths).select("path", j(F.col("children")).alias("children"))
+    return paths.select("path", "value").join(ints, "path").join(kids, "path")
+
+
+# ---------------------------------------------------------------- G24 / G25
+
+@register("snap_country", with_views(["f_country"], "SELECT a2, a3, tz, dcenter FROM f_country"))
+def q_snap_country(spark, sf_dir):
+    return common.country(Views(spark, sf_dir).f_country)
+
+
+@register("snap_currency", with_views(["f_quotes"], """
+, q AS (SELECT * FROM f_quotes)
+SELECT cur AS cur_from, 'USD' AS cur_to, CAST(rate AS DOUBLE) AS exchange_rate FROM q
+"""))
+def q_snap_currency(spark, sf_dir):
+    q = Views(spark, sf_dir).f_quotes.select(F.col("cur").alias("cur_from"), F.lit("USD").alias("cur_to"),
+                                              F.col("rate").alias("exchange_rate"))
+    return common.currency(q).withColumn("exchange_rate", F.col("exchange_rate").cast("double"))
+
+
+# ---------------------------------------------------------------- G1-G3
+
+def _uar_auto(v):
+    """Automatic UAR JSON per app: the E4 region map of the app's latest run day."""
+    fc = forecast.forecast_uar(v.f_app, v.f_uar)
+    m = forecast.uar_region_map(fc, v.f_app)
+    return m.groupBy(F.col("pub_app_id").alias("id")).agg(F.max_by("region_uar_json", "run_day").alias("uar_auto"))
+
+
+@register("snap_app", None)
+def q_snap_app(spark, sf_dir):
+    """G1-G3 (rows check: the automatic UAR JSON comes from the forecast)."""
+    v = Views(spark, sf_dir)
+    apps = v.f_app.join(_uar_auto(v), "id", "left")
+    out = inventory.publisher_app(apps, v.f_block_rule.withColumn("pub_app_id", F.col("pub_app_id")))
+    return out.select("id", "publisher_id", "plat", "app_name", j(F.col("event_ids").cast("array<string>"))
+                      .alias("event_ids"),
+                      j(F.transform("country_uars", lambda c: F.concat(c["country"], F.lit(":"), j(
+                          F.transform(c["uarx"], lambda x: f3(x)))))).alias("country_uars"),
+                      j(F.transform("block_rules", lambda r: F.concat(r["id"].cast("string"), F.lit(":"),
+                                                                      j(r["make_device_blacklist"]))))
+                      .alias("block_rules"))
+
+
+@register("snap_app_rules", with_views(["f_app", "f_block_rule"], f"""
+, br AS (SELECT pub_app_id, array_to_string(list(CAST(id AS VARCHAR) || ':' ||
+                array_to_string({d_list('make_device_blacklist', split='[,\\n]', lower=True)}, '|') ORDER BY id), '|') AS block_rules
+         FROM f_block_rule WHERE status = 1 GROUP BY pub_app_id)
+SELECT a.id, a.publisher_id, a.plat, a.app_name,
+       CASE WHEN trim(coalesce(sdk_event_ids, '')) <> '' THEN array_to_string(list_transform(string_split(sdk_event_ids, ','),
+            lambda x: CAST(coalesce(TRY_CAST(x AS INTEGER), 0) AS VARCHAR)), '|') ELSE '' END AS event_ids,
+       coalesce(br.block_rules, '') AS block_rules
+FROM f_app a LEFT JOIN br ON br.pub_app_id = a.id WHERE a.status = 1
+"""))
+def q_snap_app_rules(spark, sf_dir):
+    """Active apps with event ids and block rules (no UAR part)."""
+    v = Views(spark, sf_dir)
+    out = inventory.publisher_app(v.f_app, v.f_block_rule)
+    return out.select("id", "publisher_id", "plat", "app_name",
+                      j(F.col("event_ids").cast("array<string>")).alias("event_ids"),
+                      j(F.transform("block_rules", lambda r: F.concat(r["id"].cast("string"), F.lit(":"),
+                                                                      j(r["make_device_blacklist"]))))
+                      .alias("block_rules"))
+
+
+# ---------------------------------------------------------------- G4-G7
+
+def _period_text(p: Column) -> Column:
+    return map_text(p)
+
+
+@register("snap_placement", with_views(["f_placement", "f_app", "f_scene", "f_placement_country"], f"""
+, pl AS (SELECT p.*, a.plat, a.publisher_id FROM f_placement p JOIN f_app a ON p.pub_app_id = a.id
+         WHERE p.status = 1 AND a.status = 1)
+, sc AS (SELECT placement_id, array_to_string(list(CAST(id AS VARCHAR) || ':' || CAST(frequency_cap AS VARCHAR)
+                ORDER BY id), '|') AS scenes
+         FROM f_scene WHERE status = 1 AND placement_id IN (SELECT id FROM f_placement WHERE status = 1)
+         GROUP BY placement_id)
+, pc AS (SELECT placement_id, array_to_string(list(country || '=' ||
+                CAST(CAST(CASE WHEN floor_price_switch = 0 OR floor_price IS NULL THEN -1 ELSE floor_price END AS DECIMAL(18,3)) AS VARCHAR)
+                || ':' || concat_ws('|', CASE WHEN hour0 > 0 THEN '0=' || hour0 END, CASE WHEN hour1 > 0 THEN '1=' || hour1 END)
+                ORDER BY country), ';') AS country_settings
+         FROM f_placement_country
+         WHERE placement_id IN (SELECT p.id FROM f_placement p JOIN f_app a ON p.pub_app_id = a.id
+                                WHERE p.status = 1 AND a.status = 1)
+         GROUP BY placement_id)
+, st AS (SELECT id, list_filter(list_transform(regexp_split_to_array(coalesce(inventory_interval_step, ''), '[\\r\\n]'),
+                lambda s: trim(s)), lambda s: regexp_matches(s, '(\\d+):(\\d+)')) AS lines,
+                trim(coalesce(inventory_interval_step, '')) = '' AS blank FROM f_placement)
+SELECT pl.id, pl.publisher_id, pl.pub_app_id, pl.plat, pl.ad_type, pl.name,
+       CAST(CAST(CASE WHEN pl.floor_price_switch = 0 OR pl.floor_price IS NULL THEN -1 ELSE pl.floor_price END
+            AS DECIMAL(18,3)) AS VARCHAR) AS floor_price,
+       array_to_string({d_list('pl.make_blacklist')}, '|') AS make_blacklist,
+       CASE WHEN st.blank THEN '5=30|8=300|10=3600' ELSE array_to_string(list_transform(list_sort(list_transform(st.lines,
+            lambda s: struct_pack(k := CAST(regexp_extract(s, '(\\d+):(\\d+)', 1) AS INTEGER),
+                                  v := CAST(regexp_extract(s, '(\\d+):(\\d+)', 2) AS INTEGER)))),
+            lambda e: CAST(e.k AS VARCHAR) || '=' || CAST(e.v AS VARCHAR)), '|') END
+            AS inventory_interval_step,
+       coalesce(sc.scenes, '') AS scenes, coalesce(pc.country_settings, '') AS country_settings
+FROM pl LEFT JOIN sc ON sc.placement_id = pl.id LEFT JOIN pc ON pc.placement_id = pl.id JOIN st ON st.id = pl.id
+"""))
+def q_snap_placement(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    out = inventory.placement(v.f_placement, v.f_app, v.f_scene, v.f_placement_country)
+    cs = map_text(F.col("country_settings"), lambda v: F.concat(f3(v["floor_price"]), F.lit(":"),
+                                                                _period_text(v["period"])), ";")
+    return out.select("id", "publisher_id", "pub_app_id", "plat", "ad_type", "name",
+                      f3(F.col("floor_price")).alias("floor_price"), j(F.col("make_blacklist")).alias("make_blacklist"),
+                      map_text(F.col("inventory_interval_step")).alias("inventory_interval_step"),
+                      j(F.transform("scenes", lambda s: F.concat(s["id"].cast("string"), F.lit(":"),
+                                                                 s["frequency_cap"].cast("string")))).alias("scenes"),
+                      cs.alias("country_settings"))
+
+
+# ---------------------------------------------------------------- G8-G13
+
+@register("snap_network", with_views(["f_adn"], """
+SELECT id, coalesce(name, '') AS name, coalesce(class_name, '') AS class_name FROM f_adn WHERE status = 1
+"""))
+def q_snap_network(spark, sf_dir):
+    return inventory.adnetwork(Views(spark, sf_dir).f_adn.select("id", "name", "class_name", "status"))
+
+
+def _adn_apps(v):
+    """Network apps derived from the instances: one per (app, network)."""
+    return (v.f_instance.select("pub_app_id", "adn_id").distinct()
+            .select((F.col("pub_app_id") * 100 + F.col("adn_id")).alias("id"), "pub_app_id", "adn_id",
+                    F.when(F.col("adn_id") % 7 == 0, 0).otherwise(1).alias("status")))
+
+
+_ADN_APPS_SQL = """
+, aa AS (SELECT DISTINCT pub_app_id * 100 + adn_id AS id, pub_app_id, adn_id,
+                CASE WHEN adn_id % 7 = 0 THEN 0 ELSE 1 END AS status FROM f_instance)"""
+
+
+@register("snap_network_app", with_views(["f_instance", "f_block_rule"], _ADN_APPS_SQL + f"""
+, br AS (SELECT pub_app_id, adn_id, array_to_string(list(CAST(id AS VARCHAR) || ':' ||
+                array_to_string({d_list('make_device_blacklist', lower=True)}, '|') ORDER BY id), '|') AS block_rules
+         FROM f_block_rule WHERE status = 1 GROUP BY pub_app_id, adn_id)
+SELECT aa.id, aa.adn_id, aa.pub_app_id, coalesce(br.block_rules, '') AS block_rules
+FROM aa LEFT JOIN br ON br.pub_app_id = aa.pub_app_id AND br.adn_id = aa.adn_id WHERE aa.status = 1
+"""))
+def q_snap_network_app(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    out = inventory.adnetwork_app(_adn_apps(v), v.f_block_rule)
+    return out.select("id", "adn_id", "pub_app_id", j(F.transform("block_rules", lambda r: F.concat(
+        r["id"].cast("string"), F.lit(":"), j(r["make_device_blacklist"])))).alias("block_rules"))
+
+
+@register("snap_instance", with_views(["f_instance", "f_instance_country"], _ADN_APPS_SQL + """
+, ins AS (SELECT DISTINCT i.id, i.adn_id, i.pub_app_id, i.placement_id, i.hb_status = 1 AS hb_status, coalesce(i.name, '') AS name
+          FROM f_instance i JOIN aa ON aa.pub_app_id = i.pub_app_id AND aa.adn_id = i.adn_id
+          WHERE i.status = 1 AND aa.status = 1)
+, ic AS (SELECT instance_id,
+                array_to_string(list(country || '=' || concat_ws('|', CASE WHEN hour0 > 0 THEN '0=' || hour0 END,
+                                CASE WHEN hour1 > 0 THEN '1=' || hour1 END) ORDER BY country), ';') AS country_settings,
+                array_to_string(list(country || '=' || CAST(CAST(CAST(manual_ecpm AS FLOAT) AS DECIMAL(18,3)) AS VARCHAR)
+                                ORDER BY country), '|') AS country_manual_ecpm
+         FROM f_instance_country WHERE instance_id IN (SELECT id FROM f_instance WHERE status = 1)
+         GROUP BY instance_id)
+SELECT ins.*, coalesce(ic.country_settings, '') AS country_settings,
+       coalesce(ic.country_manual_ecpm, '') AS country_manual_ecpm
+FROM ins LEFT JOIN ic ON ic.instance_id = ins.id
+"""))
+def q_snap_instance(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    out = inventory.instance(v.f_instance, _adn_apps(v), v.f_instance_country)
+    cs = map_text(F.col("country_settings"), lambda v: map_text(v), ";")
+    return out.select("id", "adn_id", "pub_app_id", "placement_id", "hb_status", "name",
+                      cs.alias("country_settings"),
+                      map_text(F.col("country_manual_ecpm"), lambda x: f3(x)).alias("country_manual_ecpm"))
+
+
+@register("snap_dev", with_views(["f_dev_app"], """
+SELECT 'app' AS kind, publisher_id, CAST(pub_app_id AS VARCHAR) AS item, adn_id AS value FROM f_dev_app WHERE status = 1
+UNION ALL
+SELECT 'device', publisher_id, 'dev' || CAST(pub_app_id AS VARCHAR), adn_id % 3 FROM f_dev_app WHERE status = 1
+"""))
+def q_snap_dev(spark, sf_dir):
+    """G12 over the dev apps; G13 over a device table derived from them."""
+    d = Views(spark, sf_dir).f_dev_app
+    apps = inventory.dev_app(d).select(F.lit("app").alias("kind"), "publisher_id",
+                                       F.col("pub_app_id").cast("string").alias("item"), F.col("adn_id").alias("value"))
+    devices = d.select("publisher_id", F.concat(F.lit("dev"), F.col("pub_app_id").cast("string")).alias("device_id"),
+                       (F.col("adn_id") % 3).alias("ab_test_mode"), "status")
+    devs = inventory.dev_device(devices).select(F.lit("device").alias("kind"), "publisher_id",
+                                                F.col("device_id").alias("item"), F.col("abt_value").alias("value"))
+    return apps.unionByName(devs)
+
+
+# ---------------------------------------------------------------- G14-G19
+
+_LIVE_SQL = """
+, live AS (SELECT ri.*, CASE WHEN ri.sort_type = 1 THEN ri.priority ELSE ri.weight END AS value
+           FROM f_rule_instance ri
+           WHERE ri.status = 1 AND (ri.sort_type = 1 OR ri.weight > 0)
+             AND ri.rule_id IN (SELECT r.id FROM f_rule r JOIN f_placement p ON r.placement_id = p.id
+                                WHERE r.status = 1 AND p.status = 1)
+             AND ri.instance_id IN (SELECT id FROM f_instance WHERE status = 1))"""
+
+
+@register("snap_rule_weights", with_views(["f_rule_instance", "f_rule", "f_placement", "f_instance"], _LIVE_SQL + """
+, last AS (SELECT rule_id, instance_id, arg_max(value, group_id * 10000000000 + priority) AS value
+           FROM live GROUP BY rule_id, instance_id)
+SELECT rule_id, array_to_string(list(CAST(instance_id AS VARCHAR) || '=' || CAST(value AS VARCHAR) ORDER BY instance_id), '|')
+       AS instance_weight
+FROM last GROUP BY rule_id
+"""))
+def q_snap_rule_weights(spark, sf_dir):
+    """Per rule, instance -> priority/weight, last by (group, priority)."""
+    v = Views(spark, sf_dir)
+    live = rules.live_rule_instances(v.f_rule_instance, v.f_rule, v.f_placement, v.f_instance)
+    return rules.rule_instance_weights(live).select("rule_id", map_text(F.col("instance_weight"))
+                                                    .alias("instance_weight"))
+
+
+@register("snap_rule", with_views(["f_rule_instance", "f_rule", "f_placement", "f_instance", "f_rule_group",
+                                   "f_abtest"], _LIVE_SQL + f"""
+, lists AS (SELECT rule_id, group_id, ab_test, array_to_string(list(CAST(instance_id AS VARCHAR) || ':' ||
+                   CAST(value AS VARCHAR) ORDER BY instance_id, value), ',') AS inst
+            FROM live GROUP BY rule_id, group_id, ab_test)
+, grp AS (SELECT g.rule_id, g.id AS group_id, g.ab_test, CAST(g.id AS VARCHAR) || ':' || CAST(g.ab_test AS VARCHAR)
+                 || ':' || coalesce(l.inst, '') AS txt
+          FROM f_rule_group g LEFT JOIN lists l ON l.rule_id = g.rule_id AND l.group_id = g.id AND l.ab_test = g.ab_test
+          WHERE g.rule_id IN (SELECT id FROM f_rule WHERE status = 1)
+          UNION ALL
+          SELECT rule_id, 0, ab_test, '0:' || CAST(ab_test AS VARCHAR) || ':' || inst FROM lists WHERE group_id = 0)
+, groups AS (SELECT rule_id, array_to_string(list(txt ORDER BY group_id, ab_test), '|') AS groups FROM grp GROUP BY rule_id)
+, abt AS (SELECT a_rule_id AS rule_id, max(CAST(a_per AS VARCHAR) || '/' || CAST(b_per AS VARCHAR)) AS rule_abt
+          FROM f_abtest WHERE status = 1 AND a_rule_id IN (SELECT id FROM f_rule WHERE status = 1) GROUP BY a_rule_id)
+, tags AS (SELECT id, CASE id % 4 WHEN 0 THEN 'vip=0:in:a,b' WHEN 1 THEN 'lvl=1:>=:3' ELSE '' END AS custom_tags FROM f_rule)
+SELECT r.id, r.placement_id, r.sort_type, r.ab_test AS abt_value,
+       array_to_string({d_list('r.countries', split=',')}, '|') AS country,
+       {d_ranges('r.osv_exp')} AS osv_range, {d_items('r.osv_exp')} AS osv_white,
+       coalesce(g.groups, '') AS groups, coalesce(a.rule_abt, '') AS rule_abt, t.custom_tags
+FROM f_rule r JOIN f_placement p ON r.placement_id = p.id
+LEFT JOIN groups g ON g.rule_id = r.id LEFT JOIN abt a ON a.rule_id = r.id JOIN tags t ON t.id = r.id
+WHERE r.status = 1 AND p.status = 1 AND trim(coalesce(r.countries, '')) <> ''
+"""))
+def q_snap_rule(spark, sf_dir):
+    """Rules with groups (incl. the synthetic bidding group 0), A/B
+    split, version ranges and custom tags (rule A/B rows come from f_abtest)."""
+    v = Views(spark, sf_dir)
+    abt = v.f_abtest.select(F.col("a_rule_id").alias("rule_id"), "a_per", "b_per", "status")
+    out = rules.instance_rule(v.f_rule, v.f_rule_instance, v.f_rule_group, abt, v.f_placement, v.f_instance)
+    grp = j(F.transform("groups", lambda g: F.concat_ws(":", g["group_id"].cast("string"), g["ab_test"].cast("string"),
+                                                         F.array_join(F.transform(g["instances"], lambda i: F.concat(
+                                                             i["instance_id"].cast("string"), F.lit(":"),
+                                                             i["priority"].cast("string"))), ","))))
+    tags = j(F.transform(F.array_sort(F.map_entries("custom_tags")), lambda e: F.concat(
+        e["key"], F.lit("="), e["value"]["type"].cast("string"), F.lit(":"),
+        F.array_join(F.transform(e["value"]["conditions"], lambda c: F.concat_ws(
+            ":", c["operator"], F.coalesce(c["value"], F.array_join(c["values"], ",")))), ";"))))
+    return out.select("id", "placement_id", "sort_type", "abt_value", j(F.col("country")).alias("country"),
+                      render_ranges(F.col("osv_range")).alias("osv_range"), j(F.col("osv_white")).alias("osv_white"),
+                      grp.alias("groups"),
+                      F.coalesce(F.concat(F.col("rule_abt.a_per").cast("string"), F.lit("/"),
+                                          F.col("rule_abt.b_per").cast("string")), F.lit("")).alias("rule_abt"),
+                      F.coalesce(tags, F.lit("")).alias("custom_tags"))
+
+
+@register("snap_abtest", with_views(["f_abtest", "f_rule"], """
+SELECT a.placement_id, a.a_per, a.b_per, a.a_rule_id, a.b_rule_id, unnest(string_split(r.countries, ',')) AS country
+FROM f_abtest a JOIN f_rule r ON a.a_rule_id = r.id
+WHERE a.status = 1 AND r.status = 1 AND trim(coalesce(r.countries, '')) <> ''
+"""))
+def q_snap_abtest(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    return rules.placement_abtest(v.f_abtest, v.f_rule)
+
+
+# ---------------------------------------------------------------- G26-G33
+
+_NOW_SQL = f"TIMESTAMP '{CP_NOW:%Y-%m-%d %H:%M:%S}'"
+_DOW = CP_NOW.isoweekday() % 7
+_BIT = 1 << CP_NOW.hour
+_ELIG_SQL = f"""
+, elig AS (SELECT * FROM f_campaign WHERE status = 1 AND start_time <= {_NOW_SQL} AND end_time >= {_NOW_SQL}
+           AND (hour{_DOW} IS NULL OR hour{_DOW} = 0 OR (hour{_DOW} & {_BIT}) = {_BIT}))
+, crs AS (SELECT * FROM f_creative WHERE status = 1 AND weight > 0 AND campaign_id IN (SELECT id FROM elig))"""
+
+
+@register("cp_eligible_campaigns", with_views(["f_campaign"], _ELIG_SQL + """
+SELECT id, publisher_id, name, daily_cap FROM elig
+"""))
+def q_cp_eligible(spark, sf_dir):
+    c = promotion.eligible_campaigns(Views(spark, sf_dir).f_campaign, CP_NOW)
+    return c.select("id", "publisher_id", "name", "daily_cap")
+
+
+@register("cp_creative", with_views(["f_campaign", "f_creative", "f_creative_material"], _ELIG_SQL + """
+, mats AS (SELECT creative_id, array_to_string(list(CAST(material_id AS VARCHAR) ORDER BY material_id), '|') AS m
+           FROM f_creative_material WHERE creative_id IN (SELECT id FROM crs) GROUP BY creative_id)
+SELECT crs.id, crs.campaign_id, crs.weight, coalesce(mats.m, '') AS material_ids
+FROM crs LEFT JOIN mats ON mats.creative_id = crs.id
+"""))
+def q_cp_creative(spark, sf_dir):
+    """Eligible creatives with their material ids."""
+    v = Views(spark, sf_dir)
+    ids = promotion.eligible_campaigns(v.f_campaign, CP_NOW).select("id")
+    out = promotion.creative(v.f_creative, ids, v.f_creative_material)
+    return out.select("id", "campaign_id", "weight", j(F.col("material_ids").cast("array<string>"))
+                      .alias("material_ids"))
+
+
+@register("cp_material", with_views(["f_campaign", "f_creative", "f_creative_material", "f_material"], _ELIG_SQL + """
+SELECT DISTINCT id, type, url FROM f_material
+WHERE status = 1 AND id IN (SELECT material_id FROM f_creative_material WHERE creative_id IN (SELECT id FROM crs))
+"""))
+def q_cp_material(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    ids = promotion.eligible_campaigns(v.f_campaign, CP_NOW).select("id")
+    crs = promotion.eligible_creatives(v.f_creative, ids).select("id")
+    return promotion.material(v.f_material, crs, v.f_creative_material)
+
+
+def _target_sql() -> str:
+    cols = []
+    for code, name, kind in promotion.TARGET_TYPES:
+        if kind == "int":
+            cols.append(f"coalesce(array_to_string(list_transform(list_sort(list(coalesce(TRY_CAST(content AS INTEGER), 0)) "
+                        f"FILTER (WHERE type = {code})), lambda x: CAST(x AS VARCHAR)), '|'), '') AS {name}")
+        elif kind == "str":
+            cols.append(f"coalesce(array_to_string(list_sort(list(content) FILTER (WHERE type = {code})), '|'), '') "
+                        f"AS {name}")
+        elif kind == "set":
+            cols.append(f"coalesce(CAST(max(coalesce(TRY_CAST(content AS INTEGER), 0)) FILTER (WHERE type = {code}) "
+                        f"AS VARCHAR), '') AS {name}")
+        else:
+            cols.append(f"coalesce(array_to_string(list_sort(flatten(list(list_filter({d_parts('content')}, lambda r: "
+                        f"left(r, 1) NOT IN ('[', '('))) FILTER (WHERE type = {code}))), '|'), '') AS {name}")
+    return ",\n       ".join(cols)
+
+
+@register("cp_targeting", with_views(["f_campaign", "f_targeting"], _ELIG_SQL + f"""
+SELECT campaign_id, {_target_sql()}
+FROM f_targeting WHERE campaign_id IN (SELECT id FROM elig) AND campaign_id >= 1
+GROUP BY campaign_id
+"""))
+def q_cp_targeting(spark, sf_dir):
+    """Targeting pivot (range lists are compared through their items)."""
+    v = Views(spark, sf_dir)
+    ids = promotion.eligible_campaigns(v.f_campaign, CP_NOW).select("id")
+    t = promotion.campaign_targeting(v.f_targeting, ids)
+    cols = []
+    for code, name, kind in promotion.TARGET_TYPES:
+        if kind == "set":
+            cols.append(F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name))
+        else:
+            cols.append(j(F.col(name).cast("array<string>")).alias(name))
+    return t.select("campaign_id", *cols)
+
+
+@register("cp_campaign", with_views(["f_campaign"], _ELIG_SQL + """
+SELECT id, publisher_id, name, daily_cap, '' AS click_tk_urls FROM elig
+"""))
+def q_cp_campaign(spark, sf_dir):
+    """G28 (the fixture has no bid prices or tracking urls: empty lists)."""
+    out = promotion.campaign(Views(spark, sf_dir).f_campaign, CP_NOW)
+    return out.select("id", "publisher_id", "name", "daily_cap", j(F.col("click_tk_urls")).alias("click_tk_urls"))
+
+
+@register("cp_template", with_views(["f_material"], """
+SELECT id, type, url FROM f_material WHERE status = 1 AND type = 2
+"""))
+def q_cp_template(spark, sf_dir):
+    """G32 over H5 templates derived from the material table (type 2)."""
+    m = Views(spark, sf_dir).f_material.filter(F.col("type") == 2)
+    return promotion.template(m)
+
+
+@register("cp_app", with_views(["f_campaign", "f_store_app"], _ELIG_SQL + """
+, used AS (SELECT DISTINCT concat('app', CAST(id % 60 AS VARCHAR)) AS app_id FROM elig)
+, a AS (SELECT * FROM f_store_app WHERE app_id IN (SELECT app_id FROM used))
+SELECT id, app_id, plat,
+       CASE WHEN trim(coalesce(os_require, '')) = '' THEN ''
+            WHEN plat = 1 THEN CASE WHEN contains(os_require, 'Varies with device') THEN ''
+                                    WHEN contains(os_require, ' and up') THEN replace(os_require, ' and up', '')
+                                    WHEN contains(os_require, ' - ') THEN split_part(os_require, ' - ', 1) ELSE '' END
+            WHEN plat = 0 THEN os_require ELSE '' END AS osv_min,
+       CASE WHEN trim(coalesce(os_require, '')) = '' THEN ''
+            WHEN plat = 1 THEN CASE WHEN contains(os_require, 'Varies with device') THEN ''
+                                    WHEN contains(os_require, ' and up') THEN ''
+                                    WHEN contains(os_require, ' - ') THEN split_part(os_require, ' - ', 2) ELSE '' END
+            ELSE '' END AS osv_max
+FROM a
+"""))
+def q_cp_app(spark, sf_dir):
+    """Store apps of eligible campaigns (campaign app id derived from its id)."""
+    v = Views(spark, sf_dir)
+    elig = promotion.eligible_campaigns(v.f_campaign, CP_NOW).select(
+        F.concat(F.lit("app"), (F.col("id") % 60).cast("string")).alias("app_id"))
+    return promotion.store_app(v.f_store_app, elig)
