@@ -1 +1,152 @@
-"""Registered queries."""
+"""Registered source / sink round trips.
+
+Each query writes data derived from the fixture tables into a fresh folder
+under the session's reliable checkpoint directory (shared storage on a
+cluster), reads it back through the source operator and must reproduce the
+result of the plain query, so it reuses that query's oracle.
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+import uuid
+
+from pyspark.sql import functions as F
+
+from ..fixtures import Views, with_views
+from ..operators import funnel, revenue, users
+from ..session import ensure_checkpoint_dir
+from ..sinks import writers
+from ..sources import logs
+from . import q_config, q_reports
+from .registry import QUERIES, doubles, register
+from .. import schemas
+
+
+def scratch(spark) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch/{uuid.uuid4().hex}"
+
+
+def _day_range(df):
+    r = df.agg(F.min("dt").alias("a"), F.max("dt").alias("b")).first()
+    return r["a"], r["b"]
+
+
+def write_lr_json(spark, lr, root: str) -> None:
+    """Write log rows as hourly JSON slots in the Hive-style layout."""
+    cols = [f.name for f in schemas.LR.fields]
+    out = lr.select(*cols, F.date_format("dt", "yyyy").alias("y"), F.date_format("dt", "MM").alias("m"),
+                    F.date_format("dt", "dd").alias("d"), F.lpad(F.col("h").cast("string"), 2, "0").alias("h"))
+    out.repartition("y", "m", "d", "h").write.mode("overwrite").partitionBy("y", "m", "d", "h").json(f"{root}/lr")
+
+
+@register("json_log_scan", QUERIES["common_report"].oracle)
+def q_json_log_scan(spark, sf_dir):
+    """A1: the funnel report computed from hourly JSON slots."""
+    lr = Views(spark, sf_dir).f_lr
+    root = scratch(spark)
+    write_lr_json(spark, lr, root)
+    first, last = _day_range(lr)
+    begin = _dt.datetime.combine(first, _dt.time(0))
+    end = _dt.datetime.combine(last + _dt.timedelta(days=1), _dt.time(0))
+    scanned = logs.scan_log(spark, root, "lr", begin, end, layout=logs.HIVE)
+    out = funnel.common_report(scanned, begin, end)
+    return doubles(out, "bid_resp_price", "bid_win_price")
+
+
+@register("backfill_user_report", QUERIES["user_report"].oracle)
+def q_backfill_user_report(spark, sf_dir):
+    """The daily user report for the whole range in one run."""
+    lr = Views(spark, sf_dir).f_lr
+    first, last = _day_range(lr)
+    return logs.backfill(users.user_report, first, last, lr=lr)
+
+
+@register("slot_overwrite_roundtrip", QUERIES["common_report"].oracle)
+def q_slot_overwrite_roundtrip(spark, sf_dir):
+    """B1: write every slot, rerun (overwrite) the last three days, read back:
+    no slot is lost or duplicated."""
+    lr = Views(spark, sf_dir).f_lr
+    path = f"{scratch(spark)}/stat_lr"
+    full = funnel.common_report(lr)
+    writers.write_slot(full, path, ["day"])
+    _, last = _day_range(lr)
+    rerun = funnel.common_report(lr).filter(F.col("day") >= F.lit(str(last - _dt.timedelta(days=2))))
+    writers.write_slot(rerun, path, ["day"])
+    back = spark.read.parquet(path).withColumn("day", F.col("day").cast("string"))
+    return doubles(back.select(*full.columns), "bid_resp_price", "bid_win_price")
+
+
+@register("per_app_csv_roundtrip", QUERIES["user_ad_revenue"].oracle)
+def q_per_app_csv_roundtrip(spark, sf_dir):
+    """User ad revenue split into one gzip CSV directory per app."""
+    v = Views(spark, sf_dir)
+    uar = q_reports._finish_uar(revenue.user_ad_revenue(v.f_lr, v.f_cost, v.f_adn))
+    path = f"{scratch(spark)}/uar"
+    writers.write_per_app(uar, path)
+    schema = "day string, device_id string, device_type string, adn_name string, impr_cnt bigint, " \
+             "click_cnt bigint, revenue double, pub_app_id int"
+    back = spark.read.schema(schema).option("header", True).csv(path)
+    return back.select(*uar.columns)
+
+
+@register("cost_dump_scan", with_views(["f_cost"], """
+SELECT CAST(NULL AS INTEGER) AS id, publisher_id, pub_app_id, platform, country, adn_id, instance_id,
+       CAST(cost AS DOUBLE) AS cost
+FROM f_cost
+"""))
+def q_cost_dump_scan(spark, sf_dir):
+    """A3 (W10): costs dumped as \\u0001-separated text with a trailing
+    separator and 'null' for NULL, read back with the fixed schema."""
+    c = Views(spark, sf_dir).f_cost.withColumn("id", F.lit(None).cast("int"))
+    cols = [f.name for f in schemas.STAT_ADNETWORK.fields]
+    path = f"{scratch(spark)}/ods_stat_adnetwork"
+    writers.cost_dump_lines(c, cols).write.mode("overwrite").text(path)
+    back = logs.scan_stat_adnetwork(spark, path)
+    return back.withColumn("cost", F.col("cost").cast("double"))
+
+
+@register("adnetwork_dump_scan", with_views(["f_adn"], """
+SELECT id, name, class_name, CAST(NULL AS VARCHAR) AS descn FROM f_adn
+"""))
+def q_adnetwork_dump_scan(spark, sf_dir):
+    """A4: the network dimension dump read back."""
+    a = Views(spark, sf_dir).f_adn.withColumn("descn", F.lit(None).cast("string"))
+    path = f"{scratch(spark)}/ods_om_adnetwork"
+    writers.cost_dump_lines(a, ["id", "name", "class_name", "descn"]).write.mode("overwrite").text(path)
+    return logs.scan_adnetwork(spark, path)
+
+
+@register("publisher_user_history_scan", QUERIES["publisher_users"].oracle)
+def q_publisher_user_history_scan(spark, sf_dir):
+    """C8 output stored partitioned by ymd (B1), read back by range (A5)."""
+    lr = Views(spark, sf_dir).f_lr
+    marked = users.mark_publisher_users(lr)
+    path = f"{scratch(spark)}/dws_publisher_user"
+    writers.write_slot(marked, path, ["ymd"])
+    first, last = _day_range(lr)
+    return logs.scan_publisher_user(spark, path, first, last).select(*marked.columns)
+
+
+@register("snapshot_publish", QUERIES["snap_network"].oracle)
+def q_snapshot_publish(spark, sf_dir):
+    """Publish a snapshot version and read it back through CURRENT."""
+    snap = q_config.q_snap_network(spark, sf_dir)
+    root = scratch(spark)
+    writers.publish_snapshot(spark, snap, root, "om_adnetwork")
+    return writers.read_snapshot(spark, root, "om_adnetwork", snap.schema)
+
+
+@register("keyed_replace", with_views(["f_stat"], """
+, s AS (SELECT pub_app_id, day, SUM(api_impr) AS impr FROM f_stat GROUP BY pub_app_id, day)
+SELECT pub_app_id, strftime(day, '%Y-%m-%d') AS day,
+       CAST(CASE WHEN pub_app_id % 2 = 0 THEN impr * 2 ELSE impr END AS BIGINT) AS impr FROM s
+"""))
+def q_keyed_replace(spark, sf_dir):
+    """A daily per-app table where the even apps are re-delivered with
+    new values; their (app, day) keys are replaced, the others kept."""
+    st = Views(spark, sf_dir).f_stat
+    s = st.groupBy("pub_app_id", "day").agg(F.sum("api_impr").cast("bigint").alias("impr"))
+    incoming = s.filter(F.col("pub_app_id") % 2 == 0).withColumn("impr", F.col("impr") * 2)
+    out = writers.replace_keys(s, incoming, ["pub_app_id", "day"])
+    return out.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
