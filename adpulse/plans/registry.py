@@ -52,6 +52,6 @@ def date_strings(df: DataFrame, *cols: str) -> DataFrame:
 def load_all() -> dict[str, Query]:
     """Import every module that registers queries and return the registry."""
     from . import (  # noqa: F401
-        q_reports, q_ecpm, q_forecast, q_custom, q_config, q_state, q_io,
+        q_reports, q_ecpm, q_forecast, q_custom, q_config, q_state, q_io, q_stream,
     )
     return QUERIES
