@@ -19,13 +19,8 @@ USER_DIM_SETS = {
     "instance": ["placement_id", "instance_id", "adn_id"],
 }
 
-_EXTRA_DIMS = {
-    "abt": F.coalesce("abt", F.lit(0)),
-    "abt_id": F.coalesce("abtId", F.lit(0)),
-    "adn_id": F.coalesce("mid", F.lit(0)),
-    "placement_id": F.coalesce("pid", F.lit(0)),
-    "instance_id": F.coalesce("iid", F.lit(0)),
-}
+# report dimension -> log field (NULL -> 0)
+_EXTRA_DIMS = {"abt": "abt", "abt_id": "abtId", "adn_id": "mid", "placement_id": "pid", "instance_id": "iid"}
 
 USER_BASE_DIMS = ["day", "publisher_id", "pub_app_id", "platform", "country",
                   "app_version", "sdk_version", "os_version"]
@@ -63,7 +58,7 @@ def user_report(lr: DataFrame, begin_day=None, end_day=None, dims: str | list[st
         deu = F.count_distinct(F.when(F.col("type") == 6, F.col("uid")))
     else:
         deu = F.count_distinct(F.when(F.col("type") == 6, F.col("uid")).otherwise(F.lit(""))) - 1
-    return src.groupBy(*_base_dims(), *[_EXTRA_DIMS[d].alias(d) for d in extra]).agg(
+    return src.groupBy(*_base_dims(), *[F.coalesce(_EXTRA_DIMS[d], F.lit(0)).alias(d) for d in extra]).agg(
         F.count_distinct("ip").alias("ip_count"),
         F.count_distinct("did").alias("did_count"),
         F.count_distinct("uid").alias("dau"),
