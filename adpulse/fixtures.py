@@ -266,14 +266,49 @@ GROUP BY pub_app_id, CASE WHEN ad_type = 0 THEN 'US' WHEN ad_type = 1 THEN 'DE'
 _TOKEN = re.compile(r"\$\{(\w+)\}")
 
 
-def render(view_sql: str, dialect: str, sf_dir: str | None = None) -> str:
+_RAW: dict[tuple, str] = {}
+SPREAD_MIN_BYTES = 1 << 20  # dimension-sized files are not worth spreading
+
+
+def _size(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return fs.getContentSummary(p).getLength()
+
+
+def raw_table(spark: SparkSession, sf_dir: str, table: str) -> str:
+    """Name of a session temp view over ``<sf_dir>/<table>.parquet``.
+
+    The driver's test tables are single-row-group files, so a scan is one
+    split and everything up to the first shuffle would run in one task. When
+    a table scans as fewer splits than the session's cores, its rows are
+    spread round-robin once here; inputs that already split (production
+    logs: many hourly files) are read as they are.
+    """
+    key = (id(spark._jsparkSession), sf_dir.rstrip("/"), table)
+    if key not in _RAW:
+        path = f"{sf_dir.rstrip('/')}/{table}.parquet"
+        df = spark.read.parquet(path)
+        cores = spark.sparkContext.defaultParallelism
+        if _size(spark, path) > SPREAD_MIN_BYTES and df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+        name = f"_adp_{abs(hash(key[1:])) % 10 ** 12}_{table}"
+        df.createOrReplaceTempView(name)
+        _RAW[key] = name
+    return _RAW[key]
+
+
+def render(view_sql: str, dialect: str, sf_dir: str | None = None, spark: SparkSession | None = None) -> str:
     def sub(m):
         name = m.group(1)
         if name == "MS":
             return _MS[dialect]
         if name in VIEWS:  # a view built on another view
-            return f"({render(VIEWS[name], dialect, sf_dir)})" if dialect == "spark" else name
+            return f"({render(VIEWS[name], dialect, sf_dir, spark)})" if dialect == "spark" else name
         if dialect == "spark":
+            if spark is not None:
+                return raw_table(spark, sf_dir, name)
             return f"parquet.`{sf_dir.rstrip('/')}/{name}.parquet`"
         return name
     return _TOKEN.sub(sub, view_sql)
@@ -281,7 +316,7 @@ def render(view_sql: str, dialect: str, sf_dir: str | None = None) -> str:
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Spark DataFrame of fixture view ``name`` over the tables in ``sf_dir``."""
-    return spark.sql(render(VIEWS[name], "spark", sf_dir))
+    return spark.sql(render(VIEWS[name], "spark", sf_dir, spark))
 
 
 class Views:

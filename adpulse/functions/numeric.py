@@ -19,19 +19,38 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def round_div_sql(num_sql: str, den_sql: str, scale: int = 6, mode: str = "half_up", num_scale: int = 10) -> str:
+    """Spark SQL text of :func:`round_div` over SQL operands."""
+    n = (f"CAST(CAST(({num_sql}) AS DECIMAL(38,{num_scale})) * CAST({10 ** (scale + num_scale)} AS DECIMAL(38,0))"
+         f" AS DECIMAL(38,0))")
+    d = f"CAST(CAST(({den_sql}) AS DECIMAL(38,0)) * CAST({10 ** num_scale} AS DECIMAL(38,0)) AS DECIMAL(38,0))"
+    # exact floor division: non-negative remainder, then an integral divide of
+    # an exact multiple (the quotient, value * 10^scale, must fit in a long)
+    r = f"pmod({n}, {d})"
+    q = f"(({n} - {r}) div {d})"
+    tie = {"half_up": f"{q} >= 0", "half_down": f"{q} < 0", "half_even": f"pmod({q}, 2) = 1"}.get(mode)
+    if tie is None:
+        raise ValueError(f"unknown rounding mode {mode}")
+    bump = f"CASE WHEN 2 * {r} > {d} OR (2 * {r} = {d} AND {tie}) THEN 1 ELSE 0 END"
+    return (f"CASE WHEN {d} > 0 THEN CAST(CAST({q} + {bump} AS DECIMAL(19,0)) / "
+            f"CAST({10 ** scale} AS DECIMAL({scale + 1},0)) AS DECIMAL(38,{scale})) END")
+
+
 def round_div(num, den, scale: int = 6, mode: str = "half_up", num_scale: int = 10) -> Column:
     """``num / den`` rounded to ``scale`` decimals with an exact tie rule.
 
     ``num`` is any numeric column with at most ``num_scale`` decimals,
     ``den`` an integer-valued column. Returns ``decimal(38, scale)``, NULL
     when ``den`` is NULL or not positive (callers map that to their default).
+    Column names compile to one SQL expression; Column operands are combined
+    with the Column API.
     """
+    if isinstance(num, str) and isinstance(den, str):
+        return F.expr(round_div_sql(f"`{num}`", f"`{den}`", scale, mode, num_scale))
     num, den = _col(num), _col(den)
     shift = F.lit(10 ** (scale + num_scale)).cast("decimal(38,0)")
     n = (num.cast(f"decimal(38,{num_scale})") * shift).cast("decimal(38,0)")
     d = (den.cast("decimal(38,0)") * F.lit(10 ** num_scale).cast("decimal(38,0)")).cast("decimal(38,0)")
-    # exact floor division: non-negative remainder, then an integral divide of
-    # an exact multiple (the quotient, value * 10^scale, must fit in a long)
     r = F.pmod(n, d)
     q = F.call_function("div", n - r, d)
     twice = r * 2
@@ -56,7 +75,9 @@ def div6(num, den) -> Column:
 
 def ecpm(money, impr, mode: str = "half_down") -> Column:
     """``money * 1000 / impr`` at 6 decimals with the given tie rule."""
-    return round_div(_col(money).cast("decimal(30,8)") * F.lit(1000), impr, 6, mode)
+    if isinstance(money, str) and isinstance(impr, str):
+        return F.expr(round_div_sql(f"CAST(`{money}` AS DECIMAL(28,10)) * 1000", f"`{impr}`", 6, mode))
+    return round_div(_col(money).cast("decimal(28,10)") * F.lit(1000), impr, 6, mode)
 
 
 # ---------------------------------------------------------------- DuckDB text

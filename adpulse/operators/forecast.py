@@ -62,7 +62,12 @@ def forecast_uar(apps: DataFrame, uar_daily: DataFrame, begin_day=None, end_day=
     """
     eligible = apps.filter((F.col("status") == 1) & F.col("uar_regions").isNotNull()) \
                    .select(F.col("id").alias("pub_app_id"))
-    pts = uar_daily.join(eligible, "pub_app_id", "left_semi")
+    # Shuffle the daily series once by (app, country): that partitioning
+    # already satisfies the (app, country, run_day) grouping below, so the
+    # 7x fan-out is grouped inside its partition instead of being shuffled.
+    # A partition key holds at most one row per day, so even a hot app is
+    # bounded by the number of days.
+    pts = uar_daily.join(eligible, "pub_app_id", "left_semi").repartition("pub_app_id", "country")
     runs = F.sequence(F.date_add("day", 1), F.date_add("day", UAR_HISTORY_DAYS))
     fanned = pts.select("*", F.explode(runs).alias("run_day"))
     if begin_day is not None:

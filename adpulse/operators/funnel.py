@@ -46,16 +46,22 @@ FUNNEL_METRIC_ORDER = [
 ]
 
 
+def counter_sql(type_code: int, field: str) -> str:
+    """``if(type = code OR field > 0, coalesce(field, 1), 0)`` as SQL text;
+    a NULL condition takes the else branch, as SQL ``IF`` does."""
+    return f"CASE WHEN type = {type_code} OR `{field}` > 0 THEN coalesce(`{field}`, 1) ELSE 0 END"
+
+
+def price_sql(type_code: int, field: str) -> str:
+    return f"CASE WHEN type = {type_code} OR `{field}` > 0 THEN coalesce(`{field}`, price, 0) ELSE 0 END"
+
+
 def counter_value(type_code: int, field: str) -> Column:
-    """``if(type = code OR field > 0, coalesce(field, 1), 0)``; a NULL
-    condition takes the else branch, as SQL ``IF`` does."""
-    cond = (F.col("type") == type_code) | (F.col(field) > 0)
-    return F.when(cond, F.coalesce(F.col(field), F.lit(1))).otherwise(F.lit(0))
+    return F.expr(counter_sql(type_code, field))
 
 
 def price_value(type_code: int, field: str) -> Column:
-    cond = (F.col("type") == type_code) | (F.col(field) > 0)
-    return F.when(cond, F.coalesce(F.col(field), F.col("price"), F.lit(0))).otherwise(F.lit(0))
+    return F.expr(price_sql(type_code, field))
 
 
 def funnel_dims() -> list[Column]:
@@ -63,21 +69,12 @@ def funnel_dims() -> list[Column]:
     return [
         epoch_ms_to_day("serverTs").alias("day"),
         epoch_ms_to_hour("serverTs").alias("hour"),
-        F.col("country"),
-        F.coalesce("plat", F.lit(-1)).alias("platform"),
-        F.coalesce("publisherId", F.lit(0)).alias("publisher_id"),
-        F.coalesce("pubAppId", F.lit(0)).alias("pub_app_id"),
-        F.coalesce("pid", F.lit(0)).alias("placement_id"),
-        F.coalesce("iid", F.lit(0)).alias("instance_id"),
-        F.coalesce("scene", F.lit(0)).alias("scene_id"),
-        F.coalesce("mid", F.lit(0)).alias("adn_id"),
-        F.coalesce("abt", F.lit(0)).alias("abt"),
-        F.coalesce("abtId", F.lit(0)).alias("abt_id"),
-        F.coalesce("bid", F.lit(0)).alias("bid"),
-        F.coalesce("ruleId", F.lit(0)).alias("rule_id"),
-        F.col("appv").alias("app_version"),
-        F.col("sdkv").alias("sdk_version"),
-        F.col("osv").alias("os_version"),
+        *[F.expr(e) for e in (
+            "country", "coalesce(plat, -1) AS platform", "coalesce(publisherId, 0) AS publisher_id",
+            "coalesce(pubAppId, 0) AS pub_app_id", "coalesce(pid, 0) AS placement_id",
+            "coalesce(iid, 0) AS instance_id", "coalesce(scene, 0) AS scene_id", "coalesce(mid, 0) AS adn_id",
+            "coalesce(abt, 0) AS abt", "coalesce(abtId, 0) AS abt_id", "coalesce(bid, 0) AS bid",
+            "coalesce(ruleId, 0) AS rule_id", "appv AS app_version", "sdkv AS sdk_version", "osv AS os_version")],
     ]
 
 
@@ -97,10 +94,14 @@ def common_report(lr: DataFrame, begin=None, end=None) -> DataFrame:
     """
     src = lr.filter(slot_filter("dt", "h", begin, end)
                     & F.col("serverTs").isNotNull() & (F.col("type") != 1))
-    metrics = {name: F.sum(counter_value(code, field)).alias(name) for name, code, field in FUNNEL_COUNTERS}
-    metrics.update({name: F.sum(price_value(code, field)).alias(name) for name, code, field in FUNNEL_PRICES})
-    return (src.groupBy(*funnel_dims())
-            .agg(*[metrics[m] for m in FUNNEL_METRIC_ORDER]))
+    return src.groupBy(*funnel_dims()).agg(*funnel_metrics())
+
+
+def funnel_metrics() -> list[Column]:
+    """The 16 funnel sums in report order (one SQL expression each)."""
+    sql = {name: counter_sql(code, field) for name, code, field in FUNNEL_COUNTERS}
+    sql.update({name: price_sql(code, field) for name, code, field in FUNNEL_PRICES})
+    return [F.expr(f"sum({sql[m]}) AS {m}") for m in FUNNEL_METRIC_ORDER]
 
 
 CP_DIM_NAMES = ["day", "hour", "publisher_id", "pub_app_id", "placement_id", "country", "app_id",

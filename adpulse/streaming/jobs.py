@@ -24,6 +24,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..operators import funnel, state, users
 from ..sinks.writers import write_slot
 
@@ -43,12 +44,9 @@ def funnel_stream(lr_stream: DataFrame, watermark: str = WATERMARK) -> DataFrame
     """C1 over a stream: rows bucketed into their event hour with a watermark."""
     ev = lr_stream.filter(F.col("serverTs").isNotNull() & (F.col("type") != 1)) \
                   .withColumn("_event_time", F.timestamp_millis("serverTs"))
-    metrics = {n: F.sum(funnel.counter_value(c, f)).alias(n) for n, c, f in funnel.FUNNEL_COUNTERS}
-    metrics.update({n: F.sum(funnel.price_value(c, f)).alias(n) for n, c, f in funnel.FUNNEL_PRICES})
-    dims = [d for d in funnel.funnel_dims()]
     return (ev.withWatermark("_event_time", watermark)
-            .groupBy(F.window("_event_time", "1 hour").alias("_w"), *dims)
-            .agg(*[metrics[m] for m in funnel.FUNNEL_METRIC_ORDER])
+            .groupBy(F.window("_event_time", "1 hour").alias("_w"), *funnel.funnel_dims())
+            .agg(*funnel.funnel_metrics())
             .drop("_w"))
 
 
@@ -61,8 +59,9 @@ def upsert_slots(batch: DataFrame, path: str, keys: list[str], slot_keys: list[s
     try:
         if _path_exists(spark, path):
             slots = batch.select(*slot_keys).distinct()
-            old = spark.read.parquet(path).join(slots, slot_keys, "left_semi")
-            old = old.withColumns({k: F.col(k).cast(batch.schema[k].dataType) for k in slot_keys})
+            # read with the batch schema: inferred partition types would turn
+            # hour '05' into 5 and the key match below would miss it
+            old = spark.read.schema(batch.schema).parquet(path).join(slots, slot_keys, "left_semi")
             kept = old.join(batch.select(*keys), [old[k].eqNullSafe(batch[k]) for k in keys], "left_anti")
             merged = kept.select(*batch.columns).unionByName(batch)
             # materialise to reliable storage before the old files are replaced
@@ -98,8 +97,7 @@ def start_user_marking_stream(lr_stream: DataFrame, history_path: str, checkpoin
     def sink(batch, _epoch):
         spark = batch.sparkSession
         if _path_exists(spark, history_path):
-            hist = spark.read.parquet(history_path)
-            hist = hist.withColumn("ymd", F.col("ymd").cast("string"))
+            hist = spark.read.schema(schemas.PUBLISHER_USER).parquet(history_path)
         else:
             hist = None
         marked = users.mark_publisher_users(batch)
