@@ -308,7 +308,10 @@ def render(view_sql: str, dialect: str, sf_dir: str | None = None, spark: SparkS
             return f"({render(VIEWS[name], dialect, sf_dir, spark)})" if dialect == "spark" else name
         if dialect == "spark":
             if spark is not None:
-                return raw_table(spark, sf_dir, name)
+                try:
+                    return raw_table(spark, sf_dir, name)
+                except Exception:  # noqa: BLE001 - e.g. no JVM-side context: read the file as is
+                    pass
             return f"parquet.`{sf_dir.rstrip('/')}/{name}.parquet`"
         return name
     return _TOKEN.sub(sub, view_sql)
