@@ -209,30 +209,34 @@ def ltv_report(users: DataFrame, lr: DataFrame, cost: DataFrame, iap: DataFrame,
     medv = F.coalesce(F.col("v.mediation_value"), F.lit(0))
     iapx = F.coalesce(F.col("v.iap_value"), F.lit(0))
     zero = F.lit(0)
-    vals = pairs.groupBy(F.col("c._b").alias("_b"), F.col("v._e").alias("_e"),
-                         *[F.col(f"c.{k}").alias(k) for k in LTV_GROUP]).agg(
-        F.sum(F.when(F.col("v._present").isNotNull() & (is_new == 1), 1).otherwise(0)).alias("retention_cnt_new"),
-        F.sum(F.when(F.col("v._present").isNotNull() & (is_new == 0), 1).otherwise(0)).alias("retention_cnt_old"),
-        F.sum(F.when(is_new == 1, medv).otherwise(zero)).alias("mediation_value_new"),
-        F.sum(F.when(is_new == 0, medv).otherwise(zero)).alias("mediation_value_old"),
-        F.sum(F.when(is_new == 1, iapx).otherwise(zero)).alias("iap_value_new"),
-        F.sum(F.when(is_new == 0, iapx).otherwise(zero)).alias("iap_value_old"),
-        F.sum(F.when(is_new == 1, medv + iapx).otherwise(zero)).alias("total_value_new"),
-        F.sum(F.when(is_new == 0, medv + iapx).otherwise(zero)).alias("total_value_old"),
-    )
-    # group keys may be NULL (country); match them null-safely like GROUP BY does
-    k = ["_b", "_e", *LTV_GROUP]
-    out = counts.alias("a").join(vals.alias("b"), [F.col(f"a.{x}").eqNullSafe(F.col(f"b.{x}")) for x in k], "left")
+    present = F.col("v._present").isNotNull()
+    pair_rows = pairs.select(
+        F.col("c._b").alias("_b"), F.col("v._e").alias("_e"), *[F.col(f"c.{k}").alias(k) for k in LTV_GROUP],
+        zero.alias("user_cnt_new"), zero.alias("user_cnt_old"),
+        F.when(present & (is_new == 1), 1).otherwise(0).alias("retention_cnt_new"),
+        F.when(present & (is_new == 0), 1).otherwise(0).alias("retention_cnt_old"),
+        F.when(is_new == 1, medv).otherwise(zero).alias("mediation_value_new"),
+        F.when(is_new == 0, medv).otherwise(zero).alias("mediation_value_old"),
+        F.when(is_new == 1, iapx).otherwise(zero).alias("iap_value_new"),
+        F.when(is_new == 0, iapx).otherwise(zero).alias("iap_value_old"),
+        F.when(is_new == 1, medv + iapx).otherwise(zero).alias("total_value_new"),
+        F.when(is_new == 0, medv + iapx).otherwise(zero).alias("total_value_old"))
     metrics = ["retention_cnt_new", "retention_cnt_old", "mediation_value_new", "mediation_value_old",
                "iap_value_new", "iap_value_old", "total_value_new", "total_value_old"]
-    return out.select(
-        F.date_format("a._e", "yyyyMMdd").alias("execute_date"),
-        F.date_format("a._b", "yyyyMMdd").alias("base_date"),
-        F.datediff(F.col("a._e"), F.col("a._b")).alias("retention_day"),
-        *[F.col(f"a.{x}").alias(x) for x in LTV_GROUP],
-        F.col("a.user_cnt_new").cast("bigint").alias("user_cnt_new"),
-        F.col("a.user_cnt_old").cast("bigint").alias("user_cnt_old"),
-        *[F.coalesce(F.col(f"b.{m}"), F.lit(0)).alias(m) for m in metrics],
+    count_rows = counts.select("_b", "_e", *LTV_GROUP, "user_cnt_new", "user_cnt_old",
+                               *[F.lit(0).cast(pair_rows.schema[m].dataType).alias(m) for m in metrics])
+    # every (B, E, group) of the pairs also has a counts row (its user is in
+    # B's cohort), so one grouped sum over the union replaces a join of the two
+    merged = count_rows.unionByName(pair_rows).groupBy("_b", "_e", *LTV_GROUP).agg(
+        *[F.sum(c).alias(c) for c in ["user_cnt_new", "user_cnt_old", *metrics]])
+    return merged.select(
+        F.date_format("_e", "yyyyMMdd").alias("execute_date"),
+        F.date_format("_b", "yyyyMMdd").alias("base_date"),
+        F.datediff(F.col("_e"), F.col("_b")).alias("retention_day"),
+        *LTV_GROUP,
+        *[F.col(c).cast("bigint").alias(c) for c in ["user_cnt_new", "user_cnt_old", "retention_cnt_new",
+                                                     "retention_cnt_old"]],
+        *[F.col(m) for m in metrics[2:]],
     )
 
 
