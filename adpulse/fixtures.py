@@ -105,7 +105,7 @@ VIEWS["f_adn"] = """
 SELECT CAST(s_suppkey AS INT) AS id, s_name AS name, concat('Adn', CAST(s_suppkey AS STRING)) AS class_name,
        CASE WHEN s_suppkey % 11 = 0 THEN 0 ELSE 1 END AS status,
        CASE WHEN s_suppkey IN (0, 10, 16, 22) THEN NULL ELSE CAST(1 + (s_suppkey * 7) % 47 AS INT) END AS delay_hours
-FROM ${supplier} WHERE s_suppkey < 24
+FROM ${supplier}
 """
 
 VIEWS["f_app"] = """
@@ -184,12 +184,15 @@ SELECT CAST(p_partkey AS INT) AS id, CAST(p_partkey % 500 AS INT) AS placement_i
        CASE WHEN p_partkey % 7 = 0 THEN 0 ELSE 1 END AS status FROM ${part}
 """
 
+# placement (instance) x country pairs that carry traffic: the distinct
+# (part, supplier nation) pairs of lineitem
 _PC = """
-SELECT CAST(p_partkey AS INT) AS {key}, n_name AS country, CAST((p_partkey + n_nationkey) % 2 AS INT) AS floor_price_switch,
+SELECT DISTINCT CAST(l_partkey AS INT) AS {key}, n_name AS country,
+       CAST((l_partkey + n_nationkey) % 2 AS INT) AS floor_price_switch,
        CASE WHEN n_nationkey % 5 = 0 THEN NULL ELSE CAST(n_nationkey * 0.25 AS DECIMAL(8,3)) END AS floor_price,
-       CAST(n_nationkey % 3 AS INT) AS hour0, CAST(p_partkey % 4 AS INT) AS hour1,
+       CAST(n_nationkey % 3 AS INT) AS hour0, CAST(l_partkey % 4 AS INT) AS hour1,
        CAST(n_nationkey % 3 * 0.5 AS DECIMAL(8,3)) AS manual_ecpm
-FROM ${{part}} CROSS JOIN ${{nation}} WHERE p_partkey < 50
+FROM ${{lineitem}} JOIN ${{supplier}} ON l_suppkey = s_suppkey JOIN ${{nation}} ON s_nationkey = n_nationkey
 """
 VIEWS["f_placement_country"] = _PC.format(key="placement_id")
 VIEWS["f_instance_country"] = _PC.format(key="instance_id")
@@ -218,9 +221,11 @@ SELECT CAST(o_custkey AS INT) AS rule_id, CAST(o_orderkey % 2000 AS INT) AS inst
 """
 
 VIEWS["f_rule_group"] = """
-SELECT CAST(c_custkey AS INT) AS rule_id, CAST(g AS INT) AS id, CAST(g AS INT) AS group_level, 1 AS auto_switch,
-       CAST(c_custkey % 3 AS INT) AS ab_test
-FROM ${customer} CROSS JOIN (SELECT 1 AS g UNION ALL SELECT 2 AS g) x
+SELECT CAST(c_custkey AS INT) AS rule_id, 1 AS id, 1 AS group_level, 1 AS auto_switch,
+       CAST(c_custkey % 3 AS INT) AS ab_test FROM ${customer}
+UNION ALL
+SELECT CAST(c_custkey AS INT) AS rule_id, 2 AS id, 2 AS group_level, 1 AS auto_switch,
+       CAST(c_custkey % 3 AS INT) AS ab_test FROM ${customer}
 """
 
 VIEWS["f_abtest"] = """

@@ -245,7 +245,7 @@ def ltv_report(users: DataFrame, lr: DataFrame, cost: DataFrame, iap: DataFrame,
 RESTATE_DAYS = 3  # fixed value: network costs arrive up to two days late
 
 
-def restate(job, run_day: Column | _dt.date, days: int = RESTATE_DAYS, **inputs) -> DataFrame:
+def restate(job, run_day: _dt.date, days: int = RESTATE_DAYS, **inputs) -> DataFrame:
     """Rerun a daily job for ``run_day - days + 1 .. run_day`` in ONE
     set-oriented call (the job groups by day), ready for a dynamic
     partition overwrite of exactly those days (B1)."""

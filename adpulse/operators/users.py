@@ -40,7 +40,7 @@ def _base_dims() -> list[Column]:
 
 
 def user_report(lr: DataFrame, begin_day=None, end_day=None, dims: str | list[str] = "base",
-                exact_deu: bool = False) -> DataFrame:
+                exact_deu: bool = False, approx_rsd: float | None = None) -> DataFrame:
     """Distinct ip / did / uid (DAU) and engaged users (DEU) per day.
 
     ``dims`` names a set of USER_DIM_SETS or lists extra dimensions. The
@@ -51,17 +51,24 @@ def user_report(lr: DataFrame, begin_day=None, end_day=None, dims: str | list[st
     Four distinct counts compile to one Expand + two-level aggregation: the
     first shuffle is keyed by (group, distinct value), so a hot group is
     spread across tasks and deduplicated before the final per-group count.
+    ``approx_rsd`` switches to HyperLogLog++ sketches (``approx_count_distinct``
+    with that relative standard deviation): a named, non-exact variant that
+    needs no Expand and shuffles one small sketch per group and map task.
     """
     extra = USER_DIM_SETS[dims] if isinstance(dims, str) else list(dims)
     src = lr.filter(F.col("serverTs").isNotNull() & day_filter("dt", begin_day, end_day))
+
+    def distinct(c):
+        return F.count_distinct(c) if approx_rsd is None else F.approx_count_distinct(c, approx_rsd)
+
     if exact_deu:
-        deu = F.count_distinct(F.when(F.col("type") == 6, F.col("uid")))
+        deu = distinct(F.when(F.col("type") == 6, F.col("uid")))
     else:
-        deu = F.count_distinct(F.when(F.col("type") == 6, F.col("uid")).otherwise(F.lit(""))) - 1
+        deu = distinct(F.when(F.col("type") == 6, F.col("uid")).otherwise(F.lit(""))) - 1
     return src.groupBy(*_base_dims(), *[F.coalesce(_EXTRA_DIMS[d], F.lit(0)).alias(d) for d in extra]).agg(
-        F.count_distinct("ip").alias("ip_count"),
-        F.count_distinct("did").alias("did_count"),
-        F.count_distinct("uid").alias("dau"),
+        distinct(F.col("ip")).alias("ip_count"),
+        distinct(F.col("did")).alias("did_count"),
+        distinct(F.col("uid")).alias("dau"),
         deu.alias("deu"),
     )
 
@@ -70,16 +77,20 @@ def user_reports(lr: DataFrame, begin_day=None, end_day=None, enabled=("adn", "a
                                                                        "instance")) -> dict[str, DataFrame]:
     """Base and abtest always, plus the enabled optional reports.
 
-    All reports share one pruned projection of the day's log; persisting it
-    lets the several aggregations read it once instead of rescanning JSON.
-    Each report stays its own aggregation (GROUPING SETS over four distinct
-    counts would multiply the Expand by the number of sets).
+    All reports are built on one pruned, filtered projection of the log;
+    a caller writing several of them in one run should persist that
+    projection (``.persist()`` on the returned ``"_shared"`` frame) so the
+    JSON logs are parsed once. Each report stays its own aggregation
+    (GROUPING SETS over four distinct counts would multiply the Expand by
+    the number of sets).
     """
     needed = ["dt", "serverTs", "publisherId", "pubAppId", "plat", "country", "appv", "sdkv", "osv",
               "ip", "did", "uid", "type", "abt", "abtId", "mid", "pid", "iid"]
     shared = lr.filter(F.col("serverTs").isNotNull() & day_filter("dt", begin_day, end_day)).select(*needed)
     names = ["base", "abtest"] + [n for n in enabled if n not in ("base", "abtest")]
-    return {n: user_report(shared, dims=n) for n in names}
+    out = {n: user_report(shared, dims=n) for n in names}
+    out["_shared"] = shared
+    return out
 
 
 # ---------------------------------------------------------------- C8

@@ -93,11 +93,6 @@ def q_text_lists(spark, sf_dir):
 
 # ---------------------------------------------------------------- G22 / G23
 
-_DICT_PATHS_SQL = """
-, RECURSIVE p(id, path) AS (SELECT id, '/' || name FROM f_dict WHERE pid = 0
-                            UNION ALL SELECT c.id, p.path || '/' || c.name FROM f_dict c JOIN p ON c.pid = p.id)"""
-
-
 @register("dict_paths", "WITH RECURSIVE " + with_views(["f_dict"], """
 , p(id, path) AS (SELECT id, '/' || name FROM f_dict WHERE pid = 0
                   UNION ALL SELECT c.id, p.path || '/' || c.name FROM f_dict c JOIN p ON c.pid = p.id)

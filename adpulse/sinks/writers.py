@@ -85,3 +85,15 @@ def cost_dump_lines(df: DataFrame, cols: list[str]) -> DataFrame:
     NULL as ``null``, with a trailing separator (W10)."""
     return df.select(F.concat(F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("null"))
                                                       for c in cols]), F.lit("\u0001")).alias("value"))
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, keys: list[str], buckets: int,
+                   partition_by: list[str] | None = None) -> None:
+    """Store a large keyed table (e.g. the publisher-user history of C8) as
+    an external catalog table bucketed and sorted by ``keys``. Joins on those
+    keys then read it without a shuffle (only the small side is exchanged),
+    which removes the largest shuffle of the daily new-user marking."""
+    w = df.write.mode("append").format("parquet").option("path", path).bucketBy(buckets, *keys).sortBy(*keys)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.saveAsTable(table)

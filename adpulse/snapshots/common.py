@@ -17,17 +17,16 @@ def dict_paths(d: DataFrame) -> DataFrame:
     """Every dictionary node with its path ``/root/child/...`` (roots
     have pid 0), resolved with a recursive CTE: each iteration is one join of
     the frontier with the table, so depth, not size, bounds the work."""
+    # a uniquely named temp view: the recursive CTE is SQL-only, and the view
+    # must outlive this call because the returned frame is evaluated lazily
     view = f"_dict_{uuid.uuid4().hex}"
     d.select("id", "pid", "name", "value").createOrReplaceTempView(view)
-    try:
-        return d.sparkSession.sql(f"""
-            WITH RECURSIVE p(id, path) AS (
-              SELECT id, concat('/', name) FROM {view} WHERE pid = 0
-              UNION ALL
-              SELECT c.id, concat(p.path, '/', c.name) FROM {view} c JOIN p ON c.pid = p.id)
-            SELECT p.id, p.path, t.value FROM p JOIN {view} t ON p.id = t.id""")
-    finally:
-        pass  # the view must outlive the lazily evaluated frame; names are unique
+    return d.sparkSession.sql(f"""
+        WITH RECURSIVE p(id, path) AS (
+          SELECT id, concat('/', name) FROM {view} WHERE pid = 0
+          UNION ALL
+          SELECT c.id, concat(p.path, '/', c.name) FROM {view} c JOIN p ON c.pid = p.id)
+        SELECT p.id, p.path, t.value FROM p JOIN {view} t ON p.id = t.id""")
 
 
 def dict_lookup(paths: DataFrame, kind: str = "string", default=None) -> DataFrame:

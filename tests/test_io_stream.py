@@ -107,3 +107,19 @@ def test_funnel_stream_drops_rows_behind_the_watermark(spark):
     q.awaitTermination()
     got = sorted((int(r.hour), r.impr) for r in spark.read.parquet(os.path.join(root, "out")).collect())
     assert got == [(0, 1), (5, 2)]
+
+
+def test_register_partition_is_idempotent(spark):
+    root = _scratch()
+    d = os.path.join(root, "lr", "2024", "01", "01", "05")
+    os.makedirs(d)
+    with open(os.path.join(d, "p.json"), "w") as f:
+        f.write(json.dumps({"serverTs": MS1 + 5 * 3_600_000, "type": 6}) + "\n")
+    name = f"lr_{os.path.basename(root).replace('-', '_')}"
+    spark.sql(f"CREATE TABLE {name} (serverTs BIGINT, type INT, y STRING, m STRING, d STRING, h STRING) "
+              f"USING json PARTITIONED BY (y, m, d, h) LOCATION '{root}/lr_table'")
+    for _ in range(2):
+        logs.register_partition(spark, name, dt.datetime(2024, 1, 1, 5), d)
+    rows = spark.table(name).collect()
+    assert [(r.serverTs, r.h) for r in rows] == [(MS1 + 5 * 3_600_000, "05")]
+    spark.sql(f"DROP TABLE {name}")
