@@ -97,3 +97,14 @@ def write_bucketed(df: DataFrame, table: str, path: str, keys: list[str], bucket
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(table)
+
+
+def sync_costs(costs: DataFrame, path: str, day) -> None:
+    """H5: copy one day of network costs (read from JDBC or a dump with the
+    A3/A6 scans) into the lake, replacing exactly that day's partition."""
+    write_slot(costs.withColumn("day", F.lit(day).cast("date")), path, ["day"])
+
+
+def sync_dimension(dim: DataFrame, path: str) -> None:
+    """H5: replace a small dimension copy (e.g. the network table) whole."""
+    dim.write.mode("overwrite").parquet(path)

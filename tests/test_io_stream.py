@@ -123,3 +123,19 @@ def test_register_partition_is_idempotent(spark):
     rows = spark.table(name).collect()
     assert [(r.serverTs, r.h) for r in rows] == [(MS1 + 5 * 3_600_000, "05")]
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_csv_sinks_and_cost_sync(spark):
+    root = _scratch()
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "Region string, Impressions int")
+    writers.write_report_csv(df, os.path.join(root, "report"))
+    back = spark.read.option("header", True).csv(os.path.join(root, "report"))
+    assert back.columns == ["Region", "Impressions"] and back.count() == 2
+    writers.write_csv_dir(df, os.path.join(root, "plain"))
+    assert spark.read.csv(os.path.join(root, "plain")).count() == 2
+    costs = spark.createDataFrame([(1, 2.5)], "instance_id int, cost double")
+    writers.sync_costs(costs, os.path.join(root, "costs"), dt.date(2024, 1, 1))
+    writers.sync_costs(costs, os.path.join(root, "costs"), dt.date(2024, 1, 1))
+    writers.sync_costs(costs, os.path.join(root, "costs"), dt.date(2024, 1, 2))
+    got = spark.read.parquet(os.path.join(root, "costs")).groupBy("day").count().collect()
+    assert sorted((str(r.day), r["count"]) for r in got) == [("2024-01-01", 1), ("2024-01-02", 1)]

@@ -178,3 +178,13 @@ def test_cap_delta_and_cross_rates(spark):
     q = spark.createDataFrame([("USD", Decimal("1.2")), ("GBP", Decimal("0.9"))], "cur string, rate decimal(18,6)")
     rates = {r.cur_from: r.exchange_rate for r in state.cross_rates(q).collect()}
     assert rates == {"USD": Decimal("1.000000"), "GBP": Decimal("1.333333")}
+
+
+def test_report_windows():
+    daily = report.ReportSpec(publisher_id=1, dimensions="day", metrics="impr", cond_day_period=2)
+    assert report.report_window(daily, D2, D2) == (dt.date(2023, 12, 30), D1)
+    monthly = report.ReportSpec(publisher_id=1, dimensions="day", metrics="impr", schedule=report.SCHEDULE_MONTHLY)
+    # The monthly window follows "now", not the task day
+    assert report.report_window(monthly, D2, dt.date(2024, 3, 5)) == (dt.date(2024, 2, 1), dt.date(2024, 2, 29))
+    other = report.ReportSpec(publisher_id=1, dimensions="day", metrics="impr", schedule=9)
+    assert report.report_window(other, D2, dt.date(2024, 3, 5)) == (dt.date(2024, 3, 5), dt.date(2024, 3, 5))
