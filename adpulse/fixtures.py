@@ -15,7 +15,10 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 _MS = {
-    "spark": "timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)",
+    # zone-free on a zone-less timestamp (no cast through the session zone, so
+    # no DST shift): days * 86400000 + time of day in milliseconds
+    "spark": ("(CAST(unix_date(CAST(ts AS DATE)) AS BIGINT) * 86400000 + hour(ts) * 3600000 + minute(ts) * 60000"
+              " + CAST(floor(extract(SECOND FROM ts) * 1000) AS BIGINT))"),
     "duckdb": "(epoch_us(ts) // 1000)",
 }
 

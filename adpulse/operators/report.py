@@ -188,33 +188,42 @@ def _txt6(x: Column) -> Column:
 
 
 def derived_metrics(df: DataFrame, spec: ReportSpec) -> DataFrame:
-    """F9a-h: ratio metrics as report text ("0" when undefined)."""
+    """F9a-h: ratio metrics as report text ("0" when undefined).
+
+    The integer inputs are first named (``_request``, ``_impr``...), so each
+    exact ratio compiles to one SQL expression over column names."""
     req_col, fil_col = pick_request_cols(spec)
-    request, filled = _long(req_col, df), _long(fil_col, df)
-    impr, click = _long("impr", df), _long("click", df)
-    dau, deu = _long("dau", df), _long("deu", df)
-    cost = F.col("cost") if "cost" in df.columns else F.lit(None).cast("decimal(38,8)")
-    zero = F.lit("0")
-    ratio = round_div(filled, request, 6, "half_up")
-    fill_rate = (F.when(request != 0, F.when(ratio > FILL_RATE_CAP, F.lit(str(FILL_RATE_CAP))).otherwise(_txt6(ratio)))
-                 .when(filled > 0, F.lit(str(FILL_RATE_CAP))).otherwise(zero))
-    rt, rf = _long("is_ready_true", df), _long("is_ready_false", df)
-    is_ready = rt + rf
+    base = {
+        "_request": _long(req_col, df), "_filled": _long(fil_col, df), "_impr": _long("impr", df),
+        "_click": _long("click", df), "_dau": _long("dau", df), "_deu": _long("deu", df),
+        "_rt": _long("is_ready_true", df), "_rf": _long("is_ready_false", df),
+        "_cost": F.col("cost") if "cost" in df.columns else F.lit(None).cast("decimal(38,8)"),
+    }
+    df = df.withColumns(base).withColumns({"_is_ready": F.col("_rt") + F.col("_rf"),
+                                           "_cost1000": F.col("_cost") * F.lit(1000)})
 
-    def div_txt(a: Column, b: Column) -> Column:
-        return F.when(b != 0, _txt6(round_div(a, b, 6, "half_up"))).otherwise(zero)
+    def ratio(a: str, b: str) -> Column:
+        return _txt6(round_div(a, b, 6, "half_up"))
 
-    def money_txt(b: Column) -> Column:
-        return F.when(cost.isNotNull() & (b != 0), _txt6(round_div(cost, b, 6, "half_up"))).otherwise(zero)
+    def div_txt(a: str, b: str) -> Column:
+        return F.when(F.col(b) != 0, ratio(a, b)).otherwise(F.lit("0"))
 
-    ctr = F.when(impr > 0, _txt6(round_div(click, impr, 6, "half_up"))).when(click > 0, F.lit("1"))
-    ecpm = F.when(cost.isNotNull() & (impr != 0), _txt6(round_div(cost * F.lit(1000), impr, 6, "half_up"))) \
-        .when(cost.isNotNull(), zero)
+    zero = F.lit("0")
+    cost = F.col("_cost")
+    cap = F.lit(str(FILL_RATE_CAP))
+    fill = round_div("_filled", "_request", 6, "half_up")
+    fill_rate = (F.when(F.col("_request") != 0, F.when(fill > FILL_RATE_CAP, cap).otherwise(_txt6(fill)))
+                 .when(F.col("_filled") > 0, cap).otherwise(zero))
+    ctr = F.when(F.col("_impr") > 0, ratio("_click", "_impr")).when(F.col("_click") > 0, F.lit("1"))
+    ecpm = F.when(cost.isNotNull() & (F.col("_impr") != 0), ratio("_cost1000", "_impr")).when(cost.isNotNull(), zero)
     derived = {
-        "request": request.cast("string"), "filled": filled.cast("string"), "fill_rate": fill_rate,
-        "is_ready": is_ready.cast("string"), "is_ready_rate": div_txt(rt, is_ready), "ctr": ctr, "ecpm": ecpm,
-        "impr_dau": div_txt(impr, dau), "impr_deu": div_txt(impr, deu), "arp_dau": money_txt(dau),
-        "arp_deu": money_txt(deu), "engagement_rate": div_txt(deu, dau),
+        "request": F.col("_request").cast("string"), "filled": F.col("_filled").cast("string"),
+        "fill_rate": fill_rate, "is_ready": F.col("_is_ready").cast("string"),
+        "is_ready_rate": div_txt("_rt", "_is_ready"), "ctr": ctr, "ecpm": ecpm,
+        "impr_dau": div_txt("_impr", "_dau"), "impr_deu": div_txt("_impr", "_deu"),
+        "arp_dau": F.when(cost.isNotNull() & (F.col("_dau") != 0), ratio("_cost", "_dau")).otherwise(zero),
+        "arp_deu": F.when(cost.isNotNull() & (F.col("_deu") != 0), ratio("_cost", "_deu")).otherwise(zero),
+        "engagement_rate": div_txt("_deu", "_dau"),
     }
     cols = {}
     for m in spec.metric_list:
