@@ -136,9 +136,33 @@ def _uar_auto(v):
     return m.groupBy(F.col("pub_app_id").alias("id")).agg(F.max_by("region_uar_json", "run_day").alias("uar_auto"))
 
 
-@register("snap_app", None)
+def _snap_app_oracle() -> str:
+    from .q_forecast import forecast_cte
+    vals = " || '|' || ".join(
+        f"CAST(CAST(CAST(f.{c} * 1000 AS FLOAT) AS DECIMAL(18,3)) AS VARCHAR)" for c in forecast.UAR_COLS)
+    return with_views(["f_stat", "f_uar", "f_app", "f_block_rule"], forecast_cte(1) + f"""
+, latest AS (SELECT pub_app_id, max(run_day) AS rd FROM fc GROUP BY pub_app_id)
+, cu AS (SELECT f.pub_app_id, string_agg(f.country || ':' || {vals}, '|' ORDER BY f.country) AS country_uars
+         FROM fc f JOIN latest l ON f.pub_app_id = l.pub_app_id AND f.run_day = l.rd
+              JOIN f_app a ON a.id = f.pub_app_id
+         WHERE trim(coalesce(a.uar_regions, '')) <> '' AND list_contains(string_split(a.uar_regions, ','), f.country)
+         GROUP BY f.pub_app_id)
+, br AS (SELECT pub_app_id, array_to_string(list(CAST(id AS VARCHAR) || ':' ||
+                array_to_string({d_list('make_device_blacklist', split='[,\\n]', lower=True)}, '|') ORDER BY id), '|')
+                AS block_rules
+         FROM f_block_rule WHERE status = 1 GROUP BY pub_app_id)
+SELECT a.id, a.publisher_id, a.plat, a.app_name,
+       CASE WHEN trim(coalesce(sdk_event_ids, '')) <> '' THEN array_to_string(list_transform(string_split(sdk_event_ids, ','),
+            lambda x: CAST(coalesce(TRY_CAST(x AS INTEGER), 0) AS VARCHAR)), '|') ELSE '' END AS event_ids,
+       coalesce(cu.country_uars, '') AS country_uars, coalesce(br.block_rules, '') AS block_rules
+FROM f_app a LEFT JOIN cu ON cu.pub_app_id = a.id LEFT JOIN br ON br.pub_app_id = a.id WHERE a.status = 1
+""")
+
+
+@register("snap_app", _snap_app_oracle())
 def q_snap_app(spark, sf_dir):
-    """G1-G3 (rows check: the automatic UAR JSON comes from the forecast)."""
+    """The automatic UAR JSON of each app is the E4 region map of
+    its latest forecast day."""
     v = Views(spark, sf_dir)
     apps = v.f_app.join(_uar_auto(v), "id", "left")
     out = inventory.publisher_app(apps, v.f_block_rule.withColumn("pub_app_id", F.col("pub_app_id")))

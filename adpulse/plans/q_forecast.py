@@ -12,7 +12,7 @@ from .registry import register
 _ELIGIBLE = "SELECT id FROM f_app WHERE status = 1 AND uar_regions IS NOT NULL"
 
 
-def _smooth_sql(col: str, seed: int) -> str:
+def _smooth_sql(col: str, seed: int, rounded: bool = True) -> str:
     x = f"CAST({col} AS DOUBLE)"
     terms = f"SUM(0.6 * pow(0.4, n - 1 - i) * {x})"
     if seed == 1:
@@ -20,7 +20,22 @@ def _smooth_sql(col: str, seed: int) -> str:
     else:
         s3 = f"SUM(CASE WHEN i < 3 THEN CAST({col} AS DECIMAL(38,8)) END)"
         start = duck_round_div(s3, "least(max(n), 3)", 6, "half_up")
-    return f"CAST(ROUND({terms} + pow(0.4, max(n)) * {start}, 8) AS DOUBLE) AS {col}"
+    value = f"{terms} + pow(0.4, max(n)) * {start}"
+    return f"CAST(ROUND({value}, 8) AS DOUBLE) AS {col}" if rounded else f"{value} AS {col}"
+
+
+def forecast_cte(seed: int = 1) -> str:
+    """DuckDB CTEs ending in ``fc(pub_app_id, country, run_day, uar1..5)``:
+    the unrounded closed-form forecast (needs f_stat, f_uar, f_app)."""
+    cols = ",\n       ".join(_smooth_sql(c, seed, rounded=False) for c in forecast.UAR_COLS)
+    return f"""
+, fan AS (SELECT u.*, CAST(u.day + CAST(t.r AS INTEGER) AS DATE) AS run_day
+          FROM f_uar u, range(1, 8) t(r) WHERE u.pub_app_id IN ({_ELIGIBLE}))
+, ord AS (SELECT *, row_number() OVER (PARTITION BY pub_app_id, country, run_day ORDER BY day) - 1 AS i,
+                 count(*) OVER (PARTITION BY pub_app_id, country, run_day) AS n FROM fan)
+, fc AS (SELECT pub_app_id, country, run_day,
+       {cols}
+FROM ord GROUP BY pub_app_id, country, run_day)"""
 
 
 def _forecast_oracle(seed: int) -> str:
