@@ -1,8 +1,9 @@
 """Benchmark: run the headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is executed in full through the ``noop`` sink (no collect to the
-driver). One warm-up query runs first so JVM start-up and code loading are
-not charged to the first measured query. Prints ONE JSON line.
+driver). Before measuring, the headline queries run once on the smallest
+data set (sf0.001) to warm the JVM (class loading, JIT), so the numbers
+measure the queries rather than start-up. Prints ONE JSON line.
 """
 
 from __future__ import annotations
@@ -27,7 +28,10 @@ def main() -> None:
     registry = load_all()
     selected = names or [n for n, q in registry.items() if q.headline]
 
-    registry["cp_report"].build(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
+    warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    if os.path.isdir(warm_dir):
+        for name in selected:
+            registry[name].build(spark, warm_dir).write.format("noop").mode("overwrite").save()
 
     timings = {}
     for name in selected:
