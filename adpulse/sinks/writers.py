@@ -13,7 +13,10 @@ def write_slot(df: DataFrame, path: str, keys: list[str], fmt: str = "parquet")
     """B1: replace exactly the ``keys`` partitions present in ``df`` (dynamic
     partition overwrite; other slots are untouched). The reference deletes
     then loads in two statements; here each partition is swapped on commit."""
-    (df.repartition(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # rebalance (not repartition): rows are clustered by slot so each slot
+    # gets few files, but AQE splits a hot slot over several tasks and
+    # coalesces small ones, so one big day is never written by one task
+    (df.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*keys).format(fmt).save(path))
 
 
@@ -34,7 +37,7 @@ def write_csv_dir(df: DataFrame, path: str, header: bool = False) -> None:
 def write_per_app(df: DataFrame, path: str, app_col: str = "pub_app_id") -> None:
     """One gzip-compressed CSV directory per app (``<app_col>=<id>``),
     written by a real CSV writer (quoting intact, W22)."""
-    (df.repartition(app_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.hint("rebalance", app_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("compression", "gzip").option("header", True).partitionBy(app_col).csv(path))
 
 

@@ -47,11 +47,11 @@ def with_slot_columns(df: DataFrame, path_col: F.Column, layout: str = PLAIN) ->
     """Add the partition columns y, m, d (text), dt (date) and h (int) taken
     from the file path (the plain layout is not Hive-style, so Spark's
     partition discovery cannot see them)."""
-    if layout == PLAIN:
-        pat = r"/(\d{4})/(\d{2})/(\d{2})/(\d{2})/[^/]*$"
-    else:
-        pat = r"/y=(\d{4})/m=(\d{2})/d=(\d{2})/h=(\d{2})/[^/]*$"
-    y, m, d, h = (F.regexp_extract(path_col, pat, i) for i in range(1, 5))
+    # one split of the path per row: .../<y>/<m>/<d>/<h>/<file>
+    parts = F.split(path_col, "/")
+    y, m, d, h = (F.element_at(parts, i) for i in (-5, -4, -3, -2))
+    if layout == HIVE:
+        y, m, d, h = (F.substring_index(c, "=", -1) for c in (y, m, d, h))
     return df.withColumns({"y": y, "m": m, "d": d,
                            "dt": F.to_date(F.concat(y, m, d), "yyyyMMdd"), "h": h.cast("int")})
 
