@@ -19,8 +19,8 @@ from .. import schemas
 
 def _lr_file_stream(spark, sf_dir, root):
     lr = Views(spark, sf_dir).f_lr
-    write_lr_json(spark, lr, root)
-    return spark.readStream.schema(schemas.LR).json(f"{root}/lr/*/*/*/*")
+    write_lr_json(spark, lr, root, hourly=False)
+    return spark.readStream.schema(schemas.LR).json(f"{root}/lr/*/*/*")
 
 
 @register("stream_common_report", QUERIES["common_report"].oracle)
@@ -40,8 +40,8 @@ def q_stream_publisher_users(spark, sf_dir):
     """First-seen user marking per micro-batch against the history table."""
     root = scratch(spark)
     lr = Views(spark, sf_dir).f_lr
-    write_lr_json(spark, lr, root)
-    stream = spark.readStream.schema(schemas.LR).json(f"{root}/lr/*/*/*/*") \
+    write_lr_json(spark, lr, root, hourly=False)
+    stream = spark.readStream.schema(schemas.LR).json(f"{root}/lr/*/*/*") \
         .withColumn("_p", F.col("_metadata.file_path")) \
         .withColumn("dt", F.to_date(F.regexp_extract("_p", r"/y=(\d{4})/m=(\d{2})/d=(\d{2})/", 0), "/'y='yyyy/'m='MM/'d='dd/"))
     q = jobs.start_user_marking_stream(stream.drop("_p"), f"{root}/dws_publisher_user", f"{root}/_ckpt")
