@@ -294,8 +294,12 @@ def raw_table(spark: SparkSession, sf_dir: str, table: str) -> str:
     spread round-robin once here; inputs that already split (production
     logs: many hourly files) are read as they are.
     """
-    key = (id(spark._jsparkSession), sf_dir.rstrip("/"), table)
-    if key not in _RAW:
+    try:
+        session_key = spark._jsparkSession.sessionUUID()
+    except Exception:  # noqa: BLE001
+        session_key = id(spark._jsparkSession)
+    key = (session_key, sf_dir.rstrip("/"), table)
+    if key not in _RAW or not spark.catalog.tableExists(_RAW[key]):
         path = f"{sf_dir.rstrip('/')}/{table}.parquet"
         df = spark.read.parquet(path)
         cores = spark.sparkContext.defaultParallelism
