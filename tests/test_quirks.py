@@ -188,3 +188,23 @@ def test_report_windows():
     assert report.report_window(monthly, D2, dt.date(2024, 3, 5)) == (dt.date(2024, 2, 1), dt.date(2024, 2, 29))
     other = report.ReportSpec(publisher_id=1, dimensions="day", metrics="impr", schedule=9)
     assert report.report_window(other, D2, dt.date(2024, 3, 5)) == (dt.date(2024, 3, 5), dt.date(2024, 3, 5))
+
+
+def test_custom_tags_parsing(spark):
+    j = ('{"vip":{"type":0,"conditions":[{"operator":"in","value":"a,b"},{"operator":"=","value":" "}]},'
+         '"lvl":{"type":1,"conditions":[{"operator":">=","value":"3"}]},"none":{"type":0},'
+         '"blank":{"type":2,"conditions":[{"operator":"=","value":""}]}}')
+    tags = spark.createDataFrame([(j,)], "t string").select(rules.custom_tags("t").alias("m")).first().m
+    assert set(tags) == {"vip", "lvl", "blank"}                    # a tag without a conditions list is dropped
+    assert [c.asDict() for c in tags["vip"].conditions] == [{"operator": "in", "value": None, "values": ["a", "b"]}]
+    assert tags["lvl"].conditions[0].value == "3" and tags["blank"].conditions == []   # blank values skipped
+
+
+def test_user_report_approximate_variant(spark):
+    rows = [dict(serverTs=MS1, uid=f"u{i}", ip=f"ip{i % 5}", did=f"d{i}", type=6 if i % 2 else 0, country="US")
+            for i in range(200)]
+    lr = lr_frame(spark, rows)
+    exact = users.user_report(lr, exact_deu=True).first()
+    approx = users.user_report(lr, exact_deu=True, approx_rsd=0.02).first()
+    assert exact.dau == 200 and exact.ip_count == 5 and exact.deu == 100
+    assert abs(approx.dau - 200) <= 12 and approx.ip_count == 5 and abs(approx.deu - 100) <= 6
