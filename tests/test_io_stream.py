@@ -90,10 +90,15 @@ def test_funnel_stream_drops_rows_behind_the_watermark(spark):
     os.makedirs(src)
     cols = [f.name for f in schemas.LR.fields]
 
+    clock = [1_700_000_000]
+
     def put(name, rows):
-        with open(os.path.join(src, name), "w") as f:
+        path = os.path.join(src, name)
+        with open(path, "w") as f:
             for r in rows:
                 f.write(json.dumps({c: r.get(c) for c in cols}) + "\n")
+        clock[0] += 10          # distinct modification times fix the file processing order
+        os.utime(path, (clock[0], clock[0]))
 
     stream = spark.readStream.schema(schemas.LR).option("maxFilesPerTrigger", 1).json(src)
     put("a.json", [dict(serverTs=MS1 + 10 * 60_000, type=6, country="US")])
