@@ -329,9 +329,20 @@ def render(view_sql: str, dialect: str, sf_dir: str | None = None, spark: SparkS
     return _TOKEN.sub(sub, view_sql)
 
 
+_VIEW_CACHE: dict[tuple, DataFrame] = {}
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Spark DataFrame of fixture view ``name`` over the tables in ``sf_dir``."""
-    return spark.sql(render(VIEWS[name], "spark", sf_dir, spark))
+    """Spark DataFrame of fixture view ``name`` over the tables in ``sf_dir``
+    (analysed once per session and reused: DataFrames are immutable)."""
+    try:
+        key = (spark._jsparkSession.sessionUUID(), sf_dir.rstrip("/"), name)
+    except Exception:  # noqa: BLE001
+        return spark.sql(render(VIEWS[name], "spark", sf_dir, spark))
+    df = _VIEW_CACHE.get(key)
+    if df is None:
+        df = _VIEW_CACHE[key] = spark.sql(render(VIEWS[name], "spark", sf_dir, spark))
+    return df
 
 
 class Views:
