@@ -68,7 +68,9 @@ def upsert_slots(batch: DataFrame, path: str, keys: list[str], slot_keys: list[s
             ckpt = merged.checkpoint(eager=True)
             write_slot(ckpt, path, slot_keys)
         else:
-            write_slot(batch, path, slot_keys)
+            # first batch: nothing to merge with. A plain write commits
+            # atomically; a replay after it finds the table and upserts.
+            batch.hint("rebalance", *slot_keys).write.mode("append").partitionBy(*slot_keys).parquet(path)
     finally:
         batch.unpersist()
 
