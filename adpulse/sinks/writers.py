@@ -95,7 +95,9 @@ def write_bucketed(df: DataFrame, table: str, path: str, keys: list[str], bucket
     """Store a large keyed table (e.g. the publisher-user history of C8) as
     an external catalog table bucketed and sorted by ``keys``. Joins on those
     keys then read it without a shuffle (only the small side is exchanged),
-    which removes the largest shuffle of the daily new-user marking."""
+    which removes the largest shuffle of the daily new-user marking. Use at
+    least as many buckets as the joining job's shuffle partitions: with fewer,
+    Spark re-shuffles the bucketed side to match the other side."""
     w = df.write.mode("append").format("parquet").option("path", path).bucketBy(buckets, *keys).sortBy(*keys)
     if partition_by:
         w = w.partitionBy(*partition_by)

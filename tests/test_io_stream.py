@@ -144,3 +144,35 @@ def test_csv_sinks_and_cost_sync(spark):
     writers.sync_costs(costs, os.path.join(root, "costs"), dt.date(2024, 1, 2))
     got = spark.read.parquet(os.path.join(root, "costs")).groupBy("day").count().collect()
     assert sorted((str(r.day), r["count"]) for r in got) == [("2024-01-01", 1), ("2024-01-02", 1)]
+
+
+def test_bucketed_history_join_reads_history_without_a_shuffle(spark):
+    from adpulse.operators import users
+    root = _scratch()
+    name = f"hist_{os.path.basename(root).replace('-', '_')}"
+    rows = [(1, 10, "US", f"u{i}", 1, "20240101") for i in range(50)]
+    hist = spark.createDataFrame(rows, schemas.PUBLISHER_USER)
+    # buckets >= the session's shuffle partitions (8 in tests): the bucketed side is then kept as is
+    writers.write_bucketed(hist, name, os.path.join(root, "h"), users.USER_KEYS, 8)
+    lr = spark.createDataFrame([(MS1, f"u{i}", 1, 10, "US", dt.date(2024, 1, 2)) for i in range(0, 100, 2)],
+                               "serverTs long, uid string, publisherId int, pubAppId int, country string, dt date")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = users.mark_publisher_users(lr, spark.table(name), begin_day=dt.date(2024, 1, 2))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = {r.uid: r.is_new for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql(f"DROP TABLE {name}")
+    # only the day's users are exchanged: one hash exchange, none above the bucketed scan
+    assert plan.count("Exchange hashpartitioning") == 1, plan
+    assert got["u0"] == 0 and got["u48"] == 0 and got["u50"] == 1 and len(got) == 50
+
+
+def test_select_ranks_groups_null_keys_together(spark):
+    rows = [(None, v) for v in range(1, 13)] + [("a", v) for v in range(1, 4)]
+    df = spark.createDataFrame(rows, "g string, v int")
+    got = {(r.g, r.label): (r.n, r.v) for r in
+           select_ranks(df, ["g"], "v", lambda n: [("top", F.lit(1)), ("mid", F.floor(n / 2))]).collect()}
+    assert got[(None, "top")] == (12, 12) and got[(None, "mid")] == (12, 7)
+    assert got[("a", "top")] == (3, 3) and got[("a", "mid")] == (3, 3)

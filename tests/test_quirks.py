@@ -208,3 +208,15 @@ def test_user_report_approximate_variant(spark):
     approx = users.user_report(lr, exact_deu=True, approx_rsd=0.02).first()
     assert exact.dau == 200 and exact.ip_count == 5 and exact.deu == 100
     assert abs(approx.dau - 200) <= 12 and approx.ip_count == 5 and abs(approx.deu - 100) <= 6
+
+
+def test_region_map_keeps_whitelisted_countries_only(spark):
+    apps = spark.createDataFrame([(1, 1, "US,DE"), (2, 1, "")], "id int, status int, uar_regions string")
+    fc = spark.createDataFrame(
+        [(1, "US", D2, *[Decimal("0.001")] * 5), (1, "CN", D2, *[Decimal("0.002")] * 5),
+         (2, "US", D2, *[Decimal("0.003")] * 5)],
+        "pub_app_id int, country string, run_day date, uar1 decimal(38,18), uar2 decimal(38,18), "
+        "uar3 decimal(38,18), uar4 decimal(38,18), uar5 decimal(38,18)")
+    out = {r.pub_app_id: r for r in forecast.uar_region_map(fc, apps).collect()}
+    assert list(out[1].region_uar) == ["US"] and out[1].region_uar["US"][0] == Decimal("1")
+    assert out[2].region_uar_json == "{}"                      # no whitelisted region: empty map
