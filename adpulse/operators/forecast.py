@@ -22,31 +22,62 @@ UAR_HISTORY_DAYS = 7       # fixed value: days of history per forecast, [run - 7
 ACC = "decimal(38,18)"
 
 
-def exp_smoothing(values: Column, alpha: str = UAR_ALPHA, seed: int = 1) -> Column:
+def head_sum(values: Column, seed: int) -> Column:
+    """Exact sum of the first ``seed`` elements of an array column."""
+    return F.aggregate(F.slice(values, 1, seed), F.lit(0).cast(ACC), lambda s, x: (s + x).cast(ACC))
+
+
+def mean_seed(total: Column, n: Column, seed: int) -> Column:
+    """HALF_UP 6-decimal mean of the first ``n <= seed`` values.
+
+    For ``seed <= 9`` and inputs with at most 8 decimals (the UAR prices),
+    Spark's decimal quotient (rounded at 18 decimals) followed by
+    ``round(.., 6)`` is exact: sum/n either terminates within 11 decimals
+    (n = 1, 2, 4, 5, 8) or repeats a block of 3s, 6s, a digit 0-8 or a
+    rotation of 142857 (n = 3, 6, 9, 7), never the run of 9s an 18th-decimal
+    carry would need to change the 7th decimal. Larger seeds use the
+    remainder division, which is exact for any input but much slower.
+    """
+    if seed <= 9:
+        return F.round(total / n.cast("decimal(10,0)"), 6).cast(ACC)
+    return round_div(total, n, 6, "half_up").cast(ACC)
+
+
+def exp_smoothing(values: Column, alpha: str = UAR_ALPHA, seed: int = 1, start: Column | None = None) -> Column:
     """E1 / E2 over an ordered array column of decimals.
 
     ``seed=1``: start from the first element, which is also consumed
     (s = x0; for x in xs: s = a*x + (1-a)*s). ``seed=3``: start from the mean
-    of the first <= 3 elements rounded HALF_UP to 6 decimals.
+    of the first <= 3 elements rounded HALF_UP to 6 decimals (``start`` may
+    pass that seed precomputed).
     """
     # narrow literal types keep every step exact for short series (scale grows by one per step)
     a = F.lit(Decimal(alpha))
     one_minus = F.lit(Decimal(1) - Decimal(alpha))
-    if seed == 1:
-        start = F.element_at(values, 1).cast(ACC)
-    else:
-        head = F.slice(values, 1, seed)
-        total = F.aggregate(head, F.lit(0).cast(ACC), lambda s, x: (s + x).cast(ACC))
-        start = round_div(total, F.size(head), 6, "half_up").cast(ACC)
+    if start is None:
+        if seed == 1:
+            start = F.element_at(values, 1).cast(ACC)
+        else:
+            start = mean_seed(head_sum(values, seed), F.least(F.size(values), F.lit(seed)), seed)
     return F.aggregate(values, start, lambda s, x: (a * x + one_minus * s).cast(ACC))
 
 
 def smooth_series(series: DataFrame, keys: list[str], order: str, value_cols: list[str],
                   alpha: str = UAR_ALPHA, seed: int = 1) -> DataFrame:
-    """Smooth each value column of a (keys, order, values) series per key."""
+    """Smooth each value column of a (keys, order, values) series per key.
+
+    For a mean seed, the head sums and counts are computed as columns first,
+    so the head-sum lambda runs once per group and column."""
     arr = F.array_sort(F.collect_list(F.struct(F.col(order).alias("_o"), *[F.col(c) for c in value_cols])))
     g = series.groupBy(*keys).agg(arr.alias("_s"))
-    return g.select(*keys, *[exp_smoothing(F.col("_s").getField(c), alpha, seed).alias(c)
+    if seed == 1:
+        return g.select(*keys, *[exp_smoothing(F.col("_s").getField(c), alpha, seed).alias(c)
+                                 for c in value_cols])
+    g = g.select(*keys, "_s", F.least(F.size("_s"), F.lit(seed)).alias("_n"),
+                 *[head_sum(F.col("_s").getField(c), seed).alias(f"_h_{c}") for c in value_cols])
+    g = g.select(*keys, "_s", *[mean_seed(F.col(f"_h_{c}"), F.col("_n"), seed).alias(f"_seed_{c}")
+                                for c in value_cols])
+    return g.select(*keys, *[exp_smoothing(F.col("_s").getField(c), alpha, seed, start=F.col(f"_seed_{c}")).alias(c)
                              for c in value_cols])
 
 
