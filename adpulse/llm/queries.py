@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import blob_ledger, licenses, pii
+from . import blob_ledger, licenses, mixing, pii
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,9 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[_count(spans, k).alias(f"n_{k}") for k in blob_ledger.BASE_KINDS],
         F.sha2(_span_text(_of_kinds(spans, blob_ledger.BASE_KINDS)), 256).alias("base_sha256"),
         _span_text(spans).alias("spans"), "blob")
+
+
+@query
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select(
+        "doc_id", "size", "source_size", "target", "taken", "rate", "copies")
