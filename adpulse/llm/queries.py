@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import blob_ledger, licenses, mixing, pii
+from . import blob_ledger, licenses, mixing, near_dedup, pii
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,10 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select(
         "doc_id", "size", "source_size", "target", "taken", "rate", "copies")
+
+
+@query
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=4).select(
+        "doc_id", "n_shingles", "component_id",
+        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
