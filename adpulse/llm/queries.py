@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import blob_ledger, licenses, mixing, near_dedup, pii
+from . import blob_ledger, licenses, mixing, near_dedup, pii, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,21 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=4).select(
         "doc_id", "n_shingles", "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op7_warc"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+           FROM pages),
+     g AS (SELECT payload_digest, max(page_id) AS first_id FROM p WHERE payload_bytes >= 1000
+           GROUP BY payload_digest HAVING count(*) > 1)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first_id IS NULL OR page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM p LEFT JOIN g USING (payload_digest)
+"""
