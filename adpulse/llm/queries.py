@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import blob_ledger, licenses, mixing, near_dedup, pii, warc
+from . import blob_ledger, decontam, licenses, mixing, near_dedup, pii, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,11 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM p LEFT JOIN g USING (payload_digest)
 """
+
+
+@query
+def op3_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per contaminated document and item."""
+    found = decontam.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("hits").alias("h")).select(
+        "doc_id", "h.item_id", "h.item_words", "h.covered", "h.coverage", F.size("h.tiles").alias("n_tiles"))
