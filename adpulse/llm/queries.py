@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import blob_ledger, decontam, licenses, mixing, near_dedup, pii, warc
+from . import blob_ledger, decontam, licenses, mixing, near_dedup, pii, style_tree, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,9 @@ def op3_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", F.explode("hits").alias("h")).select(
         "doc_id", "h.item_id", "h.item_words", "h.covered", "h.coverage", F.size("h.tiles").alias("n_tiles"))
+
+
+@query
+def op6_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return style_tree.extract_main_text(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
