@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import blob_ledger, decontam, licenses, mixing, near_dedup, pii, style_tree, warc
+from . import blob_ledger, decontam, licenses, mixing, near_dedup, perplexity, pii, style_tree, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,8 @@ def op3_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return style_tree.extract_main_text(table(spark, sf_dir, "pages")).select(
         "page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
+
+
+@query
+def op2_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.quality(table(spark, sf_dir, "documents"))
