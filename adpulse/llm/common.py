@@ -89,14 +89,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def map_batches(df: DataFrame, inputs: list[str], keep: list[str], out: T.StructType,
-                start: Callable[[], Callable[..., Iterable[tuple]]]) -> DataFrame:
+                start: Callable[[], Callable[..., Iterable[tuple]]], prefix: str = "") -> DataFrame:
     """Narrow map over Arrow batches.
 
     ``start()`` runs once per task and returns a function that takes one list
     per column of ``inputs`` and returns one tuple per row, in row order, with
     the columns of ``out``. The ``keep`` columns pass through untouched; one
-    named like a result column gives way to the result.
+    named like a result column gives way to the result. ``prefix`` is put before
+    the result columns' names, for callers that keep columns they don't know.
     """
+    out = T.StructType([T.StructField(prefix + f.name, f.dataType) for f in out.fields])
     names = {f.name.lower() for f in out.fields}
     keep = [c for c in keep if c.lower() not in names]
     cols = list(dict.fromkeys(keep + inputs))

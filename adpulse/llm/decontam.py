@@ -166,12 +166,12 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int):
 
 def find_contamination(df: DataFrame, benchmark: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
                        item_id: str = "item_id", item_text: str = "text", min_match: int = MIN_MATCH,
-                       threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``keep`` columns plus ``hits``: the items that contaminate the document."""
+                       threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES, out_col: str = "hits") -> DataFrame:
+    """``keep`` columns plus ``out_col``: the items that contaminate the document."""
     sc = df.sparkSession.sparkContext
-    out = df.select(*[f"`{c}`" for c in dict.fromkeys((*keep, text_col)) if c.lower() != "hits" or c == text_col])
-    out = out.withColumn("__hits", F.lit(None).cast(HITS))
-    columns = [c for c in out.columns if c != "__hits"]
+    keep = tuple(c for c in keep if c.lower() != out_col.lower())
+    columns = list(dict.fromkeys((*keep, text_col)))
+    out = df.select(*[f"`{c}`" for c in columns], F.array().cast(HITS).alias("__hits"))
     for items in _blocks(benchmark, item_id, item_text, block_bytes):
         block = sc.broadcast(Block(items, min_match))
 
@@ -180,7 +180,5 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, text_col: str = "tex
             return lambda texts: ((b.hits(t, threshold),) for t in texts)
 
         out = map_batches(out, [text_col], [*columns, "__hits"], T.StructType([T.StructField("__new", HITS)]), start)
-        out = out.select(*[f"`{c}`" for c in columns],
-                         F.concat(F.coalesce("__hits", F.array().cast(HITS)), "__new").alias("__hits"))
-    return out.select(*[f"`{c}`" for c in keep if c.lower() != "hits"],
-                      F.coalesce("__hits", F.array().cast(HITS)).alias("hits"))
+        out = out.select(*[f"`{c}`" for c in columns], F.concat("__hits", "__new").alias("__hits"))
+    return out.select(*[f"`{c}`" for c in keep], F.col("__hits").alias(out_col))

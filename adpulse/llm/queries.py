@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import blob_ledger, decontam, licenses, mixing, near_dedup, perplexity, pii, style_tree, warc
+from . import blob_ledger, decontam, licenses, mixing, near_dedup, perplexity, pii, style_tree, toxicity, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,12 @@ def op6_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity.quality(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scorer = toxicity.fit(docs, table(spark, sf_dir, "labels"), train=lambda i: ~toxicity.held_out(i))
+    return toxicity.score(docs, scorer).select(
+        "doc_id", F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_restored")
