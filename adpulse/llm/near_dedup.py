@@ -14,11 +14,11 @@ linked if the Jaccard similarity of their whole sets is at least 0.8.
    order is right), so a passage that many documents share opens no lists.
 3. *Stars instead of pairs.* In each list every member is proposed to the
    list's smallest member only. Proposals are filtered by the union-sketch
-   estimate and verified on the whole sets. Lists whose members then lie in
-   one component are finished. In the others, members of the smallest
-   components lead next (eight times as many in every round) until all pairs
-   across components were proposed: links inside a component are the only
-   ones not looked at, so components are the same as with all pairs.
+   estimate and verified on the whole sets. Lists whose other members then
+   lie in one component are finished. The members of the rest are compared across
+   components by prefix filtering of wide sketches (``_across``), verified the
+   same way. Links inside a component are the only ones not looked at, so the
+   components are those of all pairs.
 4. *Components* by repeated minimum over neighbours and pointer jumping.
 
 A list's hot member is salted: its text is sent to several tasks, each with at
@@ -37,7 +37,6 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T_
-from pyspark.sql.window import Window
 
 from .common import Stored, map_batches
 
@@ -45,7 +44,8 @@ K = 64
 T = 32
 HOT_VALUES = 1 << 16  # entries of the broadcast table of frequent values (an order hint only)
 SALT = 256
-LEADERS = 8
+K_WIDE = 512
+BUCKET = 1.02
 PERCENT = 80
 
 _SKETCH = T_.StructType([
@@ -173,6 +173,84 @@ def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.where(F.when(u < K, x * 100 >= u * PERCENT).otherwise(x >= T)).select("a", "b")
 
 
+def _needed(n1, n2):
+    """Kept values that two linked sets of sizes n1, n2 have in common at
+    least: exact for sets kept whole, else six standard deviations below the mean."""
+    whole = F.ceil((n1 + n2) * PERCENT / (100.0 + PERCENT))
+    share = whole / F.greatest(n1, n2)
+    return F.when(F.greatest(n1, n2) <= K_WIDE, whole.cast("double")).otherwise(
+        F.floor(K_WIDE * share - 6 * F.sqrt(K_WIDE * share * (1 - F.least(share, F.lit(1.0))))))
+
+
+def _across(nodes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """(a, b): all pairs of ``nodes`` (cid, n, comp) in different components
+    that may be linked, by prefix filtering of wide sketches.
+
+    A node keeps its K_WIDE smallest values (all, if it has no more), in the
+    order of their frequency among the nodes, rarest first. Two linked sets of
+    sizes n1 >= n2 share a value that stands in both before position kept -
+    needed(n1, n2). A text that was edited in more than a fifth of its
+    shingles has only values of its own there and meets nobody, so a cloud of
+    many different edits of one text gives few pairs. The larger set probes
+    buckets of partner sizes; in each list the members of its largest
+    component do not probe each other."""
+    def explode(batches: Iterator):
+        import numpy as np
+        import pyarrow as pa
+        hashes = shingle_hasher(width)
+        for b in batches:
+            cids = b.column(0).to_numpy(zero_copy_only=False)
+            kept = [hashes(t)[:K_WIDE] for t in b.column(1).to_pylist()]
+            if kept:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(kept)), pa.array(np.repeat(cids, [len(k) for k in kept]))], names=["value", "cid"])
+
+    wide = Stored(texts.join(nodes.select("cid"), "cid", "left_semi").select("cid", "text")
+                  .mapInArrow(explode, "value long, cid long"), "wide")
+    often = Stored(wide.df.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "frequencies")
+    ranked = (wide.df.join(often.df, "value").groupBy("cid")
+              .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("shared")))  # at most K_WIDE values
+    kept = F.least(F.col("n"), F.lit(K_WIDE))
+    least = F.when(F.col("n") <= K_WIDE, F.ceil(F.col("n") * PERCENT / 100.0).cast("double")).otherwise(
+        F.lit(float(int(K_WIDE * 0.8 - 6 * (K_WIDE * 0.16) ** 0.5))))
+    least = F.when(F.col("n") * 100 > K_WIDE * PERCENT, F.least(least, F.lit(float(int(K_WIDE * 0.8 - 6 * (K_WIDE * 0.16) ** 0.5)))))\
+        .otherwise(least)
+    # the rarest values are those that no other node has: shared ones follow them
+    room = (kept - least - (kept - F.size("shared")) + 1).cast("int")
+    front = (ranked.join(nodes, "cid").withColumn("kept", kept).where(room > 0)
+             .select("cid", "n", "comp", "kept", F.posexplode(F.slice("shared", 1, F.greatest(room, F.lit(1)))), F.size("shared").alias("s"))
+             .select("cid", "n", "comp", "kept", F.col("col.value").alias("value"),
+                     (F.col("kept") - F.col("s") + F.col("pos")).alias("pos")))
+    front = Stored(front, "prefixes").df
+    wide.drop()
+    often.drop()
+    major = (front.groupBy("value", "comp").agg(F.count("*").alias("c")).groupBy("value")
+             .agg(F.max(F.struct("c", "comp"))["comp"].alias("major"), F.count("*").alias("comps"))
+             .where("comps > 1").select("value", "major"))
+    front = Stored(front.join(Stored(major, "majors").df, "value"), "mixed-prefixes").df
+
+    left_of = F.col("kept") - F.col("pos")
+    bucket = lambda n: F.floor(F.log(n.cast("double")) / F.log(F.lit(BUCKET))).cast("int")
+    n, is_major = F.col("n"), F.col("comp") == F.col("major")
+    index_need = F.when(n * 100 <= K_WIDE * PERCENT, _needed(n, n)).otherwise(F.lit(0.0))
+    index = front.where(left_of >= index_need).select(
+        "value", bucket(n).alias("bucket"), is_major.alias("side"), F.col("cid").alias("y"), F.col("comp").alias("ycomp"),
+        n.alias("yn"), left_of.alias("yleft"))
+    # partner sizes from 0.8 n up to the largest that leaves this position in the prefix
+    sizes = F.filter(F.sequence(bucket(F.greatest(F.ceil(n * PERCENT / 100.0), F.lit(1))), bucket(n)),
+                     lambda b: _needed(n.cast("double"), F.greatest(F.pow(F.lit(BUCKET), b), n * PERCENT / 100.0)) <= left_of + 1)
+    probe = (front.withColumn("bucket", F.explode(sizes))
+             .withColumn("side", F.explode(F.when(is_major, F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))))
+             .select("value", "bucket", "side", F.col("cid").alias("x"), F.col("comp").alias("xcomp"), n.alias("xn"),
+                     left_of.alias("xleft")))
+    probe, index = Stored(probe, "probes").df, Stored(index, "index").df
+    need = _needed(F.col("xn"), F.col("yn"))
+    pairs = probe.join(index, ["value", "bucket", "side"]).where(
+        (F.col("xcomp") != F.col("ycomp")) & (F.col("xn") >= F.col("yn")) & _sizes_fit(F.col("xn"), F.col("yn"))
+        & (F.col("xleft") >= need) & (F.col("yleft") >= need))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """Of the pairs (a: leader, b: member) those with Jaccard >= 0.8 on the
     whole sets. The leader's text goes to ceil(partners / SALT) tasks."""
@@ -261,36 +339,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     comps = connected(links)
     tried = Stored(proposals, "tried").df
 
-    rest, leaders = Stored(active.df.where("cid <> lead").select("value", "cid", "n"), "rest"), LEADERS
-    while True:
-        state = rest.df.join(comps.select(F.col("node").alias("cid"), "comp"), "cid", "left").withColumn(
-            "comp", F.coalesce("comp", "cid"))
-        state = Stored(state, "rest-comps")
-        rest.drop()
-        mixed = state.df.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-        mixed = Stored(mixed.select("value"), "mixed").df
-        open_ = Stored(state.df.join(mixed, "value"), "open")
-        state.drop()
-        if not open_.df.limit(1).count():
-            break
-        weight = open_.df.groupBy("value", "comp").agg(F.count("*").alias("w"))
-        ranked = open_.df.join(Stored(weight, "weights").df, ["value", "comp"])
-        rank = F.row_number().over(Window.partitionBy("value").orderBy("w", F.xxhash64("cid"), "cid"))
-        ranked = Stored(ranked.withColumn("rank", rank), "ranked").df
-        heads = ranked.where(F.col("rank") <= leaders).select(
-            "value", F.col("cid").alias("a"), F.col("n").alias("an"), F.col("comp").alias("acomp"), F.col("rank").alias("arank"))
-        cross = (ranked.join(heads, "value")
-                 .where((F.col("rank") > F.col("arank")) & (F.col("comp") != F.col("acomp")) & _sizes_fit(F.col("n"), F.col("an")))
-                 .select(F.least("a", "cid").alias("a"), F.greatest("a", "cid").alias("b")).distinct()
-                 .join(tried, ["a", "b"], "left_anti"))
-        cross = Stored(cross, "cross").df
-        more = Stored(_verified(_estimated(cross, classes), texts, width), "more-links").df
-        if more.limit(1).count():
-            links = links.unionByName(more)
-            comps = connected(links)
-        tried = tried.unionByName(cross)
-        rest, leaders = Stored(ranked.where(F.col("rank") > leaders).select("value", "cid", "n"), "rest"), leaders * 8
-        open_.drop()
+    rest = active.df.where("cid <> lead").select("value", "cid", "n").join(
+        comps.select(F.col("node").alias("cid"), "comp"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    rest = Stored(rest, "rest").df
+    mixed = rest.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("value")
+    open_ = Stored(rest.join(Stored(mixed, "mixed").df, "value").select("cid", "n", "comp").distinct(), "open").df
+    if open_.limit(1).count():
+        cross = Stored(_across(open_, texts, width).join(tried, ["a", "b"], "left_anti"), "cross").df
+        more = Stored(_verified(cross, texts, width), "more-links").df
+        links = Stored(links.unionByName(more), "all-links").df
+        comps = connected(links)
 
     found = classes.select("cid", "fp", "rep").join(comps.select(F.col("node").alias("cid"), "comp"), "cid", "left")
     found = Stored(found.withColumn("comp", F.coalesce("comp", "cid")), "found").df
