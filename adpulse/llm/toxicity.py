@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 from . import charlm
 from .common import map_batches, stored
 
-MAX_TRAIN = 200_000
+MAX_TRAIN = 40_000
 TOP = 4
 MIN_EVIDENCE = 0.7
 MIN_SEEN = 4
@@ -59,10 +59,12 @@ AS_IS = 6.0  # a sign inside a word that stands for itself
 DROP_REPEAT, DROP_SEPARATOR, KEEP_SEPARATOR = 0.5, 0.5, 3.0
 
 _SIGNS = "0-9@$!|+€*"
-_LEET = re.compile(rf"[A-Za-z][{_SIGNS}]{{1,3}}[A-Za-z]|(?<!\S)[0-9@$!|+€][A-Za-z]{{2}}")
+_LEET = re.compile(rf"[{_SIGNS}]{{1,3}}(?=[A-Za-z])")
 _REPEAT = re.compile(r"([A-Za-z])\1\1")
 _SPACED = re.compile(rf"(?<!\S)[A-Za-z{_SIGNS}](?:([ .\-_])[A-Za-z{_SIGNS}])(?:\1[A-Za-z{_SIGNS}]){{2,}}(?![A-Za-z0-9])")
-_WORD = re.compile(r"[^\W\d_]+")
+_RUN = re.compile(rf"[ .\-_][A-Za-z{_SIGNS}][ .\-_][A-Za-z{_SIGNS}][ .\-_]")  # inside every spaced word
+_LETTERS = bytes(i if i >= 0x80 or chr(i).isalpha() else 0x20 for i in range(256))
+_WIDE_MARKS = "“”‘’«»…—–¿¡"
 _EDGE = ".,;:?\"'()[]{}<>#%&~`^=/\\"
 LONGEST = 32  # a longer unbroken token is no disguised word: it is read as it stands
 
@@ -122,40 +124,56 @@ class Decoder:
         return min((cost + self._cost(c, 0), text) for c, (cost, text) in beam.items())[1]
 
 
+def words_of(text: str) -> set[str]:
+    """Distinct lower-cased runs of letters."""
+    text = text.lower()
+    for mark in _WIDE_MARKS:
+        if mark in text:
+            text = text.replace(mark, " ")
+    return set(text.encode("utf-8", "surrogatepass").translate(_LETTERS).decode("utf-8", "surrogatepass").split())
+
+
+def _disguised_at(text: str) -> Iterator[int]:
+    """Places of signs inside or before a word's letters, and of repeats."""
+    for m in _LEET.finditer(text):
+        a = m.start()
+        before = text[a - 1:a]
+        if before.isalpha() and before.isascii() or (not before or before.isspace()) and text[m.end() + 1:m.end() + 2].isalpha():
+            yield a
+    for m in _REPEAT.finditer(text):
+        yield m.start()
+
+
 def disguised(text: str) -> dict[str, None]:
     """The disguised tokens of a text, each once."""
     out: dict[str, None] = {}
     n = len(text)
-    for rx in (_LEET, _REPEAT):
-        end = 0
-        for m in rx.finditer(text):
-            if m.start() < end:
-                continue
-            a, b = m.start(), m.end()
-            while a > 0 and not text[a - 1].isspace() and b - a <= LONGEST:
-                a -= 1
-            while b < n and not text[b].isspace() and b - a <= LONGEST:
-                b += 1
-            end = b
-            token = text[a:b].strip(_EDGE).rstrip("!|+*$")
-            if 3 <= len(token) <= LONGEST and "@" not in token[1:-1].replace("@", "", 1) and sum(
-                    c.isdigit() for c in token) * 3 <= 2 * len(token):
-                out[token] = None
-    for m in _SPACED.finditer(text):
-        if m.end() - m.start() <= 2 * LONGEST:
-            out[m[0]] = None
+    for at in _disguised_at(text):
+        a = b = at
+        while a > 0 and not text[a - 1].isspace() and b - a <= LONGEST:
+            a -= 1
+        while b < n and not text[b].isspace() and b - a <= LONGEST:
+            b += 1
+        token = text[a:b].strip(_EDGE).rstrip("!|+*$")
+        if (3 <= len(token) <= LONGEST and "@" not in token[1:-1].replace("@", "", 1)
+                and sum(c.isdigit() for c in token) * 3 <= 2 * len(token) and any(c.isalpha() for c in token)):
+            out[token] = None
+    if _RUN.search(text):
+        for m in _SPACED.finditer(text):
+            if m.end() - m.start() <= 2 * LONGEST:
+                out[m[0]] = None
     return out
 
 
 def restored_words(text: str | None, decoder: Decoder) -> tuple[set[str], int]:
     """Distinct words of the restored text and the number of words restored."""
     text = text or ""
-    words, n = set(_WORD.findall(text.lower())), 0
+    words, n = words_of(text), 0
     for token in disguised(text):
         plain = decoder.restore(token)
         if plain != token.lower():
             n += 1
-            words.update(_WORD.findall(plain))
+            words |= words_of(plain)
     return words, n
 
 
@@ -213,18 +231,19 @@ def _weights(docs: DataFrame, lm) -> tuple[dict[str, float], int, int]:
     return {r["f"]: r["w"] for r in kept.toLocalIterator()}, neg, pos
 
 
-def evidence_of(words: set[str], weights: dict[str, float], cache: dict[str, float]) -> float:
-    found = []
-    for w in words:
-        v = cache.get(w)
-        if v is None:
-            if len(cache) > 500_000:
-                cache.clear()
-            v = cache[w] = max((weights.get(f, 0.0) for f in features_of(w)), default=0.0)
-        if v:
-            found.append(v)
-    found.sort(reverse=True)
-    return sum(found[:TOP])
+class Evidence:
+    """Evidence of a set of words: looks up only words that begin like a feature."""
+
+    def __init__(self, weights: dict[str, float]):
+        self.weights = weights
+        names = [f[1:] if f[0] == "=" else f[:-1] for f in weights]
+        self.heads = frozenset(n[:k] for n in names for k in (1, 2, 3) if k == 3 or len(n) == k)
+
+    def __call__(self, words: set[str]) -> float:
+        heads, weights = self.heads, self.weights
+        near = [w for w in words if w[:3] in heads]
+        found = sorted((max(weights.get(f, 0.0) for f in features_of(w)) for w in near), reverse=True)
+        return sum(found[:TOP])
 
 
 def _curve(points: list[tuple[float, int, int]]) -> tuple[float, float]:
@@ -256,16 +275,16 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
         lab = lab.where(train(F.col("i")))
     lab = stored(lab.orderBy(F.xxhash64("i"), "i").limit(max_train), "labels")
     texts = df.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("text"))
-    docs = stored(texts.join(lab, "i").select("text", "toxic"), "training")
+    # at most max_train ids and labels: bounded, so the texts need no shuffle
+    docs = stored(texts.join(F.broadcast(lab), "i").select("text", "toxic"), "training")
     weights, neg, pos = _weights(docs, lm)
     scorer = {"lm": lm, "weights": spark.sparkContext.broadcast(weights), "curve": (0.0, -20.0)}
     if weights:
         flag = T.StructType([T.StructField("e", T.DoubleType())])
 
         def start():
-            decoder, cache = Decoder(lm.value), {}
-            w = scorer_weights.value
-            return lambda batch: ((round(evidence_of(restored_words(t, decoder)[0], w, cache), 2),) for t in batch)
+            decoder, evidence = Decoder(lm.value), Evidence(scorer_weights.value)
+            return lambda batch: ((round(evidence(restored_words(t, decoder)[0]), 2),) for t in batch)
 
         scorer_weights = scorer["weights"]
         hist = (map_batches(docs, ["text"], ["toxic"], flag, start).groupBy("e", "toxic").agg(F.count("*").alias("c")))
@@ -281,12 +300,12 @@ def score(df: DataFrame, scorer: dict, text_col: str = "text", keep: tuple[str,
     lm, weights, (slope, offset) = scorer["lm"], scorer["weights"], scorer["curve"]
 
     def start():
-        decoder, cache, w = Decoder(lm.value), {}, weights.value
+        decoder, evidence = Decoder(lm.value), Evidence(weights.value)
 
         def run(texts):
             for t in texts:
                 words, n = restored_words(t, decoder)
-                e = evidence_of(words, w, cache)
+                e = evidence(words)
                 yield 1 / (1 + math.exp(-max(-30.0, min(30.0, slope * e + offset)))), e, n
         return run
 
