@@ -7,7 +7,8 @@ linked if the Jaccard similarity of their whole sets is at least 0.8.
 1. *Classes.* Documents with equal sets (128-bit fingerprint) form one class;
    everything after works on classes, so a group of exact copies, however
    large, is one row.
-2. *Inverted lists.* Of two linked sets at least ``T`` of the K retained values
+2. *Inverted lists.* A class of which most small hashes occur in no other class has
+   no partner and is left out at once. Of two linked sets at least ``T`` of the K retained values
    coincide (chance of fewer at similarity 0.8: about 2e-8; sets of fewer than K values are exact). Hence, in any common
    order of the values, linked sketches share one of their first K - T + 1.
    The order puts frequent values last (an approximate frequency does: any
@@ -42,6 +43,7 @@ from .common import Stored, map_batches
 
 K = 64
 T = 32
+K_FIRST, T_FIRST = 32, 12  # of the K_FIRST smallest values T_FIRST coincide (chance of fewer: about 3e-8)
 HOT_VALUES = 1 << 16  # entries of the broadcast table of frequent values (an order hint only)
 SALT = 256
 K_WIDE = 512
@@ -59,7 +61,7 @@ def shingle_hasher(width: int):
     import numpy as np
     import xxhash
 
-    limit, digest = 300_000, xxhash.xxh64_intdigest
+    limit, digest = 150_000, xxhash.xxh64_intdigest
 
     class Words(dict):
         def __missing__(self, word):
@@ -108,6 +110,17 @@ def sketches(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame
     return map_batches(src, ["text"], ["id"], _SKETCH, start)
 
 
+def _with_company(classes: DataFrame) -> DataFrame:
+    """The classes that may have a partner: at least T_FIRST of their K_FIRST
+    smallest values (four fifths of a smaller set) occur in another class."""
+    probes = classes.select("cid", "n", F.explode(F.slice("sketch", 1, K_FIRST)).alias("value"))
+    common = probes.groupBy("value").agg(F.count("*").alias("c")).where("c > 1").select("value")
+    need = F.least(F.lit(T_FIRST), F.ceil(F.col("n") * PERCENT / 100.0))
+    alive = (probes.join(Stored(common, "common-values").df, "value").groupBy("cid").agg(F.count("*").alias("m"), F.first("n").alias("n"))
+             .where(F.col("m") >= need).select("cid"))
+    return Stored(classes.join(Stored(alive, "alive").df, "cid", "left_semi"), "candidates").df
+
+
 def _hot_values(classes: DataFrame):
     """Sorted frequent values and their approximate frequencies, at most
     HOT_VALUES of them: batches report the values they hold often."""
@@ -198,7 +211,7 @@ def _across(nodes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
         import numpy as np
         import pyarrow as pa
         hashes = shingle_hasher(width)
-        for b in batches:
+        for b in (batch.slice(i, 1000) for batch in batches for i in range(0, batch.num_rows, 1000)):
             cids = b.column(0).to_numpy(zero_copy_only=False)
             kept = [hashes(t)[:K_WIDE] for t in b.column(1).to_pylist()]
             if kept:
@@ -319,6 +332,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                .agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
     classes = Stored(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes").df
 
+    everyone, classes = classes, _with_company(classes)
+
     postings = Stored(_postings(classes), "postings")
     lists = Stored(postings.df.groupBy("value").agg(F.min("cid").alias("lead"), F.count("*").alias("c"))
                    .where("c > 1").select("value", "lead"), "lists")
@@ -350,7 +365,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         links = Stored(links.unionByName(more), "all-links").df
         comps = connected(links)
 
-    found = classes.select("cid", "fp", "rep").join(comps.select(F.col("node").alias("cid"), "comp"), "cid", "left")
+    found = everyone.select("cid", "fp", "rep").join(comps.select(F.col("node").alias("cid"), "comp"), "cid", "left")
     found = Stored(found.withColumn("comp", F.coalesce("comp", "cid")), "found").df
     roots = Stored(found.groupBy("comp").agg(F.min("rep").alias("component_id")), "roots").df
     named = Stored(found.join(roots, "comp").select("fp", "component_id"), "named").df
