@@ -28,11 +28,23 @@ _APP = "CAST(10 * (1 + user_id % 3) + user_id % 2 AS INT)"
 _CTRY = ("CASE WHEN user_id % 4 = 0 THEN 'US' WHEN user_id % 4 = 1 THEN 'CN' "
          "WHEN user_id % 4 = 2 THEN 'DE' ELSE 'BR' END")
 
+# one row in 41 arrives late: its partition slot is an hour after its event hour
+_SLOT = "(CASE WHEN event_id % 41 = 0 THEN ts + INTERVAL '1' HOUR ELSE ts END)"
+
+
+def _counter(name: str, k: int) -> str:
+    """A pre-aggregated counter that one untyped row in 3 carries, 0 included."""
+    return f"CAST(CASE WHEN event_type = 'error' AND event_id % 3 = 2 THEN (event_id + {k}) % 5 END AS INT) AS {name}"
+
+
+_COUNTERS = ", ".join(_counter(n, k) for k, n in enumerate(
+    "wfFil insReq insFil vdStart vdEnd calledShow readyTrue readyFalse bidReq bidRes bidWin".split(), 1))
+
 VIEWS: dict[str, str] = {}
 
 VIEWS["f_lr"] = f"""
 SELECT CASE WHEN event_id % 97 = 0 THEN NULL ELSE ${{MS}} END AS serverTs,
-       CAST(ts AS DATE) AS dt, CAST(hour(ts) AS INT) AS h,
+       CAST({_SLOT} AS DATE) AS dt, CAST(hour({_SLOT}) AS INT) AS h,
        CASE WHEN event_id % 53 = 0 THEN NULL ELSE {_UID} END AS uid,
        concat('d', CAST(event_id % 997 AS STRING)) AS did,
        concat('10.0.0.', CAST(event_id % 211 AS STRING)) AS ip,
@@ -56,12 +68,9 @@ SELECT CASE WHEN event_id % 97 = 0 THEN NULL ELSE ${{MS}} END AS serverTs,
        CAST(CASE WHEN event_type = 'error' AND event_id % 3 <> 1 THEN event_id % 7 END AS INT) AS impr,
        CAST(CASE WHEN event_type = 'error' AND event_id % 3 <> 1 THEN event_id % 2 END AS INT) AS click,
        CAST(CASE WHEN event_type = 'error' AND event_id % 3 = 2 THEN event_id % 5 END AS INT) AS wfReq,
-       CAST(NULL AS INT) AS wfFil, CAST(NULL AS INT) AS insReq, CAST(NULL AS INT) AS insFil,
-       CAST(NULL AS INT) AS vdStart, CAST(NULL AS INT) AS vdEnd, CAST(NULL AS INT) AS calledShow,
-       CAST(NULL AS INT) AS readyTrue, CAST(NULL AS INT) AS readyFalse, CAST(NULL AS INT) AS bidReq,
-       CAST(NULL AS INT) AS bidRes, CAST(NULL AS INT) AS bidWin,
+       {_COUNTERS},
        CAST(CASE WHEN event_type = 'purchase' AND event_id % 8 = 1 THEN value END AS DECIMAL(20,8)) AS bidResPrice,
-       CAST(NULL AS DECIMAL(20,8)) AS bidWinPrice,
+       CAST(CASE WHEN event_type = 'purchase' AND event_id % 8 IN (2, 3) THEN value / 2 END AS DECIMAL(20,8)) AS bidWinPrice,
        CAST(value AS DECIMAL(20,8)) AS price,
        CAST(CASE WHEN event_type = 'view' THEN value END AS DECIMAL(20,8)) AS revenue
 FROM ${{events}}
@@ -74,7 +83,8 @@ FROM ${{events}} WHERE event_type = 'purchase'
 """
 
 VIEWS["f_cptk"] = f"""
-SELECT CASE WHEN event_id % 97 = 0 THEN NULL ELSE ${{MS}} END AS ts_ms, CAST(ts AS DATE) AS dt, CAST(hour(ts) AS INT) AS h,
+SELECT CASE WHEN event_id % 97 = 0 THEN NULL ELSE ${{MS}} END AS ts_ms,
+       CAST({_SLOT} AS DATE) AS dt, CAST(hour({_SLOT}) AS INT) AS h,
        {_PUB} AS publisherId, {_APP} AS pubAppId,
        CAST(1 + event_id % 6 AS INT) AS pid, CASE WHEN event_id % 71 = 0 THEN NULL ELSE 'US' END AS cy,
        CASE WHEN event_id % 67 = 0 THEN NULL ELSE concat('app', CAST(event_id % 9 AS STRING)) END AS appId,
@@ -274,56 +284,14 @@ GROUP BY pub_app_id, CASE WHEN ad_type = 0 THEN 'US' WHEN ad_type = 1 THEN 'DE'
 _TOKEN = re.compile(r"\$\{(\w+)\}")
 
 
-_RAW: dict[tuple, str] = {}
-SPREAD_MIN_BYTES = 1 << 20  # dimension-sized files are not worth spreading
-
-
-def _size(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    return fs.getContentSummary(p).getLength()
-
-
-def raw_table(spark: SparkSession, sf_dir: str, table: str) -> str:
-    """Name of a session temp view over ``<sf_dir>/<table>.parquet``.
-
-    The driver's test tables are single-row-group files, so a scan is one
-    split and everything up to the first shuffle would run in one task. When
-    a table scans as fewer splits than the session's cores, its rows are
-    spread round-robin once here; inputs that already split (production
-    logs: many hourly files) are read as they are.
-    """
-    try:
-        session_key = spark._jsparkSession.sessionUUID()
-    except Exception:  # noqa: BLE001
-        session_key = id(spark._jsparkSession)
-    key = (session_key, sf_dir.rstrip("/"), table)
-    if key not in _RAW or not spark.catalog.tableExists(_RAW[key]):
-        path = f"{sf_dir.rstrip('/')}/{table}.parquet"
-        df = spark.read.parquet(path)
-        cores = spark.sparkContext.defaultParallelism
-        if _size(spark, path) > SPREAD_MIN_BYTES and df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-        name = f"_adp_{abs(hash(key[1:])) % 10 ** 12}_{table}"
-        df.createOrReplaceTempView(name)
-        _RAW[key] = name
-    return _RAW[key]
-
-
-def render(view_sql: str, dialect: str, sf_dir: str | None = None, spark: SparkSession | None = None) -> str:
+def render(view_sql: str, dialect: str, sf_dir: str | None = None) -> str:
     def sub(m):
         name = m.group(1)
         if name == "MS":
             return _MS[dialect]
         if name in VIEWS:  # a view built on another view
-            return f"({render(VIEWS[name], dialect, sf_dir, spark)})" if dialect == "spark" else name
+            return f"({render(VIEWS[name], dialect, sf_dir)})" if dialect == "spark" else name
         if dialect == "spark":
-            if spark is not None:
-                try:
-                    return raw_table(spark, sf_dir, name)
-                except Exception:  # noqa: BLE001 - e.g. no JVM-side context: read the file as is
-                    pass
             return f"parquet.`{sf_dir.rstrip('/')}/{name}.parquet`"
         return name
     return _TOKEN.sub(sub, view_sql)
@@ -335,13 +303,10 @@ _VIEW_CACHE: dict[tuple, DataFrame] = {}
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Spark DataFrame of fixture view ``name`` over the tables in ``sf_dir``
     (analysed once per session and reused: DataFrames are immutable)."""
-    try:
-        key = (spark._jsparkSession.sessionUUID(), sf_dir.rstrip("/"), name)
-    except Exception:  # noqa: BLE001
-        return spark.sql(render(VIEWS[name], "spark", sf_dir, spark))
+    key = (spark._jsparkSession.sessionUUID(), sf_dir.rstrip("/"), name)
     df = _VIEW_CACHE.get(key)
     if df is None:
-        df = _VIEW_CACHE[key] = spark.sql(render(VIEWS[name], "spark", sf_dir, spark))
+        df = _VIEW_CACHE[key] = spark.sql(render(VIEWS[name], "spark", sf_dir))
     return df
 
 

@@ -8,6 +8,8 @@ HALF_EVEN ties are decided exactly, all inside whole-stage codegen.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,9 +50,9 @@ def round_div(num, den, scale: int = 6, mode: str = "half_up", num_scale: int =
     if isinstance(num, str) and isinstance(den, str):
         return F.expr(round_div_sql(f"`{num}`", f"`{den}`", scale, mode, num_scale))
     num, den = _col(num), _col(den)
-    shift = F.lit(10 ** (scale + num_scale)).cast("decimal(38,0)")
+    shift = F.lit(Decimal(10 ** (scale + num_scale))).cast("decimal(38,0)")
     n = (num.cast(f"decimal(38,{num_scale})") * shift).cast("decimal(38,0)")
-    d = (den.cast("decimal(38,0)") * F.lit(10 ** num_scale).cast("decimal(38,0)")).cast("decimal(38,0)")
+    d = (den.cast("decimal(38,0)") * F.lit(Decimal(10 ** num_scale)).cast("decimal(38,0)")).cast("decimal(38,0)")
     r = F.pmod(n, d)
     q = F.call_function("div", n - r, d)
     twice = r * 2

@@ -28,19 +28,9 @@ def head_sum(values: Column, seed: int) -> Column:
 
 
 def mean_seed(total: Column, n: Column, seed: int) -> Column:
-    """HALF_UP 6-decimal mean of the first ``n <= seed`` values.
-
-    For ``seed <= 9`` and inputs with at most 8 decimals (the UAR prices),
-    Spark's decimal quotient (rounded at 18 decimals) followed by
-    ``round(.., 6)`` is exact: sum/n either terminates within 11 decimals
-    (n = 1, 2, 4, 5, 8) or repeats a block of 3s, 6s, a digit 0-8 or a
-    rotation of 142857 (n = 3, 6, 9, 7), never the run of 9s an 18th-decimal
-    carry would need to change the 7th decimal. Larger seeds use the
-    remainder division, which is exact for any input but much slower.
-    """
-    if seed <= 9:
-        return F.round(total / n.cast("decimal(10,0)"), 6).cast(ACC)
-    return round_div(total, n, 6, "half_up").cast(ACC)
+    """HALF_UP 6-decimal mean of the first ``n <= seed`` values, by integer
+    remainder division: exact for every seed and for all 18 decimals kept."""
+    return round_div(total, n, 6, "half_up", num_scale=18).cast(ACC)
 
 
 def exp_smoothing(values: Column, alpha: str = UAR_ALPHA, seed: int = 1, start: Column | None = None) -> Column:

@@ -83,18 +83,30 @@ FUNNEL_DIM_NAMES = ["day", "hour", "country", "platform", "publisher_id", "pub_a
                     "app_version", "sdk_version", "os_version"]
 
 
-def common_report(lr: DataFrame, begin=None, end=None) -> DataFrame:
+SLOT_NAMES = ["slot_day", "slot_hour"]
+
+
+def slot_columns() -> list[Column]:
+    """The partition slot a row was read from. A job that runs slot by slot
+    stores its result under these columns: the event hour of a late row lies
+    in a slot that an earlier run has written."""
+    return [F.date_format("dt", "yyyy-MM-dd").alias("slot_day"), F.col("h").cast("int").alias("slot_hour")]
+
+
+def common_report(lr: DataFrame, begin=None, end=None, by_slot: bool = False) -> DataFrame:
     """Hourly mediation funnel over the partition slots ``[begin, end)``.
 
     Rows are bucketed by their event hour (``serverTs``), sliced by partition
     hour, exactly as the reference (a late row lands in its event hour).
-    ``begin``/``end`` None = every slot (set-oriented backfill).
+    ``begin``/``end`` None = every slot (set-oriented backfill). ``by_slot``
+    keeps rows of different slots apart and adds ``SLOT_NAMES``, by which the
+    result is to be stored (``write_slot(..., SLOT_NAMES)``).
     Excludes rows without ``serverTs`` and ``type = 1`` (NULL type is also
     excluded: ``type != 1`` is NULL there).
     """
     src = lr.filter(slot_filter("dt", "h", begin, end)
                     & F.col("serverTs").isNotNull() & (F.col("type") != 1))
-    return src.groupBy(*funnel_dims()).agg(*funnel_metrics())
+    return src.groupBy(*(slot_columns() if by_slot else []), *funnel_dims()).agg(*funnel_metrics())
 
 
 def funnel_metrics() -> list[Column]:
@@ -108,8 +120,9 @@ CP_DIM_NAMES = ["day", "hour", "publisher_id", "pub_app_id", "placement_id", "co
                 "campaign_id", "creative_id"]
 
 
-def cp_report(cptk: DataFrame, begin=None, end=None, ts_col: str = "ts_ms") -> DataFrame:
-    """Hourly cross-promotion report: Σimpr, Σclick, Σcost by 9 dims."""
+def cp_report(cptk: DataFrame, begin=None, end=None, ts_col: str = "ts_ms", by_slot: bool = False) -> DataFrame:
+    """Hourly cross-promotion report: Σimpr, Σclick, Σcost by 9 dims
+    (``by_slot`` as in C1)."""
     src = cptk.filter(slot_filter("dt", "h", begin, end) & F.col(ts_col).isNotNull())
     dims = [
         epoch_ms_to_day(ts_col).alias("day"),
@@ -122,7 +135,7 @@ def cp_report(cptk: DataFrame, begin=None, end=None, ts_col: str = "ts_ms") -> D
         F.coalesce("cid", F.lit(0)).alias("campaign_id"),
         F.coalesce("crid", F.lit(0)).alias("creative_id"),
     ]
-    return src.groupBy(*dims).agg(
+    return src.groupBy(*(slot_columns() if by_slot else []), *dims).agg(
         F.sum(F.coalesce("impr", F.lit(0))).alias("impr"),
         F.sum(F.coalesce("click", F.lit(0))).alias("click"),
         F.sum(F.coalesce("cost", F.lit(0))).alias("win_price"),

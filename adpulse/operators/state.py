@@ -15,14 +15,18 @@ DEV_APP_TTL_HOURS = 1           # fixed value: dev apps expire one hour after ac
 BASE_CURRENCY_TO = "USD"
 
 
+def running_campaigns(campaigns: DataFrame) -> DataFrame:
+    """Campaigns with status 1, a cap above 0 and, where the source has the
+    column (the campaign table does, a cap-only source does not), run status 1."""
+    c = campaigns.filter((F.col("status") == 1) & (F.col("daily_cap") > 0))
+    return c.filter(F.col("run_status") == 1) if "run_status" in c.columns else c
+
+
 def cap_delta(campaigns: DataFrame, prev: DataFrame | None) -> DataFrame:
-    """H1: daily-cap change of every running campaign (status 1, run status 1
-    when present, cap > 0) against the previous snapshot of the same day:
+    """H1: daily-cap change of every running campaign (``running_campaigns``)
+    against the previous snapshot of the same day:
     new -> cap, changed -> cap - old, unchanged -> no row."""
-    c = campaigns.filter((F.col("status") == 1) & (F.col("daily_cap") > 0))
-    if "run_status" in c.columns:
-        c = c.filter(F.col("run_status") == 1)
-    c = c.select("id", "publisher_id", "daily_cap")
+    c = running_campaigns(campaigns).select("id", "publisher_id", "daily_cap")
     if prev is None:
         return c.select("id", "publisher_id", F.col("daily_cap").alias("change_cap"))
     p = prev.select("id", F.col("daily_cap").alias("_old"))

@@ -79,6 +79,48 @@ def q_slot_overwrite_roundtrip(spark, sf_dir):
     return doubles(back.select(*full.columns), "bid_resp_price", "bid_win_price")
 
 
+_SLOTS_ORACLE = with_views(["f_lr"], f"""
+SELECT strftime(dt, '%Y-%m-%d') AS slot_day, h AS slot_hour, {q_reports._C1_DIMS_SQL}, {q_reports._C1_METRICS_SQL}
+FROM f_lr WHERE serverTs IS NOT NULL AND type <> 1 GROUP BY ALL
+""")
+
+
+def _slots_of(first, n_hours: int) -> list[dict]:
+    hours = (first + _dt.timedelta(hours=i) for i in range(n_hours))
+    return [{"slot_day": f"{t:%Y-%m-%d}", "slot_hour": t.hour} for t in hours]
+
+
+@register("hourly_slot_jobs", _SLOTS_ORACLE)
+def q_hourly_slot_jobs(spark, sf_dir):
+    """B1 with C1 (W4): the hourly job in two runs of consecutive slots, then
+    a rerun of six hours of the second day. Late rows belong to the slot they came
+    in, so no run touches what another has counted."""
+    lr = Views(spark, sf_dir).f_lr
+    path = f"{scratch(spark)}/stat_lr"
+    first, last = _day_range(lr)
+    start = _dt.datetime.combine(first, _dt.time(0))
+    hours = 24 * ((last - first).days + 1)
+    for begin, n in ((0, 36), (36, hours - 36), (24, 6)):
+        t = start + _dt.timedelta(hours=begin)
+        out = funnel.common_report(lr, t, t + _dt.timedelta(hours=n), by_slot=True)
+        writers.write_slot(out, path, funnel.SLOT_NAMES, slots=_slots_of(t, n))
+    back = spark.read.parquet(path).withColumn("slot_day", F.date_format("slot_day", "yyyy-MM-dd"))
+    return doubles(back.select(*out.columns), "bid_resp_price", "bid_win_price")
+
+
+@register("publisher_users_store", QUERIES["publisher_users"].oracle)
+def q_publisher_users_store(spark, sf_dir):
+    """C8 into its bucketed store, every day written twice: the second write
+    replaces the first."""
+    lr = Views(spark, sf_dir).f_lr
+    marked = users.mark_publisher_users(lr)
+    root = scratch(spark)
+    name = f"dws_publisher_user_{root.rsplit('/', 1)[-1]}"
+    for _ in range(2):
+        writers.write_bucketed(marked, name, f"{root}/dws", users.USER_KEYS, 8, ["ymd"])
+    return spark.read.schema(schemas.PUBLISHER_USER).parquet(f"{root}/dws").select(*marked.columns)
+
+
 @register("per_app_csv_roundtrip", QUERIES["user_ad_revenue"].oracle)
 def q_per_app_csv_roundtrip(spark, sf_dir):
     """User ad revenue split into one gzip CSV directory per app."""
@@ -132,7 +174,7 @@ def q_publisher_user_history_scan(spark, sf_dir):
 
 @register("snapshot_publish", QUERIES["snap_network"].oracle)
 def q_snapshot_publish(spark, sf_dir):
-    """Publish a snapshot version and read it back through CURRENT."""
+    """Publish a snapshot version and read the newest one back."""
     snap = q_config.q_snap_network(spark, sf_dir)
     root = scratch(spark)
     writers.publish_snapshot(spark, snap, root, "om_adnetwork")

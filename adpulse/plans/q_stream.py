@@ -1,7 +1,7 @@
 """Registered streaming runs (S1-S3): the stream is fed files derived from
-the fixture tables, run to completion (``availableNow``) and its sink read
-back; with all data in order the result equals the batch operator, so the
-batch oracle applies."""
+the fixture tables, several files per run and one file per micro-batch, out of
+order and with late rows, run to completion (``availableNow``) and its sink
+read back; the result equals the batch operator, so the batch oracle applies."""
 
 from __future__ import annotations
 
@@ -16,51 +16,57 @@ from .q_state import DCENTERS
 from .registry import QUERIES, doubles, register
 from .. import schemas
 
+FILES_PER_BATCH = 8
+
 
 def _lr_file_stream(spark, sf_dir, root):
     lr = Views(spark, sf_dir).f_lr
     write_lr_json(spark, lr, root, hourly=False)
-    return spark.readStream.schema(schemas.LR).json(f"{root}/lr/*/*/*")
+    return spark.readStream.schema(schemas.LR).option("maxFilesPerTrigger", FILES_PER_BATCH).json(f"{root}/lr/*/*/*")
 
 
 @register("stream_common_report", QUERIES["common_report"].oracle)
 def q_stream_common_report(spark, sf_dir):
-    """Hourly funnel by event time with a 17-minute watermark."""
+    """Hourly funnel as partial sums of micro-batches of day files: a late
+    row comes with a later file than its hour's other rows."""
     root = scratch(spark)
     q = jobs.start_funnel_stream(_lr_file_stream(spark, sf_dir, root), f"{root}/stat_lr", f"{root}/_ckpt")
     q.awaitTermination()
-    out = spark.read.parquet(f"{root}/stat_lr").withColumn("hour", F.lpad(F.col("hour").cast("string"), 2, "0")) \
-                    .withColumn("day", F.col("day").cast("string"))
     cols = QUERIES["common_report"].build(spark, sf_dir).columns
-    return doubles(out.select(*cols), "bid_resp_price", "bid_win_price")
+    return doubles(jobs.read_funnel(spark, f"{root}/stat_lr").select(*cols), "bid_resp_price", "bid_win_price")
 
 
 @register("stream_publisher_users", QUERIES["publisher_users"].oracle)
 def q_stream_publisher_users(spark, sf_dir):
-    """First-seen user marking per micro-batch against the history table."""
+    """First-seen user marking per micro-batch against the history: the
+    files come newest day first, so every first day is corrected again."""
     root = scratch(spark)
     lr = Views(spark, sf_dir).f_lr
     write_lr_json(spark, lr, root, hourly=False)
-    stream = spark.readStream.schema(schemas.LR).json(f"{root}/lr/*/*/*") \
+    stream = spark.readStream.schema(schemas.LR).option("maxFilesPerTrigger", FILES_PER_BATCH) \
+        .option("latestFirst", "true").json(f"{root}/lr/*/*/*") \
         .withColumn("_p", F.col("_metadata.file_path")) \
         .withColumn("dt", F.to_date(F.regexp_extract("_p", r"/y=(\d{4})/m=(\d{2})/d=(\d{2})/", 0), "/'y='yyyy/'m='MM/'d='dd/"))
     q = jobs.start_user_marking_stream(stream.drop("_p"), f"{root}/dws_publisher_user", f"{root}/_ckpt")
     q.awaitTermination()
-    out = spark.read.parquet(f"{root}/dws_publisher_user").withColumn("ymd", F.col("ymd").cast("string"))
-    return out.select("publisher_id", "pub_app_id", "country", "uid", "is_new", "ymd")
+    return jobs.read_user_history(spark, f"{root}/dws_publisher_user") \
+        .select("publisher_id", "pub_app_id", "country", "uid", "is_new", "ymd")
 
 
 @register("stream_cap_delta", QUERIES["cap_messages"].oracle)
 def q_stream_cap_delta(spark, sf_dir):
-    """S3: cap change messages of a campaign batch against the day's snapshot
-    (seeded from the previous cap table)."""
+    """S3: cap change messages of several micro-batches of campaigns against
+    the day's snapshot (seeded from the previous cap table). Every campaign
+    comes twice; its second arrival changes nothing and sends nothing."""
     v = Views(spark, sf_dir)
     root = scratch(spark)
     day = _dt.date(1998, 6, 15)
-    v.f_campaign_prev.write.mode("overwrite").parquet(f"{root}/snapshot/day={day:%Y-%m-%d}")
-    v.f_campaign.select("id", "publisher_id", "status", "daily_cap").write.parquet(f"{root}/campaign_in")
+    v.f_campaign_prev.write.mode("overwrite").parquet(f"{root}/snapshot/day={day:%Y-%m-%d}/v=")
+    for _ in range(2):
+        v.f_campaign.select("id", "publisher_id", "status", "daily_cap").repartition(3, "id") \
+            .write.mode("append").parquet(f"{root}/campaign_in")
     stream = spark.readStream.schema("id bigint, publisher_id int, status int, daily_cap int") \
-        .parquet(f"{root}/campaign_in")
+        .option("maxFilesPerTrigger", 1).parquet(f"{root}/campaign_in")
     q = jobs.start_cap_stream(stream, f"{root}/snapshot", f"{root}/messages", f"{root}/_ckpt", DCENTERS, day)
     q.awaitTermination()
     return spark.read.parquet(f"{root}/messages").select("topic", "value")

@@ -1,28 +1,64 @@
-"""Sinks (B1-B9). Every write is idempotent per slot or version so a rerun
+"""Sinks (B1-B9). Every write is idempotent per slot or version, so a rerun
 (or a retried task after a lost executor) never duplicates rows."""
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_slot(df: DataFrame, path: str, keys: list[str], fmt: str = "parquet") -> None:
-    """B1: replace exactly the ``keys`` partitions present in ``df`` (dynamic
-    partition overwrite; other slots are untouched). The reference deletes
-    then loads in two statements; here each partition is swapped on commit."""
+def _fs(spark: SparkSession, path: str):
+    """(Hadoop file system, path object) of ``path``."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
+
+
+def write_slot(df: DataFrame, path: str, keys: list[str], fmt: str = "parquet", slots: list[dict] | None = None) -> None:
+    """B1: replace slots of a table partitioned by ``keys``.
+
+    Without ``slots`` the partitions present in ``df`` are replaced (dynamic
+    partition overwrite; other slots are untouched). A scheduled job passes the
+    ``slots`` it computed (one dict of key values each): rows of other slots
+    are refused, and a slot that has no rows any more is cleared, as the
+    reference's delete-then-load does. ``keys`` must be what the job is sliced
+    by (the partition slot), not the event time of its rows."""
+    if slots is not None:
+        named = df.sparkSession.createDataFrame([tuple(s[k] for k in keys) for s in slots],
+                                                ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys))
+        there = df.select(*keys).distinct()
+        if there.join(named, keys, "left_anti").limit(1).count():
+            raise ValueError(f"rows outside the slots to be written: {slots}")
+        emptied = [r.asDict() for r in named.join(there, keys, "left_anti").collect()]
     # rebalance (not repartition): rows are clustered by slot so each slot
     # gets few files, but AQE splits a hot slot over several tasks and
     # coalesces small ones, so one big day is never written by one task
     (df.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*keys).format(fmt).save(path))
+    if slots is not None:
+        for slot in emptied:
+            fs, p = _fs(df.sparkSession, "/".join([path.rstrip("/"), *(f"{k}={slot[k]}" for k in keys)]))
+            if fs.exists(p):
+                fs.delete(p, True)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
-               batchsize: int = 1000) -> None:
-    """B2: append into a JDBC report table in batches of 1 000 rows."""
+               batchsize: int = 1000, replace: str | None = None) -> None:
+    """B2: load a JDBC report table in batches of 1 000 rows. ``replace`` is
+    the SQL condition of the slot the rows belong to; its rows are deleted
+    first, so a rerun replaces them (without it the rows are appended)."""
+    if replace:
+        jvm = df.sparkSession.sparkContext._jvm
+        props = jvm.java.util.Properties()
+        for k, v in (properties or {}).items():
+            props.setProperty(k, str(v))
+        conn = jvm.java.sql.DriverManager.getConnection(url, props)
+        try:
+            conn.createStatement().executeUpdate(f"DELETE FROM {table} WHERE {replace}")
+        finally:
+            conn.close()
     w = df.write.format("jdbc").option("url", url).option("dbtable", table).option("batchsize", batchsize)
     for k, v in (properties or {}).items():
         w = w.option(k, v)
@@ -42,33 +78,37 @@ def write_per_app(df: DataFrame, path: str, app_col: str = "pub_app_id") -> None
 
 
 def publish_snapshot(spark: SparkSession, df: DataFrame, root: str, name: str) -> str:
-    """Write a snapshot to a fresh version directory, then atomically
-    point ``<root>/<name>/CURRENT`` at it (write a temp file, rename). A
-    reader that follows CURRENT never sees a half-written snapshot."""
-    version = uuid.uuid4().hex
-    target = f"{root.rstrip('/')}/{name}/v={version}"
+    """Write a snapshot as a new version directory. Spark commits it with
+    its success marker; readers take the newest version that has the marker,
+    so at any moment they see one whole version and never none."""
+    target = f"{root.rstrip('/')}/{name}/v={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     df.write.mode("error").option("compression", "gzip").json(target)
-    jvm = spark.sparkContext._jvm
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    cur = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}/CURRENT")
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}/CURRENT.{version}.tmp")
-    fs = cur.getFileSystem(conf)
-    out = fs.create(tmp, True)
-    out.write(bytearray(target.encode("utf-8")))
-    out.close()
-    if fs.exists(cur):
-        fs.delete(cur, False)
-    fs.rename(tmp, cur)
     return target
 
 
+def newest_version(spark: SparkSession, folder: str, below: str | None = None) -> str | None:
+    """The newest complete ``v=...`` directory of ``folder`` (names sort by
+    age), of those whose name is less than ``below``."""
+    fs, p = _fs(spark, folder)
+    if not fs.exists(p):
+        return None
+    jvm = spark.sparkContext._jvm
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    for v in sorted((n for n in names if n.startswith("v=") and (below is None or n < below)), reverse=True):
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{v}/_SUCCESS")):
+            return f"{folder.rstrip('/')}/{v}"
+    return None
+
+
 def read_snapshot(spark: SparkSession, root: str, name: str, schema=None) -> DataFrame:
-    """Read the version CURRENT points to."""
-    text = spark.read.text(f"{root.rstrip('/')}/{name}/CURRENT").first()[0].strip()
+    """Read the newest complete version."""
+    path = newest_version(spark, f"{root.rstrip('/')}/{name}")
+    if path is None:
+        raise FileNotFoundError(f"no published version of {name} under {root}")
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
-    return r.json(text)
+    return r.json(path)
 
 
 def replace_keys(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
@@ -78,9 +118,10 @@ def replace_keys(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> D
 
 
 def write_report_csv(df: DataFrame, path: str) -> None:
-    """A rendered custom report as one CSV with its title row. Reports
-    are per-publisher aggregates (small), so one output file is written."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """A rendered custom report as CSV with its title row: part files in
+    the frame's order, written by as many tasks as the report has partitions
+    (one file for a small report, which AQE has coalesced already)."""
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
 def cost_dump_lines(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -91,17 +132,25 @@ def cost_dump_lines(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, keys: list[str], buckets: int,
-                   partition_by: list[str] | None = None) -> None:
+                   partition_by: list[str]) -> None:
     """Store a large keyed table (e.g. the publisher-user history of C8) as
     an external catalog table bucketed and sorted by ``keys``. Joins on those
     keys then read it without a shuffle (only the small side is exchanged),
     which removes the largest shuffle of the daily new-user marking. Use at
     least as many buckets as the joining job's shuffle partitions: with fewer,
-    Spark re-shuffles the bucketed side to match the other side."""
-    w = df.write.mode("append").format("parquet").option("path", path).bucketBy(buckets, *keys).sortBy(*keys)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.saveAsTable(table)
+    Spark re-shuffles the bucketed side to match the other side.
+
+    The ``partition_by`` values present in ``df`` are replaced, so a rerun of
+    a day leaves one copy. Rows are dealt to their buckets first: a partition
+    has one file per bucket, however many tasks wrote it."""
+    spark = df.sparkSession
+    out = df.repartition(buckets, *keys)
+    if not spark.catalog.tableExists(table):
+        (out.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, *keys).sortBy(*keys)
+         .partitionBy(*partition_by).saveAsTable(table))
+    else:
+        (out.select(*spark.table(table).columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .insertInto(table))
 
 
 def sync_costs(costs: DataFrame, path: str, day) -> None:

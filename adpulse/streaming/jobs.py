@@ -2,19 +2,21 @@
 
 The reference runs these as batch jobs on a timer. Here:
 
-* S1 - the funnel (C1) as an event-time tumbling-hour aggregation with a
-  watermark of 17 minutes (the reference reads an hour 17 minutes after it
-  ends). ``update`` mode + ``foreachBatch`` upserts the changed groups into
-  the hour-slot table, so a slot's rows are complete once the watermark has
-  passed it, and state for older hours is dropped (bounded state).
+* S1 - the funnel (C1) as partial sums per micro-batch: every metric is a sum,
+  so the report of an event hour is the sum of its partial rows, whenever they
+  arrived. No row is dropped as late and no state store is kept; a batch's
+  rows are stored under its id, so a replay replaces them.
+  ``funnel_stream`` is the windowed aggregation with a watermark for consumers that want
+  an hour emitted once and accept that rows behind the watermark are left out.
 * S2 - new/old user marking (C8) per micro-batch with the persisted history
-  table as the state: no per-key state store grows without bound; the
-  history table is the key set (store it bucketed by the user keys).
-* S3 - campaign cap deltas (H1) per micro-batch against the day's snapshot,
-  which is then advanced (snapshot partition per day = daily reset).
-
-Every sink write is an idempotent partition overwrite, so a replayed batch
-(after a failure) rewrites the same slots instead of duplicating rows.
+  as the state, dealt to key buckets: a batch reads and rewrites the buckets of
+  its own users only. A key has one first day; when an earlier day arrives
+  late, the row that was marked new before is corrected.
+* S3 - campaign cap deltas (H1) per micro-batch against the day's snapshot, a
+  new version of which (old rows, replaced by id) each batch commits.
+
+Every sink write is idempotent: a batch replayed after a failure finds its own
+output replaced or its input state unchanged.
 """
 
 from __future__ import annotations
@@ -23,12 +25,14 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..operators import funnel, state, users
-from ..sinks.writers import write_slot
+from ..sinks.writers import newest_version, write_slot
 
 WATERMARK = "17 minutes"   # fixed value: an hour is complete 17 minutes after it ends
+USER_BUCKETS = 64          # buckets of the S2 history, a property of the stored table
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
@@ -41,7 +45,7 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
 # ---------------------------------------------------------------- S1
 
 def funnel_stream(lr_stream: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """C1 over a stream: rows bucketed into their event hour with a watermark."""
+    """C1 as a tumbling-hour aggregation; rows behind the watermark are dropped."""
     ev = lr_stream.filter(F.col("serverTs").isNotNull() & (F.col("type") != 1)) \
                   .withColumn("_event_time", F.timestamp_millis("serverTs"))
     return (ev.withWatermark("_event_time", watermark)
@@ -50,87 +54,86 @@ def funnel_stream(lr_stream: DataFrame, watermark: str = WATERMARK) -> DataFrame
             .drop("_w"))
 
 
-def upsert_slots(batch: DataFrame, path: str, keys: list[str], slot_keys: list[str]) -> None:
-    """Merge a micro-batch of updated groups into a slot-partitioned table:
-    the touched slots are rewritten with their old rows minus the updated
-    keys plus the new rows (dynamic partition overwrite of those slots only)."""
-    spark = batch.sparkSession
-    batch = batch.persist()
-    try:
-        if _path_exists(spark, path):
-            slots = batch.select(*slot_keys).distinct()
-            # read with the batch schema: inferred partition types would turn
-            # hour '05' into 5 and the key match below would miss it
-            old = spark.read.schema(batch.schema).parquet(path).join(slots, slot_keys, "left_semi")
-            kept = old.join(batch.select(*keys), [old[k].eqNullSafe(batch[k]) for k in keys], "left_anti")
-            merged = kept.select(*batch.columns).unionByName(batch)
-            # materialise to reliable storage before the old files are replaced
-            ckpt = merged.checkpoint(eager=True)
-            write_slot(ckpt, path, slot_keys)
-        else:
-            # first batch: nothing to merge with. A plain write commits
-            # atomically; a replay after it finds the table and upserts.
-            batch.hint("rebalance", *slot_keys).write.mode("append").partitionBy(*slot_keys).parquet(path)
-    finally:
-        batch.unpersist()
-
-
-def start_funnel_stream(lr_stream: DataFrame, sink_path: str, checkpoint: str, trigger: dict | None = None,
-                        watermark: str = WATERMARK):
-    """Run S1 into an hour-slot parquet table; returns the StreamingQuery."""
-    agg = funnel_stream(lr_stream, watermark)
+def start_funnel_stream(lr_stream: DataFrame, sink_path: str, checkpoint: str, trigger: dict | None = None):
+    """Run S1: partial report rows per micro-batch, partitioned by (day,
+    epoch); read the report with ``read_funnel``. Returns the StreamingQuery."""
+    def sink(batch, epoch):
+        part = batch.filter(F.col("serverTs").isNotNull() & (F.col("type") != 1)) \
+                    .groupBy(*funnel.funnel_dims()).agg(*funnel.funnel_metrics())
+        write_slot(part.withColumn("epoch", F.lit(epoch).cast("long")), sink_path, ["day", "epoch"])
 
-    def sink(batch, _epoch):
-        upsert_slots(batch, sink_path, funnel.FUNNEL_DIM_NAMES, ["day", "hour"])
+    w = lr_stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
 
-    w = agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(sink)
-    w = w.trigger(**(trigger or {"availableNow": True}))
-    return w.start()
+
+def read_funnel(spark: SparkSession, sink_path: str) -> DataFrame:
+    """The C1 report of everything S1 has read so far."""
+    rows = spark.read.parquet(sink_path).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+    return rows.groupBy(*funnel.FUNNEL_DIM_NAMES).agg(*[F.sum(m).alias(m) for m in funnel.FUNNEL_METRIC_ORDER])
 
 
 # ---------------------------------------------------------------- S2
 
 def start_user_marking_stream(lr_stream: DataFrame, history_path: str, checkpoint: str,
-                              trigger: dict | None = None):
-    """Run S2: each micro-batch is marked against the history table and
-    appended to it (partitioned by ymd). (key, day) pairs already in the
-    history are skipped, so a replayed batch adds nothing twice; a key is new
-    only if the history has no earlier new-row for it."""
+                              trigger: dict | None = None, buckets: int = USER_BUCKETS):
+    """Run S2 into a history partitioned by key bucket; read it with
+    ``read_user_history``. The merged buckets are checkpointed before their
+    files are replaced; a replayed batch merges to the same rows."""
     def sink(batch, _epoch):
         spark = batch.sparkSession
+        bucket = F.pmod(F.hash(*users.USER_KEYS), F.lit(buckets)).alias("bucket")
+        rows = users.mark_publisher_users(batch).select(*users.USER_KEYS, "ymd", bucket)
+        rows = rows.checkpoint(eager=True)
         if _path_exists(spark, history_path):
-            hist = spark.read.schema(schemas.PUBLISHER_USER).parquet(history_path)
-        else:
-            hist = None
-        marked = users.mark_publisher_users(batch)
-        if hist is not None:
-            known = hist.filter(F.col("is_new") == 1).select(*users.USER_KEYS, F.col("ymd").alias("_first"))
-            marked = (marked.join(hist.select(*users.USER_KEYS, "ymd"), [*users.USER_KEYS, "ymd"], "left_anti")
-                      .join(known, users.USER_KEYS, "left")
-                      .withColumn("is_new", F.when(F.col("_first").isNotNull() & (F.col("_first") <= F.col("ymd")), 0)
-                                  .otherwise(F.col("is_new")))
-                      .drop("_first"))
-        (marked.write.mode("append").partitionBy("ymd").parquet(history_path))
+            touched = [r["bucket"] for r in rows.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
+            old = _history(spark, history_path).filter(F.col("bucket").isin(touched))
+            rows = old.select(*rows.columns).unionByName(rows).distinct()
+        first = rows.groupBy("bucket", *users.USER_KEYS).agg(F.min("ymd").alias("_first"))
+        marked = (rows.join(first, ["bucket", *users.USER_KEYS])
+                  .select(*users.USER_KEYS, F.when(F.col("ymd") == F.col("_first"), 1).otherwise(0).alias("is_new"),
+                          "ymd", "bucket"))
+        write_slot(marked.checkpoint(eager=True), history_path, ["bucket"])
 
     w = lr_stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def _history(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(T.StructType([*schemas.PUBLISHER_USER.fields, T.StructField("bucket", T.IntegerType())])) \
+        .parquet(path)
+
+
+def read_user_history(spark: SparkSession, path: str) -> DataFrame:
+    """The marked users of everything S2 has read so far."""
+    return _history(spark, path).drop("bucket")
+
+
 # ---------------------------------------------------------------- S3
 
 def start_cap_stream(campaign_stream: DataFrame, snapshot_path: str, messages_path: str, checkpoint: str,
                      dcenters: list[int], day: _dt.date, trigger: dict | None = None):
-    """Run S3: every batch of campaign rows is diffed against the day's cap
-    snapshot, the change messages are appended, the snapshot is replaced."""
+    """Run S3: every batch of campaign rows is diffed against the newest
+    version of the day's cap snapshot that is older than the batch; the change
+    messages are stored under the batch id, and the snapshot with the batch's
+    campaigns replaced by id becomes version ``epoch``. A campaign that no
+    longer runs leaves the snapshot, so its next start is new again. Of
+    several rows of a campaign in one batch the one with the largest cap
+    counts. A seed of the day is a version named ``v=``."""
     def sink(batch, epoch):
         spark = batch.sparkSession
         part = f"{snapshot_path.rstrip('/')}/day={day:%Y-%m-%d}"
-        prev = spark.read.parquet(part) if _path_exists(spark, part) else None
-        delta = state.cap_delta(batch, prev)
+        version = f"v={epoch:012d}"
+        found = newest_version(spark, part, below=version)
+        prev = spark.read.parquet(found).select("id", "daily_cap") if found else None
+        order = F.struct(F.col("daily_cap"), *[F.col(c) for c in batch.columns if c not in ("id", "daily_cap")])
+        rows = batch.groupBy("id").agg(F.max(order).alias("_r")).select("id", "_r.*")
+        delta = state.cap_delta(rows, prev)
         msgs = state.cap_messages(delta, dcenters).withColumn("epoch", F.lit(epoch))
         write_slot(msgs, messages_path, ["epoch"])
-        snap = batch.filter((F.col("status") == 1) & (F.col("daily_cap") > 0)).select("id", "daily_cap")
-        snap.write.mode("overwrite").parquet(part)
+        snap = state.running_campaigns(rows).select("id", "daily_cap")
+        if prev is not None:
+            snap = prev.join(rows.select("id"), "id", "left_anti").unionByName(snap)
+        snap.write.mode("overwrite").parquet(f"{part}/{version}")
 
     w = campaign_stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
     return w.trigger(**(trigger or {"availableNow": True})).start()

@@ -11,11 +11,12 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry
+from adpulse.plans.registry import load_all
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = {name: q.build for name, q in load_all().items()}
+ORACLES = {name: q.oracle for name, q in load_all().items() if q.oracle}
 
 
 def _norm(v):
@@ -58,6 +59,10 @@ def test_query_matches_oracle(spark, duck, name):
     assert _canon(s_cols, s_rows) == _canon(d_cols, d_rows)
 
 
+def test_entry_has_every_query():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
 def test_entry_smoke(spark):
     out = entry.entry(spark)
     assert out.count() > 0
