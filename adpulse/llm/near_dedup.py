@@ -13,8 +13,8 @@ linked if the Jaccard similarity of their whole sets is at least 0.8.
    order of the values, linked sketches share one of their first K - T + 1.
    The order puts frequent values last (an approximate frequency does: any
    order is right), so a passage that many documents share opens no lists.
-3. *Stars instead of pairs.* In each list every member is proposed to the
-   list's smallest member only. Proposals are filtered by the union-sketch
+3. *Stars instead of pairs.* In each list every member is proposed to at most
+   ``LEADERS`` leaders only, members that share most of their values with others. Proposals are filtered by the union-sketch
    estimate and verified on the whole sets. Lists whose other members then
    lie in one component are finished. The members of the rest are compared across
    components by prefix filtering of wide sketches (``_across``), verified the
@@ -22,7 +22,8 @@ linked if the Jaccard similarity of their whole sets is at least 0.8.
    components are those of all pairs.
 4. *Components* by repeated minimum over neighbours and pointer jumping.
 
-A list's hot member is salted: its text is sent to several tasks, each with at
+Joins whose one side grows with the corpus are sort-merge joins at any size,
+which Spark splits where a key is hot. A list's hot member is salted: its text is sent to several tasks, each with at
 most ``SALT`` partners. No link, component or fingerprint reaches the driver.
 
 Defined results: a null or empty text, or one without words, has an empty set
@@ -47,6 +48,7 @@ K_FIRST, T_FIRST = 32, 12  # of the K_FIRST smallest values T_FIRST coincide (ch
 HOT_VALUES = 1 << 16  # entries of the broadcast table of frequent values (an order hint only)
 SALT = 256
 K_WIDE = 512
+LEADERS = 4
 BUCKET = 1.02
 PERCENT = 80
 
@@ -112,13 +114,18 @@ def sketches(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame
 
 def _with_company(classes: DataFrame) -> DataFrame:
     """The classes that may have a partner: at least T_FIRST of their K_FIRST
-    smallest values (four fifths of a smaller set) occur in another class."""
+    smallest values (four fifths of a smaller set) occur in another class. ``m``
+    tells how many of the K values do: a group's least edited texts have the most."""
     probes = classes.select("cid", "n", F.explode(F.slice("sketch", 1, K_FIRST)).alias("value"))
     common = probes.groupBy("value").agg(F.count("*").alias("c")).where("c > 1").select("value")
     need = F.least(F.lit(T_FIRST), F.ceil(F.col("n") * PERCENT / 100.0))
     alive = (probes.join(Stored(common, "common-values").df, "value").groupBy("cid").agg(F.count("*").alias("m"), F.first("n").alias("n"))
              .where(F.col("m") >= need).select("cid"))
-    return Stored(classes.join(Stored(alive, "alive").df, "cid", "left_semi"), "candidates").df
+    left = Stored(classes.join(Stored(alive, "alive").df.hint("merge"), "cid", "left_semi"), "candidates").df
+    values = left.select("cid", F.explode("sketch").alias("value"))
+    common = Stored(values.groupBy("value").agg(F.count("*").alias("c")).where("c > 1").select("value"), "shared-values").df
+    company = values.join(common, "value").groupBy("cid").agg(F.count("*").cast("int").alias("m"))
+    return Stored(left.join(company, "cid"), "company").df
 
 
 def _hot_values(classes: DataFrame):
@@ -150,13 +157,13 @@ def _postings(classes: DataFrame) -> DataFrame:
         import pyarrow as pa
         values, freq = hot.value
         for b in batches:
-            out_v, out_c, out_n = [], [], []
+            out_v, out_c, out_n, out_m = [], [], [], []
             flat = b.column(2).flatten().to_numpy(zero_copy_only=False)
             ends = np.cumsum([len(x) for x in b.column(2)])
             pos = np.minimum(np.searchsorted(values, flat), max(len(values) - 1, 0))
             heat = np.where(values[pos] == flat, freq[pos], 0) if len(values) else np.zeros(len(flat), dtype=np.int64)
             begin = 0
-            for cid, n, end in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), ends):
+            for cid, n, m, end in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(3).to_pylist(), ends):
                 v, h = flat[begin:end], heat[begin:end]
                 begin = end
                 need = min(T, -(-PERCENT * n // 100))
@@ -164,12 +171,13 @@ def _postings(classes: DataFrame) -> DataFrame:
                 out_v.append(first)
                 out_c += [cid] * len(first)
                 out_n += [n] * len(first)
+                out_m += [m] * len(first)
             if out_v:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(out_v)), pa.array(out_c, type=pa.int64()), pa.array(out_n, type=pa.int64())],
-                    names=["value", "cid", "n"])
+                    [pa.array(np.concatenate(out_v)), pa.array(out_c, type=pa.int64()), pa.array(out_n, type=pa.int64()),
+                     pa.array(out_m, type=pa.int32())], names=["value", "cid", "n", "m"])
 
-    return classes.select("cid", "n", "sketch").mapInArrow(run, "value long, cid long, n long")
+    return classes.select("cid", "n", "sketch", "m").mapInArrow(run, "value long, cid long, n long, m int")
 
 
 def _sizes_fit(a, b):
@@ -178,7 +186,7 @@ def _sizes_fit(a, b):
 
 def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) whose union sketch does not rule out a link."""
-    sk = classes.select("cid", "sketch")
+    sk = classes.select("cid", "sketch").hint("merge")
     both = (pairs.join(sk.select(F.col("cid").alias("a"), F.col("sketch").alias("sa")), "a")
             .join(sk.select(F.col("cid").alias("b"), F.col("sketch").alias("sb")), "b"))
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, K)
@@ -335,33 +343,36 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     everyone, classes = classes, _with_company(classes)
 
     postings = Stored(_postings(classes), "postings")
-    lists = Stored(postings.df.groupBy("value").agg(F.min("cid").alias("lead"), F.count("*").alias("c"))
-                   .where("c > 1").select("value", "lead"), "lists")
-    active = Stored(postings.df.join(lists.df, "value"), "active")
+    # up to LEADERS leaders of each list, the classes with the most company of as many parts of it
+    part = F.pmod(F.hash("cid"), F.lit(LEADERS))
+    lists = Stored(postings.df.groupBy("value", part.alias("part")).agg(F.max(F.struct("m", "cid")).alias("lead"), F.count("*").alias("c"))
+                   .groupBy("value").agg(F.collect_list("lead.cid").alias("leads"), F.sum("c").alias("c"))
+                   .where("c > 1").select("value", "leads"), "lists")
+    active = Stored(postings.df.join(lists.df, "value").drop("m"), "active")
     postings.drop()
     lists.drop()
 
     # texts of the classes that share a list with another one
     wanted = Stored(active.df.select("cid").distinct().join(classes.select("cid", "rep", "fp"), "cid"), "wanted").df
     src = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    again = src.join(wanted.select(F.col("rep").alias("id"), "cid", "fp"), "id")
+    again = src.join(wanted.select(F.col("rep").alias("id"), "cid", "fp").hint("merge"), "id")
     texts = Stored(_same_set(again, width), "texts").df
 
     sizes = classes.select(F.col("cid").alias("lead"), F.col("n").alias("lead_n"))
-    proposals = (active.df.where("cid <> lead").select("lead", "cid", "n").distinct().join(sizes, "lead")
+    proposals = (active.df.select(F.explode("leads").alias("lead"), "cid", "n").where("cid <> lead").distinct().join(sizes, "lead")
                  .where(_sizes_fit(F.col("n"), F.col("lead_n"))).select(F.col("lead").alias("a"), F.col("cid").alias("b")))
     links = Stored(_verified(_estimated(proposals, classes), texts, width), "links").df
     comps = connected(links)
     tried = Stored(proposals, "tried").df
 
-    rest = active.df.where("cid <> lead").select("value", "cid", "n").join(
+    rest = active.df.where(~F.array_contains("leads", F.col("cid"))).select("value", "cid", "n").join(
         comps.select(F.col("node").alias("cid"), "comp"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     rest = Stored(rest, "rest").df
     mixed = rest.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("value")
     open_ = Stored(rest.join(Stored(mixed, "mixed").df, "value").select("cid", "n", "comp").distinct(), "open").df
     if open_.limit(1).count():
         cross = Stored(_across(open_, texts, width).join(tried, ["a", "b"], "left_anti"), "cross").df
-        more = Stored(_verified(cross, texts, width), "more-links").df
+        more = Stored(_verified(_estimated(cross, classes), texts, width), "more-links").df
         links = Stored(links.unionByName(more), "all-links").df
         comps = connected(links)
 
@@ -369,7 +380,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = Stored(found.withColumn("comp", F.coalesce("comp", "cid")), "found").df
     roots = Stored(found.groupBy("comp").agg(F.min("rep").alias("component_id")), "roots").df
     named = Stored(found.join(roots, "comp").select("fp", "component_id"), "named").df
-    return (docs.df.select("id", "n", F.col("fp")).join(named, "fp", "left")
+    return (docs.df.select("id", "n", F.col("fp")).join(named.hint("merge"), "fp", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")))
 
