@@ -40,6 +40,22 @@ def _counter(name: str, k: int) -> str:
 _COUNTERS = ", ".join(_counter(n, k) for k, n in enumerate(
     "wfFil insReq insFil vdStart vdEnd calledShow readyTrue readyFalse bidReq bidRes bidWin".split(), 1))
 
+
+
+def _columns(key: str, ints: str = "", texts: str = "", lists: str = "", lines: str = "") -> str:
+    """Further configuration columns, by a rule of the key: NULL in some rows
+    of each, empty texts, list pieces that are blank or need trimming."""
+    out = [f"CAST(CASE WHEN {key} % 7 = {k % 7} THEN NULL ELSE {key} % {5 + k} END AS INT) AS {n}"
+           for k, n in enumerate(ints.split())]
+    out += [f"CASE {key} % 5 WHEN {k % 5} THEN NULL WHEN {(k + 1) % 5} THEN '' ELSE concat('{n} ', CAST({key} % 9 AS STRING)) END AS {n}"
+            for k, n in enumerate(texts.split())]
+    out += [f"CASE WHEN {key} % 4 = {k % 4} THEN NULL ELSE concat('A{k}, b', CAST({key} % 3 AS STRING), ',,') END AS {n}"
+            for k, n in enumerate(lists.split())]
+    out += [f"CASE WHEN {key} % 4 = {k % 4} THEN NULL ELSE concat('M{k}, x', chr(10), ' n', CAST({key} % 3 AS STRING), chr(10)) END AS {n}"
+            for k, n in enumerate(lines.split())]
+    return ", ".join(out)
+
+
 VIEWS: dict[str, str] = {}
 
 VIEWS["f_lr"] = f"""
@@ -117,26 +133,41 @@ FROM ${lineitem} JOIN ${supplier} ON l_suppkey = s_suppkey JOIN ${nation} ON s_n
 VIEWS["f_adn"] = """
 SELECT CAST(s_suppkey AS INT) AS id, s_name AS name, concat('Adn', CAST(s_suppkey AS STRING)) AS class_name,
        CASE WHEN s_suppkey % 11 = 0 THEN 0 ELSE 1 END AS status,
-       CASE WHEN s_suppkey IN (0, 10, 16, 22) THEN NULL ELSE CAST(1 + (s_suppkey * 7) % 47 AS INT) END AS delay_hours
+       CASE WHEN s_suppkey IN (0, 10, 16, 22) THEN NULL ELSE CAST(1 + (s_suppkey * 7) % 47 AS INT) END AS delay_hours,
+       """ + _columns("s_suppkey", "type bid_type expired_time", "sdk_version bid_endpoint descn") + """
 FROM ${supplier}
 """
 
+VIEWS["f_publisher"] = """
+SELECT CAST(n_nationkey AS INT) AS id, CASE WHEN n_nationkey % 5 = 3 THEN 0 ELSE 1 END AS status,
+       CAST(CASE WHEN n_nationkey % 4 = 1 THEN NULL ELSE n_nationkey % 2 END AS INT) AS impr_callback_switch
+FROM ${nation}
+"""
+
 VIEWS["f_app"] = """
 SELECT CAST(s_suppkey AS INT) AS id, CAST(1 + s_nationkey % 5 AS INT) AS publisher_id, CAST(s_suppkey % 2 AS INT) AS plat,
        s_name AS app_name, CASE WHEN s_suppkey % 13 = 0 THEN 0 ELSE 1 END AS status,
        CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE '100,101,205' END AS sdk_event_ids,
-       CASE WHEN s_suppkey % 4 = 0 THEN NULL WHEN s_suppkey % 4 = 1 THEN '' ELSE 'US,DE' END AS uar_regions
+       CASE WHEN s_suppkey % 4 = 0 THEN NULL WHEN s_suppkey % 4 = 1 THEN '' ELSE 'US,DE' END AS uar_regions,
+       CASE WHEN s_suppkey % 3 = 0 THEN '{"US":[1.5,2],"FR":[3],"DE":[0.25]}' WHEN s_suppkey % 3 = 1 THEN ' ' ELSE NULL END AS uar_manual,
+       TIMESTAMP '2024-01-01 00:00:00' + INTERVAL '1' HOUR * CAST(s_suppkey % 1000 AS INT) AS create_time,
+       """ + _columns("s_suppkey", "", "app_key bundle_id app_id") + """
 FROM ${supplier}
 """
 
 VIEWS["f_placement"] = """
 SELECT CAST(p_partkey AS INT) AS id, CAST(p_partkey % 100 AS INT) AS pub_app_id, p_name AS name, CAST(p_size % 7 AS INT) AS ad_type,
-       CASE WHEN p_partkey % 17 = 0 THEN 0 ELSE 1 END AS status, CAST(p_partkey % 2 AS INT) AS floor_price_switch,
+       CASE WHEN p_partkey % 17 = 0 THEN 0 ELSE 1 END AS status, CAST(CASE WHEN p_partkey % 10 = 3 THEN NULL ELSE p_partkey % 2 END AS INT) AS floor_price_switch,
        CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE CAST(p_retailprice AS DECIMAL(8,3)) END AS floor_price,
        CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE concat(p_brand, ', ', p_type, ',,') END AS make_blacklist,
        CASE p_partkey % 5 WHEN 0 THEN '(,5.0); 6.1; [7.0, 8.0)' WHEN 1 THEN '[9,]; (10,11]' WHEN 2 THEN ' 4.4 ;; 5 '
                           WHEN 3 THEN '(,)' ELSE NULL END AS osv_exp,
-       CASE p_partkey % 3 WHEN 0 THEN '5:30' WHEN 1 THEN '' ELSE '8:300' END AS inventory_interval_step
+       CASE p_partkey % 4 WHEN 0 THEN '5:30' WHEN 1 THEN '' WHEN 2 THEN concat('5:30', chr(10), '9:90', chr(10), 'x', chr(10), '5:40')
+                          ELSE '8:300' END AS inventory_interval_step,
+       """ + _columns("p_partkey", "main_placement hb_status batch_size preload_timeout fan_out inventory_count inventory_interval"
+                      " reload_interval frequency_cap frequency_unit frequency_interval", "ic_url osv_max osv_min",
+                      "osv_blacklist osv_whitelist make_whitelist did_blacklist sdkv_blacklist",
+                      "brand_blacklist brand_whitelist model_blacklist model_whitelist") + """
 FROM ${part}
 """
 
@@ -144,7 +175,9 @@ VIEWS["f_instance"] = """
 SELECT CAST(p_partkey AS INT) AS id, CAST(p_partkey % 24 AS INT) AS adn_id, CAST(p_partkey % 100 AS INT) AS pub_app_id,
        CAST(p_partkey % 500 AS INT) AS placement_id, p_name AS name, CASE WHEN p_partkey % 19 = 0 THEN 0 ELSE 1 END AS status,
        CAST(p_partkey % 2 AS INT) AS hb_status, CAST(p_size AS INT) AS hour0, CAST(p_partkey % 4 AS INT) AS hour1,
-       0 AS hour2, 0 AS hour3, 0 AS hour4, 0 AS hour5, 0 AS hour6
+       0 AS hour2, 0 AS hour3, 0 AS hour4, 0 AS hour5, 0 AS hour6,
+       """ + _columns("p_partkey", "frequency_cap frequency_unit frequency_interval", "placement_key osv_max osv_min",
+                      "make_whitelist make_blacklist", "brand_whitelist brand_blacklist model_whitelist model_blacklist") + """
 FROM ${part}
 """
 
@@ -194,36 +227,63 @@ FROM ${nation}
 
 VIEWS["f_scene"] = """
 SELECT CAST(p_partkey AS INT) AS id, CAST(p_partkey % 500 AS INT) AS placement_id, p_name AS name, CAST(p_size AS INT) AS frequency_cap,
-       CASE WHEN p_partkey % 7 = 0 THEN 0 ELSE 1 END AS status FROM ${part}
+       CASE WHEN p_partkey % 7 = 0 THEN 0 ELSE 1 END AS status, """ + _columns("p_partkey", "frequency_unit is_default") + """
+FROM ${part}
 """
 
 # placement (instance) x country pairs that carry traffic: the distinct
 # (part, supplier nation) pairs of lineitem
-_PC = """
-SELECT DISTINCT CAST(l_partkey AS INT) AS {key}, n_name AS country,
-       CAST((l_partkey + n_nationkey) % 2 AS INT) AS floor_price_switch,
+_PC_BASE = """
+SELECT DISTINCT CAST(l_partkey * 100 + n_nationkey AS INT) AS id, CAST(l_partkey AS INT) AS {key}, n_name AS country,
+       CAST(CASE WHEN n_nationkey % 7 = 2 THEN NULL ELSE (l_partkey + n_nationkey) % 2 END AS INT) AS floor_price_switch,
        CASE WHEN n_nationkey % 5 = 0 THEN NULL ELSE CAST(n_nationkey * 0.25 AS DECIMAL(8,3)) END AS floor_price,
+       CASE WHEN n_nationkey % 4 = 0 THEN NULL ELSE CAST(n_nationkey * 0.5 AS DECIMAL(8,3)) END AS max_price,
        CAST(n_nationkey % 3 AS INT) AS hour0, CAST(l_partkey % 4 AS INT) AS hour1,
-       CAST(n_nationkey % 3 * 0.5 AS DECIMAL(8,3)) AS manual_ecpm
+       CASE WHEN n_nationkey % 6 = 1 THEN NULL ELSE CAST(n_nationkey % 3 * 0.5 AS DECIMAL(8,3)) END AS manual_ecpm
 FROM ${{lineitem}} JOIN ${{supplier}} ON l_suppkey = s_suppkey JOIN ${{nation}} ON s_nationkey = n_nationkey
 """
+# one pair in 11 has a second, later row with other values
+_PC = f"""
+SELECT * FROM ({_PC_BASE}) a
+UNION ALL
+SELECT id + 1000000000 AS id, {{key}}, country, 1 AS floor_price_switch, CAST(7.125 AS DECIMAL(8,3)) AS floor_price,
+       CAST(9.5 AS DECIMAL(8,3)) AS max_price, 5 AS hour0, 0 AS hour1, CAST(4.5 AS DECIMAL(8,3)) AS manual_ecpm
+FROM ({_PC_BASE}) b WHERE id % 11 = 0
+"""
 VIEWS["f_placement_country"] = _PC.format(key="placement_id")
 VIEWS["f_instance_country"] = _PC.format(key="instance_id")
 
 VIEWS["f_block_rule"] = """
 SELECT CAST(s_suppkey AS INT) AS id, CAST(s_suppkey % 40 AS INT) AS pub_app_id, CAST(s_suppkey % 24 AS INT) AS adn_id,
        CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE ' SamSung, HTC,,' END AS make_device_blacklist,
-       CASE WHEN s_suppkey % 9 = 0 THEN 0 ELSE 1 END AS status FROM ${supplier}
+       CASE WHEN s_suppkey % 9 = 0 THEN 0 ELSE 1 END AS status,
+       """ + _columns("s_suppkey", "", "sdk_version app_version osv_max osv_min", "", "brand_model_blacklist") + """
+FROM ${supplier}
 """
 
 VIEWS["f_rule"] = """
 SELECT CAST(c_custkey AS INT) AS id, CAST(c_custkey % 500 AS INT) AS placement_id, CAST(c_custkey % 2 AS INT) AS sort_type,
-       CAST(c_custkey % 3 AS INT) AS ab_test,
-       CASE WHEN c_custkey % 6 = 0 THEN '' ELSE 'US,DE,CN' END AS countries, CASE WHEN c_custkey % 8 = 0 THEN 0 ELSE 1 END AS status,
+       CAST(c_custkey % 3 AS INT) AS ab_test, CASE WHEN c_custkey % 8 = 0 THEN 0 ELSE 1 END AS status,
+       CAST(1 + c_custkey % 5 AS INT) AS publisher_id, CAST(c_custkey % 9 AS INT) AS pub_app_id,
+       CAST(c_custkey + 50 AS INT) AS segment_id,
+       """ + _columns("c_custkey", "auto_opt priority algorithm_id", "name") + """
+FROM ${customer}
+"""
+
+# the last rules' segment ids do not exist
+VIEWS["f_segment"] = """
+SELECT CAST(c_custkey AS INT) AS id,
+       CASE WHEN c_custkey % 6 = 0 THEN '' ELSE 'US,DE,CN' END AS countries,
        CASE c_custkey % 3 WHEN 0 THEN '(,5.0); 6.1; [7.0, 8.0)' WHEN 1 THEN '[9,]' ELSE NULL END AS osv_exp,
+       CASE c_custkey % 5 WHEN 0 THEN '[3.1,3.2]; 4.0' WHEN 1 THEN ' ; 2.9' ELSE NULL END AS sdkv_exp,
+       CASE c_custkey % 4 WHEN 0 THEN '(1.0,)' WHEN 1 THEN '1.5;1.6' ELSE NULL END AS appv_exp,
        CASE c_custkey % 4 WHEN 0 THEN '{"vip":{"type":0,"conditions":[{"operator":"in","value":"a,b"},{"operator":"=","value":""}]}}'
                           WHEN 1 THEN '{"lvl":{"type":1,"conditions":[{"operator":">=","value":"3"}]}}'
-                          WHEN 2 THEN '{"none":{"type":0}}' ELSE NULL END AS custom_tags
+                          WHEN 2 THEN '{"none":{"type":0}}' ELSE NULL END AS custom_tags,
+       CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(c_custkey % 10 * 0.25 AS DECIMAL(8,3)) END AS iap_min,
+       CASE WHEN c_custkey % 3 = 1 THEN NULL ELSE CAST(c_custkey % 20 * 0.5 AS DECIMAL(8,3)) END AS iap_max,
+       """ + _columns("c_custkey", "frequency con_type gender age_min age_max model_type channel_bow require_did", "", "",
+                      "brand_whitelist brand_blacklist model_whitelist model_blacklist interest channel") + """
 FROM ${customer}
 """
 

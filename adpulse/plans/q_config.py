@@ -60,12 +60,48 @@ def d_items(x: str) -> str:
     return f"array_to_string(list_filter({d_parts(x)}, lambda r: left(r, 1) NOT IN ('[', '(')), '|')"
 
 
+def d_ints(names: str, of: str = "") -> str:
+    return ", ".join(f"coalesce({of}{n}, 0) AS {n}" for n in names.split())
+
+
+def d_text(x: str) -> str:
+    return f"CASE WHEN trim(coalesce({x}, '')) <> '' THEN {x} ELSE '' END"
+
+
+def d_texts(names: str, of: str = "") -> str:
+    return ", ".join(f"{d_text(of + n)} AS {n}" for n in names.split())
+
+
+def d_lists(names: str, of: str = "", split: str = "[,\\r\\n]") -> str:
+    return ", ".join(f"array_to_string({d_list(of + n, split)}, '|') AS {n}" for n in names.split())
+
+
+def joined(names: str) -> list[Column]:
+    return [j(F.col(n)).alias(n) for n in names.split()]
+
+
+# the block rules of an app (or of an app's network) as one text, by id
+_VERSIONS = " || ':' || ".join(d_text(n) for n in "sdk_version app_version osv_max osv_min".split())
+
+
+def _block_rules_sql(split: str) -> str:
+    return (f"array_to_string(list(CAST(id AS VARCHAR) || ':' || {_VERSIONS} || ':' || array_to_string("
+            f"{d_list('make_device_blacklist', split=split, lower=True)}, '|') || ':' || array_to_string("
+            f"{d_list('brand_model_blacklist', split=chr(92) + 'n', lower=True)}, '|') ORDER BY id), '|') AS block_rules")
+
+
+def _block_rules_text() -> Column:
+    return j(F.transform("block_rules", lambda r: F.concat_ws(
+        ":", r["id"].cast("string"), r["sdk_version"], r["app_version"], r["osv_max"], r["osv_min"],
+        j(r["make_device_blacklist"]), j(r["brand_model_blacklist"])))).alias("block_rules")
+
+
 # ---------------------------------------------------------------- G20 / G21
 
-@register("range_exprs", with_views(["f_placement", "f_rule"], f"""
+@register("range_exprs", with_views(["f_placement", "f_segment"], f"""
 SELECT 'placement' AS src, id, {d_ranges('osv_exp')} AS ranges, {d_items('osv_exp')} AS items FROM f_placement
 UNION ALL
-SELECT 'rule' AS src, id, {d_ranges('osv_exp')} AS ranges, {d_items('osv_exp')} AS items FROM f_rule
+SELECT 'rule' AS src, id, {d_ranges('osv_exp')} AS ranges, {d_items('osv_exp')} AS items FROM f_segment
 """))
 def q_range_exprs(spark, sf_dir):
     v = Views(spark, sf_dir)
@@ -74,7 +110,7 @@ def q_range_exprs(spark, sf_dir):
         r = range_exp("osv_exp")
         return df.select(F.lit(src).alias("src"), "id", render_ranges(r["ranges"]).alias("ranges"),
                          j(r["items"]).alias("items"))
-    return parse(v.f_placement, "placement").unionByName(parse(v.f_rule, "rule"))
+    return parse(v.f_placement, "placement").unionByName(parse(v.f_segment, "rule"))
 
 
 @register("text_lists", with_views(["f_placement", "f_block_rule"], f"""
@@ -136,64 +172,62 @@ def _uar_auto(v):
     return m.groupBy(F.col("pub_app_id").alias("id")).agg(F.max_by("region_uar_json", "run_day").alias("uar_auto"))
 
 
+_EVENT_IDS_SQL = """CASE WHEN trim(coalesce(sdk_event_ids, '')) <> '' THEN array_to_string(list_transform(
+            string_split(sdk_event_ids, ','), lambda x: CAST(coalesce(TRY_CAST(x AS INTEGER), 0) AS VARCHAR)), '|')
+            ELSE '' END AS event_ids"""
+_APP_SQL = f"""a.id, a.publisher_id, a.plat, a.app_name, {d_texts("app_key bundle_id", "a.")},
+       CAST(epoch(a.create_time) AS INTEGER) AS create_time, coalesce(pu.impr_callback_switch, 0) AS impr_callback_switch,
+       {_EVENT_IDS_SQL}"""
+_APP_RULES_SQL = f"""
+, br AS (SELECT pub_app_id, {_block_rules_sql('[,' + chr(92) + 'n]')} FROM f_block_rule WHERE status = 1 GROUP BY pub_app_id)"""
+
+
 def _snap_app_oracle() -> str:
     from .q_forecast import forecast_cte
     vals = " || '|' || ".join(
-        f"CAST(CAST(CAST(f.{c} * 1000 AS FLOAT) AS DECIMAL(18,3)) AS VARCHAR)" for c in forecast.UAR_COLS)
-    return with_views(["f_stat", "f_uar", "f_app", "f_block_rule"], forecast_cte(1) + f"""
+        f"CAST(CAST(CAST(f.uar{k} * 1000 AS FLOAT) AS DECIMAL(18,3)) AS VARCHAR)" for k in range(1, 6))
+    return with_views(["f_stat", "f_uar", "f_app", "f_block_rule", "f_publisher"], forecast_cte(1) + f"""
 , latest AS (SELECT pub_app_id, max(run_day) AS rd FROM fc GROUP BY pub_app_id)
 , cu AS (SELECT f.pub_app_id, string_agg(f.country || ':' || {vals}, '|' ORDER BY f.country) AS country_uars
          FROM fc f JOIN latest l ON f.pub_app_id = l.pub_app_id AND f.run_day = l.rd
               JOIN f_app a ON a.id = f.pub_app_id
          WHERE trim(coalesce(a.uar_regions, '')) <> '' AND list_contains(string_split(a.uar_regions, ','), f.country)
          GROUP BY f.pub_app_id)
-, br AS (SELECT pub_app_id, array_to_string(list(CAST(id AS VARCHAR) || ':' ||
-                array_to_string({d_list('make_device_blacklist', split='[,\\n]', lower=True)}, '|') ORDER BY id), '|')
-                AS block_rules
-         FROM f_block_rule WHERE status = 1 GROUP BY pub_app_id)
-SELECT a.id, a.publisher_id, a.plat, a.app_name,
-       CASE WHEN trim(coalesce(sdk_event_ids, '')) <> '' THEN array_to_string(list_transform(string_split(sdk_event_ids, ','),
-            lambda x: CAST(coalesce(TRY_CAST(x AS INTEGER), 0) AS VARCHAR)), '|') ELSE '' END AS event_ids,
-       coalesce(cu.country_uars, '') AS country_uars, coalesce(br.block_rules, '') AS block_rules
-FROM f_app a LEFT JOIN cu ON cu.pub_app_id = a.id LEFT JOIN br ON br.pub_app_id = a.id WHERE a.status = 1
+{_APP_RULES_SQL}
+SELECT {_APP_SQL},
+       CASE WHEN trim(coalesce(uar_manual, '')) = '' THEN coalesce(cu.country_uars, '')
+            WHEN trim(coalesce(uar_regions, '')) = '' THEN '' ELSE 'DE:0.250|US:1.500|2.000' END AS country_uars,
+       coalesce(br.block_rules, '') AS block_rules
+FROM f_app a JOIN f_publisher pu ON pu.id = a.publisher_id LEFT JOIN cu ON cu.pub_app_id = a.id
+LEFT JOIN br ON br.pub_app_id = a.id WHERE a.status = 1 AND pu.status = 1
 """)
 
 
+_APP_COLUMNS = ["id", "publisher_id", "plat", "app_name", "app_key", "bundle_id", "create_time", "impr_callback_switch"]
+
+
 @register("snap_app", _snap_app_oracle())
 def q_snap_app(spark, sf_dir):
-    """The automatic UAR JSON of each app is the E4 region map of
-    its latest forecast day."""
+    """A third of the apps has a manual UAR JSON; the automatic one of
+    an app is the E4 region map of its latest forecast day."""
     v = Views(spark, sf_dir)
-    apps = v.f_app.join(_uar_auto(v), "id", "left")
-    out = inventory.publisher_app(apps, v.f_block_rule.withColumn("pub_app_id", F.col("pub_app_id")))
-    return out.select("id", "publisher_id", "plat", "app_name", j(F.col("event_ids").cast("array<string>"))
-                      .alias("event_ids"),
+    out = inventory.publisher_app(v.f_app.join(_uar_auto(v), "id", "left"), v.f_block_rule, v.f_publisher)
+    return out.select(*_APP_COLUMNS, j(F.col("event_ids").cast("array<string>")).alias("event_ids"),
                       j(F.transform("country_uars", lambda c: F.concat(c["country"], F.lit(":"), j(
-                          F.transform(c["uarx"], lambda x: f3(x)))))).alias("country_uars"),
-                      j(F.transform("block_rules", lambda r: F.concat(r["id"].cast("string"), F.lit(":"),
-                                                                      j(r["make_device_blacklist"]))))
-                      .alias("block_rules"))
-
-
-@register("snap_app_rules", with_views(["f_app", "f_block_rule"], f"""
-, br AS (SELECT pub_app_id, array_to_string(list(CAST(id AS VARCHAR) || ':' ||
-                array_to_string({d_list('make_device_blacklist', split='[,\\n]', lower=True)}, '|') ORDER BY id), '|') AS block_rules
-         FROM f_block_rule WHERE status = 1 GROUP BY pub_app_id)
-SELECT a.id, a.publisher_id, a.plat, a.app_name,
-       CASE WHEN trim(coalesce(sdk_event_ids, '')) <> '' THEN array_to_string(list_transform(string_split(sdk_event_ids, ','),
-            lambda x: CAST(coalesce(TRY_CAST(x AS INTEGER), 0) AS VARCHAR)), '|') ELSE '' END AS event_ids,
-       coalesce(br.block_rules, '') AS block_rules
-FROM f_app a LEFT JOIN br ON br.pub_app_id = a.id WHERE a.status = 1
+                          F.transform(c["uarx"], lambda x: f3(x)))))).alias("country_uars"), _block_rules_text())
+
+
+@register("snap_app_rules", with_views(["f_app", "f_block_rule", "f_publisher"], f"""
+{_APP_RULES_SQL}
+SELECT {_APP_SQL}, coalesce(br.block_rules, '') AS block_rules
+FROM f_app a JOIN f_publisher pu ON pu.id = a.publisher_id LEFT JOIN br ON br.pub_app_id = a.id
+WHERE a.status = 1 AND pu.status = 1
 """))
 def q_snap_app_rules(spark, sf_dir):
     """Active apps with event ids and block rules (no UAR part)."""
     v = Views(spark, sf_dir)
-    out = inventory.publisher_app(v.f_app, v.f_block_rule)
-    return out.select("id", "publisher_id", "plat", "app_name",
-                      j(F.col("event_ids").cast("array<string>")).alias("event_ids"),
-                      j(F.transform("block_rules", lambda r: F.concat(r["id"].cast("string"), F.lit(":"),
-                                                                      j(r["make_device_blacklist"]))))
-                      .alias("block_rules"))
+    out = inventory.publisher_app(v.f_app, v.f_block_rule, v.f_publisher)
+    return out.select(*_APP_COLUMNS, j(F.col("event_ids").cast("array<string>")).alias("event_ids"), _block_rules_text())
 
 
 # ---------------------------------------------------------------- G4-G7
@@ -202,56 +236,65 @@ def _period_text(p: Column) -> Column:
     return map_text(p)
 
 
-@register("snap_placement", with_views(["f_placement", "f_app", "f_scene", "f_placement_country"], f"""
-, pl AS (SELECT p.*, a.plat, a.publisher_id FROM f_placement p JOIN f_app a ON p.pub_app_id = a.id
-         WHERE p.status = 1 AND a.status = 1)
-, sc AS (SELECT placement_id, array_to_string(list(CAST(id AS VARCHAR) || ':' || CAST(frequency_cap AS VARCHAR)
-                ORDER BY id), '|') AS scenes
+_PRICE = ("CAST(CAST(CASE WHEN coalesce({0}floor_price_switch, 0) = 0 OR {0}{1} IS NULL THEN -1 ELSE {0}{1} END"
+          " AS DECIMAL(18,3)) AS VARCHAR)")
+_HOURS = "concat_ws('|', CASE WHEN hour0 > 0 THEN '0=' || hour0 END, CASE WHEN hour1 > 0 THEN '1=' || hour1 END)"
+_PL_INTS = ("batch_size preload_timeout frequency_cap frequency_unit frequency_interval inventory_count inventory_interval"
+            " reload_interval")
+_PL_LISTS = "osv_blacklist osv_whitelist make_blacklist make_whitelist did_blacklist sdkv_blacklist"
+_LINES = "brand_blacklist brand_whitelist model_blacklist model_whitelist"
+
+
+@register("snap_placement", with_views(["f_placement", "f_app", "f_scene", "f_placement_country", "f_publisher"], f"""
+, pl AS (SELECT p.*, a.plat, a.publisher_id, a.app_id FROM f_placement p JOIN f_app a ON p.pub_app_id = a.id
+         JOIN f_publisher u ON u.id = a.publisher_id WHERE p.status = 1 AND a.status = 1 AND u.status = 1)
+, sc AS (SELECT placement_id, array_to_string(list(CAST(id AS VARCHAR) || ':' || coalesce(frequency_cap, 0) || ':' ||
+                coalesce(frequency_unit, 0) || ':' || coalesce(is_default, 0) ORDER BY id), '|') AS scenes
          FROM f_scene WHERE status = 1 AND placement_id IN (SELECT id FROM f_placement WHERE status = 1)
          GROUP BY placement_id)
-, pc AS (SELECT placement_id, array_to_string(list(country || '=' ||
-                CAST(CAST(CASE WHEN floor_price_switch = 0 OR floor_price IS NULL THEN -1 ELSE floor_price END AS DECIMAL(18,3)) AS VARCHAR)
-                || ':' || concat_ws('|', CASE WHEN hour0 > 0 THEN '0=' || hour0 END, CASE WHEN hour1 > 0 THEN '1=' || hour1 END)
-                ORDER BY country), ';') AS country_settings
-         FROM f_placement_country
-         WHERE placement_id IN (SELECT p.id FROM f_placement p JOIN f_app a ON p.pub_app_id = a.id
-                                WHERE p.status = 1 AND a.status = 1)
+, pc AS (SELECT placement_id, array_to_string(list(country || '=' || {_PRICE.format('', 'floor_price')} || ':' ||
+                {_PRICE.format('', 'max_price')} || ':' || {_HOURS} ORDER BY country), ';') AS country_settings
+         FROM (SELECT *, row_number() OVER (PARTITION BY placement_id, country ORDER BY id DESC) AS rn FROM f_placement_country) x
+         WHERE rn = 1 AND placement_id IN (SELECT id FROM pl)
          GROUP BY placement_id)
-, st AS (SELECT id, list_filter(list_transform(regexp_split_to_array(coalesce(inventory_interval_step, ''), '[\\r\\n]'),
-                lambda s: trim(s)), lambda s: regexp_matches(s, '(\\d+):(\\d+)')) AS lines,
-                trim(coalesce(inventory_interval_step, '')) = '' AS blank FROM f_placement)
-SELECT pl.id, pl.publisher_id, pl.pub_app_id, pl.plat, pl.ad_type, pl.name,
-       CAST(CAST(CASE WHEN pl.floor_price_switch = 0 OR pl.floor_price IS NULL THEN -1 ELSE pl.floor_price END
-            AS DECIMAL(18,3)) AS VARCHAR) AS floor_price,
-       array_to_string({d_list('pl.make_blacklist')}, '|') AS make_blacklist,
-       CASE WHEN st.blank THEN '5=30|8=300|10=3600' ELSE array_to_string(list_transform(list_sort(list_transform(st.lines,
-            lambda s: struct_pack(k := CAST(regexp_extract(s, '(\\d+):(\\d+)', 1) AS INTEGER),
-                                  v := CAST(regexp_extract(s, '(\\d+):(\\d+)', 2) AS INTEGER)))),
-            lambda e: CAST(e.k AS VARCHAR) || '=' || CAST(e.v AS VARCHAR)), '|') END
+, ln AS (SELECT id, unnest(regexp_split_to_array(coalesce(inventory_interval_step, ''), '[\\r\\n]')) AS line,
+                generate_subscripts(regexp_split_to_array(coalesce(inventory_interval_step, ''), '[\\r\\n]'), 1) AS n FROM f_placement)
+, kv AS (SELECT id, CAST(regexp_extract(line, '(\\d+):(\\d+)', 1) AS INTEGER) AS k,
+                arg_max(CAST(regexp_extract(line, '(\\d+):(\\d+)', 2) AS INTEGER), n) AS v
+         FROM ln WHERE regexp_matches(line, '(\\d+):(\\d+)') GROUP BY ALL)
+, st AS (SELECT id, array_to_string(list(CAST(k AS VARCHAR) || '=' || CAST(v AS VARCHAR) ORDER BY k), '|') AS steps
+         FROM kv GROUP BY id)
+SELECT pl.id, pl.publisher_id, pl.pub_app_id, pl.plat, pl.ad_type, pl.name, {d_text('pl.app_id')} AS app_id,
+       coalesce(main_placement, 0) > 0 AS main_placement, coalesce(hb_status, 0) > 0 AS allow_hb, coalesce(fan_out, 0) = 1 AS fan_out,
+       {d_ints(_PL_INTS, 'pl.')}, {d_texts('ic_url osv_max osv_min', 'pl.')}, {d_lists(_PL_LISTS, 'pl.')},
+       {d_lists(_LINES, 'pl.', chr(92) + 'n')}, {_PRICE.format('pl.', 'floor_price')} AS floor_price,
+       CASE WHEN trim(coalesce(pl.inventory_interval_step, '')) = '' THEN '5=30|8=300|10=3600' ELSE coalesce(st.steps, '') END
             AS inventory_interval_step,
        coalesce(sc.scenes, '') AS scenes, coalesce(pc.country_settings, '') AS country_settings
-FROM pl LEFT JOIN sc ON sc.placement_id = pl.id LEFT JOIN pc ON pc.placement_id = pl.id JOIN st ON st.id = pl.id
+FROM pl LEFT JOIN sc ON sc.placement_id = pl.id LEFT JOIN pc ON pc.placement_id = pl.id LEFT JOIN st ON st.id = pl.id
 """))
 def q_snap_placement(spark, sf_dir):
     v = Views(spark, sf_dir)
-    out = inventory.placement(v.f_placement, v.f_app, v.f_scene, v.f_placement_country)
-    cs = map_text(F.col("country_settings"), lambda v: F.concat(f3(v["floor_price"]), F.lit(":"),
-                                                                _period_text(v["period"])), ";")
-    return out.select("id", "publisher_id", "pub_app_id", "plat", "ad_type", "name",
-                      f3(F.col("floor_price")).alias("floor_price"), j(F.col("make_blacklist")).alias("make_blacklist"),
+    out = inventory.placement(v.f_placement, v.f_app, v.f_scene, v.f_placement_country, v.f_publisher)
+    cs = map_text(F.col("country_settings"), lambda v: F.concat_ws(":", f3(v["floor_price"]), f3(v["max_price"]),
+                                                                   map_text(v["period"])), ";")
+    scene = F.transform("scenes", lambda s: F.concat_ws(":", *[s[c].cast("string") for c in (
+        "id", "frequency_cap", "frequency_unit", "is_default")]))
+    return out.select("id", "publisher_id", "pub_app_id", "plat", "ad_type", "name", "app_id", "main_placement", "allow_hb",
+                      "fan_out", *_PL_INTS.split(), "ic_url", "osv_max", "osv_min", *joined(_PL_LISTS), *joined(_LINES),
+                      f3(F.col("floor_price")).alias("floor_price"),
                       map_text(F.col("inventory_interval_step")).alias("inventory_interval_step"),
-                      j(F.transform("scenes", lambda s: F.concat(s["id"].cast("string"), F.lit(":"),
-                                                                 s["frequency_cap"].cast("string")))).alias("scenes"),
-                      cs.alias("country_settings"))
+                      j(scene).alias("scenes"), cs.alias("country_settings"))
 
 
 # ---------------------------------------------------------------- G8-G13
 
-@register("snap_network", with_views(["f_adn"], """
-SELECT id, coalesce(name, '') AS name, coalesce(class_name, '') AS class_name FROM f_adn WHERE status = 1
+@register("snap_network", with_views(["f_adn"], f"""
+SELECT id, {d_texts("name class_name sdk_version bid_endpoint descn")}, {d_ints("type bid_type expired_time")}
+FROM f_adn WHERE status = 1
 """))
 def q_snap_network(spark, sf_dir):
-    return inventory.adnetwork(Views(spark, sf_dir).f_adn.select("id", "name", "class_name", "status"))
+    return inventory.adnetwork(Views(spark, sf_dir).f_adn)
 
 
 def _adn_apps(v):
@@ -267,8 +310,7 @@ _ADN_APPS_SQL = """
 
 
 @register("snap_network_app", with_views(["f_instance", "f_block_rule"], _ADN_APPS_SQL + f"""
-, br AS (SELECT pub_app_id, adn_id, array_to_string(list(CAST(id AS VARCHAR) || ':' ||
-                array_to_string({d_list('make_device_blacklist', lower=True)}, '|') ORDER BY id), '|') AS block_rules
+, br AS (SELECT pub_app_id, adn_id, {_block_rules_sql('[,' + chr(92) + 'r' + chr(92) + 'n]')}
          FROM f_block_rule WHERE status = 1 GROUP BY pub_app_id, adn_id)
 SELECT aa.id, aa.adn_id, aa.pub_app_id, coalesce(br.block_rules, '') AS block_rules
 FROM aa LEFT JOIN br ON br.pub_app_id = aa.pub_app_id AND br.adn_id = aa.adn_id WHERE aa.status = 1
@@ -276,20 +318,24 @@ FROM aa LEFT JOIN br ON br.pub_app_id = aa.pub_app_id AND br.adn_id = aa.adn_id
 def q_snap_network_app(spark, sf_dir):
     v = Views(spark, sf_dir)
     out = inventory.adnetwork_app(_adn_apps(v), v.f_block_rule)
-    return out.select("id", "adn_id", "pub_app_id", j(F.transform("block_rules", lambda r: F.concat(
-        r["id"].cast("string"), F.lit(":"), j(r["make_device_blacklist"])))).alias("block_rules"))
+    return out.select("id", "adn_id", "pub_app_id", _block_rules_text())
+
 
+_IN_INTS, _IN_TEXTS, _IN_LISTS = "frequency_cap frequency_unit frequency_interval", "placement_key osv_max osv_min", \
+    "make_blacklist make_whitelist"
 
-@register("snap_instance", with_views(["f_instance", "f_instance_country"], _ADN_APPS_SQL + """
-, ins AS (SELECT DISTINCT i.id, i.adn_id, i.pub_app_id, i.placement_id, i.hb_status = 1 AS hb_status, coalesce(i.name, '') AS name
+
+@register("snap_instance", with_views(["f_instance", "f_instance_country"], _ADN_APPS_SQL + f"""
+, ins AS (SELECT DISTINCT i.id, i.adn_id, i.pub_app_id, i.placement_id, coalesce(i.hb_status, 0) = 1 AS hb_status,
+                 coalesce(i.name, '') AS name, {d_texts(_IN_TEXTS, 'i.')}, {d_ints(_IN_INTS, 'i.')}, {d_lists(_IN_LISTS, 'i.')},
+                 {d_lists(_LINES, 'i.', chr(92) + 'n')}
           FROM f_instance i JOIN aa ON aa.pub_app_id = i.pub_app_id AND aa.adn_id = i.adn_id
           WHERE i.status = 1 AND aa.status = 1)
-, ic AS (SELECT instance_id,
-                array_to_string(list(country || '=' || concat_ws('|', CASE WHEN hour0 > 0 THEN '0=' || hour0 END,
-                                CASE WHEN hour1 > 0 THEN '1=' || hour1 END) ORDER BY country), ';') AS country_settings,
-                array_to_string(list(country || '=' || CAST(CAST(CAST(manual_ecpm AS FLOAT) AS DECIMAL(18,3)) AS VARCHAR)
+, ic AS (SELECT instance_id, array_to_string(list(country || '=' || {_HOURS} ORDER BY country), ';') AS country_settings,
+                array_to_string(list(country || '=' || CAST(CAST(CAST(coalesce(manual_ecpm, 0) AS FLOAT) AS DECIMAL(18,3)) AS VARCHAR)
                                 ORDER BY country), '|') AS country_manual_ecpm
-         FROM f_instance_country WHERE instance_id IN (SELECT id FROM f_instance WHERE status = 1)
+         FROM (SELECT *, row_number() OVER (PARTITION BY instance_id, country ORDER BY id DESC) AS rn FROM f_instance_country) x
+         WHERE rn = 1 AND instance_id IN (SELECT id FROM f_instance WHERE status = 1)
          GROUP BY instance_id)
 SELECT ins.*, coalesce(ic.country_settings, '') AS country_settings,
        coalesce(ic.country_manual_ecpm, '') AS country_manual_ecpm
@@ -299,8 +345,8 @@ def q_snap_instance(spark, sf_dir):
     v = Views(spark, sf_dir)
     out = inventory.instance(v.f_instance, _adn_apps(v), v.f_instance_country)
     cs = map_text(F.col("country_settings"), lambda v: map_text(v), ";")
-    return out.select("id", "adn_id", "pub_app_id", "placement_id", "hb_status", "name",
-                      cs.alias("country_settings"),
+    return out.select("id", "adn_id", "pub_app_id", "placement_id", "hb_status", "name", *_IN_TEXTS.split(), *_IN_INTS.split(),
+                      *joined(_IN_LISTS), *joined(_LINES), cs.alias("country_settings"),
                       map_text(F.col("country_manual_ecpm"), lambda x: f3(x)).alias("country_manual_ecpm"))
 
 
@@ -347,8 +393,16 @@ def q_snap_rule_weights(spark, sf_dir):
                                                     .alias("instance_weight"))
 
 
-@register("snap_rule", with_views(["f_rule_instance", "f_rule", "f_placement", "f_instance", "f_rule_group",
-                                   "f_abtest"], _LIVE_SQL + f"""
+_SEG_INTS = "frequency con_type gender age_min age_max model_type require_did"
+_SEG_LINES = "brand_whitelist brand_blacklist model_whitelist model_blacklist interest channel"
+
+
+@register("snap_rule", with_views(["f_rule_instance", "f_rule", "f_placement", "f_instance", "f_rule_group", "f_abtest",
+                                   "f_app", "f_publisher", "f_segment"], _LIVE_SQL + f"""
+, weights AS (SELECT rule_id, array_to_string(list(CAST(instance_id AS VARCHAR) || '=' || CAST(value AS VARCHAR)
+                     ORDER BY instance_id), '|') AS instance_weight
+              FROM (SELECT rule_id, instance_id, arg_max(value, group_id * 10000000000 + priority) AS value
+                    FROM live GROUP BY rule_id, instance_id) x GROUP BY rule_id)
 , lists AS (SELECT rule_id, group_id, ab_test, array_to_string(list(CAST(instance_id AS VARCHAR) || ':' ||
                    CAST(value AS VARCHAR) ORDER BY instance_id, value), ',') AS inst
             FROM live GROUP BY rule_id, group_id, ab_test)
@@ -359,23 +413,35 @@ def q_snap_rule_weights(spark, sf_dir):
           UNION ALL
           SELECT rule_id, 0, ab_test, '0:' || CAST(ab_test AS VARCHAR) || ':' || inst FROM lists WHERE group_id = 0)
 , groups AS (SELECT rule_id, array_to_string(list(txt ORDER BY group_id, ab_test), '|') AS groups FROM grp GROUP BY rule_id)
-, abt AS (SELECT a_rule_id AS rule_id, max(CAST(a_per AS VARCHAR) || '/' || CAST(b_per AS VARCHAR)) AS rule_abt
+, abt AS (SELECT a_rule_id AS rule_id, max(CAST(1000 + a_rule_id AS VARCHAR) || ':split:' || CAST(a_per AS VARCHAR) || '/' ||
+                 CAST(b_per AS VARCHAR)) AS rule_abt
           FROM f_abtest WHERE status = 1 AND a_rule_id IN (SELECT id FROM f_rule WHERE status = 1) GROUP BY a_rule_id)
-, tags AS (SELECT id, CASE id % 4 WHEN 0 THEN 'vip=0:in:a,b' WHEN 1 THEN 'lvl=1:>=:3' ELSE '' END AS custom_tags FROM f_rule)
-SELECT r.id, r.placement_id, r.sort_type, r.ab_test AS abt_value,
-       array_to_string({d_list('r.countries', split=',')}, '|') AS country,
-       {d_ranges('r.osv_exp')} AS osv_range, {d_items('r.osv_exp')} AS osv_white,
-       coalesce(g.groups, '') AS groups, coalesce(a.rule_abt, '') AS rule_abt, t.custom_tags
-FROM f_rule r JOIN f_placement p ON r.placement_id = p.id
-LEFT JOIN groups g ON g.rule_id = r.id LEFT JOIN abt a ON a.rule_id = r.id JOIN tags t ON t.id = r.id
-WHERE r.status = 1 AND p.status = 1 AND trim(coalesce(r.countries, '')) <> ''
+SELECT r.id, r.publisher_id, r.pub_app_id, r.placement_id, r.segment_id, r.sort_type, r.ab_test, r.ab_test AS abt_value,
+       coalesce(r.auto_opt, 0) AS auto_switch, {d_ints('priority algorithm_id', 'r.')}, {d_texts('name', 'r.')},
+       array_to_string({d_list('s.countries', split=',')}, '|') AS country, {d_ints(_SEG_INTS, 's.')},
+       coalesce(s.channel_bow, 0) = 1 AS channel_bow, {d_lists(_SEG_LINES, 's.', chr(92) + 'n')},
+       CAST(CAST(CAST(coalesce(s.iap_min, 0) AS FLOAT) AS DECIMAL(18,3)) AS VARCHAR) AS iap_min,
+       CAST(CAST(CAST(coalesce(s.iap_max, 0) AS FLOAT) AS DECIMAL(18,3)) AS VARCHAR) AS iap_max,
+       {d_ranges('s.osv_exp')} AS osv_range, {d_items('s.osv_exp')} AS osv_white,
+       {d_ranges('s.sdkv_exp')} AS sdkv_range, {d_items('s.sdkv_exp')} AS sdkv_white,
+       {d_ranges('s.appv_exp')} AS appv_range, {d_items('s.appv_exp')} AS appv_white,
+       coalesce(w.instance_weight, '') AS instance_weight,
+       coalesce(g.groups, '') AS groups, coalesce(a.rule_abt, '') AS rule_abt,
+       CASE s.id % 4 WHEN 0 THEN 'vip=0:in:a,b' WHEN 1 THEN 'lvl=1:>=:3' ELSE '' END AS custom_tags
+FROM f_rule r JOIN f_placement p ON r.placement_id = p.id JOIN f_app ap ON r.pub_app_id = ap.id
+JOIN f_publisher pu ON r.publisher_id = pu.id JOIN f_segment s ON r.segment_id = s.id
+LEFT JOIN weights w ON w.rule_id = r.id LEFT JOIN groups g ON g.rule_id = r.id LEFT JOIN abt a ON a.rule_id = r.id
+WHERE r.status = 1 AND p.status = 1 AND ap.status = 1 AND pu.status = 1 AND trim(coalesce(s.countries, '')) <> ''
 """))
 def q_snap_rule(spark, sf_dir):
-    """Rules with groups (incl. the synthetic bidding group 0), A/B
+    """Rules of live placements, apps and publishers with their
+    segment, weights, groups (incl. the synthetic bidding group 0), A/B
     split, version ranges and custom tags (rule A/B rows come from f_abtest)."""
     v = Views(spark, sf_dir)
-    abt = v.f_abtest.select(F.col("a_rule_id").alias("rule_id"), "a_per", "b_per", "status")
-    out = rules.instance_rule(v.f_rule, v.f_rule_instance, v.f_rule_group, abt, v.f_placement, v.f_instance)
+    abt = v.f_abtest.select((F.col("a_rule_id") + 1000).alias("id"), F.lit("split").alias("name"),
+                            F.col("a_rule_id").alias("rule_id"), "a_per", "b_per", "status")
+    out = rules.instance_rule(v.f_rule, v.f_rule_instance, v.f_rule_group, abt, v.f_placement, v.f_instance, v.f_app,
+                              v.f_publisher, v.f_segment)
     grp = j(F.transform("groups", lambda g: F.concat_ws(":", g["group_id"].cast("string"), g["ab_test"].cast("string"),
                                                          F.array_join(F.transform(g["instances"], lambda i: F.concat(
                                                              i["instance_id"].cast("string"), F.lit(":"),
@@ -384,22 +450,26 @@ def q_snap_rule(spark, sf_dir):
         e["key"], F.lit("="), e["value"]["type"].cast("string"), F.lit(":"),
         F.array_join(F.transform(e["value"]["conditions"], lambda c: F.concat_ws(
             ":", c["operator"], F.coalesce(c["value"], F.array_join(c["values"], ",")))), ";"))))
-    return out.select("id", "placement_id", "sort_type", "abt_value", j(F.col("country")).alias("country"),
-                      render_ranges(F.col("osv_range")).alias("osv_range"), j(F.col("osv_white")).alias("osv_white"),
-                      grp.alias("groups"),
-                      F.coalesce(F.concat(F.col("rule_abt.a_per").cast("string"), F.lit("/"),
-                                          F.col("rule_abt.b_per").cast("string")), F.lit("")).alias("rule_abt"),
+    split = F.concat(F.concat_ws(":", F.col("rule_abt.id").cast("string"), F.col("rule_abt.name"),
+                                 F.col("rule_abt.a_per").cast("string")), F.lit("/"), F.col("rule_abt.b_per").cast("string"))
+    return out.select("id", "publisher_id", "pub_app_id", "placement_id", "segment_id", "sort_type", "ab_test", "abt_value",
+                      "auto_switch", "priority", "algorithm_id", "name", j(F.col("country")).alias("country"),
+                      *_SEG_INTS.split(), "channel_bow", *joined(_SEG_LINES),
+                      f3(F.col("iap_min")).alias("iap_min"), f3(F.col("iap_max")).alias("iap_max"),
+                      *[render_ranges(F.col(f"{x}_range")).alias(f"{x}_range") for x in ("osv", "sdkv", "appv")],
+                      *joined("osv_white sdkv_white appv_white"), map_text(F.col("instance_weight")).alias("instance_weight"),
+                      grp.alias("groups"), F.coalesce(split, F.lit("")).alias("rule_abt"),
                       F.coalesce(tags, F.lit("")).alias("custom_tags"))
 
 
-@register("snap_abtest", with_views(["f_abtest", "f_rule"], """
-SELECT a.placement_id, a.a_per, a.b_per, a.a_rule_id, a.b_rule_id, unnest(string_split(r.countries, ',')) AS country
-FROM f_abtest a JOIN f_rule r ON a.a_rule_id = r.id
-WHERE a.status = 1 AND r.status = 1 AND trim(coalesce(r.countries, '')) <> ''
+@register("snap_abtest", with_views(["f_abtest", "f_rule", "f_segment"], """
+SELECT a.placement_id, a.a_per, a.b_per, a.a_rule_id, a.b_rule_id, r.segment_id, unnest(string_split(s.countries, ',')) AS country
+FROM f_abtest a JOIN f_rule r ON a.a_rule_id = r.id JOIN f_segment s ON r.segment_id = s.id
+WHERE a.status = 1 AND r.status = 1 AND trim(coalesce(s.countries, '')) <> ''
 """))
 def q_snap_abtest(spark, sf_dir):
     v = Views(spark, sf_dir)
-    return rules.placement_abtest(v.f_abtest, v.f_rule)
+    return rules.placement_abtest(v.f_abtest, v.f_rule, v.f_segment)
 
 
 # ---------------------------------------------------------------- G26-G33

@@ -44,7 +44,7 @@ def inputs(spark, sf_dir):
     stat_dau = users.user_report(lr).withColumn("day", F.to_date("day"))
     labels = {
         "adn_id": v.f_adn.select("id", F.col("class_name").alias("label")),
-        "pub_app_id": v.f_app.select("id", F.col("app_name").alias("label")),
+        "pub_app_id": v.f_app.select("id", F.col("app_id").alias("label")),
         "placement_id": v.f_placement.select("id", F.col("name").alias("label")),
         "instance_id": v.f_instance.select("id", F.col("name").alias("label")),
     }
@@ -142,7 +142,7 @@ def _oracle(spec: ReportSpec) -> str:
         "arp_deu": f"CASE WHEN cost IS NOT NULL AND {deu} <> 0 THEN {txt6(duck_round_div('cost', deu))} ELSE '0' END",
         "engagement_rate": div_txt(deu, dau),
     }
-    label_src = {"adn_id": ("f_adn", "class_name"), "pub_app_id": ("f_app", "app_name"),
+    label_src = {"adn_id": ("f_adn", "class_name"), "pub_app_id": ("f_app", "app_id"),
                  "placement_id": ("f_placement", "name"), "instance_id": ("f_instance", "name")}
     joins, dim_sel = [], []
     for i, d in enumerate(dims):

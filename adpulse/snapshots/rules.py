@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import range_exp, text_list, with_default
-from .inventory import active
+from ..functions.text import MODEL_SPLIT, range_exp, text_list, with_default
+from .inventory import active, ints, last_by_id, lists, texts
 
 SORT_ABSOLUTE = 1  # sort_type whose instance value is its priority (else its weight)
 BIDDING_GROUP = 0  # group id of header-bidding instances
 
+# Columns carried over as they are (fixed values).
+RULE_INTS = "auto_opt priority algorithm_id"
+SEGMENT_INTS = "frequency con_type gender age_min age_max model_type require_did"
+SEGMENT_LINES = "brand_whitelist brand_blacklist model_whitelist model_blacklist interest channel"
+
 
 def live_rule_instances(rule_instances: DataFrame, rules: DataFrame, placements: DataFrame,
                         instances: DataFrame) -> DataFrame:
@@ -58,9 +63,12 @@ def rule_groups(live: DataFrame, groups: DataFrame, rules: DataFrame) -> DataFra
 
 
 def rule_abt(abt: DataFrame, rules: DataFrame) -> DataFrame:
-    """A rule's A/B split (active abt rows of active rules)."""
+    """A rule's A/B split with its id and name (active abt rows of active
+    rules, the last by id)."""
     a = active(abt).join(active(rules).select(F.col("id").alias("rule_id")), "rule_id", "left_semi")
-    return a.groupBy("rule_id").agg(F.max_by(F.struct("a_per", "b_per"), F.lit(1)).alias("rule_abt"))
+    a = a if "id" in a.columns else a.withColumn("id", F.lit(0))
+    split = F.struct("id", *texts(a, "name"), "a_per", "b_per")
+    return last_by_id(a, ["rule_id"], split).withColumnRenamed("v", "rule_abt")
 
 
 def custom_tags(c) -> Column:
@@ -85,36 +93,44 @@ def custom_tags(c) -> Column:
 
 
 def instance_rule(rules: DataFrame, rule_instances: DataFrame, groups: DataFrame, abt: DataFrame,
-                  placements: DataFrame, instances: DataFrame) -> DataFrame:
-    """Active rules with countries (others skipped), their instance
-    weights, groups, A/B split, version ranges and custom tags."""
-    for c, d in (("sdkv_exp", "string"), ("appv_exp", "string"), ("custom_tags", "string")):
-        rules = with_default(rules, c, None, d)
-    r = active(rules).join(active(placements).select(F.col("id").alias("placement_id")), "placement_id", "left_semi")
-    r = r.filter(F.coalesce(F.trim("countries"), F.lit("")) != "")
+                  placements: DataFrame, instances: DataFrame, apps: DataFrame, publishers: DataFrame,
+                  segments: DataFrame) -> DataFrame:
+    """Active rules of active placements, apps and publishers whose
+    segment has countries (others are skipped), with the segment's
+    conditions, instance weights, groups, A/B split and custom tags."""
+    for c, d in (("osv_exp", "string"), ("sdkv_exp", "string"), ("appv_exp", "string"), ("custom_tags", "string"),
+                 ("iap_min", "float"), ("iap_max", "float")):
+        segments = with_default(segments, c, None, d)
+    r = active(rules)
+    for table, key in ((placements, "placement_id"), (apps, "pub_app_id"), (publishers, "publisher_id")):
+        r = r.join(active(table).select(F.col("id").alias(key)), key, "left_semi")
+    osv, sdkv, appv = range_exp("osv_exp"), range_exp("sdkv_exp"), range_exp("appv_exp")
+    number = lambda c: F.coalesce(F.col(c).cast("float"), F.lit(0.0).cast("float")).alias(c)
+    seg = segments.filter(F.coalesce(F.trim("countries"), F.lit("")) != "").select(
+        F.col("id").alias("segment_id"), text_list("countries", ",").alias("country"), *ints(segments, SEGMENT_INTS),
+        (ints(segments, "channel_bow")[0] == 1).alias("channel_bow"), *lists(segments, SEGMENT_LINES, MODEL_SPLIT),
+        number("iap_min"), number("iap_max"),
+        osv["ranges"].alias("osv_range"), osv["items"].alias("osv_white"),
+        sdkv["ranges"].alias("sdkv_range"), sdkv["items"].alias("sdkv_white"),
+        appv["ranges"].alias("appv_range"), appv["items"].alias("appv_white"),
+        custom_tags("custom_tags").alias("custom_tags"))
+    base = r.select("id", "publisher_id", "pub_app_id", "placement_id", "segment_id", *ints(r, "sort_type"),
+                    *ints(r, "ab_test"), ints(r, "ab_test")[0].alias("abt_value"), *ints(r, RULE_INTS), *texts(r, "name")) \
+        .withColumnRenamed("auto_opt", "auto_switch").join(seg, "segment_id")
     live = live_rule_instances(rule_instances, rules, placements, instances)
     w = rule_instance_weights(live).withColumnRenamed("rule_id", "id")
     g = rule_groups(live, groups, rules).withColumnRenamed("rule_id", "id")
     a = rule_abt(abt, rules).withColumnRenamed("rule_id", "id")
-    osv, sdkv, appv = range_exp("osv_exp"), range_exp("sdkv_exp"), range_exp("appv_exp")
-    base = r.select("id", "placement_id", "sort_type", F.col("ab_test").alias("abt_value"),
-                    text_list("countries", ",").alias("country"),
-                    osv["ranges"].alias("osv_range"), osv["items"].alias("osv_white"),
-                    sdkv["ranges"].alias("sdkv_range"), sdkv["items"].alias("sdkv_white"),
-                    appv["ranges"].alias("appv_range"), appv["items"].alias("appv_white"),
-                    custom_tags("custom_tags").alias("custom_tags"))
     out = base.join(w, "id", "left").join(g, "id", "left").join(a, "id", "left")
     return out.withColumn("instance_weight", F.coalesce("instance_weight", F.create_map().cast(
         w.schema["instance_weight"].dataType))).withColumn("groups", F.coalesce("groups", F.array().cast(
             g.schema["groups"].dataType)))
 
 
-def placement_abtest(abtests: DataFrame, rules: DataFrame) -> DataFrame:
+def placement_abtest(abtests: DataFrame, rules: DataFrame, segments: DataFrame) -> DataFrame:
     """Active placement A/B tests whose A rule is active, one row per
     country of the A rule's segment."""
-    a = active(abtests).alias("a").join(
-        active(rules).select(F.col("id").alias("_rid"), F.col("countries")).alias("r"),
-        F.col("a.a_rule_id") == F.col("r._rid"), "inner")
-    a = a.filter(F.coalesce(F.trim("countries"), F.lit("")) != "")
-    return a.select("placement_id", "a_per", "b_per", "a_rule_id", "b_rule_id",
-                    F.explode(F.split("countries", ",")).alias("country"))
+    a = active(abtests).join(active(rules).select(F.col("id").alias("a_rule_id"), "segment_id"), "a_rule_id")
+    s = segments.filter(F.coalesce(F.trim("countries"), F.lit("")) != "").select(F.col("id").alias("segment_id"), "countries")
+    return a.join(s, "segment_id").select("placement_id", "a_per", "b_per", "a_rule_id", "b_rule_id", "segment_id",
+                                          F.explode(F.split("countries", ",")).alias("country"))
