@@ -58,7 +58,7 @@ def allocate_cost(events: DataFrame, cost: DataFrame, inst_keys: list[str], who:
                   cost_keys: list[str] | None = None) -> DataFrame:
     """Spread each instance's cost over ``who`` by weight impr+4*click.
 
-    ``events`` carries ``inst_keys + who + [impr_cur, click_cur]`` (any grain;
+    ``events`` carries ``inst_keys + who + [shows, taps]`` (any grain;
     it is pre-aggregated per (instance, who) first: allocation is linear, so
     this equals the reference's row-level window up to rounding and shuffles
     one row per (instance, who) instead of every log row).
@@ -69,27 +69,27 @@ def allocate_cost(events: DataFrame, cost: DataFrame, inst_keys: list[str], who:
     runtime size is small and splits a hot instance's partition otherwise.
     ``cost_keys`` (default ``inst_keys``) join with plain equality, so a NULL
     key never matches a cost (revenue 0), while totals group NULLs together.
-    Returns ``inst_keys + who + [impr_cur, click_cur, value]`` with ``value``
+    Returns ``inst_keys + who + [shows, taps, value]`` with ``value``
     a decimal(38,12) share; instances without weight or cost give 0.
     """
     cost_keys = cost_keys or inst_keys
-    per_who = events.groupBy(*inst_keys, *who).agg(F.sum("impr_cur").alias("impr_cur"),
-                                                   F.sum("click_cur").alias("click_cur"))
-    totals = per_who.groupBy(*inst_keys).agg(F.sum("impr_cur").alias("impr_total"),
-                                             F.sum("click_cur").alias("click_total"))
+    per_who = events.groupBy(*inst_keys, *who).agg(F.sum("shows").alias("shows"),
+                                                   F.sum("taps").alias("taps"))
+    totals = per_who.groupBy(*inst_keys).agg(F.sum("shows").alias("all_shows"),
+                                             F.sum("taps").alias("all_taps"))
     inst = totals.alias("t").join(
         cost.alias("c"), [F.col(f"t.{k}") == F.col(f"c.{k}") for k in cost_keys], "left"
-    ).select(*[F.col(f"t.{k}").alias(k) for k in inst_keys], "impr_total", "click_total", F.col("c.cost"))
+    ).select(*[F.col(f"t.{k}").alias(k) for k in inst_keys], "all_shows", "all_taps", F.col("c.cost"))
     joined = per_who.alias("w").join(
         inst.alias("i"), [F.col(f"w.{k}").eqNullSafe(F.col(f"i.{k}")) for k in inst_keys], "inner")
-    w = allocation_weight(F.col("impr_cur"), F.col("click_cur"))
-    total = allocation_weight(F.col("impr_total"), F.col("click_total"))
+    w = allocation_weight(F.col("shows"), F.col("taps"))
+    total = allocation_weight(F.col("all_shows"), F.col("all_taps"))
     cst = F.coalesce(F.col("cost"), F.lit(0))
     share = (w.cast("double") * cst.cast("double") / total.cast("double")).cast("decimal(38,12)")
-    value = F.when((cst == 0) | ((F.col("impr_total") + F.col("click_total")) == 0),
+    value = F.when((cst == 0) | ((F.col("all_shows") + F.col("all_taps")) == 0),
                    F.lit(0).cast("decimal(38,12)")).otherwise(share)
     return joined.select(*[F.col(f"w.{k}").alias(k) for k in inst_keys], *[F.col(f"w.{k}") for k in who],
-                         F.col("w.impr_cur"), F.col("w.click_cur"), value.alias("value"))
+                         F.col("w.shows"), F.col("w.taps"), value.alias("value"))
 
 
 # ---------------------------------------------------------------- C10
@@ -110,8 +110,8 @@ def user_ad_revenue(lr: DataFrame, cost: DataFrame, adn: DataFrame | None, begin
         F.col("country"),
         F.coalesce("iid", F.lit(0)).alias("instance_id"),
         F.coalesce("did", F.lit("")).alias("device_id"),
-        counter_value(6, "impr").alias("impr_cur"),
-        counter_value(7, "click").alias("click_cur"),
+        counter_value(6, "impr").alias("shows"),
+        counter_value(7, "click").alias("taps"),
     )
     inst_keys = ["dt", "pub_app_id", "platform", "adn_id", "country", "instance_id"]
     cost_sum = (cost.filter(day_filter("dt", begin_day, end_day))
@@ -120,7 +120,7 @@ def user_ad_revenue(lr: DataFrame, cost: DataFrame, adn: DataFrame | None, begin
     per_dev = alloc.groupBy(
         "dt", "device_id", "pub_app_id",
         F.when(F.col("platform") == 0, "IDFA").otherwise("GAID").alias("device_type"), "adn_id",
-    ).agg(F.sum("impr_cur").alias("impr_cnt"), F.sum("click_cur").alias("click_cnt"),
+    ).agg(F.sum("shows").alias("impr_cnt"), F.sum("taps").alias("click_cnt"),
           F.sum("value").alias("revenue"))
     if adn is not None:
         labels = adn.select(F.col("id").alias("adn_id"), F.col("class_name").alias("adn_name"))
@@ -159,7 +159,7 @@ def mediation_value(lr: DataFrame, cost: DataFrame, begin_day=None, end_day=None
     events = src.select("dt", "country", F.col("publisherId").alias("publisher_id"),
                         F.col("pubAppId").alias("pub_app_id"), F.col("mid").alias("adn_id"),
                         F.col("iid").alias("instance_id"), "uid",
-                        counter_value(6, "impr").alias("impr_cur"), counter_value(7, "click").alias("click_cur"))
+                        counter_value(6, "impr").alias("shows"), counter_value(7, "click").alias("taps"))
     inst_keys = ["dt", "country", "publisher_id", "pub_app_id", "adn_id", "instance_id"]
     cost_sum = (cost.filter(day_filter("dt", begin_day, end_day))
                 .groupBy(*inst_keys).agg(F.sum(F.coalesce("cost", F.lit(0))).alias("cost")))

@@ -77,22 +77,35 @@ def user_reports(lr: DataFrame, begin_day=None, end_day=None, enabled=("adn", "a
                                                                        "instance")) -> dict[str, DataFrame]:
     """Base and abtest always, plus the enabled optional reports.
 
-    All reports are built on one pruned, filtered projection of the log;
-    a caller writing several of them in one run should persist that
-    projection (``.persist()`` on the returned ``"_shared"`` frame) so the
-    JSON logs are parsed once. Each report stays its own aggregation
-    (GROUPING SETS over four distinct counts would multiply the Expand by
-    the number of sets).
+    The log is parsed and reduced once, to the distinct (dimensions, ip, did,
+    uid, impression) of all the reports; every count is a distinct count, so
+    each report is counted from that frame. Spark computes its exchange once
+    where the reports run in one job (``user_reports_table``); a caller that
+    writes them one by one stores the ``"_shared"`` frame first.
     """
-    needed = ["dt", "serverTs", "publisherId", "pubAppId", "plat", "country", "appv", "sdkv", "osv",
-              "ip", "did", "uid", "type", "abt", "abtId", "mid", "pid", "iid"]
-    shared = lr.filter(F.col("serverTs").isNotNull() & day_filter("dt", begin_day, end_day)).select(*needed)
     names = ["base", "abtest"] + [n for n in enabled if n not in ("base", "abtest")]
+    extra = list(dict.fromkeys(_EXTRA_DIMS[d] for n in names for d in USER_DIM_SETS[n]))
+    impression = F.when(F.col("type") == 6, 6).alias("type")
+    shared = (lr.filter(F.col("serverTs").isNotNull() & day_filter("dt", begin_day, end_day))
+              .select("dt", "publisherId", "pubAppId", "plat", "country", "appv", "sdkv", "osv", "ip", "did", "uid",
+                      impression, *extra).distinct().withColumn("serverTs", F.lit(0)))
     out = {n: user_report(shared, dims=n) for n in names}
     out["_shared"] = shared
     return out
 
 
+def user_reports_table(lr: DataFrame, begin_day=None, end_day=None, **kw) -> DataFrame:
+    """C7c as one frame: the rows of every enabled report, tagged ``report``;
+    dimensions that a report lacks are NULL."""
+    reports = user_reports(lr, begin_day, end_day, **kw)
+    out = None
+    for name, df in reports.items():
+        if name != "_shared":
+            tagged = df.withColumn("report", F.lit(name))
+            out = tagged if out is None else out.unionByName(tagged, allowMissingColumns=True)
+    return out
+
+
 # ---------------------------------------------------------------- C8
 
 USER_KEYS = ["publisher_id", "pub_app_id", "country", "uid"]

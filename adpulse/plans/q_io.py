@@ -194,3 +194,29 @@ def q_keyed_replace(spark, sf_dir):
     incoming = s.filter(F.col("pub_app_id") % 2 == 0).withColumn("impr", F.col("impr") * 2)
     out = writers.replace_keys(s, incoming, ["pub_app_id", "day"])
     return out.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
+@register("csv_dir_roundtrip", QUERIES["user_report"].oracle)
+def q_csv_dir_roundtrip(spark, sf_dir):
+    """The daily user report as CSV part files, written twice."""
+    out = users.user_report(Views(spark, sf_dir).f_lr)
+    path = f"{scratch(spark)}/stat_dau"
+    for _ in range(2):
+        writers.write_csv_dir(out, path)
+    return spark.read.schema(out.schema).csv(path)
+
+
+@register("cost_sync", with_views(["f_cost"], """
+SELECT CAST(dt AS VARCHAR) AS day, instance_id, country, CAST(SUM(coalesce(cost, 0)) AS DOUBLE) AS cost
+FROM f_cost WHERE dt >= (SELECT max(dt) FROM f_cost) - INTERVAL 2 DAY GROUP BY ALL
+"""))
+def q_cost_sync(spark, sf_dir):
+    """H5: the last three days' costs copied day by day, every day twice."""
+    costs = Views(spark, sf_dir).f_cost
+    path = f"{scratch(spark)}/ods_stat_adnetwork"
+    _, last = _day_range(costs)
+    for back in (2, 1, 0, 2, 1, 0):
+        day = last - _dt.timedelta(days=back)
+        writers.sync_costs(costs.filter(F.col("dt") == F.lit(day)).drop("dt"), path, day)
+    out = spark.read.parquet(path).groupBy(F.col("day").cast("string").alias("day"), "instance_id", "country")
+    return out.agg(F.sum(F.coalesce("cost", F.lit(0))).cast("double").alias("cost"))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def dict_table(d: DataFrame) -> DataFrame:
     """The dictionary rows as they are."""
@@ -15,18 +15,27 @@ def dict_table(d: DataFrame) -> DataFrame:
 
 def dict_paths(d: DataFrame) -> DataFrame:
     """Every dictionary node with its path ``/root/child/...`` (roots
-    have pid 0), resolved with a recursive CTE: each iteration is one join of
-    the frontier with the table, so depth, not size, bounds the work."""
-    # a uniquely named temp view: the recursive CTE is SQL-only, and the view
-    # must outlive this call because the returned frame is evaluated lazily
-    view = f"_dict_{uuid.uuid4().hex}"
-    d.select("id", "pid", "name", "value").createOrReplaceTempView(view)
-    return d.sparkSession.sql(f"""
-        WITH RECURSIVE p(id, path) AS (
-          SELECT id, concat('/', name) FROM {view} WHERE pid = 0
-          UNION ALL
-          SELECT c.id, concat(p.path, '/', c.name) FROM {view} c JOIN p ON c.pid = p.id)
-        SELECT p.id, p.path, t.value FROM p JOIN {view} t ON p.id = t.id""")
+    have pid 0), level by level: each level joins the frontier with the
+    table until no child is left, at any depth. A frontier that is still not
+    empty after as many levels as there are ids walks in a circle: an error."""
+    ensure_checkpoint_dir(d.sparkSession)
+    nodes = d.select("id", "pid", "name", "value").checkpoint()
+    ids = nodes.select("id").distinct().count()
+    frontier = nodes.filter(F.col("pid") == 0).select("id", F.concat(F.lit("/"), "name").alias("path"), "value")
+    levels = []
+    while True:
+        frontier = frontier.checkpoint()
+        if not frontier.limit(1).count():
+            break
+        levels.append(frontier)
+        if len(levels) > ids:
+            raise ValueError("the dictionary's parent ids form a circle")
+        parent = frontier.select(F.col("id").alias("pid"), F.col("path").alias("_up"))
+        frontier = nodes.join(parent, "pid").select("id", F.concat("_up", F.lit("/"), "name").alias("path"), "value")
+    out = frontier if not levels else levels[0]
+    for level in levels[1:]:
+        out = out.unionByName(level)
+    return out
 
 
 def dict_lookup(paths: DataFrame, kind: str = "string", default=None) -> DataFrame:

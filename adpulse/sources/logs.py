@@ -31,16 +31,17 @@ def slot_path(root: str, table: str, slot: _dt.datetime, layout: str = PLAIN) ->
 
 
 def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
-    """Keep the paths that exist (one metadata call per hour slot through the
-    Hadoop file system of the path, so it works for any store Spark reads)."""
+    """Keep the paths that exist: one listing per parent folder (a day of
+    hour slots) through the Hadoop file system of the path, so it works for
+    any store Spark reads."""
     jvm = spark.sparkContext._jvm
     conf = spark._jsparkSession.sessionState().newHadoopConf()
-    keep = []
-    for p in paths:
-        jp = jvm.org.apache.hadoop.fs.Path(p)
-        if jp.getFileSystem(conf).exists(jp):
-            keep.append(p)
-    return keep
+    there = {}
+    for parent in dict.fromkeys(p.rsplit("/", 1)[0] for p in paths):
+        jp = jvm.org.apache.hadoop.fs.Path(f"{parent}/*")
+        found = jp.getFileSystem(conf).globStatus(jp) or []
+        there[parent] = {status.getPath().getName() for status in found}
+    return [p for p in paths if p.rsplit("/", 1)[1] in there[p.rsplit("/", 1)[0]]]
 
 
 def with_slot_columns(df: DataFrame, path_col: F.Column, layout: str = PLAIN) -> DataFrame:

@@ -220,3 +220,42 @@ def test_region_map_keeps_whitelisted_countries_only(spark):
     out = {r.pub_app_id: r for r in forecast.uar_region_map(fc, apps).collect()}
     assert list(out[1].region_uar) == ["US"] and out[1].region_uar["US"][0] == Decimal("1")
     assert out[2].region_uar_json == "{}"                      # no whitelisted region: empty map
+
+
+def test_dictionary_of_any_depth_and_circles(spark):
+    import pytest
+    from adpulse.snapshots import common
+    chain = [(i + 1, i, f"n{i}", str(i)) for i in range(120)]
+    d = spark.createDataFrame(chain + [(500, 501, "a", "x"), (501, 500, "b", "y")], "id int, pid int, name string, value string")
+    got = {r.id: r.path for r in common.dict_paths(d).collect()}
+    assert got[3] == "/n0/n1/n2" and got[120].count("/") == 120 and 500 not in got  # a circle no root leads to
+    ring = spark.createDataFrame([(1, 0, "a", "x"), (2, 1, "b", "y"), (1, 2, "a", "z")], "id int, pid int, name string, value string")
+    with pytest.raises(ValueError):
+        common.dict_paths(ring)
+
+
+def test_repeated_keys_and_null_switches_in_snapshots(spark):
+    from adpulse.snapshots import inventory
+    steps = spark.createDataFrame([("5:30\n7:70\r\nx\n5:40",), ("",)], "s string").select(
+        inventory.inventory_interval_step("s").alias("m")).collect()
+    assert steps[0].m == {5: 40, 7: 70} and steps[1].m == {5: 30, 8: 300, 10: 3600}
+    pc = spark.createDataFrame([(1, 10, "US", 1, 2.5, 9.0, 3), (2, 10, "US", 1, 4.5, None, 0), (3, 10, "DE", None, 1.0, 1.0, 1)],
+                               "id int, placement_id int, country string, floor_price_switch int, floor_price double, max_price double, hour0 int")
+    placements = spark.createDataFrame([(10, 7, 1)], "id int, pub_app_id int, status int")
+    apps = spark.createDataFrame([(7, 1, 1)], "id int, publisher_id int, status int")
+    live, gone = (spark.createDataFrame([(1, s)], "id int, status int") for s in (1, 0))
+    m = inventory.placement_country_settings(pc, placements, apps, live).first().country_settings
+    assert (m["US"].floor_price, m["US"].max_price, m["US"].period) == (4.5, -1.0, {})
+    assert (m["DE"].floor_price, m["DE"].max_price, m["DE"].period) == (-1.0, -1.0, {0: 1})
+    assert inventory.placement_country_settings(pc, placements, apps, gone).count() == 0
+
+
+def test_mean_seed_is_exact_beyond_eight_decimals(spark):
+    from decimal import Decimal
+    from adpulse.operators import forecast
+    rows = [("g", i, Decimal(x)) for i, x in enumerate(("0.000001499999999999", "0.0000015", "0.000001500000000001", "1"))]
+    df = spark.createDataFrame(rows, "k string, o int, v decimal(38,18)")
+    for seed, want in ((3, "0.000002"), (2, "0.000001")):
+        n = F.lit(seed)
+        total = df.filter(F.col("o") < seed).agg(F.sum("v").cast("decimal(38,18)").alias("t"))
+        assert total.select(forecast.mean_seed(F.col("t"), n, seed).alias("m")).first().m == Decimal(want)
