@@ -44,7 +44,6 @@ from .common import Stored, map_batches
 
 K = 64
 T = 32
-K_FIRST, T_FIRST = 32, 12  # of the K_FIRST smallest values T_FIRST coincide (chance of fewer: about 3e-8)
 HOT_VALUES = 1 << 16  # entries of the broadcast table of frequent values (an order hint only)
 SALT = 256
 K_WIDE = 512
@@ -113,19 +112,15 @@ def sketches(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame
 
 
 def _with_company(classes: DataFrame) -> DataFrame:
-    """The classes that may have a partner: at least T_FIRST of their K_FIRST
-    smallest values (four fifths of a smaller set) occur in another class. ``m``
-    tells how many of the K values do: a group's least edited texts have the most."""
-    probes = classes.select("cid", "n", F.explode(F.slice("sketch", 1, K_FIRST)).alias("value"))
-    common = probes.groupBy("value").agg(F.count("*").alias("c")).where("c > 1").select("value")
-    need = F.least(F.lit(T_FIRST), F.ceil(F.col("n") * PERCENT / 100.0))
-    alive = (probes.join(Stored(common, "common-values").df, "value").groupBy("cid").agg(F.count("*").alias("m"), F.first("n").alias("n"))
-             .where(F.col("m") >= need).select("cid"))
-    left = Stored(classes.join(Stored(alive, "alive").df.hint("merge"), "cid", "left_semi"), "candidates").df
-    values = left.select("cid", F.explode("sketch").alias("value"))
-    common = Stored(values.groupBy("value").agg(F.count("*").alias("c")).where("c > 1").select("value"), "shared-values").df
-    company = values.join(common, "value").groupBy("cid").agg(F.count("*").cast("int").alias("m"))
-    return Stored(left.join(company, "cid"), "company").df
+    """The classes that may have a partner: at least T of their K smallest
+    values (four fifths of a smaller set) occur in another class. ``m`` tells
+    how many do: a group's least edited texts have the most."""
+    values = classes.select("cid", "n", F.explode("sketch").alias("value"))
+    common = values.groupBy("value").agg(F.count("*").alias("c")).where("c > 1").select("value")
+    need = F.least(F.lit(T), F.ceil(F.col("n") * PERCENT / 100.0))
+    alive = (values.join(Stored(common, "common-values").df, "value").groupBy("cid")
+             .agg(F.count("*").cast("int").alias("m"), F.first("n").alias("n")).where(F.col("m") >= need).select("cid", "m"))
+    return Stored(classes.join(alive.hint("merge"), "cid"), "candidates").df
 
 
 def _hot_values(classes: DataFrame):
@@ -320,15 +315,12 @@ def connected(links: DataFrame) -> DataFrame:
         old = labels.df.select("node", "comp")
         near = (edges.join(old, edges["b"] == F.col("node")).groupBy(F.col("a").alias("n"))
                 .agg(F.min("comp").alias("m")))
-        step = Stored(old.join(near, F.col("node") == F.col("n"), "left")
-                      .select("node", F.least("comp", F.coalesce("m", "comp")).alias("comp"), F.col("comp").alias("was")),
-                      "labels-step")
-        root = step.df.select(F.col("node").alias("r"), F.col("comp").alias("up"))
-        jumped = Stored(step.df.join(root, F.col("comp") == F.col("r"), "left")
-                        .select("node", F.least("comp", F.coalesce("up", "comp")).alias("comp"), "was"), "labels")
+        least = old.join(near, F.col("node") == F.col("n")).select("node", F.least("comp", "m").alias("to"), F.col("comp").alias("was"))
+        root = old.select(F.col("node").alias("r"), F.col("comp").alias("up"))
+        step = Stored(least.join(root, F.col("to") == F.col("r"))
+                      .select("node", F.least("to", "up").alias("comp"), "was"), "labels")
         labels.drop()
-        step.drop()
-        labels = jumped
+        labels = step
         if not labels.df.where("comp <> was").limit(1).count():
             return labels.df.select("node", "comp")
 
@@ -373,8 +365,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if open_.limit(1).count():
         cross = Stored(_across(open_, texts, width).join(tried, ["a", "b"], "left_anti"), "cross").df
         more = Stored(_verified(_estimated(cross, classes), texts, width), "more-links").df
-        links = Stored(links.unionByName(more), "all-links").df
-        comps = connected(links)
+        if more.limit(1).count():
+            comps = connected(links.unionByName(more))
 
     found = everyone.select("cid", "fp", "rep").join(comps.select(F.col("node").alias("cid"), "comp"), "cid", "left")
     found = Stored(found.withColumn("comp", F.coalesce("comp", "cid")), "found").df
