@@ -184,11 +184,34 @@ FROM ${part}
 VIEWS["f_campaign"] = """
 SELECT c_custkey AS id, CAST(1 + c_nationkey % 5 AS INT) AS publisher_id, c_name AS name,
        CASE WHEN c_custkey % 7 = 0 THEN 0 ELSE 1 END AS status, CAST(floor(c_acctbal / 100) AS INT) AS daily_cap,
-       hour_mask, hour_mask AS hour0, hour_mask AS hour1, hour_mask AS hour2, hour_mask AS hour3,
-       hour_mask AS hour4, hour_mask AS hour5, hour_mask AS hour6,
-       TIMESTAMP '1998-01-01 00:00:00' AS start_time, TIMESTAMP '1999-01-01 00:00:00' AS end_time
-FROM (SELECT *, CASE c_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 0 WHEN 2 THEN 8 ELSE 16777215 END AS hour_mask
-      FROM ${customer}) c
+       concat('app', CAST(c_custkey % 60 AS STRING)) AS app_id,
+       CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE CAST(c_custkey % 40 * 0.125 AS DECIMAL(10,3)) END AS price,
+       CASE WHEN c_custkey % 9 = 1 THEN NULL ELSE CAST(c_custkey % 300 AS DECIMAL(10,3)) END AS daily_budget,
+       CASE WHEN c_custkey % 9 = 2 THEN NULL ELSE CAST(c_custkey % 8 * 0.5 AS DECIMAL(10,3)) END AS max_bidprice,
+       CASE WHEN c_custkey % 9 = 3 THEN NULL ELSE CAST(c_custkey % 8 * 0.25 AS DECIMAL(10,3)) END AS bidprice,
+       TIMESTAMP '1998-01-01 00:00:00' AS start_time, TIMESTAMP '1999-01-01 00:00:00' AS end_time,
+       """ + _columns("c_custkey", "ska_campaign_id type platform billing_type impr_cap impr_freq open_type",
+                      "app_name preview_url ad_domain click_url", "click_tk_urls impr_tk_urls") + """
+FROM ${customer}
+"""
+
+# one campaign in 5 has no hour masks at all
+VIEWS["f_campaign_period"] = """
+SELECT c_custkey AS campaign_id, hour_mask AS hour0, hour_mask AS hour1, hour_mask AS hour2, hour_mask AS hour3,
+       hour_mask AS hour4, hour_mask AS hour5, hour_mask AS hour6
+FROM (SELECT *, CASE c_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 0 WHEN 2 THEN 8 ELSE 16777207 END AS hour_mask
+      FROM ${customer} WHERE c_custkey % 5 <> 2) c
+"""
+
+# every campaign has a price in two or three countries; 'US' repeats
+VIEWS["f_bidprice"] = """
+SELECT CAST(c_custkey * 10 AS BIGINT) AS id, c_custkey AS campaign_id, 'US' AS country, CAST(1.25 AS DECIMAL(10,3)) AS bidprice FROM ${customer}
+UNION ALL
+SELECT CAST(c_custkey * 10 + 1 AS BIGINT) AS id, c_custkey AS campaign_id, 'DE' AS country,
+       CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(c_custkey % 9 * 0.5 AS DECIMAL(10,3)) END AS bidprice FROM ${customer}
+UNION ALL
+SELECT CAST(c_custkey * 10 + 2 AS BIGINT) AS id, c_custkey AS campaign_id, 'US' AS country, CAST(2.5 AS DECIMAL(10,3)) AS bidprice
+FROM ${customer} WHERE c_custkey % 2 = 0
 """
 
 VIEWS["f_campaign_prev"] = """
@@ -205,7 +228,8 @@ FROM ${orders}
 
 VIEWS["f_creative"] = """
 SELECT o_orderkey AS id, o_custkey AS campaign_id, CAST(o_orderkey % 4 AS INT) AS weight,
-       CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END AS status
+       CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END AS status,
+       """ + _columns("o_orderkey", "type template endcard_template", "name title descn play_url") + """
 FROM ${orders}
 """
 
@@ -314,13 +338,18 @@ SELECT CAST(o_custkey % 5 AS INT) AS publisher_id, CAST(o_orderkey AS INT) AS pu
 
 VIEWS["f_material"] = """
 SELECT p_partkey AS id, CAST(p_size % 3 AS INT) AS type, concat('https://cdn.example/', CAST(p_partkey AS STRING)) AS url,
-       CASE WHEN p_partkey % 10 = 0 THEN 0 ELSE 1 END AS status FROM ${part}
+       CASE WHEN p_partkey % 10 = 0 THEN 0 ELSE 1 END AS status,
+       """ + _columns("p_partkey", "width height size video_duration need_carousel", "mime_type") + """
+FROM ${part}
 """
 
 VIEWS["f_store_app"] = """
 SELECT CAST(s_suppkey AS INT) AS id, concat('app', CAST(s_suppkey % 60 AS STRING)) AS app_id, CAST(s_suppkey % 2 AS INT) AS plat,
        CASE s_suppkey % 5 WHEN 0 THEN 'Varies with device' WHEN 1 THEN '4.4 and up' WHEN 2 THEN '5.0 - 9.0' WHEN 3 THEN '11.0'
-            ELSE NULL END AS os_require FROM ${supplier}
+            ELSE NULL END AS os_require,
+       CASE WHEN s_suppkey % 4 = 1 THEN NULL ELSE CAST(s_suppkey % 50 * 0.125 AS DECIMAL(8,3)) END AS rating_value,
+       """ + _columns("s_suppkey", "rating_count category_id sub_category_id1 sub_category_id2", "name icon category") + """
+FROM ${supplier}
 """
 
 VIEWS["f_country"] = """

@@ -478,103 +478,136 @@ _NOW_SQL = f"TIMESTAMP '{CP_NOW:%Y-%m-%d %H:%M:%S}'"
 _DOW = CP_NOW.isoweekday() % 7
 _BIT = 1 << CP_NOW.hour
 _ELIG_SQL = f"""
-, elig AS (SELECT * FROM f_campaign WHERE status = 1 AND start_time <= {_NOW_SQL} AND end_time >= {_NOW_SQL}
+, elig AS (SELECT c.* FROM f_campaign c LEFT JOIN f_campaign_period p ON p.campaign_id = c.id
+           WHERE c.status = 1 AND start_time <= {_NOW_SQL} AND end_time >= {_NOW_SQL}
            AND (hour{_DOW} IS NULL OR hour{_DOW} = 0 OR (hour{_DOW} & {_BIT}) = {_BIT}))
 , crs AS (SELECT * FROM f_creative WHERE status = 1 AND weight > 0 AND campaign_id IN (SELECT id FROM elig))"""
+_F3 = "CAST(CAST(CAST(coalesce({0}, 0) AS FLOAT) AS DECIMAL(18,3)) AS VARCHAR)"
 
 
-@register("cp_eligible_campaigns", with_views(["f_campaign"], _ELIG_SQL + """
+def cp_views(*names: str) -> list[str]:
+    """The views every promotion oracle needs, and its own."""
+    return ["f_campaign", "f_campaign_period", "f_creative", *[n for n in names if n != "f_creative"]]
+
+
+def _eligible(v):
+    return promotion.eligible_campaigns(v.f_campaign, v.f_campaign_period, CP_NOW)
+
+
+@register("cp_eligible_campaigns", with_views(cp_views(), _ELIG_SQL + """
 SELECT id, publisher_id, name, daily_cap FROM elig
 """))
 def q_cp_eligible(spark, sf_dir):
-    c = promotion.eligible_campaigns(Views(spark, sf_dir).f_campaign, CP_NOW)
-    return c.select("id", "publisher_id", "name", "daily_cap")
+    return _eligible(Views(spark, sf_dir)).select("id", "publisher_id", "name", "daily_cap")
+
+
+_CR_TEXTS, _CR_INTS = "name title descn play_url", "type weight template endcard_template"
 
 
-@register("cp_creative", with_views(["f_campaign", "f_creative", "f_creative_material"], _ELIG_SQL + """
+@register("cp_creative", with_views(cp_views("f_creative_material"), _ELIG_SQL + f"""
 , mats AS (SELECT creative_id, array_to_string(list(CAST(material_id AS VARCHAR) ORDER BY material_id), '|') AS m
            FROM f_creative_material WHERE creative_id IN (SELECT id FROM crs) GROUP BY creative_id)
-SELECT crs.id, crs.campaign_id, crs.weight, coalesce(mats.m, '') AS material_ids
+SELECT crs.id, crs.campaign_id, {d_ints(_CR_INTS, 'crs.')}, {d_texts(_CR_TEXTS, 'crs.')}, coalesce(mats.m, '') AS material_ids
 FROM crs LEFT JOIN mats ON mats.creative_id = crs.id
 """))
 def q_cp_creative(spark, sf_dir):
     """Eligible creatives with their material ids."""
     v = Views(spark, sf_dir)
-    ids = promotion.eligible_campaigns(v.f_campaign, CP_NOW).select("id")
-    out = promotion.creative(v.f_creative, ids, v.f_creative_material)
-    return out.select("id", "campaign_id", "weight", j(F.col("material_ids").cast("array<string>"))
-                      .alias("material_ids"))
+    out = promotion.creative(v.f_creative, _eligible(v).select("id"), v.f_creative_material)
+    return out.select("id", "campaign_id", *_CR_INTS.split(), *_CR_TEXTS.split(),
+                      j(F.col("material_ids").cast("array<string>")).alias("material_ids"))
 
 
-@register("cp_material", with_views(["f_campaign", "f_creative", "f_creative_material", "f_material"], _ELIG_SQL + """
-SELECT DISTINCT id, type, url FROM f_material
+@register("cp_material", with_views(cp_views("f_creative_material", "f_material"), _ELIG_SQL + f"""
+SELECT DISTINCT id, url, {d_texts('mime_type')}, {d_ints('type width height size video_duration')} FROM f_material
 WHERE status = 1 AND id IN (SELECT material_id FROM f_creative_material WHERE creative_id IN (SELECT id FROM crs))
 """))
 def q_cp_material(spark, sf_dir):
     v = Views(spark, sf_dir)
-    ids = promotion.eligible_campaigns(v.f_campaign, CP_NOW).select("id")
-    crs = promotion.eligible_creatives(v.f_creative, ids).select("id")
+    crs = promotion.eligible_creatives(v.f_creative, _eligible(v).select("id")).select("id")
     return promotion.material(v.f_material, crs, v.f_creative_material)
 
 
+# written out here, not taken from the operator: list, type code, kind
+_TARGETS = """
+pubapp_white 0 int, pubapp_black 1 int, placement_white 2 int, placement_black 3 int, make_white 4 str, make_black 5 str,
+brand_white 6 str, brand_black 7 str, model_white 8 str, model_black 9 str, devicetype_white 10 int, devicetype_black 11 int,
+contype 12 set, mccmnc_white 13 str, mccmnc_black 14 str, osv_white 15 osv, osv_black 16 osv, country_white 17 str,
+country_black 18 str"""
+_TARGETS = [x.split() for x in _TARGETS.split(",")]
+
+
 def _target_sql() -> str:
     cols = []
-    for code, name, kind in promotion.TARGET_TYPES:
+    for name, code, kind in _TARGETS:
+        hit = f"FILTER (WHERE type = {code})"
         if kind == "int":
             cols.append(f"coalesce(array_to_string(list_transform(list_sort(list(coalesce(TRY_CAST(content AS INTEGER), 0)) "
-                        f"FILTER (WHERE type = {code})), lambda x: CAST(x AS VARCHAR)), '|'), '') AS {name}")
+                        f"{hit}), lambda x: CAST(x AS VARCHAR)), '|'), '') AS {name}")
         elif kind == "str":
-            cols.append(f"coalesce(array_to_string(list_sort(list(content) FILTER (WHERE type = {code})), '|'), '') "
-                        f"AS {name}")
+            cols.append(f"coalesce(array_to_string(list_sort(list(content) {hit}), '|'), '') AS {name}")
         elif kind == "set":
-            cols.append(f"coalesce(CAST(max(coalesce(TRY_CAST(content AS INTEGER), 0)) FILTER (WHERE type = {code}) "
-                        f"AS VARCHAR), '') AS {name}")
+            cols.append(f"coalesce(CAST(max(coalesce(TRY_CAST(content AS INTEGER), 0)) {hit} AS VARCHAR), '') AS {name}")
         else:
             cols.append(f"coalesce(array_to_string(list_sort(flatten(list(list_filter({d_parts('content')}, lambda r: "
-                        f"left(r, 1) NOT IN ('[', '('))) FILTER (WHERE type = {code}))), '|'), '') AS {name}")
+                        f"left(r, 1) NOT IN ('[', '('))) {hit})), '|'), '') AS {name}")
+            cols.append(f"coalesce(array_to_string(list_sort(list_filter(list({d_ranges('content')}) {hit}, lambda r: r <> '')), '|'), '') "
+                        f"AS {name}_range")
     return ",\n       ".join(cols)
 
 
-@register("cp_targeting", with_views(["f_campaign", "f_targeting"], _ELIG_SQL + f"""
+@register("cp_targeting", with_views(cp_views("f_targeting"), _ELIG_SQL + f"""
 SELECT campaign_id, {_target_sql()}
 FROM f_targeting WHERE campaign_id IN (SELECT id FROM elig) AND campaign_id >= 1
 GROUP BY campaign_id
 """))
 def q_cp_targeting(spark, sf_dir):
-    """Targeting pivot (range lists are compared through their items)."""
+    """Targeting pivot, version ranges included."""
     v = Views(spark, sf_dir)
-    ids = promotion.eligible_campaigns(v.f_campaign, CP_NOW).select("id")
-    t = promotion.campaign_targeting(v.f_targeting, ids)
+    t = promotion.campaign_targeting(v.f_targeting, _eligible(v).select("id"))
     cols = []
-    for code, name, kind in promotion.TARGET_TYPES:
+    for name, _, kind in _TARGETS:
         if kind == "set":
             cols.append(F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name))
         else:
             cols.append(j(F.col(name).cast("array<string>")).alias(name))
+        if kind == "osv":
+            cols.append(render_ranges(F.col(f"{name}_range")).alias(f"{name}_range"))
     return t.select("campaign_id", *cols)
 
 
-@register("cp_campaign", with_views(["f_campaign"], _ELIG_SQL + """
-SELECT id, publisher_id, name, daily_cap, '' AS click_tk_urls FROM elig
+_CA_INTS = "ska_campaign_id type platform billing_type daily_cap impr_cap impr_freq open_type"
+_CA_NUMBERS = "price daily_budget max_bidprice bidprice"
+_CA_TEXTS = "name app_id app_name preview_url ad_domain click_url"
+
+
+@register("cp_campaign", with_views(cp_views("f_bidprice"), _ELIG_SQL + f"""
+, bp AS (SELECT campaign_id, array_to_string(list(country || '=' || {_F3.format('bidprice')} ORDER BY country), '|') AS prices
+         FROM (SELECT *, row_number() OVER (PARTITION BY campaign_id, country ORDER BY id DESC) AS rn FROM f_bidprice) x
+         WHERE rn = 1 GROUP BY campaign_id)
+SELECT elig.id, publisher_id, {d_ints(_CA_INTS)}, {', '.join(f"{_F3.format(n)} AS {n}" for n in _CA_NUMBERS.split())},
+       {d_texts(_CA_TEXTS)}, {d_lists('click_tk_urls impr_tk_urls')}, coalesce(bp.prices, '') AS country_bidprice
+FROM elig LEFT JOIN bp ON bp.campaign_id = elig.id
 """))
 def q_cp_campaign(spark, sf_dir):
-    """G28 (the fixture has no bid prices or tracking urls: empty lists)."""
-    out = promotion.campaign(Views(spark, sf_dir).f_campaign, CP_NOW)
-    return out.select("id", "publisher_id", "name", "daily_cap", j(F.col("click_tk_urls")).alias("click_tk_urls"))
+    """Eligible campaigns with bid prices by country and tracking lists."""
+    v = Views(spark, sf_dir)
+    out = promotion.campaign(_eligible(v), v.f_bidprice)
+    return out.select("id", "publisher_id", *_CA_INTS.split(), *[f3(F.col(n)).alias(n) for n in _CA_NUMBERS.split()],
+                      *_CA_TEXTS.split(), *joined("click_tk_urls impr_tk_urls"),
+                      map_text(F.col("country_bidprice"), lambda x: f3(x)).alias("country_bidprice"))
 
 
-@register("cp_template", with_views(["f_material"], """
-SELECT id, type, url FROM f_material WHERE status = 1 AND type = 2
+@register("cp_template", with_views(["f_material"], f"""
+SELECT id, url, {d_ints('type width height')}, coalesce(need_carousel, 0) = 1 AS need_carousel FROM f_material WHERE status = 1
 """))
 def q_cp_template(spark, sf_dir):
-    """G32 over H5 templates derived from the material table (type 2)."""
-    m = Views(spark, sf_dir).f_material.filter(F.col("type") == 2)
-    return promotion.template(m)
+    """G32 over H5 templates derived from the material table."""
+    return promotion.template(Views(spark, sf_dir).f_material)
 
 
-@register("cp_app", with_views(["f_campaign", "f_store_app"], _ELIG_SQL + """
-, used AS (SELECT DISTINCT concat('app', CAST(id % 60 AS VARCHAR)) AS app_id FROM elig)
-, a AS (SELECT * FROM f_store_app WHERE app_id IN (SELECT app_id FROM used))
+@register("cp_app", with_views(cp_views("f_store_app"), _ELIG_SQL + f"""
+, a AS (SELECT * FROM f_store_app WHERE app_id IN (SELECT app_id FROM elig))
 SELECT id, app_id, plat,
        CASE WHEN trim(coalesce(os_require, '')) = '' THEN ''
             WHEN plat = 1 THEN CASE WHEN contains(os_require, 'Varies with device') THEN ''
@@ -585,12 +618,13 @@ SELECT id, app_id, plat,
             WHEN plat = 1 THEN CASE WHEN contains(os_require, 'Varies with device') THEN ''
                                     WHEN contains(os_require, ' and up') THEN ''
                                     WHEN contains(os_require, ' - ') THEN split_part(os_require, ' - ', 2) ELSE '' END
-            ELSE '' END AS osv_max
+            ELSE '' END AS osv_max,
+       {d_texts('name icon category')}, {d_ints('rating_count category_id sub_category_id1 sub_category_id2')},
+       {_F3.format('rating_value')} AS rating_value
 FROM a
 """))
 def q_cp_app(spark, sf_dir):
-    """Store apps of eligible campaigns (campaign app id derived from its id)."""
+    """Store apps of eligible campaigns."""
     v = Views(spark, sf_dir)
-    elig = promotion.eligible_campaigns(v.f_campaign, CP_NOW).select(
-        F.concat(F.lit("app"), (F.col("id") % 60).cast("string")).alias("app_id"))
-    return promotion.store_app(v.f_store_app, elig)
+    out = promotion.store_app(v.f_store_app, _eligible(v))
+    return out.withColumn("rating_value", f3(F.col("rating_value")))

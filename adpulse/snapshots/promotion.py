@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import range_exp, text_list
-from .inventory import active
+from .inventory import active, ints, last_by_id, texts
 
 # Campaign targeting type codes -> (output list, kind).
 # kind: int = integer list, str = text list, set = single value, osv = version expression.
@@ -27,16 +27,23 @@ TARGET_TYPES = [
 ]
 
 
-def eligible_campaigns(campaigns: DataFrame, now: _dt.datetime) -> DataFrame:
-    """Active campaigns running at ``now`` (UTC) whose hour mask for
-    today's weekday (0 = Sunday) is unset, 0 or has the current hour bit."""
+def numbers(df: DataFrame, names: str) -> list[Column]:
+    """The named decimal columns as floats, NULL as 0."""
+    return [F.coalesce(F.col(n).cast("float"), F.lit(0.0).cast("float")).alias(n) for n in names.split()]
+
+
+def eligible_campaigns(campaigns: DataFrame, periods: DataFrame, now: _dt.datetime) -> DataFrame:
+    """Active campaigns running at ``now`` (UTC) whose period row, if
+    there is one, leaves today's hour mask (0 = Sunday) unset, 0 or with the
+    current hour's bit. A campaign with several period rows needs one that fits."""
     dow = (now.isoweekday()) % 7
     bit = 1 << now.hour
     mask = F.col(f"hour{dow}")
     ts = F.lit(now.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
-    cond = ((F.col("status") == 1) & (F.col("start_time") <= ts) & (F.col("end_time") >= ts)
-            & (mask.isNull() | (mask == 0) | ((mask.bitwiseAND(F.lit(bit))) == F.lit(bit))))
-    return campaigns.filter(cond)
+    running = campaigns.filter((F.col("status") == 1) & (F.col("start_time") <= ts) & (F.col("end_time") >= ts))
+    fits = mask.isNull() | (mask == 0) | (mask.bitwiseAND(F.lit(bit)) == F.lit(bit))
+    per = periods.groupBy(F.col("campaign_id").alias("id")).agg(F.max(fits.cast("int")).alias("_fits"))
+    return running.join(per, "id", "left").filter(F.coalesce("_fits", F.lit(1)) == 1).drop("_fits")
 
 
 def eligible_creatives(creatives: DataFrame, campaign_ids: DataFrame) -> DataFrame:
@@ -45,18 +52,26 @@ def eligible_creatives(creatives: DataFrame, campaign_ids: DataFrame) -> DataFra
         campaign_ids.select(F.col("id").alias("campaign_id")), "campaign_id", "left_semi")
 
 
-def campaign(campaigns: DataFrame, now: _dt.datetime, bidprices: DataFrame | None = None) -> DataFrame:
-    """Eligible campaigns with country -> bid price and tracking lists."""
-    c = eligible_campaigns(campaigns, now)
-    cols = ["id", "publisher_id", "name", "daily_cap"]
-    out = c.select(*cols, *[text_list(x).alias(x) if x in c.columns else F.array().cast("array<string>").alias(x)
-                            for x in ("click_tk_urls", "impr_tk_urls")])
-    if bidprices is not None:
-        bp = bidprices.join(c.select(F.col("id").alias("campaign_id")), "campaign_id", "left_semi")
-        m = bp.groupBy("campaign_id").agg(F.map_from_entries(F.array_sort(F.collect_list(
-            F.struct("country", F.col("bidprice").cast("float"))))).alias("country_bidprice"))
-        out = out.join(m, out.id == m.campaign_id, "left").drop("campaign_id")
-    return out
+# Columns carried over as they are (fixed values).
+CAMPAIGN_INTS = "ska_campaign_id type platform billing_type daily_cap impr_cap impr_freq open_type"
+CAMPAIGN_NUMBERS = "price daily_budget max_bidprice bidprice"
+CAMPAIGN_TEXTS = "name app_id app_name preview_url ad_domain click_url"
+CREATIVE_TEXTS, CREATIVE_INTS = "name title descn play_url", "type weight template endcard_template"
+MATERIAL_INTS = "type width height size video_duration"
+APP_TEXTS, APP_INTS = "name icon category", "rating_count category_id sub_category_id1 sub_category_id2"
+
+
+def campaign(eligible: DataFrame, bidprices: DataFrame) -> DataFrame:
+    """Eligible campaigns (G26) with country -> bid price (the last row
+    of a country by id) and tracking lists."""
+    out = eligible.select("id", "publisher_id", *ints(eligible, CAMPAIGN_INTS), *numbers(eligible, CAMPAIGN_NUMBERS),
+                          *texts(eligible, CAMPAIGN_TEXTS), *[text_list(x).alias(x) for x in ("click_tk_urls", "impr_tk_urls")])
+    bp = bidprices.join(eligible.select(F.col("id").alias("campaign_id")), "campaign_id", "left_semi")
+    per = last_by_id(bp, ["campaign_id", "country"], F.struct(*numbers(bp, "bidprice")))
+    m = per.groupBy("campaign_id").agg(F.map_from_entries(F.array_sort(F.collect_list(
+        F.struct("country", F.col("v.bidprice"))))).alias("country_bidprice"))
+    out = out.join(m, out.id == m.campaign_id, "left").drop("campaign_id")
+    return out.withColumn("country_bidprice", F.coalesce("country_bidprice", F.create_map().cast("map<string,float>")))
 
 
 def campaign_targeting(targeting: DataFrame, campaign_ids: DataFrame) -> DataFrame:
@@ -90,7 +105,7 @@ def creative(creatives: DataFrame, campaign_ids: DataFrame, creative_material: D
     cr = eligible_creatives(creatives, campaign_ids)
     mats = creative_material.join(cr.select(F.col("id").alias("creative_id")), "creative_id", "left_semi")
     m = mats.groupBy("creative_id").agg(F.array_sort(F.collect_list("material_id")).alias("material_ids"))
-    out = cr.select("id", "campaign_id", "weight").join(m, F.col("id") == F.col("creative_id"), "left") \
+    out = cr.select("id", "campaign_id", *ints(cr, CREATIVE_INTS), *texts(cr, CREATIVE_TEXTS)).join(m, F.col("id") == F.col("creative_id"), "left") \
             .drop("creative_id")
     return out.withColumn("material_ids", F.coalesce("material_ids", F.array().cast("array<bigint>")))
 
@@ -99,12 +114,14 @@ def material(materials: DataFrame, creative_ids: DataFrame, creative_material: D
     """DISTINCT active materials used by eligible creatives."""
     used = creative_material.join(creative_ids.select(F.col("id").alias("creative_id")), "creative_id",
                                   "left_semi").select(F.col("material_id").alias("id"))
-    return active(materials).join(used, "id", "left_semi").select("id", "type", "url").distinct()
+    m = active(materials).join(used, "id", "left_semi")
+    return m.select("id", "url", *texts(m, "mime_type"), *ints(m, MATERIAL_INTS)).distinct()
 
 
 def template(templates: DataFrame) -> DataFrame:
     """Active H5 templates."""
-    return active(templates).drop("status")
+    t = active(templates)
+    return t.select("id", "url", *ints(t, "type width height"), (ints(t, "need_carousel")[0] == 1).alias("need_carousel"))
 
 
 def os_requirement(text: Column, plat: Column) -> tuple[Column, Column]:
@@ -127,4 +144,5 @@ def store_app(apps: DataFrame, eligible: DataFrame) -> DataFrame:
     used = eligible.select("app_id").distinct()
     a = apps.join(used, "app_id", "left_semi").dropDuplicates(["id"])
     lo, hi = os_requirement(F.col("os_require"), F.col("plat"))
-    return a.select("id", "app_id", "plat", lo.alias("osv_min"), hi.alias("osv_max"))
+    return a.select("id", "app_id", "plat", lo.alias("osv_min"), hi.alias("osv_max"), *texts(a, APP_TEXTS),
+                    *ints(a, APP_INTS), *numbers(a, "rating_value"))
