@@ -75,14 +75,15 @@ class Decoder:
     def __init__(self, model):
         self.model, self.cache, self.known = model, {}, {}
 
-    def _cost(self, context: int, symbol: int) -> float:
+    def _costs(self, context: int) -> list[float]:
+        """Cost in bits of every symbol after a context of three."""
         import numpy as np
-        key = (context << charlm.BITS) | symbol
-        got = self.known.get(key)
+        got = self.known.get(context)
         if got is None:
-            if len(self.known) > 500_000:
+            if len(self.known) > 10_000:
                 self.known.clear()
-            got = self.known[key] = -float(self.model.log2p(np.array([key], dtype=np.int32))[0])
+            after = np.arange(charlm.SYMBOLS, dtype=np.int32) + (context << charlm.BITS)
+            got = self.known[context] = (-self.model.log2p(after)).tolist()
         return got
 
     def restore(self, token: str) -> str:
@@ -111,17 +112,18 @@ class Decoder:
                 options = {**options, "": DROP_REPEAT}
             step: dict[int, tuple[float, str]] = {}
             for context, (cost, text) in beam.items():
+                costs = self._costs(context)
                 for letter, channel in options.items():
                     if letter:
                         s = charlm.symbol(letter)
                         state = ((context << charlm.BITS) | s) & mask
-                        new = (cost + channel + self._cost(context, s), text + letter)
+                        new = (cost + channel + costs[s], text + letter)
                     else:
                         state, new = context, (cost + channel, text)
                     if state not in step or new < step[state]:
                         step[state] = new
             beam = step
-        return min((cost + self._cost(c, 0), text) for c, (cost, text) in beam.items())[1]
+        return min((cost + self._costs(c)[0], text) for c, (cost, text) in beam.items())[1]
 
 
 def words_of(text: str) -> set[str]:
