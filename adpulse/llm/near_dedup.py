@@ -47,7 +47,7 @@ T = 32
 HOT_VALUES = 1 << 16  # entries of the broadcast table of frequent values (an order hint only)
 SALT = 256
 K_WIDE = 512
-LEADERS = 4
+LEADERS = 8
 BUCKET = 1.02
 PERCENT = 80
 
