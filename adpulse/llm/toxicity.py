@@ -12,7 +12,9 @@
    prefixes of 3 to 6 letters. From the labelled documents' counts each gets the lower
    95 % bound of its log likelihood ratio; features that favour toxic
    documents by less than ``MIN_EVIDENCE`` are dropped. A document's evidence
-   is the sum over its ``TOP`` strongest words, a word counted by its strongest feature.
+   is the sum of squares over its ``TOP`` strongest words, a word counted by its
+   strongest feature: one word that only toxic documents have outweighs
+   several that are a little more frequent there.
 3. *Score.* A logistic curve fitted to the training documents' evidence.
 
 Only labels, and only of rows chosen for training, enter the weights. At most
@@ -39,6 +41,7 @@ from .common import map_batches, stored
 
 MAX_TRAIN = 40_000
 TOP = 4
+UNIT = 20.0  # scale of the squared weights
 MIN_EVIDENCE = 0.7
 MIN_SEEN = 4
 PREFIXES = (3, 4, 5, 6)
@@ -245,7 +248,7 @@ class Evidence:
         heads, weights = self.heads, self.weights
         near = [w for w in words if w[:3] in heads]
         found = sorted((max(weights.get(f, 0.0) for f in features_of(w)) for w in near), reverse=True)
-        return sum(found[:TOP])
+        return sum(v * v for v in found[:TOP]) / UNIT
 
 
 def _curve(points: list[tuple[float, int, int]]) -> tuple[float, float]:
@@ -253,13 +256,20 @@ def _curve(points: list[tuple[float, int, int]]) -> tuple[float, float]:
     import numpy as np
     x, y, n = (np.array(v, dtype=float) for v in zip(*points))
     a, b, ridge = 0.0, 0.0, 1e-2
-    for _ in range(60):
+
+    def loss(a, b):
+        z = a * x + b
+        return (n * (np.logaddexp(0.0, z) - y * z)).sum() + ridge * (a * a + b * b) / 2
+
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
         g, w = n * (p - y), n * p * (1 - p)
         hess = np.array([[(w * x * x).sum() + ridge, (w * x).sum()], [(w * x).sum(), w.sum() + ridge]])
-        step = np.linalg.solve(hess, [(g * x).sum() + ridge * a, g.sum() + ridge * b])
-        a, b = a - step[0], b - step[1]
-        if abs(step).max() < 1e-9:
+        step, size = np.linalg.solve(hess, [(g * x).sum() + ridge * a, g.sum() + ridge * b]), 1.0
+        while size > 1e-6 and loss(a - size * step[0], b - size * step[1]) > loss(a, b):
+            size /= 2
+        a, b = a - size * step[0], b - size * step[1]
+        if abs(size * step).max() < 1e-9:
             break
     return float(a), float(b)
 
@@ -286,7 +296,7 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
 
         def start():
             decoder, evidence = Decoder(lm.value), Evidence(scorer_weights.value)
-            return lambda batch: ((round(evidence(restored_words(t, decoder)[0]), 2),) for t in batch)
+            return lambda batch: ((round(evidence(restored_words(t, decoder)[0]), 3),) for t in batch)
 
         scorer_weights = scorer["weights"]
         hist = (map_batches(docs, ["text"], ["toxic"], flag, start).groupBy("e", "toxic").agg(F.count("*").alias("c")))
