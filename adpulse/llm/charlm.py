@@ -16,10 +16,12 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import SLICE
+
 ORDER = 4
 SYMBOLS = 64
 BITS = 6
-CHUNK = 1 << 21  # characters that are worked on at once
+CHUNK = 1 << 20  # characters that are worked on at once
 
 # Symbols (fixed values): 0 space and controls, 1-26 a-z, 27 capitals, 28 digits, 29-34 marks below,
 # 35 quotes, 36 brackets, 37 dashes, 38 bar, 39 other signs, 40-63 other letters by code point.
@@ -100,7 +102,7 @@ def count_ngrams(df: DataFrame, text_col: str = "text") -> DataFrame:
             g, inv = np.unique(np.concatenate(grams), return_inverse=True)
             return g, np.bincount(inv, weights=np.concatenate(counts)).astype(np.int64)
 
-        for b in batches:
+        for b in (whole.slice(i, SLICE) for whole in batches for i in range(0, whole.num_rows, SLICE)):
             for texts in chunks(b.column(0).to_pylist()):
                 w, ends = encode(texts, low)
                 keep = np.ones(len(w), dtype=bool)
@@ -109,7 +111,7 @@ def count_ngrams(df: DataFrame, text_col: str = "text") -> DataFrame:
                 grams.append(g)
                 counts.append(c.astype(np.int64))
                 held += len(g)
-                if held > 4_000_000:
+                if held > 1_000_000:
                     g, c = merged()
                     grams, counts, held = [g], [c], 0
         if grams:

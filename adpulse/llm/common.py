@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 # White space of the word definition [^\x20\x09-\x0D]+ (fixed values).
 SPACES = " \t\n\x0b\x0c\r"
+SLICE = 500  # rows that a map decodes at once
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,9 +112,8 @@ def map_batches(df: DataFrame, inputs: list[str], keep: list[str], out: T.Struct
         from pyspark.sql.pandas.types import to_arrow_schema
         arrow = to_arrow_schema(schema)
         fn = start()
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        # a slice at a time: decoded texts of SLICE rows are all a task holds beside the Arrow batch
+        for batch in (whole.slice(i, SLICE) for whole in batches for i in range(0, whole.num_rows, SLICE)):
             rows = list(fn(*[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in inputs]))
             cols_out = list(zip(*rows))
             arrays = [batch.column(batch.schema.get_field_index(c)) for c in keep]

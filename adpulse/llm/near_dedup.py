@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T_
 
-from .common import Stored, map_batches
+from .common import SLICE, Stored, map_batches
 
 K = 64
 T = 32
@@ -289,7 +289,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
         import pyarrow as pa
         hashes = shingle_hasher(width)
         leader, mine = None, None
-        for b in batches:
+        for b in (whole.slice(i, SLICE) for whole in batches for i in range(0, whole.num_rows, SLICE)):
             out_a, out_b = [], []
             for a, s, who, text in zip(*[c.to_pylist() for c in b.columns]):
                 h = hashes(text)

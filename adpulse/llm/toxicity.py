@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import charlm
-from .common import map_batches, stored
+from .common import SLICE, map_batches, stored
 
 MAX_TRAIN = 40_000
 TOP = 4
@@ -93,7 +93,7 @@ class Decoder:
         """The most probable reading of a disguised token, in lower case."""
         out = self.cache.get(token)
         if out is None:
-            if len(self.cache) > 200_000:
+            if len(self.cache) > 50_000:
                 self.cache.clear()
             out = self.cache[token] = self._decode(token.lower())
         return out
@@ -212,14 +212,14 @@ def _weights(docs: DataFrame, lm) -> tuple[dict[str, float], int, int]:
                 [pa.array(f), pa.array([x[0] for x in c], type=pa.int64()), pa.array([x[1] for x in c], type=pa.int64())],
                 names=["f", "neg", "pos"])
 
-        for b in batches:
+        for b in (whole.slice(i, SLICE) for whole in batches for i in range(0, whole.num_rows, SLICE)):
             for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 words, _ = restored_words(text, decoder)
                 found = {f for w in words for f in features_of(w)}
                 found.add("")
                 for f in found:
                     counts.setdefault(f, [0, 0])[toxic] += 1
-                if len(counts) > 400_000:
+                if len(counts) > 150_000:
                     yield batch()
         yield batch()
 
