@@ -31,7 +31,6 @@ PATTERNS = {
 def summarise(plan: str) -> dict:
     out = {k: len(re.findall(p, plan)) for k, p in PATTERNS.items()}
     out["pushed_filters"] = len(re.findall(r"PushedFilters: \[[^\]]+\]", plan))
-    out["round_robin_fixture"] = len(re.findall(r"RoundRobinPartitioning", plan))
     return out
 
 
@@ -41,7 +40,7 @@ def main(argv):
     spark = get_spark()
     reg = load_all()
     names = names or [n for n, q in reg.items() if q.headline]
-    cols = ["shuffles", "round_robin_fixture", "broadcasts", "bhj", "smj", "nested_loop", "hash_aggs", "windows",
+    cols = ["shuffles", "broadcasts", "bhj", "smj", "nested_loop", "hash_aggs", "windows",
             "python", "pushed_filters"]
     print("| query | " + " | ".join(cols) + " |")
     print("|---" * (len(cols) + 1) + "|")
