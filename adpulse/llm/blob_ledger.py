@@ -14,8 +14,10 @@ A rerun or a copy under another path scans nothing; a new rule version scans
 every blob once more, old rows stay.
 
 The rules of a version propose spans; the kinds assign, access and hex are
-reported as matched, further kinds (private-key headers, prefixed service
-tokens, JSON web tokens, credentials in URLs) need their own exact shape.
+reported as matched, further kinds (private keys, prefixed service tokens,
+JSON web tokens, credentials in URLs) need their own exact shape. A private
+key reaches from its BEGIN to its END line; without an END line, over the
+header lines and base64 that follow.
 Defined results: a null or empty text is the empty blob, without findings;
 repeated rows keep their own result rows.
 """
@@ -32,7 +34,7 @@ from pyspark.sql import types as T
 
 from .common import Stored, map_batches, scratch
 
-RULE_VERSION = "rules-1"
+RULE_VERSION = "rules-1.1"
 
 # Order of the kinds in a span list (fixed values).
 KINDS = ("assign", "access", "hex", "private_key", "service_token", "web_token", "url_login")
@@ -50,11 +52,16 @@ _WORD = re.compile(r"(?:password|passwd|secret|token|api_?key)", re.I | re.A)
 _ASSIGN_TAIL = re.compile(r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}+")
-_PRIVATE_KEY = re.compile(r"-----BEGIN (?:RSA |EC |DSA |OPENSSH |ENCRYPTED )?PRIVATE KEY-----")
+_KEY_LINE = re.compile(r"-----(BEGIN|END) (?:[A-Z0-9]+ )*?PRIVATE KEY(?: BLOCK)?-----")
+_KEY_GAP = r"""(?:[\s"'`,;>#*|]|\\[nrt])*+"""  # between a key's lines, also quoted, commented or escaped ones
+_KEY_HEAD = "Proc-Type|DEK-Info|Version|Comment|Hash|Charset|MessageID|Subject"
+_KEY_BODY = re.compile(rf"(?:(?:{_KEY_GAP}(?:{_KEY_HEAD}):[^\n\\]*+)*+(?:{_KEY_GAP}[A-Za-z0-9+/=]{{16,}}+(?![^\s\"'`,;|\\-]))++)?")
+_KEY_TAIL = re.compile(rf"{_KEY_GAP}(?:[A-Za-z0-9+/]{{1,15}}+={{0,2}}+(?=\s*(?:\Z|\n|\\[nrt]|[\"'`,;]|-----))"
+                       r"|(?=[A-Za-z0-9+/]*(?:[0-9+/=]|[a-z][A-Z]))[A-Za-z0-9+/]{1,15}+={0,2}+)(?![A-Za-z0-9+/=])")
 _SERVICE = re.compile(r"(?<![A-Za-z0-9_])(?:gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,250}"
                       r"|sk_live_[A-Za-z0-9]{24,}|AIza[A-Za-z0-9_-]{35})(?![A-Za-z0-9_-])")
 _WEB_TOKEN = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}")
-_URL_LOGIN = re.compile(r"[a-z][a-z0-9+]{1,10}://[^\s/:@\"'<>]{1,64}:([^\s/:@\"'<>]{3,64})@")
+_URL_LOGIN = re.compile(r"[a-z][a-z0-9+]{1,10}://[^\s/:@\"'<>]*+:([^\s/@\"'<>]++)@")
 
 
 def entropy(s: str) -> float:
@@ -74,6 +81,21 @@ def _assignments(text: str):
             yield m.start(), tail.end(), tail[1]
 
 
+def _private_keys(text: str):
+    """(start, end) of the private keys; one pass over their BEGIN and END lines."""
+    lines = list(_KEY_LINE.finditer(text))
+    for m, after in zip(lines, lines[1:] + [None]):
+        if m[1] == "END":
+            continue
+        if after is not None and after[1] == "END":
+            yield m.start(), after.end()
+            continue
+        stop = len(text) if after is None else after.start()
+        body = _KEY_BODY.match(text, m.end(), stop)
+        tail = _KEY_TAIL.match(text, body.end(), stop) if body.end() > m.end() else None
+        yield m.start(), (tail or body).end()
+
+
 def find_secrets(text: str | None) -> list[tuple[str, int, int, float]]:
     """Spans (kind, start, end, entropy of the secret), by start, then kind."""
     text = text or ""
@@ -83,7 +105,7 @@ def find_secrets(text: str | None) -> list[tuple[str, int, int, float]]:
                 if m.end() - m.start() >= 16]
     out += [("hex", m.start(), m.end(), entropy(m[0])) for m in _HEX.finditer(text)]
     if "-----BEGIN " in text:
-        out += [("private_key", m.start(), m.end(), 0.0) for m in _PRIVATE_KEY.finditer(text)]
+        out += [("private_key", s, e, 0.0) for s, e in _private_keys(text)]
     if "_" in text or "AIza" in text or "xox" in text:
         out += [("service_token", m.start(), m.end(), entropy(m[0])) for m in _SERVICE.finditer(text)]
     if "eyJ" in text:

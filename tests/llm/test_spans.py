@@ -61,6 +61,45 @@ def test_secrets_match_the_plain_patterns():
         assert got == plain_secrets(t), t
 
 
+def test_private_keys_reach_their_end(spark):
+    import base64
+
+    import corpus_pipeline
+    raw = base64.b64encode(random.Random(3).randbytes(601)).decode()
+    body = [raw[i:i + 64] for i in range(0, len(raw), 64)]
+    begin, end, texts = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", []
+    for sep in ("\n", "\r\n", "\\n", " ", "\n> "):
+        for last in ([end], [], ["-----END RSA PRIV"]):
+            texts.append("words before " + sep.join([begin, *body, *last]) + "\n\nand words after")
+    texts.append(f"words before {begin}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0011\n\n" + "\n".join(body) + "\nand words after")
+    texts.append(f"words before {begin}\n{body[0]}\n{begin}\n{body[1]}\n{end} and words after")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    masked = corpus_pipeline.mask_secrets(spark, docs, "").collect()
+    assert len(masked) == len(texts)
+    for r in masked:
+        assert r.text.startswith("words before <private_key>") and r.text.endswith("and words after"), r.text
+        assert not any(line[i:i + 4] in r.text for line in body for i in range(len(line) - 3)), r.text
+    prose = f"the line {begin} starts a key file. Note: it is plain text"
+    assert [prose[s:e] for _, s, e, _ in blob_ledger.find_secrets(prose)] == [begin]
+
+
+def test_url_logins_of_any_length():
+    for login in ("oauth2:" + "a1" * 60, ":pw", "u" * 80 + ":pass", "me:a:b"):
+        assert blob_ledger.mask(*(lambda t: (t, [s[:3] for s in blob_ledger.find_secrets(t)]))(f"at https://{login}@host/x")) == "at <url_login>host/x"
+    assert blob_ledger.find_secrets("see http://host:80/a@b") == []
+
+
+def test_long_secrets_take_linear_time():
+    import time
+    begin = "-----BEGIN PRIVATE KEY-----"
+    for t in ("-----BEGIN " + "A " * 200_000, begin * 40_000, "a://" * 100_000, "a://x:" * 80_000, "ab://" + "x" * 400_000,
+              "ab://:" + "x" * 400_000, begin + "A" * 400_000, begin + "A b " * 100_000, begin + " " * 400_000,
+              begin + "Version:" * 50_000, begin + ("A" * 16 + " ") * 20_000 + ".", begin + ("A" * 16 + "é") * 20_000):
+        start = time.perf_counter()
+        blob_ledger.find_secrets(t)
+        assert time.perf_counter() - start < 5, t[:40]
+
+
 def digest(spans):
     return hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in spans).encode()).hexdigest()
 
