@@ -90,12 +90,15 @@ def lead(ends, n: int):
     return (starts[:, None] + np.arange(ORDER - 1)[None, :]).ravel()
 
 
-def count_ngrams(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """(gram, n): order-4 counts of all texts."""
+def count_ngrams(df: DataFrame, text_col: str = "text", others: tuple[str, ...] = (), start=None) -> DataFrame:
+    """(gram, n): order-4 counts of all texts. ``start()``, if given, runs once
+    per task and returns a function that takes one list per column, text and
+    ``others``, and gives the texts to count."""
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
         low = symbol_table()
+        pick = start() if start else lambda texts: texts
         grams, counts, held = [], [], 0
 
         def merged():
@@ -103,7 +106,7 @@ def count_ngrams(df: DataFrame, text_col: str = "text") -> DataFrame:
             return g, np.bincount(inv, weights=np.concatenate(counts)).astype(np.int64)
 
         for b in (whole.slice(i, SLICE) for whole in batches for i in range(0, whole.num_rows, SLICE)):
-            for texts in chunks(b.column(0).to_pylist()):
+            for texts in chunks(pick(*[c.to_pylist() for c in b.columns])):
                 w, ends = encode(texts, low)
                 keep = np.ones(len(w), dtype=bool)
                 keep[lead(ends, len(texts))] = False
@@ -120,7 +123,7 @@ def count_ngrams(df: DataFrame, text_col: str = "text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(g[i:i + 100_000].astype(np.int32)),
                                                   pa.array(c[i:i + 100_000])], names=["gram", "n"])
 
-    return (df.select(F.col(f"`{text_col}`").alias("t")).mapInArrow(run, "gram int, n long")
+    return (df.select(F.col(f"`{text_col}`").alias("t"), *[F.col(f"`{c}`") for c in others]).mapInArrow(run, "gram int, n long")
             .groupBy("gram").agg(F.sum("n").alias("n")))
 
 
@@ -169,14 +172,27 @@ class Model:
         pos[pos == len(keys)] = 0
         return pos, keys[pos] == x
 
-    def log2p(self, windows):
+    def dense(self):
+        """The order-4 probabilities laid out by hash, 64 MB whatever the
+        corpus, for ``log2p`` over whole texts; NaN: not counted."""
+        import numpy as np
+        out = np.full(1 << BITS * ORDER, np.nan, dtype=np.float32)
+        out[self.grams[ORDER]] = self.logp[ORDER]
+        return out
+
+    def log2p(self, windows, dense=None):
         """log2 probability of the last symbol of each order-4 hash."""
         import numpy as np
-        pos, hit = self._find(self.grams[ORDER], windows)
-        out = np.zeros(len(windows), dtype=np.float64)
-        if len(self.grams[ORDER]):
-            out[hit] = self.logp[ORDER][pos[hit]]
-        left = np.flatnonzero(~hit)
+        if dense is not None:
+            out = dense[windows].astype(np.float64)
+            left = np.flatnonzero(np.isnan(out))
+            out[left] = 0.0
+        else:
+            pos, hit = self._find(self.grams[ORDER], windows)
+            out = np.zeros(len(windows), dtype=np.float64)
+            if len(self.grams[ORDER]):
+                out[hit] = self.logp[ORDER][pos[hit]]
+            left = np.flatnonzero(~hit)
         weight = np.zeros(len(left))
         for n in range(ORDER, 0, -1):
             if n < ORDER:
@@ -194,8 +210,9 @@ class Model:
         return out
 
 
-def train(df: DataFrame, text_col: str = "text") -> Model:
-    """The model of all texts of ``df``; at most 2 ** 24 counted n-grams."""
+def train(df: DataFrame, text_col: str = "text", others: tuple[str, ...] = (), start=None) -> Model:
+    """The model of all texts of ``df``, or of those that ``start`` picks; at
+    most 2 ** 24 counted n-grams."""
     import numpy as np
-    t = count_ngrams(df, text_col).toArrow()
+    t = count_ngrams(df, text_col, others, start).toArrow()
     return Model(t.column("gram").to_numpy().astype(np.int32), t.column("n").to_numpy())

@@ -76,6 +76,16 @@ def test_bands_reject_noise_and_keep_clean(spark, duck):
     assert sum(not r.kept for r in bad) >= 0.4 * len(bad)
 
 
+def test_nearly_all_junk_is_rejected(spark):
+    import duckdb
+    rows = duckdb.connect().execute(f"SELECT doc_id, quality FROM read_parquet('{SF_CHECK}/labels.parquet')").fetchall()
+    got = {r.doc_id: r for r in QUERIES["op2_perplexity"](spark, SF_CHECK).collect()}
+    good = [got[i] for i, q in rows if q == 1 and not got[i].base_failed]
+    bad = [got[i] for i, q in rows if q == 0 and not got[i].base_failed]
+    assert sum(r.kept for r in good) >= 0.99 * len(good)
+    assert sum(not r.kept for r in bad) >= 0.95 * len(bad)
+
+
 def test_exact_medians(spark):
     rng = random.Random(5)
     rows = [(lang, rng.gauss(2, 0.3)) for lang in ("a", "b", None) for _ in range(101)]
