@@ -58,18 +58,22 @@ LEET = {
     "!": {"i": 0.5, "l": 2.0}, "|": {"i": 1.5, "l": 1.5}, "+": {"t": 1.0}, "€": {"e": 0.5},
     "*": {"a": 3.0, "e": 3.0, "i": 3.0, "o": 3.0, "u": 3.0},
 }
-AS_IS = 6.0  # a sign inside a word that stands for itself
+AS_IS, AT_END = 6.0, 0.5  # a sign inside a word, or at its end, that stands for itself
 DROP_REPEAT, DROP_SEPARATOR, KEEP_SEPARATOR = 0.5, 0.5, 3.0
 
 _SIGNS = "0-9@$!|+€*"
 _LEET = re.compile(rf"[{_SIGNS}]{{1,3}}(?=[A-Za-z])")
+_LEET_END = re.compile(rf"(?<=[A-Za-z])[{_SIGNS}]+(?![A-Za-z{_SIGNS}])")
 _REPEAT = re.compile(r"([A-Za-z])\1\1")
+_JOINTS = re.compile(r"[.\-_/]+")
+_SIGN_OR_REPEAT = re.compile(rf"[{_SIGNS}]|{_REPEAT.pattern}")
+_LONG_REPEAT = re.compile(r"([a-z])\1{3,}")
 _SPACED = re.compile(rf"(?<!\S)[A-Za-z{_SIGNS}](?:([ .\-_])[A-Za-z{_SIGNS}])(?:\1[A-Za-z{_SIGNS}]){{2,}}(?![A-Za-z0-9])")
 _RUN = re.compile(rf"[ .\-_][A-Za-z{_SIGNS}][ .\-_][A-Za-z{_SIGNS}][ .\-_]")  # inside every spaced word
 _LETTERS = bytes(i if i >= 0x80 or chr(i).isalpha() else 0x20 for i in range(256))
 _WIDE_MARKS = "“”‘’«»…—–¿¡"
 _EDGE = ".,;:?\"'()[]{}<>#%&~`^=/\\"
-LONGEST = 32  # a longer unbroken token is no disguised word: it is read as it stands
+CACHED = 64  # readings of longer tokens are not kept for the next text
 
 
 class Decoder:
@@ -91,6 +95,8 @@ class Decoder:
 
     def restore(self, token: str) -> str:
         """The most probable reading of a disguised token, in lower case."""
+        if len(token) > CACHED:
+            return self._decode(token.lower())
         out = self.cache.get(token)
         if out is None:
             if len(self.cache) > 50_000:
@@ -100,33 +106,40 @@ class Decoder:
 
     def _decode(self, obs: str) -> str:
         mask = (1 << charlm.BITS * (charlm.ORDER - 1)) - 1
-        # state: context of three symbols -> (cost, text); the best path to each
-        beam: dict[int, tuple[float, str]] = {0: (0.0, "")}
+        obs = _LONG_REPEAT.sub(r"\1\1\1", obs)
+        tail = len(obs.rstrip("0123456789@$!|+€*"))
+        # state: context of three symbols -> (cost, path); the best path to each, linked backwards:
+        # linear in a token of any length
+        beam: dict[int, tuple] = {0: (0.0, None)}
         for i, ch in enumerate(obs):
             run = ch.isalpha() and i and obs[i - 1] == ch
             long_run = run and (i >= 2 and obs[i - 2] == ch or obs[i + 1:i + 2] == ch)
             if ch in " .-_":
                 options = {" ": KEEP_SEPARATOR, "": DROP_SEPARATOR}
             elif ch in LEET:
-                options = {**LEET[ch], ch: AS_IS}
+                options = {**LEET[ch], ch: AT_END if i >= tail else AS_IS}
             else:
                 options = {ch: 0.0}
             if long_run:
                 options = {**options, "": DROP_REPEAT}
-            step: dict[int, tuple[float, str]] = {}
-            for context, (cost, text) in beam.items():
+            step: dict[int, tuple] = {}
+            for context, (cost, path) in beam.items():
                 costs = self._costs(context)
                 for letter, channel in options.items():
                     if letter:
                         s = charlm.symbol(letter)
-                        state = ((context << charlm.BITS) | s) & mask
-                        new = (cost + channel + costs[s], text + letter)
+                        state, total = ((context << charlm.BITS) | s) & mask, cost + channel + costs[s]
                     else:
-                        state, new = context, (cost + channel, text)
-                    if state not in step or new < step[state]:
-                        step[state] = new
+                        state, total = context, cost + channel
+                    if state not in step or total < step[state][0]:
+                        step[state] = (total, (path, letter) if letter else path)
             beam = step
-        return min((cost + self._costs(c)[0], text) for c, (cost, text) in beam.items())[1]
+        path = min(((cost + self._costs(c)[0], c) for c, (cost, _) in beam.items()))[1]
+        path, out = beam[path][1], []
+        while path is not None:
+            path, letter = path
+            out.append(letter)
+        return "".join(reversed(out))
 
 
 def words_of(text: str) -> set[str]:
@@ -139,12 +152,15 @@ def words_of(text: str) -> set[str]:
 
 
 def _disguised_at(text: str) -> Iterator[int]:
-    """Places of signs inside or before a word's letters, and of repeats."""
+    """Places of signs inside, before or after a word's letters, and of repeats."""
     for m in _LEET.finditer(text):
         a = m.start()
         before = text[a - 1:a]
         if before.isalpha() and before.isascii() or (not before or before.isspace()) and text[m.end() + 1:m.end() + 2].isalpha():
             yield a
+    for m in _LEET_END.finditer(text):
+        if m[0].strip("!"):  # a word's exclamation marks are its punctuation
+            yield m.start()
     for m in _REPEAT.finditer(text):
         yield m.start()
 
@@ -152,21 +168,24 @@ def _disguised_at(text: str) -> Iterator[int]:
 def disguised(text: str) -> dict[str, None]:
     """The disguised tokens of a text, each once."""
     out: dict[str, None] = {}
-    n = len(text)
-    for at in _disguised_at(text):
+    n, b = len(text), 0
+    for at in sorted(_disguised_at(text)):
+        if at < b:
+            continue
         a = b = at
-        while a > 0 and not text[a - 1].isspace() and b - a <= LONGEST:
+        while a > 0 and not text[a - 1].isspace():
             a -= 1
-        while b < n and not text[b].isspace() and b - a <= LONGEST:
+        while b < n and not text[b].isspace():
             b += 1
-        token = text[a:b].strip(_EDGE).rstrip("!|+*$")
-        if (3 <= len(token) <= LONGEST and "@" not in token[1:-1].replace("@", "", 1)
-                and sum(c.isdigit() for c in token) * 3 <= 2 * len(token) and any(c.isalpha() for c in token)):
+        token = text[a:b].strip(_EDGE).rstrip("!|")
+        if len(token) >= 3 and "@" not in token[1:-1].replace("@", "", 1) and any(c.isalpha() for c in token):
             out[token] = None
+            for part in _JOINTS.split(token):  # words joined by marks, each on its own too
+                if 3 <= len(part) < len(token) and any(c.isalpha() for c in part) and _SIGN_OR_REPEAT.search(part):
+                    out[part] = None
     if _RUN.search(text):
         for m in _SPACED.finditer(text):
-            if m.end() - m.start() <= 2 * LONGEST:
-                out[m[0]] = None
+            out[m[0]] = None
     return out
 
 

@@ -130,6 +130,23 @@ def test_viterbi_restores_disguised_words(small_docs):
     assert toxicity.restored_words(None, decoder) == (set(), 0)
 
 
+def test_viterbi_restores_disguise_of_any_length(small_docs):
+    import time
+    c = counted([t for _, t, _, _ in small_docs])
+    decoder = toxicity.Decoder(charlm.Model(np.array(list(c)), np.array(list(c.values()))))
+    for word, plain in (("st" + "u" * 60 + "pid", "stupid"), ("a_perfectly_ordinary_and_long_word_m0r0n_in_it", "moron"),
+                        ("idio7", "idiot"), ("5tup1d", "stupid"), ("-".join("what a very long and tr4sh filled name".split()), "trash")):
+        assert plain in toxicity.restored_words(f"you are {word} today", decoder)[0], (word, decoder.restore(word))
+    for word in ("a$$", "a55", "5h17"):
+        assert word in toxicity.disguised(f"you are {word} today"), word
+    spaced = " ".join("thisisaverylongspacedsentencethatsayssomebodyisamoron")
+    assert spaced in toxicity.disguised(spaced) and len(decoder.restore(spaced)) < len(spaced)
+    for text in ("m0r0n" * 20_000, "a " * 50_000, "u" * 200_000, "a1_" * 50_000, "$" * 100_000 + "a"):
+        start = time.perf_counter()
+        toxicity.restored_words(text, decoder)
+        assert time.perf_counter() - start < 30, text[:10]
+
+
 def test_toxicity_sees_through_disguise(spark):
     plain = [(i, "what a lovely day in the quiet garden " * 3, 0) for i in range(60)]
     toxic = [(100 + i, "you are a stupid moron and an idiot " * 2, 1) for i in range(40)]
