@@ -77,6 +77,30 @@ def mod97(iban: str) -> bool:
     return 15 <= len(s) <= 34 and int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+# Registered IBAN lengths (fixed values).
+IBAN_LENGTH = {c: int(n) for n, cs in (x.split(":") for x in (
+    "15:NO 16:BE 18:DK,FI,FO,GL,NL 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,XK 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA"
+    " 23:AE,GI,IL,IQ,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:FR,GR,IT,MC,MR,SM"
+    " 28:AL,AZ,BY,CY,DO,GT,HU,LB,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU 31:MT,SC 32:LC").split()) for c in cs.split(",")}
+
+
+def _ibans(text: str):
+    """Proposals cut at their country's length, where a group ends there, else whole."""
+    pos = 0
+    while m := _IBAN.search(text, pos):
+        s, e, left = m.start(), m.start(), IBAN_LENGTH.get(m[0][:2], 0)
+        while e < m.end() and left:
+            left -= text[e] != " "
+            e += 1
+        for end in ([e] if e < m.end() and text[e] == " " and not left else []) + [m.end()]:
+            if mod97(text[s:end]):
+                yield s, end
+                pos = end
+                break
+        else:
+            pos = s + 4  # a valid one may begin inside a refused proposal
+
+
 def _emails(text: str):
     at, last = text.find("@"), 0
     while at >= 0:
@@ -110,9 +134,8 @@ def _confirmed(text: str):
         for m in _PHONE.finditer(text):
             if 9 <= sum(c.isdigit() for c in m[0]) <= 15:
                 yield "phone", m.start(), m.end()
-    for m in _IBAN.finditer(text):
-        if mod97(m[0]):
-            yield "iban", m.start(), m.end()
+    for s, e in _ibans(text):
+        yield "iban", s, e
     for m in _SSN.finditer(text):
         if m[1] not in ("000", "666") and m[1] < "900" and m[2] != "00" and m[3] != "0000":
             yield "ssn", m.start(), m.end()

@@ -124,6 +124,15 @@ def test_checksums_context_and_new_kinds():
     assert near[3] > far[3]
 
 
+def test_iban_before_capital_words():
+    for iban in ("AT61 1904 3002 3457 3201", "BE68 5390 0754 7034", "GB82 WEST 1234 5698 7654 32", "DE89370400440532013000"):
+        for after in (" BIC OPSKATWW", " BANK", " OPSKATWW", " BE68 5390 0754 7034", ".", ""):
+            t = "IBAN " + iban + after
+            got = [t[s:e] for k, s, e, _ in pii.find_spans(t) if k == "iban"]
+            assert got[:1] == [iban] and len(got) == 1 + after.startswith(" BE68"), (t, got)
+    pii.find_spans("AB12 " * 80_000 + "AB12" * 80_000)
+
+
 def test_long_texts_take_linear_time():
     for t in ("a" * 400_000, "1." * 200_000, "1" * 400_000, "+1 " * 100_000, "a@" * 100_000, "f" * 400_000, "token " * 60_000):
         pii.find_spans(t)
