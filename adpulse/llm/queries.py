@@ -8,9 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import blob_ledger, decontam, licenses, mixing, near_dedup, perplexity, pii, style_tree, toxicity, warc
+from . import (alignment, blob_ledger, collocations, decontam, kmeans_tree, licenses, mixing, near_dedup, perplexity, pii, style_tree,
+               toxicity, warc)
 from .common import table
 
+TOKENIZERS = "/opt/tokenizers"  # folder of the vocabulary files, readable by the executors
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -140,3 +143,48 @@ SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(w.doc_id,
        w.doc_id = least(w.doc_id, coalesce(smallest.y, w.doc_id)) AS kept
 FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN smallest ON smallest.x = w.doc_id
 """
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_collocations"] = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM d),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS ws FROM pieces),
+grams AS (SELECT lang, len, array_to_string(ws[i:i + len - 1], ' ') AS phrase
+          FROM (SELECT lang, ws, len, unnest(generate_series(1, len(ws) - len + 1)) AS i
+                FROM w, (SELECT unnest([1, 2, 3, 4]) AS len) s WHERE len(ws) >= len) x),
+f AS (SELECT lang, len, phrase, count(*) AS f FROM grams GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE len = 1 GROUP BY lang),
+c AS (SELECT lang, len, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE len > 1 AND f >= 30),
+cuts AS (SELECT lang, phrase, a, k, array_to_string(ws[1:k], ' ') AS first, array_to_string(ws[k + 1:len], ' ') AS rest
+         FROM (SELECT *, unnest(generate_series(1, len - 1)) AS k FROM c) x),
+scored AS (SELECT cuts.lang, cuts.phrase, a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * a) // (x.f + y.f) AS score
+           FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = first JOIN f y ON y.lang = cuts.lang AND y.phrase = rest),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (SELECT lang, phrase, max(a) AS outer_a
+           FROM (SELECT lang, a, array_to_string(ws[lo:lo + m - 1], ' ') AS phrase
+                 FROM (SELECT *, unnest(generate_series(1, len - m + 1)) AS lo
+                       FROM (SELECT *, unnest(generate_series(2, len - 1)) AS m FROM c WHERE len > 2) y) z) v GROUP BY ALL),
+ranked AS (SELECT lowest.lang, lowest.phrase, a, l, r, score,
+                  row_number() OVER (PARTITION BY lowest.lang ORDER BY score DESC, a DESC, lowest.phrase) AS rank
+           FROM lowest LEFT JOIN inside ON inside.lang = lowest.lang AND inside.phrase = lowest.phrase
+           WHERE outer_a IS NULL OR 100::HUGEINT * outer_a < 80::HUGEINT * a)
+SELECT ranked.lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000
+"""
+
+
+@query
+def op12_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = kmeans_tree.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+@query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
