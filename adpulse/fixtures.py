@@ -147,7 +147,7 @@ FROM ${nation}
 VIEWS["f_app"] = """
 SELECT CAST(s_suppkey AS INT) AS id, CAST(1 + s_nationkey % 5 AS INT) AS publisher_id, CAST(s_suppkey % 2 AS INT) AS plat,
        s_name AS app_name, CASE WHEN s_suppkey % 13 = 0 THEN 0 ELSE 1 END AS status,
-       CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE '100,101,205' END AS sdk_event_ids,
+       CASE s_suppkey % 3 WHEN 0 THEN NULL WHEN 1 THEN '100,101,205' ELSE '5,,x,6,,' END AS sdk_event_ids,
        CASE WHEN s_suppkey % 4 = 0 THEN NULL WHEN s_suppkey % 4 = 1 THEN '' ELSE 'US,DE' END AS uar_regions,
        CASE WHEN s_suppkey % 3 = 0 THEN '{"US":[1.5,2],"FR":[3],"DE":[0.25]}' WHEN s_suppkey % 3 = 1 THEN ' ' ELSE NULL END AS uar_manual,
        TIMESTAMP '2024-01-01 00:00:00' + INTERVAL '1' HOUR * CAST(s_suppkey % 1000 AS INT) AS create_time,
@@ -297,11 +297,11 @@ FROM ${customer}
 # the last rules' segment ids do not exist
 VIEWS["f_segment"] = """
 SELECT CAST(c_custkey AS INT) AS id,
-       CASE WHEN c_custkey % 6 = 0 THEN '' ELSE 'US,DE,CN' END AS countries,
+       CASE c_custkey % 6 WHEN 0 THEN '' WHEN 1 THEN 'US,DE,,' ELSE 'US,DE,CN' END AS countries,
        CASE c_custkey % 3 WHEN 0 THEN '(,5.0); 6.1; [7.0, 8.0)' WHEN 1 THEN '[9,]' ELSE NULL END AS osv_exp,
        CASE c_custkey % 5 WHEN 0 THEN '[3.1,3.2]; 4.0' WHEN 1 THEN ' ; 2.9' ELSE NULL END AS sdkv_exp,
        CASE c_custkey % 4 WHEN 0 THEN '(1.0,)' WHEN 1 THEN '1.5;1.6' ELSE NULL END AS appv_exp,
-       CASE c_custkey % 4 WHEN 0 THEN '{"vip":{"type":0,"conditions":[{"operator":"in","value":"a,b"},{"operator":"=","value":""}]}}'
+       CASE c_custkey % 4 WHEN 0 THEN '{"vip":{"type":0,"conditions":[{"operator":"in","value":"a, b,,"},{"operator":"=","value":""}]}}'
                           WHEN 1 THEN '{"lvl":{"type":1,"conditions":[{"operator":">=","value":"3"}]}}'
                           WHEN 2 THEN '{"none":{"type":0}}' ELSE NULL END AS custom_tags,
        CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(c_custkey % 10 * 0.25 AS DECIMAL(8,3)) END AS iap_min,

@@ -69,15 +69,20 @@ def cross_rates(quotes: DataFrame, to: str = BASE_CURRENCY_TO) -> DataFrame:
     return q.select(F.col("cur").alias("cur_from"), F.lit(to).alias("cur_to"), rate.alias("exchange_rate"))
 
 
-def upsert_rates(latest: DataFrame, new: DataFrame, keys=("cur_from", "cur_to")) -> DataFrame:
+def upsert_rates(latest: DataFrame, new: DataFrame, keys=("cur_from", "cur_to"), order: str | None = None) -> DataFrame:
     """H4 (B7): latest-rate table after an upsert: untouched keys stay, new
-    keys are inserted, existing keys take the new rate."""
+    keys are inserted, existing keys take the new rate. Of several incoming rows
+    of a key the last by ``order`` (a column of ``new``) wins; without an order,
+    or among equals, the one with the largest values."""
     keys = list(keys)
-    kept = latest.join(new.select(*keys), keys, "left_anti")
-    return kept.unionByName(new.select(*latest.columns))
+    rest = [c for c in latest.columns if c not in keys]
+    rank = F.struct(*([order] if order else []), *rest)
+    last = new.groupBy(*keys).agg(F.max(rank).alias("_last")).select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest])
+    kept = latest.join(last.select(*keys), keys, "left_anti")
+    return kept.unionByName(last.select(*latest.columns))
 
 
 def append_history(history: DataFrame | None, new: DataFrame, day: _dt.date) -> DataFrame:
-    """H4: daily history rows of the new rates (appended, never replaced)."""
+    """H4: the history with the day's rates; a rerun replaces the day's rows."""
     rows = new.withColumn("day", F.lit(day))
-    return rows if history is None else history.unionByName(rows)
+    return rows if history is None else history.filter(~F.col("day").eqNullSafe(F.lit(day))).unionByName(rows)

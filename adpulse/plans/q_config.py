@@ -173,7 +173,7 @@ def _uar_auto(v):
 
 
 _EVENT_IDS_SQL = """CASE WHEN trim(coalesce(sdk_event_ids, '')) <> '' THEN array_to_string(list_transform(
-            string_split(sdk_event_ids, ','), lambda x: CAST(coalesce(TRY_CAST(x AS INTEGER), 0) AS VARCHAR)), '|')
+            string_split(regexp_replace(sdk_event_ids, ',+$', ''), ','), lambda x: CAST(coalesce(TRY_CAST(x AS INTEGER), 0) AS VARCHAR)), '|')
             ELSE '' END AS event_ids"""
 _APP_SQL = f"""a.id, a.publisher_id, a.plat, a.app_name, {d_texts("app_key bundle_id", "a.")},
        CAST(epoch(a.create_time) AS INTEGER) AS create_time, coalesce(pu.impr_callback_switch, 0) AS impr_callback_switch,
@@ -427,7 +427,7 @@ SELECT r.id, r.publisher_id, r.pub_app_id, r.placement_id, r.segment_id, r.sort_
        {d_ranges('s.appv_exp')} AS appv_range, {d_items('s.appv_exp')} AS appv_white,
        coalesce(w.instance_weight, '') AS instance_weight,
        coalesce(g.groups, '') AS groups, coalesce(a.rule_abt, '') AS rule_abt,
-       CASE s.id % 4 WHEN 0 THEN 'vip=0:in:a,b' WHEN 1 THEN 'lvl=1:>=:3' ELSE '' END AS custom_tags
+       CASE s.id % 4 WHEN 0 THEN 'vip=0:in:a, b' WHEN 1 THEN 'lvl=1:>=:3' ELSE '' END AS custom_tags
 FROM f_rule r JOIN f_placement p ON r.placement_id = p.id JOIN f_app ap ON r.pub_app_id = ap.id
 JOIN f_publisher pu ON r.publisher_id = pu.id JOIN f_segment s ON r.segment_id = s.id
 LEFT JOIN weights w ON w.rule_id = r.id LEFT JOIN groups g ON g.rule_id = r.id LEFT JOIN abt a ON a.rule_id = r.id
@@ -463,7 +463,7 @@ def q_snap_rule(spark, sf_dir):
 
 
 @register("snap_abtest", with_views(["f_abtest", "f_rule", "f_segment"], """
-SELECT a.placement_id, a.a_per, a.b_per, a.a_rule_id, a.b_rule_id, r.segment_id, unnest(string_split(s.countries, ',')) AS country
+SELECT a.placement_id, a.a_per, a.b_per, a.a_rule_id, a.b_rule_id, r.segment_id, unnest(string_split(regexp_replace(s.countries, ',+$', ''), ',')) AS country
 FROM f_abtest a JOIN f_rule r ON a.a_rule_id = r.id JOIN f_segment s ON r.segment_id = s.id
 WHERE a.status = 1 AND r.status = 1 AND trim(coalesce(s.countries, '')) <> ''
 """))

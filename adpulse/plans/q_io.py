@@ -111,27 +111,32 @@ def q_hourly_slot_jobs(spark, sf_dir):
 @register("publisher_users_store", QUERIES["publisher_users"].oracle)
 def q_publisher_users_store(spark, sf_dir):
     """C8 into its bucketed store, every day written twice: the second write
-    replaces the first."""
+    replaces the first and clears a day that has no users any more."""
     lr = Views(spark, sf_dir).f_lr
     marked = users.mark_publisher_users(lr)
     root = scratch(spark)
     name = f"dws_publisher_user_{root.rsplit('/', 1)[-1]}"
-    for _ in range(2):
-        writers.write_bucketed(marked, name, f"{root}/dws", users.USER_KEYS, 8, ["ymd"])
+    first, last = _day_range(lr)
+    days = [f"{first + _dt.timedelta(days=i):%Y%m%d}" for i in range((last - first).days + 1)]
+    stale = marked.withColumn("ymd", F.when(F.col("ymd") == days[0], F.lit("20991231")).otherwise(F.col("ymd")))
+    writers.write_bucketed(stale, name, f"{root}/dws", users.USER_KEYS, 8, ["ymd"])
+    writers.write_bucketed(marked, name, f"{root}/dws", users.USER_KEYS, 8, ["ymd"],
+                           slots=[{"ymd": d} for d in [*days, "20991231"]])
     return spark.read.schema(schemas.PUBLISHER_USER).parquet(f"{root}/dws").select(*marked.columns)
 
 
 @register("per_app_csv_roundtrip", QUERIES["user_ad_revenue"].oracle)
 def q_per_app_csv_roundtrip(spark, sf_dir):
-    """User ad revenue split into one gzip CSV directory per app."""
+    """User ad revenue split into one gzip CSV directory per app, after a
+    run that held other apps: their files are not read any more."""
     v = Views(spark, sf_dir)
     uar = q_reports._finish_uar(revenue.user_ad_revenue(v.f_lr, v.f_cost, v.f_adn))
     path = f"{scratch(spark)}/uar"
+    writers.write_per_app(uar.withColumn("pub_app_id", F.col("pub_app_id") + 1000), path)
     writers.write_per_app(uar, path)
     schema = "day string, device_id string, device_type string, adn_name string, impr_cnt bigint, " \
              "click_cnt bigint, revenue double, pub_app_id int"
-    back = spark.read.schema(schema).option("header", True).csv(path)
-    return back.select(*uar.columns)
+    return writers.read_per_app(spark, path, schema).select(*uar.columns)
 
 
 @register("cost_dump_scan", with_views(["f_cost"], """
@@ -207,16 +212,16 @@ def q_csv_dir_roundtrip(spark, sf_dir):
 
 
 @register("cost_sync", with_views(["f_cost"], """
-SELECT CAST(dt AS VARCHAR) AS day, instance_id, country, CAST(SUM(coalesce(cost, 0)) AS DOUBLE) AS cost
-FROM f_cost WHERE dt >= (SELECT max(dt) FROM f_cost) - INTERVAL 2 DAY GROUP BY ALL
+SELECT CAST(dt AS VARCHAR) AS day, instance_id, country, CAST(SUM(coalesce(cost, 0)) AS DOUBLE) AS cost, count(*) AS n
+FROM f_cost WHERE dt <> (SELECT max(dt) FROM f_cost) GROUP BY ALL
 """))
 def q_cost_sync(spark, sf_dir):
-    """H5: the last three days' costs copied day by day, every day twice."""
-    costs = Views(spark, sf_dir).f_cost
+    """H5: every day's costs copied twice, the second time the last day comes empty and is cleared."""
+    costs = Views(spark, sf_dir).f_cost.withColumnRenamed("dt", "day")
     path = f"{scratch(spark)}/ods_stat_adnetwork"
-    _, last = _day_range(costs)
-    for back in (2, 1, 0, 2, 1, 0):
-        day = last - _dt.timedelta(days=back)
-        writers.sync_costs(costs.filter(F.col("dt") == F.lit(day)).drop("dt"), path, day)
+    first, last = _day_range(costs.withColumnRenamed("day", "dt"))
+    days = [first + _dt.timedelta(days=i) for i in range((last - first).days + 1)]
+    writers.sync_cost_days(costs, path, days)
+    writers.sync_cost_days(costs.filter(F.col("day") != F.lit(last)), path, days)
     out = spark.read.parquet(path).groupBy(F.col("day").cast("string").alias("day"), "instance_id", "country")
-    return out.agg(F.sum(F.coalesce("cost", F.lit(0))).cast("double").alias("cost"))
+    return out.agg(F.sum(F.coalesce("cost", F.lit(0))).cast("double").alias("cost"), F.count("*").alias("n"))

@@ -78,22 +78,25 @@ UNION ALL SELECT cur_from, cur_to, CAST(exchange_rate AS DOUBLE) FROM new
 """))
 def q_upsert_rates(spark, sf_dir):
     """H4: yesterday's table = the raw quotes (plus a currency that is no
-    longer quoted); today's cross rates, minus two currencies, are upserted."""
+    longer quoted); today's cross rates, minus two currencies, are upserted.
+    Every currency came before with another rate; the last one counts."""
     q = Views(spark, sf_dir).f_quotes
     latest = q.select(F.col("cur").alias("cur_from"), F.lit("USD").alias("cur_to"),
                       F.col("rate").cast("double").alias("exchange_rate"))
     latest = latest.unionByName(spark.createDataFrame([("OLD", "USD", 2.0)], latest.schema))
     new = state.cross_rates(q).filter(~F.col("cur_from").isin("C3", "C5")) \
                .withColumn("exchange_rate", F.col("exchange_rate").cast("double"))
-    return state.upsert_rates(latest, new)
+    first = new.select("cur_from", "cur_to", (F.col("exchange_rate") * 3).alias("exchange_rate"), F.lit(1).alias("seq"))
+    return state.upsert_rates(latest, first.unionByName(new.withColumn("seq", F.lit(2))), order="seq")
 
 
 @register("rates_history", with_views(["f_quotes"], _RATE_SQL + f"""
 SELECT cur_from, cur_to, exchange_rate, '{RATES_DAY}' AS day FROM rates
 """))
 def q_rates_history(spark, sf_dir):
-    """H4: the day's cross rates appended to the (empty) history."""
+    """H4: the day's cross rates in the history twice; the second run replaces the first."""
     rates = state.cross_rates(Views(spark, sf_dir).f_quotes).withColumn(
         "exchange_rate", F.col("exchange_rate").cast("double"))
-    out = state.append_history(None, rates, RATES_DAY)
+    wrong = state.append_history(None, rates.withColumn("exchange_rate", F.col("exchange_rate") + 1), RATES_DAY)
+    out = state.append_history(wrong, rates, RATES_DAY)
     return out.withColumn("day", F.date_format("day", "yyyy-MM-dd"))

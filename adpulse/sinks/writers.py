@@ -70,22 +70,57 @@ def write_csv_dir(df: DataFrame, path: str, header: bool = False) -> None:
     df.write.mode("overwrite").option("header", header).csv(path)
 
 
-def write_per_app(df: DataFrame, path: str, app_col: str = "pub_app_id") -> None:
+def _new_version(folder: str) -> str:
+    return f"{folder.rstrip('/')}/v={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def write_per_app(df: DataFrame, path: str, app_col: str = "pub_app_id") -> str:
     """One gzip-compressed CSV directory per app (``<app_col>=<id>``),
-    written by a real CSV writer (quoting intact, W22)."""
-    (df.hint("rebalance", app_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("compression", "gzip").option("header", True).partitionBy(app_col).csv(path))
+    written by a real CSV writer (quoting intact, W22). Every run is a version
+    directory of its own, so an app that left has no file in the newest one;
+    returns its path (``read_per_app`` finds it)."""
+    target = _new_version(path)
+    (df.hint("rebalance", app_col).write.mode("error").option("compression", "gzip").option("header", True)
+     .partitionBy(app_col).csv(target))
+    return target
+
+
+def read_per_app(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The newest run of B4; ``schema`` names the app column last."""
+    found = newest_version(spark, path)
+    if found is None:
+        raise FileNotFoundError(f"no run under {path}")
+    return spark.read.schema(schema).option("header", True).csv(found)
 
 
 def publish_snapshot(spark: SparkSession, df: DataFrame, root: str, name: str) -> str:
     """Write a snapshot as a new version directory. Spark commits it with
     its success marker; readers take the newest version that has the marker,
     so at any moment they see one whole version and never none."""
-    target = f"{root.rstrip('/')}/{name}/v={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    target = _new_version(f"{root.rstrip('/')}/{name}")
     df.write.mode("error").option("compression", "gzip").json(target)
     return target
 
 
+def drop_old_versions(spark: SparkSession, folder: str, keep: int = 2) -> int:
+    """Delete all but the ``keep`` newest complete versions of ``folder`` and
+    the incomplete ones older than those; returns how many went. Keep as many
+    as the slowest reader may still be reading."""
+    newest = newest_version(spark, folder)
+    oldest_kept = newest
+    for _ in range(max(1, keep) - 1):
+        older = oldest_kept and newest_version(spark, folder, below=oldest_kept.rsplit("/", 1)[1])
+        oldest_kept = older or oldest_kept
+    if oldest_kept is None:
+        return 0
+    fs, p = _fs(spark, folder)
+    gone = [s.getPath() for s in fs.listStatus(p) if s.getPath().getName().startswith("v=")
+            and s.getPath().getName() < oldest_kept.rsplit("/", 1)[1]]
+    for path in gone:
+        fs.delete(path, True)
+    return len(gone)
+
+
 def newest_version(spark: SparkSession, folder: str, below: str | None = None) -> str | None:
     """The newest complete ``v=...`` directory of ``folder`` (names sort by
     age), of those whose name is less than ``below``."""
@@ -132,7 +167,7 @@ def cost_dump_lines(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, keys: list[str], buckets: int,
-                   partition_by: list[str]) -> None:
+                   partition_by: list[str], slots: list[dict] | None = None) -> None:
     """Store a large keyed table (e.g. the publisher-user history of C8) as
     an external catalog table bucketed and sorted by ``keys``. Joins on those
     keys then read it without a shuffle (only the small side is exchanged),
@@ -141,7 +176,8 @@ def write_bucketed(df: DataFrame, table: str, path: str, keys: list[str], bucket
     Spark re-shuffles the bucketed side to match the other side.
 
     The ``partition_by`` values present in ``df`` are replaced, so a rerun of
-    a day leaves one copy. Rows are dealt to their buckets first: a partition
+    a day leaves one copy. A job names the ``slots`` it computed; those without
+    rows any more leave the table and its folder. Rows are dealt to their buckets first: a partition
     has one file per bucket, however many tasks wrote it."""
     spark = df.sparkSession
     out = df.repartition(buckets, *keys)
@@ -151,12 +187,27 @@ def write_bucketed(df: DataFrame, table: str, path: str, keys: list[str], bucket
     else:
         (out.select(*spark.table(table).columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .insertInto(table))
+    if slots is not None:
+        there = {tuple(str(r[k]) for k in partition_by) for r in df.select(*partition_by).distinct().collect()}  # one row a slot
+        for slot in slots:
+            if tuple(str(slot[k]) for k in partition_by) not in there:
+                spec = ", ".join(f"`{k}` = '{slot[k]}'" for k in partition_by)
+                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+                fs, p = _fs(spark, "/".join([path.rstrip("/"), *(f"{k}={slot[k]}" for k in partition_by)]))
+                fs.delete(p, True)
 
 
 def sync_costs(costs: DataFrame, path: str, day) -> None:
     """H5: copy one day of network costs (read from JDBC or a dump with the
-    A3/A6 scans) into the lake, replacing exactly that day's partition."""
-    write_slot(costs.withColumn("day", F.lit(day).cast("date")), path, ["day"])
+    A3/A6 scans) into the lake, replacing exactly that day's partition; a day
+    without costs any more is cleared."""
+    sync_cost_days(costs.withColumn("day", F.lit(day).cast("date")), path, [day])
+
+
+def sync_cost_days(costs: DataFrame, path: str, days: list) -> None:
+    """H5 for several days at once: ``costs`` has a ``day`` column and no rows
+    of other days; every day of ``days`` is replaced or cleared."""
+    write_slot(costs, path, ["day"], slots=[{"day": d} for d in days])
 
 
 def sync_dimension(dim: DataFrame, path: str) -> None:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import MODEL_SPLIT, text_list, with_default
+from ..functions.text import MODEL_SPLIT, split_items, text_list, with_default
 
 # Inventory interval steps used when a placement sets none.
 DEFAULT_INVENTORY_INTERVAL_STEP = {5: 30, 8: 300, 10: 3600}
@@ -118,7 +118,7 @@ def publisher_app(apps: DataFrame, block_rules: DataFrame, publishers: DataFrame
     a = a.join(live.select(F.col("id").alias("publisher_id"), *ints(live, "impr_callback_switch")), "publisher_id")
     a = with_default(a, "create_time", None, "timestamp")
     events = F.when(F.coalesce(F.trim("sdk_event_ids"), F.lit("")) != "",
-                    F.transform(F.split("sdk_event_ids", ","), lambda x: F.coalesce(x.try_cast("int"), F.lit(0))))
+                    F.transform(split_items("sdk_event_ids"), lambda x: F.coalesce(x.try_cast("int"), F.lit(0))))
     base = a.select("id", "publisher_id", "plat", "app_name", *texts(a, "app_key bundle_id"),
                     _epoch_seconds(F.col("create_time")).alias("create_time"), "impr_callback_switch",
                     F.coalesce(events, F.array().cast("array<int>")).alias("event_ids"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import MODEL_SPLIT, range_exp, text_list, with_default
+from ..functions.text import MODEL_SPLIT, range_exp, split_items, text_list, with_default
 from .inventory import active, ints, last_by_id, lists, texts
 
 SORT_ABSOLUTE = 1  # sort_type whose instance value is its priority (else its weight)
@@ -83,7 +83,7 @@ def custom_tags(c) -> Column:
         multi = x["operator"].isin("in", "notin")
         return F.struct(x["operator"].alias("operator"),
                         F.when(~multi, x["value"]).alias("value"),
-                        F.when(multi, F.split(x["value"], ",")).otherwise(F.array().cast("array<string>"))
+                        F.when(multi, split_items(x["value"])).otherwise(F.array().cast("array<string>"))
                         .alias("values"))
 
     return F.transform_values(with_conds, lambda k, v: F.struct(
@@ -133,4 +133,4 @@ def placement_abtest(abtests: DataFrame, rules: DataFrame, segments: DataFrame)
     a = active(abtests).join(active(rules).select(F.col("id").alias("a_rule_id"), "segment_id"), "a_rule_id")
     s = segments.filter(F.coalesce(F.trim("countries"), F.lit("")) != "").select(F.col("id").alias("segment_id"), "countries")
     return a.join(s, "segment_id").select("placement_id", "a_per", "b_per", "a_rule_id", "b_rule_id", "segment_id",
-                                          F.explode(F.split("countries", ",")).alias("country"))
+                                          F.explode(split_items("countries")).alias("country"))
