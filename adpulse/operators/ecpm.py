@@ -147,3 +147,99 @@ def ecpm_rollup(stat: DataFrame, spec: EcpmSpec | str, as_of: _dt.datetime,
     if "country" in spec.keys and not spec.country_not_null:
         out = out.withColumn("country", F.coalesce("country", F.lit("")))
     return out
+
+
+# ---------------------------------------------------------------- all datasets at once
+
+STAT_DIMS = ["adn_id", "instance_id", "placement_id", "ad_type", "country"]
+
+
+def daily_partials(stat: DataFrame) -> DataFrame:
+    """Per day and combination of ``STAT_DIMS`` the sums that every dataset is
+    made from. Additive: a job stores its own days (slots ``day``) and the
+    rollups read the stored days of their windows, never the raw statistics."""
+    return stat.groupBy("day", *STAT_DIMS).agg(F.sum("api_impr").alias("api_impr"), F.sum("revenue").alias("revenue"),
+                                               F.sum("cost").alias("cost"))
+
+
+def _grouping(spec: EcpmSpec) -> list[str]:
+    return [d for d in STAT_DIMS if d in spec.keys or (d == "adn_id" and spec.delay)]
+
+
+def _window(spec: EcpmSpec, as_of: _dt.datetime) -> Column:
+    """D19 as a condition on ``day`` and ``delay_hours`` (NULL: never inside)."""
+    end_ts = _ntz(as_of) - F.make_interval(hours=F.col("delay_hours")) if spec.delay else _ntz(as_of)
+    start = (F.date_sub(F.to_date(end_ts), spec.span_days) if spec.span_days
+             else F.to_date(end_ts - F.make_interval(hours=F.lit(spec.span_hours))))
+    return F.coalesce((F.col("day") >= start) & (F.col("day") <= F.to_date(end_ts)), F.lit(False))
+
+
+def ecpm_rollups(partials: DataFrame, as_of: _dt.datetime, delays: DataFrame | None = None,
+                 specs: list[EcpmSpec] | None = None) -> DataFrame:
+    """D1-D18 in one job: every dataset of ``specs``, tagged ``dataset``, from
+    one scan of ``partials`` (or of the statistics themselves).
+
+    One ``GROUPING SETS`` pass sums per day for each distinct key set (whether
+    a country is known is a key of all of them, since some datasets leave the
+    unknown ones out); its daily rows, a small fraction of the input, are dealt to the
+    datasets whose window holds their day and summed again, which also merges
+    their days. Columns that a dataset lacks are NULL; a series has
+    ``day``, ``impr`` and its ``money`` instead of an ``ecpm``."""
+    specs = specs or SPECS
+    if delays is None:
+        delays = default_delays(partials.sparkSession)
+    known = delays.filter(F.col("delay_hours").isNotNull()).select("adn_id", "delay_hours")
+    max_delay = known.agg(F.max("delay_hours")).first()[0] or 0
+    lower = min(as_of - _dt.timedelta(hours=s.span_hours + (max_delay if s.delay else 0), days=s.span_days) for s in specs).date()
+    src = partials.filter((F.col("day") >= F.lit(lower)) & (F.col("day") <= F.lit(as_of.date()))) \
+        .withColumn("_known", F.col("country").isNotNull())
+
+    fixed = ["day", "_known"]
+    columns = [*fixed, *STAT_DIMS]
+    sets = sorted({tuple(_grouping(s)) for s in specs})
+    # the bit of a column is set where it is summed over; the first column has the highest bit
+    number = {keys: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in fixed and c not in keys) for keys in sets}
+    money_type = "decimal(34,4)"
+    daily = src.groupingSets([[*fixed, *keys] for keys in sets], *columns).agg(
+        F.sum("api_impr").alias("_impr"), F.sum("revenue").cast(money_type).alias("_revenue"),
+        F.sum("cost").cast(money_type).alias("_cost"), F.grouping_id().alias("_set"))
+
+    def takes(spec: EcpmSpec) -> Column:
+        cond = (F.col("_set") == number[tuple(_grouping(spec))]) & _window(spec, as_of)
+        if spec.country_not_null:
+            cond = cond & F.col("_known")
+        if spec.series or spec.merge != "single":
+            if not spec.country_not_null and "country" not in spec.keys:
+                raise ValueError(f"{spec.name}: the days of a merged dataset need one row per key")
+            cond = cond & (F.col("_impr") > 0)
+        return cond
+
+    def of(value, *, when=None) -> Column:
+        """The spec's value, or whether the spec is one of those for which ``when`` holds."""
+        if when is not None:
+            chosen = [i for i, s in enumerate(specs) if when(s)]
+            return F.col("_spec").isin(chosen) if chosen else F.lit(False)
+        return F.element_at(F.array(*[F.lit(value(s)) for s in specs]), F.col("_spec") + 1)
+
+    wanted = F.array_compact(F.array(*[F.when(takes(s), F.lit(i)) for i, s in enumerate(specs)]))
+    rows = daily.join(known, "adn_id", "left").select("*", F.explode(wanted).alias("_spec")).select(
+        "_spec", *STAT_DIMS, "day", F.when(of(None, when=lambda s: s.series), F.col("day")).alias("_day"), "_impr",
+        F.when(of(None, when=lambda s: s.money == "cost"), F.col("_cost")).otherwise(F.col("_revenue")).alias("_money"))
+    merged = rows.groupBy("_spec", "_day", *STAT_DIMS).agg(
+        F.sum("_impr").alias("_all"), F.sum("_money").alias("_sum"), F.max_by(F.struct("_impr", "_money"), "day").alias("_last"))
+    latest = of(None, when=lambda s: s.merge == "latest")
+    merged = merged.withColumns({"_impr": F.when(latest, F.col("_last._impr")).otherwise(F.col("_all")),
+                                 "_money": F.when(latest, F.col("_last._money")).otherwise(F.col("_sum"))})
+    single = of(None, when=lambda s: s.merge == "single" and not s.series)
+    least = of(lambda s: s.min_money)
+    kept = merged.filter(~single | ((F.col("_impr") > of(lambda s: s.min_impr)) & (least.isNull() | (F.col("_money") > least))))
+    series = of(None, when=lambda s: s.series)
+    ratio = F.when(of(None, when=lambda s: s.rounding == "half_up"), ecpm_expr("_money", "_impr", "half_up")) \
+        .otherwise(ecpm_expr("_money", "_impr", "half_down"))
+    country = F.when(of(None, when=lambda s: "country" in s.keys and not s.country_not_null), F.coalesce("country", F.lit(""))) \
+        .otherwise(F.col("country"))
+    return kept.select(
+        of(lambda s: s.name).alias("dataset"), F.when(of(None, when=lambda s: "adn_id" in s.keys), F.col("adn_id")).alias("adn_id"),
+        "instance_id", "placement_id", "ad_type", country.alias("country"),
+        F.when(series, F.date_format("_day", "yyyy-MM-dd")).alias("day"), F.when(~series, ratio).alias("ecpm"),
+        F.when(series, F.col("_impr").cast("int")).alias("impr"), F.when(series, F.col("_money")).alias("money"))

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from ..fixtures import Views, with_views
 from ..functions.numeric import duck_round_div
 from ..operators import ecpm
+from ..sinks import writers
+from .q_io import scratch
 from .registry import register
 
 # Fixture clock: the 1-, 3- and 7-day windows straddle the impr > 2000 threshold here.
@@ -82,3 +84,36 @@ def _builder(spec: ecpm.EcpmSpec):
 for _spec in ecpm.SPECS:
     register(f"ecpm_{_spec.name}", _oracle(_spec), headline=_spec.name in (
         "stat_instance_country_ecpm_24h", "adn_adtype_country_ecpm_3d"))(_builder(_spec))
+
+
+def _all_oracle() -> str:
+    """The rows of all the datasets, tagged; the series' money is its revenue."""
+    parts = [f"SELECT '{s.name}' AS dataset, * FROM ({_oracle(s)}) x" if not s.series else
+             f"SELECT '{s.name}' AS dataset, instance_id, country, day, impr, {s.money} AS money FROM ({_oracle(s)}) x"
+             for s in ecpm.SPECS]
+    columns = "dataset, adn_id, instance_id, placement_id, ad_type, country, day, ecpm, impr, money"
+    return f"SELECT {columns} FROM (" + "\nUNION ALL BY NAME\n".join(f"({p})" for p in parts) + ") y"
+
+
+def _finish_all(out):
+    return out.withColumns({c: F.col(c).cast("double") for c in ("ecpm", "money")})
+
+
+@register("ecpm_all_datasets", _all_oracle())
+def q_ecpm_all_datasets(spark, sf_dir):
+    """D1-D18 from one scan of the statistics."""
+    v = Views(spark, sf_dir)
+    return _finish_all(ecpm.ecpm_rollups(ecpm.daily_partials(v.f_stat), AS_OF, delays_of(v.f_adn)))
+
+
+@register("ecpm_all_from_partials", _all_oracle())
+def q_ecpm_all_from_partials(spark, sf_dir):
+    """D1-D18 from stored daily partial sums: all days first, then the last
+    three days before the clock once more, as a restatement would."""
+    v = Views(spark, sf_dir)
+    path = f"{scratch(spark)}/stat_partials"
+    writers.write_slot(ecpm.daily_partials(v.f_stat), path, ["day"])
+    days = [AS_OF.date() - _dt.timedelta(days=i) for i in range(3)]
+    again = ecpm.daily_partials(v.f_stat.filter(F.col("day").isin(days)))
+    writers.write_slot(again, path, ["day"], slots=[{"day": d} for d in days])
+    return _finish_all(ecpm.ecpm_rollups(spark.read.parquet(path), AS_OF, delays_of(v.f_adn)))
