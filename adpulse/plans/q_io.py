@@ -32,14 +32,14 @@ def _day_range(df):
     return r["a"], r["b"]
 
 
-def write_lr_json(spark, lr, root: str, hourly: bool = True) -> None:
+def write_lr_json(spark, lr, root: str, hourly: bool = True, mode: str = "overwrite") -> None:
     """Write log rows as JSON slots in the Hive-style layout (hour slots, or
     day slots when ``hourly`` is False)."""
     cols = [f.name for f in schemas.LR.fields]
     keys = ["y", "m", "d"] + (["h"] if hourly else [])
     out = lr.select(*cols, F.date_format("dt", "yyyy").alias("y"), F.date_format("dt", "MM").alias("m"),
                     F.date_format("dt", "dd").alias("d"), F.lpad(F.col("h").cast("string"), 2, "0").alias("h"))
-    out.select(*cols, *keys).repartition(*keys).write.mode("overwrite").partitionBy(*keys).json(f"{root}/lr")
+    out.select(*cols, *keys).repartition(*keys).write.mode(mode).partitionBy(*keys).json(f"{root}/lr")
 
 
 @register("json_log_scan", QUERIES["common_report"].oracle)

@@ -10,6 +10,7 @@ import datetime as _dt
 from pyspark.sql import functions as F
 
 from ..fixtures import Views
+from ..operators import users
 from ..streaming import jobs
 from .q_io import scratch, write_lr_json
 from .q_state import DCENTERS
@@ -19,27 +20,32 @@ from .. import schemas
 FILES_PER_BATCH = 8
 
 
-def _lr_file_stream(spark, sf_dir, root):
-    lr = Views(spark, sf_dir).f_lr
-    write_lr_json(spark, lr, root, hourly=False)
-    return spark.readStream.schema(schemas.LR).option("maxFilesPerTrigger", FILES_PER_BATCH).json(f"{root}/lr/*/*/*")
-
-
 @register("stream_common_report", QUERIES["common_report"].oracle)
 def q_stream_common_report(spark, sf_dir):
     """Hourly funnel as partial sums of micro-batches of day files: a late
-    row comes with a later file than its hour's other rows."""
+    row comes with a later file than its hour's other rows. The first days' batches
+    are compacted before the others come, so the report adds base and parts up."""
     root = scratch(spark)
-    q = jobs.start_funnel_stream(_lr_file_stream(spark, sf_dir, root), f"{root}/stat_lr", f"{root}/_ckpt")
-    q.awaitTermination()
+    lr = Views(spark, sf_dir).f_lr
+    middle = lr.agg(F.date_add(F.min("dt"), F.lit(15)).alias("d")).first()["d"]
+
+    def run(days):
+        write_lr_json(spark, lr.filter(days), root, hourly=False, mode="append")
+        stream = spark.readStream.schema(schemas.LR).option("maxFilesPerTrigger", FILES_PER_BATCH).json(f"{root}/lr/*/*/*")
+        jobs.start_funnel_stream(stream, f"{root}/stat_lr", f"{root}/_ckpt").awaitTermination()
+
+    run(F.col("dt") < F.lit(middle))
+    jobs.compact_funnel(spark, f"{root}/stat_lr")
+    run(F.col("dt") >= F.lit(middle))
     cols = QUERIES["common_report"].build(spark, sf_dir).columns
     return doubles(jobs.read_funnel(spark, f"{root}/stat_lr").select(*cols), "bid_resp_price", "bid_win_price")
 
 
 @register("stream_publisher_users", QUERIES["publisher_users"].oracle)
 def q_stream_publisher_users(spark, sf_dir):
-    """First-seen user marking per micro-batch against the history: the
-    files come newest day first, so every first day is corrected again."""
+    """First-seen user marking per micro-batch with the first days in a
+    state store. The state begins with the history of the last ten days; the
+    files come newest day first, so every first day is corrected again. Read after a compaction."""
     root = scratch(spark)
     lr = Views(spark, sf_dir).f_lr
     write_lr_json(spark, lr, root, hourly=False)
@@ -47,8 +53,11 @@ def q_stream_publisher_users(spark, sf_dir):
         .option("latestFirst", "true").json(f"{root}/lr/*/*/*") \
         .withColumn("_p", F.col("_metadata.file_path")) \
         .withColumn("dt", F.to_date(F.regexp_extract("_p", r"/y=(\d{4})/m=(\d{2})/d=(\d{2})/", 0), "/'y='yyyy/'m='MM/'d='dd/"))
-    q = jobs.start_user_marking_stream(stream.drop("_p"), f"{root}/dws_publisher_user", f"{root}/_ckpt")
+    begin = lr.agg(F.date_sub(F.max("dt"), F.lit(9)).alias("d")).first()["d"]
+    history = users.mark_publisher_users(lr, begin_day=begin)
+    q = jobs.start_user_marking_stream(stream.drop("_p"), f"{root}/dws_publisher_user", f"{root}/_ckpt", history=history)
     q.awaitTermination()
+    jobs.compact_user_history(spark, f"{root}/dws_publisher_user")
     return jobs.read_user_history(spark, f"{root}/dws_publisher_user") \
         .select("publisher_id", "pub_app_id", "country", "uid", "is_new", "ymd")
 

@@ -8,10 +8,10 @@ The reference runs these as batch jobs on a timer. Here:
   rows are stored under its id, so a replay replaces them.
   ``funnel_stream`` is the windowed aggregation with a watermark for consumers that want
   an hour emitted once and accept that rows behind the watermark are left out.
-* S2 - new/old user marking (C8) per micro-batch with the persisted history
-  as the state, dealt to key buckets: a batch reads and rewrites the buckets of
-  its own users only. A key has one first day; when an earlier day arrives
-  late, the row that was marked new before is corrected.
+* S2 - new/old user marking (C8) per micro-batch with every key's first day in
+  a state store: a batch touches the state of its own users and appends their
+  rows only. When an earlier day arrives late, the row that was marked new
+  before is corrected by a later row. ``compact_user_history`` merges the rows.
 * S3 - campaign cap deltas (H1) per micro-batch against the day's snapshot, a
   new version of which (old rows, replaced by id) each batch commits.
 
@@ -22,17 +22,17 @@ output replaced or its input state unchanged.
 from __future__ import annotations
 
 import datetime as _dt
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
 
-from .. import schemas
 from ..operators import funnel, state, users
-from ..sinks.writers import newest_version, write_slot
+from ..sinks.writers import _fs, drop_old_versions, newest_version, write_slot
 
 WATERMARK = "17 minutes"   # fixed value: an hour is complete 17 minutes after it ends
-USER_BUCKETS = 64          # buckets of the S2 history, a property of the stored table
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
@@ -66,46 +66,135 @@ def start_funnel_stream(lr_stream: DataFrame, sink_path: str, checkpoint: str, t
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def _base_and_parts(spark: SparkSession, base_folder: str, parts_folder: str, schema: str | None = None):
+    """(newest compacted version or None, its number, the parts of batches from that number on or None)."""
+    base = newest_version(spark, base_folder)
+    upto = int(base.rsplit("=", 1)[1]) if base else 0
+    parts = None
+    if _path_exists(spark, parts_folder):
+        reader = spark.read.schema(f"{schema}, epoch long") if schema else spark.read
+        parts = reader.parquet(parts_folder).filter(F.col("epoch") >= upto)
+    return base, upto, parts
+
+
+def _compact(spark: SparkSession, merged: DataFrame, base_folder: str, parts_folder: str, upto: int, last: int, level: str) -> None:
+    """Commit ``merged`` as the version that holds all batches up to ``last``,
+    then drop the parts that the version before holds: readers of the last two
+    versions find theirs, and a run that dies in between leaves only parts that no reader takes."""
+    merged.write.mode("overwrite").parquet(f"{base_folder}/v={last + 1:012d}")
+    fs, p = _fs(spark, f"{parts_folder}/{level}epoch=*")
+    for status in fs.globStatus(p) or []:
+        if int(status.getPath().getName().split("=")[1]) < upto:
+            fs.delete(status.getPath(), True)
+    drop_old_versions(spark, base_folder, keep=2)
+
+
+def compact_funnel(spark: SparkSession, sink_path: str) -> None:
+    """Merge the partial rows of all batches so far into a new base version, so
+    that a report reads one set of files however many batches there were. Run it between batches."""
+    base, upto, parts = _base_and_parts(spark, f"{sink_path}_base", sink_path)
+    last = parts.agg(F.max("epoch")).first()[0] if parts is not None else None
+    if last is not None:
+        _compact(spark, read_funnel(spark, sink_path), f"{sink_path}_base", sink_path, upto, last, "day=*/")
+
+
 def read_funnel(spark: SparkSession, sink_path: str) -> DataFrame:
     """The C1 report of everything S1 has read so far."""
-    rows = spark.read.parquet(sink_path).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+    base, _, rows = _base_and_parts(spark, f"{sink_path}_base", sink_path)
+    columns = [*funnel.FUNNEL_DIM_NAMES, *funnel.FUNNEL_METRIC_ORDER]
+    if rows is not None:
+        rows = rows.withColumn("day", F.date_format("day", "yyyy-MM-dd")).select(*columns)
+    if base:
+        merged = spark.read.parquet(base).select(*columns)
+        rows = merged if rows is None else merged.unionByName(rows)
     return rows.groupBy(*funnel.FUNNEL_DIM_NAMES).agg(*[F.sum(m).alias(m) for m in funnel.FUNNEL_METRIC_ORDER])
 
 
 # ---------------------------------------------------------------- S2
 
+class FirstSeen(StatefulProcessor):
+    """The first day of a user key, in a value state. A batch gives the rows of
+    its own days; if they hold an earlier day than the state, also the row of the
+    day that was first before, which is new no more."""
+
+    def init(self, handle):
+        self.first = handle.getValueState("first", "ymd string")
+
+    def handleInitialState(self, key, initialState, timerValues):
+        self.first.update((initialState["ymd"],))
+
+    def handleInputRows(self, key, rows, timerValues):
+        days = {r["ymd"] for r in rows}
+        old = self.first.get()[0] if self.first.exists() else None
+        first = min(days | {old} - {None})
+        if first != old:
+            self.first.update((first,))
+            days |= {old} - {None}
+        for d in sorted(days):
+            yield Row(**dict(zip(users.USER_KEYS, key)), is_new=int(d == first), ymd=d)
+
+    def close(self):
+        pass
+
+
+_USER_ROWS = "publisher_id int, pub_app_id int, country string, uid string, is_new int, ymd string"
+
+
 def start_user_marking_stream(lr_stream: DataFrame, history_path: str, checkpoint: str,
-                              trigger: dict | None = None, buckets: int = USER_BUCKETS):
-    """Run S2 into a history partitioned by key bucket; read it with
-    ``read_user_history``. The merged buckets are checkpointed before their
-    files are replaced; a replayed batch merges to the same rows."""
-    def sink(batch, _epoch):
-        spark = batch.sparkSession
-        bucket = F.pmod(F.hash(*users.USER_KEYS), F.lit(buckets)).alias("bucket")
-        rows = users.mark_publisher_users(batch).select(*users.USER_KEYS, "ymd", bucket)
-        rows = rows.checkpoint(eager=True)
-        if _path_exists(spark, history_path):
-            touched = [r["bucket"] for r in rows.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
-            old = _history(spark, history_path).filter(F.col("bucket").isin(touched))
-            rows = old.select(*rows.columns).unionByName(rows).distinct()
-        first = rows.groupBy("bucket", *users.USER_KEYS).agg(F.min("ymd").alias("_first"))
-        marked = (rows.join(first, ["bucket", *users.USER_KEYS])
-                  .select(*users.USER_KEYS, F.when(F.col("ymd") == F.col("_first"), 1).otherwise(0).alias("is_new"),
-                          "ymd", "bucket"))
-        write_slot(marked.checkpoint(eager=True), history_path, ["bucket"])
+                              trigger: dict | None = None, history: DataFrame | None = None):
+    """Run S2; read it with ``read_user_history``. A batch reads the state of
+    its own users and appends their rows alone (``changes/epoch=...``). A first
+    start takes the first days of a stored C8 ``history`` as its state."""
+    spark = lr_stream.sparkSession
+    rows = (lr_stream.filter(F.col("serverTs").isNotNull() & F.col("publisherId").isNotNull() & F.col("pubAppId").isNotNull()
+                             & F.col("country").isNotNull() & F.col("uid").isNotNull())
+            .select(F.col("publisherId").alias("publisher_id"), F.col("pubAppId").alias("pub_app_id"), "country", "uid",
+                    F.date_format("dt", "yyyyMMdd").alias("ymd")))
+    known = None
+    if history is not None:
+        known = history.filter(F.col("is_new") == 1).groupBy(*users.USER_KEYS).agg(F.min("ymd").alias("ymd")) \
+            .groupBy(*users.USER_KEYS)
+        if not _path_exists(spark, f"{history_path}/base"):
+            history.select(*users.USER_KEYS, "is_new", "ymd").write.parquet(f"{history_path}/base/v={0:012d}")
+    marked = rows.groupBy(*users.USER_KEYS).transformWithState(FirstSeen(), _USER_ROWS, "Append", "None", initialState=known)
 
-    w = lr_stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
-    return w.trigger(**(trigger or {"availableNow": True})).start()
+    def sink(batch, epoch):
+        write_slot(batch.withColumn("epoch", F.lit(epoch).cast("long")), f"{history_path}/changes", ["epoch"])
+
+    with _conf(spark, "spark.sql.streaming.stateStore.providerClass", ROCKSDB):
+        w = marked.writeStream.option("checkpointLocation", checkpoint).outputMode("append").foreachBatch(sink)
+        return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def _history(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(T.StructType([*schemas.PUBLISHER_USER.fields, T.StructField("bucket", T.IntegerType())])) \
-        .parquet(path)
+@contextmanager
+def _conf(spark: SparkSession, key: str, value: str):
+    """A session setting for as long as a query takes to start (it keeps its own copy)."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
 
 
 def read_user_history(spark: SparkSession, path: str) -> DataFrame:
-    """The marked users of everything S2 has read so far."""
-    return _history(spark, path).drop("bucket")
+    """The marked users of everything S2 has read so far: of several rows of a
+    key and day the last one counts."""
+    base, _, rows = _base_and_parts(spark, f"{path}/base", f"{path}/changes", _USER_ROWS)
+    if base:
+        merged = spark.read.schema(_USER_ROWS).parquet(base).withColumn("epoch", F.lit(-1).cast("long"))
+        rows = merged if rows is None else merged.unionByName(rows)
+    return rows.groupBy(*users.USER_KEYS, "ymd").agg(F.max_by("is_new", "epoch").alias("is_new")) \
+        .select(*users.USER_KEYS, "is_new", "ymd")
+
+
+def compact_user_history(spark: SparkSession, path: str) -> None:
+    """Merge the rows of all batches so far into a new base version. Run it
+    between batches, as often as reads should stay cheap."""
+    _, upto, rows = _base_and_parts(spark, f"{path}/base", f"{path}/changes", _USER_ROWS)
+    last = rows.agg(F.max("epoch")).first()[0] if rows is not None else None
+    if last is not None:
+        _compact(spark, read_user_history(spark, path), f"{path}/base", f"{path}/changes", upto, last, "")
 
 
 # ---------------------------------------------------------------- S3

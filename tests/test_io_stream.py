@@ -140,7 +140,10 @@ def test_user_marking_stream_corrects_late_days(spark):
     for d in (6, 5, 7, 5, 4):
         feed.put([dict(serverTs=MS1 + d * day, uid="u1", publisherId=1, pubAppId=10, country="US"),
                   dict(serverTs=MS1 + d * day, uid=f"only{d}", publisherId=1, pubAppId=10, country="US")])
-    jobs.start_user_marking_stream(stream, os.path.join(root, "h"), os.path.join(root, "ck"), buckets=4).awaitTermination()
+    jobs.start_user_marking_stream(stream, os.path.join(root, "h"), os.path.join(root, "ck")).awaitTermination()
+    # a batch adds rows of its own users only: the corrected first day among them
+    sizes = {r.epoch: r["count"] for r in spark.read.parquet(os.path.join(root, "h", "changes")).groupBy("epoch").count().collect()}
+    assert sizes == {0: 2, 1: 3, 2: 2, 3: 2, 4: 3}
     got = sorted((r.uid, r.ymd[-2:], r.is_new) for r in jobs.read_user_history(spark, os.path.join(root, "h")).collect())
     first = int(got[-4][1])
     assert [g for g in got if g[0] == "u1"] == [("u1", f"{first + i:02d}", int(i == 0)) for i in range(4)]
