@@ -54,8 +54,11 @@ def allocation_weight(impr: Column, click: Column) -> Column:
     return impr + F.lit(4) * click
 
 
+HOT_ROWS = 1_000_000  # devices or users of an instance and day that one task joins
+
+
 def allocate_cost(events: DataFrame, cost: DataFrame, inst_keys: list[str], who: list[str],
-                  cost_keys: list[str] | None = None) -> DataFrame:
+                  cost_keys: list[str] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Spread each instance's cost over ``who`` by weight impr+4*click.
 
     ``events`` carries ``inst_keys + who + [shows, taps]`` (any grain;
@@ -64,9 +67,12 @@ def allocate_cost(events: DataFrame, cost: DataFrame, inst_keys: list[str], who:
     one row per (instance, who) instead of every log row).
     ``cost`` carries ``cost_keys + [cost]`` already summed per key.
     Instance totals come from a groupBy (map-side combined), are joined to the
-    cost once (small x small) and then joined back to the per-who rows; that
-    join is the only wide one: AQE broadcasts the instance table when its
-    runtime size is small and splits a hot instance's partition otherwise.
+    cost once (small x small) and then joined back to the per-who rows. That
+    join is the only wide one, and salted by a measured fan-out: an instance with
+    more than ``hot_rows`` rows gets as many salts as it has that many rows, its
+    rows are dealt over them by a hash of ``who`` and its one total is
+    repeated for each. The table of hot instances has at most (rows / hot_rows)
+    rows: that bound is what lets it be broadcast.
     ``cost_keys`` (default ``inst_keys``) join with plain equality, so a NULL
     key never matches a cost (revenue 0), while totals group NULLs together.
     Returns ``inst_keys + who + [shows, taps, value]`` with ``value``
@@ -76,12 +82,18 @@ def allocate_cost(events: DataFrame, cost: DataFrame, inst_keys: list[str], who:
     per_who = events.groupBy(*inst_keys, *who).agg(F.sum("shows").alias("shows"),
                                                    F.sum("taps").alias("taps"))
     totals = per_who.groupBy(*inst_keys).agg(F.sum("shows").alias("all_shows"),
-                                             F.sum("taps").alias("all_taps"))
+                                             F.sum("taps").alias("all_taps"), F.count("*").alias("_rows"))
+    hot = totals.filter(F.col("_rows") > hot_rows).select(*inst_keys, F.ceil(F.col("_rows") / hot_rows).alias("_salts"))
+    same = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in inst_keys]
     inst = totals.alias("t").join(
         cost.alias("c"), [F.col(f"t.{k}") == F.col(f"c.{k}") for k in cost_keys], "left"
     ).select(*[F.col(f"t.{k}").alias(k) for k in inst_keys], "all_shows", "all_taps", F.col("c.cost"))
-    joined = per_who.alias("w").join(
-        inst.alias("i"), [F.col(f"w.{k}").eqNullSafe(F.col(f"i.{k}")) for k in inst_keys], "inner")
+    salts = F.coalesce(F.col("h._salts"), F.lit(1))
+    per_who = per_who.alias("w").join(hot.hint("broadcast").alias("h"), same("w", "h"), "left").select(
+        "w.*", F.pmod(F.xxhash64(*[F.col(f"w.{c}") for c in who]), salts).alias("_salt"))
+    inst = inst.alias("i").join(hot.hint("broadcast").alias("h"), same("i", "h"), "left").select(
+        "i.*", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("_salt"))
+    joined = per_who.alias("w").join(inst.alias("i"), [*same("w", "i"), F.col("w._salt") == F.col("i._salt")], "inner")
     w = allocation_weight(F.col("shows"), F.col("taps"))
     total = allocation_weight(F.col("all_shows"), F.col("all_taps"))
     cst = F.coalesce(F.col("cost"), F.lit(0))

@@ -17,6 +17,7 @@ from ..fixtures import Views, with_views
 from ..operators import funnel, revenue, users
 from ..session import ensure_checkpoint_dir
 from ..sinks import writers
+from ..sinks.slots import SlotTable
 from ..sources import logs
 from . import q_config, q_reports
 from .registry import QUERIES, doubles, register
@@ -108,6 +109,27 @@ def q_hourly_slot_jobs(spark, sf_dir):
     return doubles(back.select(*out.columns), "bid_resp_price", "bid_win_price")
 
 
+@register("slot_commit", with_views(["f_lr"], f"""
+SELECT strftime(dt, '%Y-%m-%d') AS slot_day, h AS slot_hour, {q_reports._C1_DIMS_SQL}, {q_reports._C1_METRICS_SQL}
+FROM f_lr WHERE serverTs IS NOT NULL AND type <> 1
+     AND NOT (dt >= (SELECT max(dt) FROM f_lr) - INTERVAL 4 DAY AND (h = 7 OR pubAppId = 10 OR dt = (SELECT max(dt) FROM f_lr)))
+GROUP BY ALL
+"""))
+def q_slot_commit(spark, sf_dir):
+    """B1 with one commit a run: all hours first; then a rerun of the last five
+    days, in which an app, an hour of each day and the whole last day are gone."""
+    lr = Views(spark, sf_dir).f_lr
+    first, last = _day_range(lr)
+    start = _dt.datetime.combine(first, _dt.time(0))
+    full = funnel.common_report(lr, by_slot=True)
+    table = SlotTable(spark, f"{scratch(spark)}/stat_lr", full.schema, funnel.SLOT_NAMES)
+    table.commit(full, _slots_of(start, 24 * ((last - first).days + 1)))
+    begin = _dt.datetime.combine(last - _dt.timedelta(days=4), _dt.time(0))
+    left = lr.filter((F.col("h") != 7) & (F.col("pubAppId") != 10) & (F.col("dt") != F.lit(last)))
+    table.commit(funnel.common_report(left, begin, by_slot=True), _slots_of(begin, 24 * 5))
+    return doubles(table.read(), "bid_resp_price", "bid_win_price")
+
+
 @register("publisher_users_store", QUERIES["publisher_users"].oracle)
 def q_publisher_users_store(spark, sf_dir):
     """C8 into its bucketed store, every day written twice: the second write

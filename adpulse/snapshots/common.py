@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from ..sinks.writers import _fs
 
 
 def dict_table(d: DataFrame) -> DataFrame:
@@ -15,27 +18,32 @@ def dict_table(d: DataFrame) -> DataFrame:
 
 def dict_paths(d: DataFrame) -> DataFrame:
     """Every dictionary node with its path ``/root/child/...`` (roots
-    have pid 0), level by level: each level joins the frontier with the
-    table until no child is left, at any depth. A frontier that is still not
-    empty after as many levels as there are ids walks in a circle: an error."""
-    ensure_checkpoint_dir(d.sparkSession)
-    nodes = d.select("id", "pid", "name", "value").checkpoint()
-    ids = nodes.select("id").distinct().count()
-    frontier = nodes.filter(F.col("pid") == 0).select("id", F.concat(F.lit("/"), "name").alias("path"), "value")
-    levels = []
-    while True:
-        frontier = frontier.checkpoint()
-        if not frontier.limit(1).count():
+    have pid 0), by pointer doubling: a node knows the path from below some
+    ancestor, and a round puts that ancestor's own piece in front, so pieces
+    double and a depth of a thousand takes ten rounds. Every round is one join
+    and one stored table, of which the last stays. Nodes whose ancestors end in
+    an id that does not exist have no path; ids that form a circle are an error."""
+    spark = d.sparkSession
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch/dict-{uuid.uuid4().hex}"
+
+    def stored(df: DataFrame, n: int) -> DataFrame:
+        df.write.parquet(f"{root}/{n}")
+        return spark.read.schema(df.schema).parquet(f"{root}/{n}")
+
+    rows = stored(d.select("id", F.col("pid").alias("_up"), F.concat(F.lit("/"), "name").alias("path"), "value"), 0)
+    most = rows.count().bit_length() + 1
+    for n in range(1, most + 2):
+        rising = rows.filter(F.col("_up") != 0)
+        if rising.isEmpty():
             break
-        levels.append(frontier)
-        if len(levels) > ids:
+        if n > most:
             raise ValueError("the dictionary's parent ids form a circle")
-        parent = frontier.select(F.col("id").alias("pid"), F.col("path").alias("_up"))
-        frontier = nodes.join(parent, "pid").select("id", F.concat("_up", F.lit("/"), "name").alias("path"), "value")
-    out = frontier if not levels else levels[0]
-    for level in levels[1:]:
-        out = out.unionByName(level)
-    return out
+        above = rows.select(F.col("id").alias("_up"), F.col("_up").alias("_next"), F.col("path").alias("_head"))
+        risen = rising.join(above, "_up").select("id", F.col("_next").alias("_up"), F.concat("_head", "path").alias("path"), "value")
+        rows = stored(rows.filter(F.col("_up") == 0).unionByName(risen), n)
+        fs, p = _fs(spark, f"{root}/{n - 1}")
+        fs.delete(p, True)
+    return rows.filter(F.col("_up") == 0).select("id", "path", "value")
 
 
 def dict_lookup(paths: DataFrame, kind: str = "string", default=None) -> DataFrame:
