@@ -15,7 +15,7 @@ row is read once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sinks.writers import _fs, write_slot
@@ -62,14 +62,14 @@ class Dictionary:
         # where the numbers of a domain and writing task begin: one row each
         last = {r["domain"]: r["id"] + 1 for r in self.read().groupBy("domain").agg(F.max("id").alias("id")).collect()}
         starts = []
-        for r in sorted(new.groupBy("domain", "_part").agg(F.count("*").alias("n"), F.max("_at").alias("m")).collect(),
-                        key=lambda r: (r["domain"], r["_part"])):
+        for r in sorted(new.groupBy("domain", "_part").agg(F.count("*").alias("n")).collect(), key=lambda r: (r["domain"], r["_part"])):
             starts.append((r["domain"], r["_part"], last.get(r["domain"], 0)))
-            last[r["domain"]] = last.get(r["domain"], 0) + (r["m"] & ((1 << 33) - 1)) + 1
+            last[r["domain"]] = last.get(r["domain"], 0) + r["n"]
         if starts:
             begin = F.broadcast(self.spark.createDataFrame(starts, "domain string, _part long, _start long"))
+            place = F.row_number().over(Window.partitionBy("domain", "_part").orderBy("_at"))  # what one task wrote
             numbered = new.join(begin, ["domain", "_part"]).select(
-                "domain", "value", (F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).alias("id"))
+                "domain", "value", (F.col("_start") + place - 1).cast("long").alias("id"))
             numbered.write.mode("append").parquet(f"{self.path}/numbers")
 
 

@@ -187,14 +187,15 @@ def _txt6(x: Column) -> Column:
     return x.cast("decimal(38,6)").cast("string")
 
 
-def derived_metrics(df: DataFrame, spec: ReportSpec) -> DataFrame:
-    """F9a-h: ratio metrics as report text ("0" when undefined).
+def derived_columns(df: DataFrame, request: Column, filled: Column) -> tuple[DataFrame, dict[str, Column]]:
+    """F9a-h: ratio metrics as report text ("0" when undefined), by name, over
+    the returned frame.
 
     The integer inputs are first named (``_request``, ``_impr``...), so each
     exact ratio compiles to one SQL expression over column names."""
-    req_col, fil_col = pick_request_cols(spec)
+    count = lambda c: F.coalesce(c.cast("bigint"), F.lit(0))
     base = {
-        "_request": _long(req_col, df), "_filled": _long(fil_col, df), "_impr": _long("impr", df),
+        "_request": count(request), "_filled": count(filled), "_impr": _long("impr", df),
         "_click": _long("click", df), "_dau": _long("dau", df), "_deu": _long("deu", df),
         "_rt": _long("is_ready_true", df), "_rf": _long("is_ready_false", df),
         "_cost": F.col("cost") if "cost" in df.columns else F.lit(None).cast("decimal(38,8)"),
@@ -225,6 +226,13 @@ def derived_metrics(df: DataFrame, spec: ReportSpec) -> DataFrame:
         "arp_deu": F.when(cost.isNotNull() & (F.col("_deu") != 0), ratio("_cost", "_deu")).otherwise(zero),
         "engagement_rate": div_txt("_deu", "_dau"),
     }
+    return df, derived
+
+
+def derived_metrics(df: DataFrame, spec: ReportSpec) -> DataFrame:
+    """The metrics of a report (F9a-h and plain sums) as text columns ``_m_<metric>``."""
+    req_col, fil_col = pick_request_cols(spec)
+    df, derived = derived_columns(df, F.col(req_col), F.col(fil_col))
     cols = {}
     for m in spec.metric_list:
         if m in derived:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..fixtures import Views, with_views
 from ..functions.numeric import duck_round_div
-from ..operators import funnel, report, users
+from ..operators import funnel, report, report_table, users
 from ..operators.report import ReportSpec
 from ..sinks import writers
 from .oracle_sql import counter, duck_day
@@ -216,6 +216,24 @@ for _name in SPECS:
     register(_name, _oracle(_name), headline=_name == "custom_report_performance")(_builder(_name))
 
 
+def _table_oracle() -> str:
+    """Every report's own oracle, its titles turned back into column names."""
+    parts = []
+    for name, spec in SPECS.items():
+        columns = ", ".join(f'"{_TITLES[c]}" AS {c}' for c in spec.dims + spec.metric_list)
+        parts.append(f"(SELECT '{name}' AS report, {columns} FROM ({_oracle(name)}) r_{name})")
+    return "SELECT * FROM (" + "\nUNION ALL BY NAME\n".join(parts) + ") t"
+
+
+@register("custom_reports_table", _table_oracle())
+def q_custom_reports_table(spark, sf_dir):
+    """F12 for all the specs above in one job; the columns that any of them shows."""
+    stat, stat_lr, stat_dau, labels = inputs(spark, sf_dir)
+    specs = report_table.specs_frame(spark, {n: (s, *RUN_DAYS.get(n, (TASK_DAY, None))) for n, s in SPECS.items()})
+    shown = list(dict.fromkeys(c for s in SPECS.values() for c in s.dims + s.metric_list))
+    return report_table.custom_reports(specs, stat, stat_lr, stat_dau, labels).select("report", *shown)
+
+
 @register("report_csv_roundtrip", f"SELECT CAST(row_number() OVER (ORDER BY \"Date\") AS BIGINT) AS line, count(*) OVER () AS lines, "
           f"\"Date\" AS day FROM ({_oracle('custom_report_weekly')}) r")
 def q_report_csv_roundtrip(spark, sf_dir):

@@ -18,7 +18,7 @@ from ..operators import funnel, revenue, users
 from ..session import ensure_checkpoint_dir
 from ..sinks import writers
 from ..sinks.slots import SlotTable
-from ..sources import logs
+from ..sources import intake, logs
 from . import q_config, q_reports
 from .registry import QUERIES, doubles, register
 from .. import schemas
@@ -247,3 +247,43 @@ def q_cost_sync(spark, sf_dir):
     writers.sync_cost_days(costs.filter(F.col("day") != F.lit(last)), path, days)
     out = spark.read.parquet(path).groupBy(F.col("day").cast("string").alias("day"), "instance_id", "country")
     return out.agg(F.sum(F.coalesce("cost", F.lit(0))).cast("double").alias("cost"), F.count("*").alias("n"))
+
+
+def _intake(spark, sf_dir):
+    """A1 / A2: the log in daily slots, taken in by two runs. Rows without a
+    time arrive as lines cut off after 20 characters. The first run finds the
+    hours before noon; then every slot grows by the other hours and the broken lines."""
+    lr, root = Views(spark, sf_dir).f_lr, scratch(spark)
+    name = f"log_lr_{root.rsplit('/', 1)[-1]}"
+    timed = lr.filter(F.col("serverTs").isNotNull())
+    broken = lr.filter(F.col("serverTs").isNull()).select(
+        F.substring(F.to_json(F.struct(*[f.name for f in schemas.LR.fields])), 1, 20).alias("value"),
+        F.date_format("dt", "yyyy").alias("y"), F.date_format("dt", "MM").alias("m"), F.date_format("dt", "dd").alias("d"))
+
+    def run(hours):
+        write_lr_json(spark, timed.filter(hours), root, hourly=False, mode="append")
+        intake.start_intake(spark, root, "lr", f"{root}/lake", f"{root}/_ckpt", name, logs.HIVE, hourly=False).awaitTermination()
+
+    run(F.col("h") < 12)
+    broken.hint("rebalance", "d").write.mode("append").partitionBy("y", "m", "d").text(f"{root}/lr")
+    run(F.col("h") >= 12)
+    return root, name
+
+
+@register("slot_intake", QUERIES["common_report"].oracle)
+def q_slot_intake(spark, sf_dir):
+    """A1 / A2: the funnel report from the registered partitions of the catalog table."""
+    _, name = _intake(spark, sf_dir)
+    return doubles(funnel.common_report(spark.table(name)
+                                        .withColumns({"dt": F.lit(None).cast("date"), "h": F.lit(None).cast("int")})),
+                   "bid_resp_price", "bid_win_price")
+
+
+@register("slot_quarantine", with_views(["f_lr"], """
+SELECT strftime(dt, '%Y') AS y, strftime(dt, '%m') AS m, strftime(dt, '%d') AS d, count(*) AS lines
+FROM f_lr WHERE serverTs IS NULL GROUP BY dt
+"""))
+def q_slot_quarantine(spark, sf_dir):
+    """A1: the malformed lines that the intake kept, by slot."""
+    root, _ = _intake(spark, sf_dir)
+    return intake.quarantine_counts(spark, f"{root}/lake", hourly=False)

@@ -74,10 +74,12 @@ def scan_log(spark: SparkSession, root: str, table: str, begin: _dt.datetime, en
 
 
 def register_partition(spark: SparkSession, table: str, slot: _dt.datetime, location: str,
-                       hourly: bool = True) -> None:
+                       hourly: bool = True, more: dict[str, int] | None = None) -> None:
     """A2: idempotently register one slot of a catalog table partitioned by
-    y/m/d[/h] (``ADD IF NOT EXISTS`` makes reruns harmless)."""
+    y/m/d[/h] (``ADD IF NOT EXISTS`` makes reruns harmless), and by ``more``
+    keys where a slot has several parts."""
     spec = f"y='{slot:%Y}', m='{slot:%m}', d='{slot:%d}'" + (f", h='{slot:%H}'" if hourly else "")
+    spec += "".join(f", {k}={v}" for k, v in (more or {}).items())
     spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{location}'")
 
 
