@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -108,6 +109,24 @@ def test_query(spark, small_docs, plain_tokens):  # noqa: F811
     assert sum(r[0] > 0 for r in want) > 150
 
 
+def test_ranks_give_the_ids_of_the_merges(duck):  # noqa: F811
+    """Random words, texts made of awkward boundaries, very long runs and whole documents."""
+    plain = Tokenizer.from_file(A)
+    plain.encode_special_tokens = True
+    rng = random.Random(2)
+    parts = ["'s", "'S", "'", "!'", "ll", " ", "  ", "\n", "\t ", "a", "É", "ß", "1", "²", "½", "-", "—", "…", "€", "«x»", "I'm", "we've",
+             "don't'", "\u00ad", "\u00a0", "\x1c", "\x85", "中", "ª", "º", "_", "<|endoftext|>", "\r\n", "„", "’s", "\x0b"]
+    texts = [" " + "".join(rng.choices(parts, k=rng.randint(1, 40))) for _ in range(4000)]
+    texts += [" " + t for (t,) in duck.execute("SELECT text FROM read_parquet('/root/testdata/sf0.01/documents.parquet') WHERE text <> ''").fetchall()]
+    texts += ["".join(rng.choices("etaoinshrdlucmfwypvbgkqjxzéèüßÅŽ", k=rng.randint(1, 25))) for _ in range(30_000)]
+    texts += [" " * 3000 + "x", "x" * 20_001, "x" * 19_000, "ab" * 900, "\n" * 150 + "a", "é" * 1999]
+    encode = alignment.ByteLevelEncoder(A)
+    for lo in range(0, len(texts), 50):
+        got = encode(texts[lo:lo + 50]).to_pylist()
+        assert got == [e.ids for e in plain.encode_batch(texts[lo:lo + 50], add_special_tokens=False)]
+    assert encode.ranked and sum(encode.common(t) is not None for t in texts) > 1000
+
+
 def test_groups_as_text(spark, plain_tokens):
     text = "Interoperability, naïvely"
     row = alignment.groups(spark.createDataFrame([(1, text)], "doc_id long, text string"), A, B).collect()[0]
@@ -122,8 +141,8 @@ def test_a_group_of_many_repeats_is_not_multiplied_out():
     import pyarrow as pa
 
     a = alignment.Aligner.__new__(alignment.Aligner)
-    a.encode_a = lambda texts: [[1] * 3000 for _ in texts]
-    a.encode_b = lambda texts: [[0] * 2000 for _ in texts]
+    lists = lambda ids: lambda texts: pa.array([ids for _ in texts], pa.list_(pa.int32()))
+    a.encode_a, a.encode_b = lists([1] * 3000), lists([0] * 2000)
     a.bytes_a, a.bytes_b = pa.array([b"", b"zz"], pa.binary()), pa.array([b"zzz"], pa.binary())
     a.len_a, a.len_b = pa.array([0, 2], pa.int64()), pa.array([3], pa.int64())
     a.names, a.n_b, a.pair_type = pa.array(["0", "1"]), 1, np.uint32
@@ -131,7 +150,7 @@ def test_a_group_of_many_repeats_is_not_multiplied_out():
     out = a.align(["z" * 5999])
     assert out["n_groups"].to_pylist() == [1000] and out["n_links"].to_pylist() == [6000]
     a.bytes_b, a.len_b = pa.array([b"zzz"], pa.binary()), pa.array([3], pa.int64())
-    a.encode_b = lambda texts: [[0] for _ in texts]
+    a.encode_b = lists([0])
     a.len_b = pa.array([6000], pa.int64())
     out = a.align(["z" * 5999])
     assert out["n_groups"].to_pylist() == [1] and out["n_links"].to_pylist() == [3000]
