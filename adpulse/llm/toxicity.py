@@ -80,7 +80,7 @@ class Decoder:
     """Viterbi decoding of one token's character lattice."""
 
     def __init__(self, model):
-        self.model, self.cache, self.known = model, {}, {}
+        self.model, self.cache, self.known, self.readings = model, {}, {}, {}
 
     def _costs(self, context: int) -> list[float]:
         """Cost in bits of every symbol after a context of three."""
@@ -104,6 +104,23 @@ class Decoder:
             out = self.cache[token] = self._decode(token.lower())
         return out
 
+    def _readings(self, ch: str, at_end: bool, long_run: bool) -> tuple:
+        """(letter, symbol, channel cost) of everything that a character may stand for; '' drops it."""
+        got = self.readings.get((ch, at_end, long_run))
+        if got is None:
+            if ch in " .-_":
+                options = {" ": KEEP_SEPARATOR, "": DROP_SEPARATOR}
+            elif ch in LEET:
+                options = {**LEET[ch], ch: AT_END if at_end else AS_IS}
+            else:
+                options = {ch: 0.0}
+            if long_run:
+                options = {**options, "": DROP_REPEAT}
+            if len(self.readings) > 10_000:
+                self.readings.clear()
+            got = self.readings[ch, at_end, long_run] = tuple((x, charlm.symbol(x) if x else -1, c) for x, c in options.items())
+        return got
+
     def _decode(self, obs: str) -> str:
         mask = (1 << charlm.BITS * (charlm.ORDER - 1)) - 1
         obs = _LONG_REPEAT.sub(r"\1\1\1", obs)
@@ -111,30 +128,25 @@ class Decoder:
         # state: context of three symbols -> (cost, path); the best path to each, linked backwards:
         # linear in a token of any length
         beam: dict[int, tuple] = {0: (0.0, None)}
+        known, bits = self.known, charlm.BITS
         for i, ch in enumerate(obs):
             run = ch.isalpha() and i and obs[i - 1] == ch
-            long_run = run and (i >= 2 and obs[i - 2] == ch or obs[i + 1:i + 2] == ch)
-            if ch in " .-_":
-                options = {" ": KEEP_SEPARATOR, "": DROP_SEPARATOR}
-            elif ch in LEET:
-                options = {**LEET[ch], ch: AT_END if i >= tail else AS_IS}
-            else:
-                options = {ch: 0.0}
-            if long_run:
-                options = {**options, "": DROP_REPEAT}
+            long_run = bool(run and (i >= 2 and obs[i - 2] == ch or obs[i + 1:i + 2] == ch))
+            options = self._readings(ch, i >= tail, long_run)
             step: dict[int, tuple] = {}
+            best = step.get
             for context, (cost, path) in beam.items():
-                costs = self._costs(context)
-                for letter, channel in options.items():
-                    if letter:
-                        s = charlm.symbol(letter)
-                        state, total = ((context << charlm.BITS) | s) & mask, cost + channel + costs[s]
+                costs, shifted = known.get(context) or self._costs(context), context << bits
+                for letter, s, channel in options:
+                    if s >= 0:
+                        state, total = (shifted | s) & mask, cost + channel + costs[s]
                     else:
                         state, total = context, cost + channel
-                    if state not in step or total < step[state][0]:
+                    old = best(state)
+                    if old is None or total < old[0]:
                         step[state] = (total, (path, letter) if letter else path)
             beam = step
-        path = min(((cost + self._costs(c)[0], c) for c, (cost, _) in beam.items()))[1]
+        path = min([(cost + (known.get(c) or self._costs(c))[0], c) for c, (cost, _) in beam.items()])[1]
         path, out = beam[path][1], []
         while path is not None:
             path, letter = path
