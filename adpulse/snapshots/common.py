@@ -22,7 +22,8 @@ def dict_paths(d: DataFrame) -> DataFrame:
     ancestor, and a round puts that ancestor's own piece in front, so pieces
     double and a depth of a thousand takes ten rounds. Every round is one join
     and one stored table, of which the last stays. Nodes whose ancestors end in
-    an id that does not exist have no path; ids that form a circle are an error."""
+    an id that does not exist, or in a circle that no root leads to, have no
+    path; a circle below a root is an error."""
     spark = d.sparkSession
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch/dict-{uuid.uuid4().hex}"
 
@@ -36,8 +37,11 @@ def dict_paths(d: DataFrame) -> DataFrame:
         rising = rows.filter(F.col("_up") != 0)
         if rising.isEmpty():
             break
-        if n > most:
-            raise ValueError("the dictionary's parent ids form a circle")
+        if n > most:  # more steps up than there are nodes: these walk in a circle, below an ancestor that has a path or not
+            reached = rows.filter(F.col("_up") == 0).select(F.col("id").alias("_up"))
+            if not rising.join(reached, "_up", "left_semi").isEmpty():
+                raise ValueError("the dictionary's parent ids form a circle")
+            break
         above = rows.select(F.col("id").alias("_up"), F.col("_up").alias("_next"), F.col("path").alias("_head"))
         risen = rising.join(above, "_up").select("id", F.col("_next").alias("_up"), F.concat("_head", "path").alias("path"), "value")
         rows = stored(rows.filter(F.col("_up") == 0).unionByName(risen), n)

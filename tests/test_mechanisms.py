@@ -254,9 +254,13 @@ def test_paths_of_a_deep_dictionary(spark, monkeypatch):
     got = {r.id: r.path for r in common.dict_paths(spark.createDataFrame(deep, "id int, pid int, name string, value string")).collect()}
     assert len(got) == 1000 and all(got[i] == "/" + "/".join(f"n{j}" for j in range(1, i + 1)) for i in (1, 2, 999, 1000))
     assert len(rounds) <= 11
-    for circle in ([(1, 0, "r", ""), (2, 3, "a", ""), (3, 2, "b", "")], [(5, 5, "self", "")]):
-        with pytest.raises(ValueError, match="circle"):
-            common.dict_paths(spark.createDataFrame(circle, "id int, pid int, name string, value string"))
+    for circle in ([(1, 0, "r", ""), (2, 3, "a", ""), (3, 2, "b", ""), (4, 2, "c", "")], [(5, 5, "self", ""), (1, 0, "r", "")],
+                   [(1, 0, "r", ""), (2, 1, "two ways", ""), (2, 3, "two ways", ""), (3, 3, "self", "")]):
+        got = common.dict_paths(spark.createDataFrame(circle, "id int, pid int, name string, value string")).collect()
+        assert sorted(r.path for r in got) == ["/r"] + (["/r/two ways"] if circle[1][2] == "two ways" else [])
+    with pytest.raises(ValueError, match="circle"):
+        common.dict_paths(spark.createDataFrame([(1, 0, "r", ""), (2, 1, "a", ""), (3, 2, "b", ""), (2, 3, "a", "")],
+                                                "id int, pid int, name string, value string"))
     assert common.dict_paths(spark.createDataFrame([], "id int, pid int, name string, value string")).collect() == []
 
 
