@@ -135,6 +135,16 @@ class Decoder:
             options = self._readings(ch, i >= tail, long_run)
             step: dict[int, tuple] = {}
             best = step.get
+            if len(options) == 1:  # a letter that stands for itself
+                letter, s, channel = options[0]
+                for context, (cost, path) in beam.items():
+                    state = ((context << bits) | s) & mask
+                    total = cost + channel + (known.get(context) or self._costs(context))[s]
+                    old = best(state)
+                    if old is None or total < old[0]:
+                        step[state] = (total, (path, letter))
+                beam = step
+                continue
             for context, (cost, path) in beam.items():
                 costs, shifted = known.get(context) or self._costs(context), context << bits
                 for letter, s, channel in options:
@@ -173,8 +183,17 @@ def _disguised_at(text: str) -> Iterator[int]:
     for m in _LEET_END.finditer(text):
         if m[0].strip("!"):  # a word's exclamation marks are its punctuation
             yield m.start()
-    for m in _REPEAT.finditer(text):
-        yield m.start()
+    yield from _repeats_at(text)
+
+
+def _repeats_at(text: str) -> list[int]:
+    """Places where an ASCII letter stands three times in a row."""
+    import numpy as np
+
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    same = c[1:] == c[:-1]
+    at = np.flatnonzero(same[1:] & same[:-1])
+    return at[((c[at] | 32) - 97) < 26].tolist()
 
 
 def disguised(text: str) -> dict[str, None]:
