@@ -83,16 +83,17 @@ def allocate_cost(events: DataFrame, cost: DataFrame, inst_keys: list[str], who:
                                                    F.sum("taps").alias("taps"))
     totals = per_who.groupBy(*inst_keys).agg(F.sum("shows").alias("all_shows"),
                                              F.sum("taps").alias("all_taps"), F.count("*").alias("_rows"))
-    hot = totals.filter(F.col("_rows") > hot_rows).select(*inst_keys, F.ceil(F.col("_rows") / hot_rows).alias("_salts"))
+    totals = totals.withColumn("_salts", F.when(F.col("_rows") > hot_rows, F.ceil(F.col("_rows") / hot_rows)).otherwise(F.lit(1)))
+    # reading the sums here too keeps both uses of the totals alike, so that Spark computes their exchange once
+    hot = totals.filter((F.col("_rows") > hot_rows) & (F.col("all_shows") + F.col("all_taps") >= 0)).select(*inst_keys, "_salts")
     same = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in inst_keys]
     inst = totals.alias("t").join(
         cost.alias("c"), [F.col(f"t.{k}") == F.col(f"c.{k}") for k in cost_keys], "left"
-    ).select(*[F.col(f"t.{k}").alias(k) for k in inst_keys], "all_shows", "all_taps", F.col("c.cost"))
+    ).select(*[F.col(f"t.{k}").alias(k) for k in inst_keys], "all_shows", "all_taps", F.col("c.cost"), "_salts")
     salts = F.coalesce(F.col("h._salts"), F.lit(1))
     per_who = per_who.alias("w").join(hot.hint("broadcast").alias("h"), same("w", "h"), "left").select(
         "w.*", F.pmod(F.xxhash64(*[F.col(f"w.{c}") for c in who]), salts).alias("_salt"))
-    inst = inst.alias("i").join(hot.hint("broadcast").alias("h"), same("i", "h"), "left").select(
-        "i.*", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("_salt"))
+    inst = inst.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)).alias("_salt"))
     joined = per_who.alias("w").join(inst.alias("i"), [*same("w", "i"), F.col("w._salt") == F.col("i._salt")], "inner")
     w = allocation_weight(F.col("shows"), F.col("taps"))
     total = allocation_weight(F.col("all_shows"), F.col("all_taps"))
