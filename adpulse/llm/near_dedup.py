@@ -17,8 +17,8 @@ linked if the Jaccard similarity of their whole sets is at least 0.8.
    ``LEADERS`` leaders only, members that share most of their values with others. Proposals are filtered by the union-sketch
    estimate and verified on the whole sets. Lists whose other members then
    lie in one component are finished. The members of the rest are compared across
-   components by prefix filtering of wide sketches (``_across``), verified the
-   same way. Links inside a component are the only ones not looked at, so the
+   components by prefix filtering of their differences from a leader of the
+   list (``_across``), verified the same way. Links inside a component are the only ones not looked at, so the
    components are those of all pairs.
 4. *Components* by repeated minimum over neighbours and pointer jumping.
 
@@ -48,8 +48,8 @@ K_FIRST, T_FIRST = 32, 12  # of the K_FIRST smallest values T_FIRST coincide (ch
 HOT_VALUES = 1 << 16  # entries of the broadcast table of frequent values (an order hint only)
 SALT = 256
 K_WIDE = 512
+WHOLE = 1 << 15  # longer sets are compared by their own values, not by differences
 LEADERS = 4
-BUCKET = 1.02
 PERCENT = 80
 
 _SKETCH = T_.StructType([
@@ -194,101 +194,151 @@ def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.where(F.when(u < K, x * 100 >= u * PERCENT).otherwise(x >= T)).select("a", "b")
 
 
-def _needed(n1, n2):
-    """Kept values that two linked sets of sizes n1, n2 have in common at
-    least: exact for sets kept whole, else six standard deviations below the mean."""
-    whole = F.ceil((n1 + n2) * PERCENT / (100.0 + PERCENT))
-    share = whole / F.greatest(n1, n2)
-    return F.when(F.greatest(n1, n2) <= K_WIDE, whole.cast("double")).otherwise(
-        F.floor(K_WIDE * share - 6 * F.sqrt(K_WIDE * share * (1 - F.least(share, F.lit(1.0))))))
+def _by_leader(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, salt, who, text) of pairs (a: leader, b: member), a leader's row (who
+    null) before its members' in the same partition. The leader's text goes to
+    ceil(partners / SALT) tasks."""
+    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(1 << 20)))
+    held = Stored(salted, "proposals")
+    parts = held.df.groupBy("a").agg((F.floor((F.count("*") - 1) / SALT) + 1).cast("long").alias("parts"))
+    parts = Stored(parts, "leaders")
+    members = (held.df.join(parts.df, "a").withColumn("salt", F.col("salt") % F.col("parts"))
+               .join(texts.select(F.col("cid").alias("b"), "text"), "b")
+               .select("a", "salt", F.col("b").alias("who"), "text"))
+    leaders = (parts.df.join(texts.select(F.col("cid").alias("a"), "text"), "a")
+               .select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("salt"),
+                       F.lit(None).cast("long").alias("who"), "text"))
+    n_parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (members.unionByName(leaders).repartition(n_parts, "a", "salt")
+            .sortWithinPartitions("a", "salt", F.col("who").asc_nulls_first()))
 
 
-def _across(nodes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """(a, b): all pairs of ``nodes`` (cid, n, comp) in different components
-    that may be linked, by prefix filtering of wide sketches.
+def _most_apart(n, level):
+    """Values by which two linked sets of sizes that add up to ``n`` differ at
+    most, among the values of a level: exact at level 0, else six standard
+    deviations above the mean."""
+    mean = n / 9.0 / F.pow(F.lit(2.0), level)
+    return F.when(level > 0, mean + 6 * F.sqrt(mean) + 6).otherwise(mean)
 
-    A node keeps its K_WIDE smallest values (all, if it has no more), in the
-    order of their frequency among the nodes, rarest first. Two linked sets of
-    sizes n1 >= n2 share a value that stands in both before position kept -
-    needed(n1, n2). A text that was edited in more than a fifth of its
-    shingles has only values of its own there and meets nobody, so a cloud of
-    many different edits of one text gives few pairs. The larger set probes
-    buckets of partner sizes; in each list the members of its largest
-    component do not probe each other."""
-    def explode(batches: Iterator):
+
+_DIFFERENCE = "ref long, cid long, n long, s long, first double, vals array<long>"
+
+
+def _differences(members: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """(ref, cid, n, s, first, vals) of ``members`` (ref, cid): the s values
+    by which a member's set differs from that of ``ref``. ``first`` bounds the
+    positions by which a partner of no fewer differences is met: an eighth of the member's size,
+    or, for a member linked to ``ref``, half of its differences.
+
+    A member that differs from every reference in most of its values, or is longer
+    than WHOLE, goes by its own values instead: those below a hash bound that
+    halves with each level, the level being -1 - ref. Both forms are
+    written around a limit, so that two linked sets always have one in common."""
+    def relative(batches: Iterator):
         import numpy as np
         import pyarrow as pa
         hashes = shingle_hasher(width)
-        for b in (batch.slice(i, 1000) for batch in batches for i in range(0, batch.num_rows, 1000)):
-            cids = b.column(0).to_numpy(zero_copy_only=False)
-            kept = [hashes(t)[:K_WIDE] for t in b.column(1).to_pylist()]
-            if kept:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(kept)), pa.array(np.repeat(cids, [len(k) for k in kept]))], names=["value", "cid"])
-
-    wide = Stored(texts.join(nodes.select("cid"), "cid", "left_semi").select("cid", "text")
-                  .mapInArrow(explode, "value long, cid long"), "wide")
-    often = Stored(wide.df.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "frequencies")
-    ranked = (wide.df.join(often.df, "value").groupBy("cid")
-              .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("shared")))  # at most K_WIDE values
-    kept = F.least(F.col("n"), F.lit(K_WIDE))
-    least = F.when(F.col("n") <= K_WIDE, F.ceil(F.col("n") * PERCENT / 100.0).cast("double")).otherwise(
-        F.lit(float(int(K_WIDE * 0.8 - 6 * (K_WIDE * 0.16) ** 0.5))))
-    least = F.when(F.col("n") * 100 > K_WIDE * PERCENT, F.least(least, F.lit(float(int(K_WIDE * 0.8 - 6 * (K_WIDE * 0.16) ** 0.5)))))\
-        .otherwise(least)
-    # the rarest values are those that no other node has: shared ones follow them
-    room = (kept - least - (kept - F.size("shared")) + 1).cast("int")
-    front = (ranked.join(nodes, "cid").withColumn("kept", kept).where(room > 0)
-             .select("cid", "n", "comp", "kept", F.posexplode(F.slice("shared", 1, F.greatest(room, F.lit(1)))), F.size("shared").alias("s"))
-             .select("cid", "n", "comp", "kept", F.col("col.value").alias("value"),
-                     (F.col("kept") - F.col("s") + F.col("pos")).alias("pos")))
+        leader, mine = None, None
+        for b in (whole.slice(i, SLICE) for whole in batches for i in range(0, whole.num_rows, SLICE)):
+            out = []
+            for a, s, who, text in zip(*[c.to_pylist() for c in b.columns]):
+                h = hashes(text)
+                if who is None:
+                    leader, mine = (a, s), h
+                elif leader == (a, s):
+                    apart = np.setxor1d(mine, h, assume_unique=True)
+                    n, d = len(h), len(apart)
+                    first = n / 8
+                    if 9 * d <= n + len(mine):
+                        first = min(first, (d + (n - len(mine)) / 9) / 2)
+                    if n <= WHOLE and d <= n:
+                        out.append((a, who, n, d, first, apart.tolist()))
+                    if 5 * n > 4 * WHOLE or 10 * d >= 6 * n:
+                        out.append((None, who, n, d, 0.0, []))
+            cols = list(zip(*out)) or [()] * 6
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(c), type=t) for c, t in zip(cols, [pa.int64()] * 4 + [pa.float64(), pa.list_(pa.int64())])],
+                names=["ref", "cid", "n", "s", "first", "vals"])
+
+    def absolute(batches: Iterator):
+        import numpy as np
+        import pyarrow as pa
+        hashes = shingle_hasher(width)
+
+        def level(n):
+            return max(0, int(np.ceil(np.log2(n / K_WIDE))))
+
+        for b in (whole.slice(i, SLICE) for whole in batches for i in range(0, whole.num_rows, SLICE)):
+            out = []
+            for who, text in zip(*[c.to_pylist() for c in b.columns]):
+                h = hashes(text)
+                for x in sorted({level(len(h)), level(1.25 * len(h))}):
+                    kept = h[:np.searchsorted(h, (1 << (64 - x)) - (1 << 63))] if x else h
+                    mean = len(h) / 4 / 2 ** x
+                    out.append((-1 - x, who, len(h), len(kept), (mean + 6 * mean ** 0.5 + 6 if x else mean) / 2, kept.tolist()))
+            cols = list(zip(*out)) or [()] * 6
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(c), type=t) for c, t in zip(cols, [pa.int64()] * 4 + [pa.float64(), pa.list_(pa.int64())])],
+                names=["ref", "cid", "n", "s", "first", "vals"])
+
+    pairs = members.select(F.col("ref").alias("a"), F.col("cid").alias("b"))
+    by_ref = Stored(_by_leader(pairs, texts).mapInArrow(relative, _DIFFERENCE), "differences").df
+    alone = by_ref.where(F.col("ref").isNull()).select("cid").distinct()
+    by_self = texts.join(alone, "cid", "left_semi").select("cid", "text").mapInArrow(absolute, _DIFFERENCE)
+    return by_ref.where(F.col("ref").isNotNull()).unionByName(by_self)
+
+
+def _across(members: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """(a, b): all pairs of ``members`` (ref, cid, comp) of one reference in
+    different components that may be linked, by prefix filtering of their
+    differences from the reference.
+
+    What a cloud of edits of one text has in common is in the reference
+    too and drops out: a member is left with its own edits. The differences
+    of two linked sets x, y number at most D = (nx + ny) / 9, so their differences from the
+    reference, sx and sy values, share (sx + sy - D) / 2 or more, and the first shared
+    one in a common order stands in x at (sx - sy + D) / 2 or before, in y at
+    (sy - sx + D) / 2 or before. That is above zero unless both are linked to the
+    reference and hence in one component. The order is by frequency among the members,
+    rarest first: edits of a member's own come first and meet nobody. The set
+    with more differences probes; in each list the members of its largest
+    component do not probe each other."""
+    held = Stored(_differences(members, texts, width), "difference-sets").df
+    flat = held.select("ref", "cid", F.explode("vals").alias("value"))
+    often = flat.groupBy("ref", "value").agg(F.count("*").alias("df")).where("df > 1")
+    ranked = (flat.join(Stored(often, "frequencies").df.hint("merge"), ["ref", "value"]).groupBy("ref", "cid")
+              .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("shared")))  # at most 1.25 * WHOLE values
+    level = F.greatest(-1 - F.col("ref"), F.lit(0)).cast("int")
+    front = (ranked.join(held.drop("vals").hint("merge"), ["ref", "cid"])
+             .withColumn("own", F.col("s") - F.size("shared"))
+             .withColumn("room", F.floor(_most_apart(F.col("n") * 2.25, level) - F.col("own")).cast("int") + 1).where("room > 0")
+             .join(members.select("cid", "comp").distinct().hint("merge"), "cid")
+             .select("ref", "cid", "comp", "n", "s", "first", "own", F.posexplode(F.slice("shared", 1, F.col("room"))))
+             .select("ref", "cid", "comp", "n", "s", "first", F.col("col.value").alias("value"), (F.col("own") + F.col("pos")).alias("pos")))
     front = Stored(front, "prefixes").df
-    wide.drop()
-    often.drop()
-    major = (front.groupBy("value", "comp").agg(F.count("*").alias("c")).groupBy("value")
-             .agg(F.max(F.struct("c", "comp"))["comp"].alias("major"), F.count("*").alias("comps"))
-             .where("comps > 1").select("value", "major"))
-    front = Stored(front.join(Stored(major, "majors").df, "value"), "mixed-prefixes").df
-
-    left_of = F.col("kept") - F.col("pos")
-    bucket = lambda n: F.floor(F.log(n.cast("double")) / F.log(F.lit(BUCKET))).cast("int")
-    n, is_major = F.col("n"), F.col("comp") == F.col("major")
-    index_need = F.when(n * 100 <= K_WIDE * PERCENT, _needed(n, n)).otherwise(F.lit(0.0))
-    index = front.where(left_of >= index_need).select(
-        "value", bucket(n).alias("bucket"), is_major.alias("side"), F.col("cid").alias("y"), F.col("comp").alias("ycomp"),
-        n.alias("yn"), left_of.alias("yleft"))
-    # partner sizes from 0.8 n up to the largest that leaves this position in the prefix
-    sizes = F.filter(F.sequence(bucket(F.greatest(F.ceil(n * PERCENT / 100.0), F.lit(1))), bucket(n)),
-                     lambda b: _needed(n.cast("double"), F.greatest(F.pow(F.lit(BUCKET), b), n * PERCENT / 100.0)) <= left_of + 1)
-    probe = (front.withColumn("bucket", F.explode(sizes))
-             .withColumn("side", F.explode(F.when(is_major, F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))))
-             .select("value", "bucket", "side", F.col("cid").alias("x"), F.col("comp").alias("xcomp"), n.alias("xn"),
-                     left_of.alias("xleft")))
+    met = (front.groupBy("ref", "value", "comp").agg(F.count("*").alias("c"), F.max((F.col("pos") <= F.col("first")).cast("int")).alias("i"))
+           .groupBy("ref", "value").agg(F.max(F.struct("c", "comp"))["comp"].alias("major"), F.count("*").alias("comps"), F.max("i").alias("i"))
+           .where("comps > 1 and i = 1").select("ref", "value", "major"))
+    front = Stored(front.join(Stored(met, "majors").df.hint("merge"), ["ref", "value"]), "mixed-prefixes").df
+
+    is_major = F.col("comp") == F.col("major")
+    index = front.where("pos <= first").select(
+        "ref", "value", is_major.alias("side"), F.col("cid").alias("y"), F.col("comp").alias("ycomp"),
+        F.col("n").alias("yn"), F.col("s").alias("ys"), F.col("pos").alias("ypos"))
+    probe = (front.withColumn("side", F.explode(F.when(is_major, F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))))
+             .select("ref", "value", "side", F.col("cid").alias("x"), F.col("comp").alias("xcomp"), F.col("n").alias("xn"),
+                     F.col("s").alias("xs"), F.col("pos").alias("xpos")))
     probe, index = Stored(probe, "probes").df, Stored(index, "index").df
-    need = _needed(F.col("xn"), F.col("yn"))
-    pairs = probe.join(index, ["value", "bucket", "side"]).where(
-        (F.col("xcomp") != F.col("ycomp")) & (F.col("xn") >= F.col("yn")) & _sizes_fit(F.col("xn"), F.col("yn"))
-        & (F.col("xleft") >= need) & (F.col("yleft") >= need))
+    apart = _most_apart(F.col("xn") + F.col("yn"), level)
+    pairs = probe.join(index.hint("merge"), ["ref", "value", "side"]).where(
+        (F.col("xcomp") != F.col("ycomp")) & (F.col("xs") >= F.col("ys")) & _sizes_fit(F.col("xn"), F.col("yn"))
+        & (F.col("xpos") * 2 <= F.col("xs") - F.col("ys") + apart) & (F.col("ypos") * 2 <= F.col("ys") - F.col("xs") + apart))
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """Of the pairs (a: leader, b: member) those with Jaccard >= 0.8 on the
-    whole sets. The leader's text goes to ceil(partners / SALT) tasks."""
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(1 << 20)))
-    held = Stored(salted, "proposals")
-    parts = held.df.groupBy("a").agg((F.floor((F.count("*") - 1) / SALT) + 1).cast("long").alias("parts"))
-    parts = Stored(parts, "leaders")
-    members = (held.df.join(parts.df, "a").withColumn("salt", F.col("salt") % F.col("parts"))
-               .join(texts.select(F.col("cid").alias("b"), "text"), "b")
-               .select("a", "salt", F.col("b").alias("who"), "text"))
-    leaders = (parts.df.join(texts.select(F.col("cid").alias("a"), "text"), "a")
-               .select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("salt"),
-                       F.lit(None).cast("long").alias("who"), "text"))
-    n_parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    groups = (members.unionByName(leaders).repartition(n_parts, "a", "salt")
-              .sortWithinPartitions("a", "salt", F.col("who").asc_nulls_first()))
-
+    whole sets."""
     def run(batches: Iterator):
         import numpy as np
         import pyarrow as pa
@@ -308,7 +358,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(out_a, type=pa.int64()), pa.array(out_b, type=pa.int64())],
                                              names=["a", "b"])
 
-    return groups.mapInArrow(run, "a long, b long")
+    return _by_leader(pairs, texts).mapInArrow(run, "a long, b long")
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -365,11 +415,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     comps = connected(links)
     tried = Stored(proposals, "tried").df
 
-    rest = active.df.where(~F.array_contains("leads", F.col("cid"))).select("value", "cid", "n").join(
+    rest = active.df.where(~F.array_contains("leads", F.col("cid"))).select("value", "cid", F.array_min("leads").alias("ref")).join(
         comps.select(F.col("node").alias("cid"), "comp"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     rest = Stored(rest, "rest").df
     mixed = rest.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("value")
-    open_ = Stored(rest.join(Stored(mixed, "mixed").df, "value").select("cid", "n", "comp").distinct(), "open").df
+    open_ = Stored(rest.join(Stored(mixed, "mixed").df, "value").select("ref", "cid", "comp").distinct(), "open").df
     if open_.limit(1).count():
         cross = Stored(_across(open_, texts, width).join(tried, ["a", "b"], "left_anti"), "cross").df
         more = Stored(_verified(_estimated(cross, classes), texts, width), "more-links").df

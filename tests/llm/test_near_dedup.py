@@ -82,6 +82,38 @@ def test_clouds_of_edits_chains_and_copies(spark):
     assert len({c for _, c in want.values()}) < len(docs) - 150
 
 
+def test_cloud_just_apart_gives_few_candidates(spark):
+    """Members that differ from their reference by slightly more than a link allows:
+    nearly every pair shares most of its values, hardly one is looked at."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10 ** 6)}" for _ in range(400)]
+    texts = [" ".join(base)]
+    for _ in range(300):
+        w = base[:]
+        for at in rng.sample(range(0, 400, 5), 12):
+            w[at] = f"e{rng.randrange(10 ** 9)}"
+        texts.append(" ".join(w))
+    texts += [texts[7] + " tail one", texts[7] + " tail two"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "cid long, text string")
+    members = docs.where("cid > 0").selectExpr("0L as ref", "cid", "cid as comp")
+    pairs = {(r.a, r.b) for r in near_dedup._across(members, docs, 4).collect()}
+    sets = [shingles(t, 4) for t in texts]
+    linked = {(a, b) for a in range(1, len(sets)) for b in range(a + 1, len(sets))
+              if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert linked <= pairs and len(pairs) < len(texts) * 2
+
+
+def test_texts_longer_than_whole_sets(spark):
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(10 ** 7)}" for _ in range(45_000)]
+    texts = cloud(rng, base, 8, 1500) + [" ".join(base[:34_000]), " ".join(base[:28_000]), " ".join(base[:26_500] + ["x"])]
+    texts += cloud(rng, base[:27_000], 6, 900)
+    docs = list(enumerate(texts))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(df, width=4).collect()}
+    assert got == all_pairs(docs, 4)
+
+
 def test_odd_rows(spark, odd_docs):
     rows = near_dedup.near_duplicates(odd_docs).collect()
     assert len(rows) == odd_docs.count()
