@@ -11,7 +11,8 @@ Parquet and reread before the next.
 
 Defined results: rows with a null id are scored, scanned and mixed like any
 other but not compared for duplicates; of rows that repeat id and text one
-stays; null texts stay null and take no words; extra columns are carried along.
+stays; null texts stay null and take no words; extra columns are carried along,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -70,11 +71,17 @@ def _masked(text, spans):
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The columns of documents and ``copy``, from 1 to the document's copies."""
-    mixed = mixing.mix(docs.select(*[f"`{c}`" for c in docs.columns if c != "copies"]))
-    names = [c for c in docs.columns if c in mixed.columns]
-    return mixed.where("copies > 0").select(
-        *[f"`{c}`" for c in names if c != "copy"], F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    """The columns of documents and ``copy``, from 1 to the document's copies
+    (``copy_2`` or the next free number where documents have that name)."""
+    used = ["doc_id", "text", "source"]
+    names = {c: c if c in used else f"__in_{i}" for i, c in enumerate(docs.columns)}
+    mixed = mixing.mix(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])).where("copies > 0")
+    taken, copy, i = {c.lower() for c in docs.columns}, "copy", 1
+    while copy in taken:
+        i += 1
+        copy = f"copy_{i}"
+    return mixed.select(*[F.col(n).alias(c) for c, n in names.items()],
+                        F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias(copy))
 
 
 STAGES = [
