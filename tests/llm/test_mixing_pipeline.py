@@ -152,3 +152,14 @@ def test_stages_on_odd_and_empty_rows(spark, odd_docs):
             docs = out
     ids = [r.doc_id for r in docs.collect()]
     assert ids.count(6) == 1 and ids.count(None) == 1 and 5 not in ids and 1 in ids
+
+
+def test_mix_stage_keeps_columns_of_any_name(spark):
+    rows = [(i, "some words of a text", "en", "s", 20, -i, f"c{i}", 2.0 * i, "x", i, 7) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int, size long, "
+                                       "copies string, target double, `Copy` string, taken long, `odd.name` int")
+    out = corpus_pipeline.mix_sources(spark, docs, SF_SMALL)
+    assert out.columns == docs.columns + ["copy_2"]
+    given = {r[0]: r for r in rows}
+    got = out.collect()
+    assert got and all(tuple(r)[:-1] == given[r.doc_id] and r.copy_2 in (1, 2) for r in got)
