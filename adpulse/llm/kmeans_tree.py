@@ -308,7 +308,7 @@ class _Found:
     """The best rows of queries so far."""
 
     def __init__(self, k: int):
-        self.k, self.parts, self.size = k, [], 0
+        self.k, self.parts, self.size, self.least = k, [], 0, 0
 
     def score(self, q, q_rows, q_ids, x, rows, ids) -> None:
         import numpy as np
@@ -335,7 +335,7 @@ class _Found:
         self.size += len(columns[0])
         if self.size > HELD:
             self.parts = [self._best([np.concatenate(c) for c in zip(*self.parts)])]
-            self.size = len(self.parts[0][0])
+            self.size = self.least = len(self.parts[0][0])
 
     def _best(self, columns):
         import numpy as np
@@ -349,7 +349,8 @@ class _Found:
         return [c[order] for c in columns]
 
     def full(self) -> Iterator:
-        if self.size > HELD // 2:
+        """The rows held, if too many are left after the reduction to k a query."""
+        if self.least > HELD // 2:
             yield from self.rest()
 
     def rest(self) -> Iterator:
@@ -359,7 +360,7 @@ class _Found:
         if self.parts:
             columns = self._best([np.concatenate(c) for c in zip(*self.parts)])
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[f.split()[0] for f in _FOUND.split(", ")])
-        self.parts, self.size = [], 0
+        self.parts, self.size, self.least = [], 0, 0
 
 
 def _brute_force(vectors: DataFrame, queries: DataFrame, dim: int, k: int) -> DataFrame:

@@ -122,3 +122,27 @@ def test_wider_visits_raise_recall(spark):
         hit = sum(len({r.vec_id for r in g} & {i for i, _ in exact(ids, x, g[0].query_id, 20)}) for g in rows)
         # calibrated on all queries; a search visits more leaves only while they hold too few rows
         assert hit / (20 * len(rows)) >= share - 1e-9
+
+
+def test_a_task_returns_k_rows_a_query_however_many_leaves_it_scores(monkeypatch):
+    """Rows leave a task early only if k a query are too many to hold, not because many leaves have been visited."""
+    rng = np.random.default_rng(3)
+    q, ids = rng.normal(size=(10, 4)), np.arange(10)
+
+    def rows(held, leaves):
+        monkeypatch.setattr(kmeans_tree, "HELD", held)
+        found, out = kmeans_tree._Found(3), []
+        for leaf in range(leaves):
+            x = np.random.default_rng(leaf).normal(size=(6, 4))
+            found.score(q, ids, ids, x, np.arange(6) + 100 * leaf + 100, np.arange(6) + 100 * leaf + 100)
+            out += found.full()
+            assert found.size <= held + 30
+        return [r for b in [*out, *found.rest()] for r in b.to_pylist()]
+
+    want, early = rows(100_000, 50), rows(100, 50)
+    assert len(want) == 30 and early == want
+    few = rows(40, 50)  # 30 rows are more than half of 40: they leave, and the best of them are the same
+    assert len(few) > 30
+    for i in ids:
+        mine = sorted((r for r in few if r["query_row"] == i), key=lambda r: (-r["score"], r["vec_id"]))[:3]
+        assert mine == [r for r in want if r["query_row"] == i]
