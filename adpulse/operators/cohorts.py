@@ -57,7 +57,8 @@ def day_cohorts(state: DataFrame, values: DataFrame, day: _dt.date, range_days:
     has one row per user of the day: LTV_KEYS, mediation_value (NULL: not
     present), iap_value."""
     med, iap = F.coalesce("mediation_value", F.lit(0)), F.coalesce("iap_value", F.lit(0))
-    alike = values.join(state, LTV_KEYS).groupBy(*LTV_GROUP, "first_day", "bits").agg(
+    # one row a user on both sides: neither goes through the driver, however few bytes a day's file has
+    alike = values.join(state.hint("merge"), LTV_KEYS).groupBy(*LTV_GROUP, "first_day", "bits").agg(
         F.count("mediation_value").alias("retention_cnt"), F.sum(med).alias("mediation_value"), F.sum(iap).alias("iap_value"),
         F.sum(med + iap).alias("total_value"))
     back = F.expr(f"filter(sequence(0, {range_days}), i -> shiftright(bits, i) & 1 = 1)")

@@ -125,6 +125,17 @@ def test_a_bitmap_holds_62_days(spark):
     assert bits == [1 << 61, 1 << 62, 0, 0]
 
 
+def test_bitmaps_of_users_are_not_broadcast(spark):
+    """A day's bitmaps grow with the users: a file below the broadcast limit is still read by the driver every day."""
+    path = f"{folder()}/users"
+    keys = "country string, publisher_id int, pub_app_id int, uid string"
+    spark.createDataFrame([("US", 1, 10, f"u{i}", DAY, 1) for i in range(5)], f"{keys}, first_day date, bits long").write.parquet(path)
+    values = spark.createDataFrame([("US", 1, 10, f"u{i}", 2, i) for i in range(3)], f"{keys}, mediation_value long, iap_value long")
+    out = cohorts.day_cohorts(spark.read.parquet(path), values, DAY)
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    assert [(r.retention_cnt_new, r.total_value_new) for r in out.collect()] == [(3, 9)]
+
+
 # ---------------------------------------------------------------- ledger
 
 def test_digests_see_every_difference(spark):
