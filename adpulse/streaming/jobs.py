@@ -9,8 +9,8 @@ The reference runs these as batch jobs on a timer. Here:
   ``funnel_stream`` is the windowed aggregation with a watermark for consumers that want
   an hour emitted once and accept that rows behind the watermark are left out.
 * S2 - new/old user marking (C8) per micro-batch with every key's first day in
-  a state store: a batch touches the state of its own users and appends their
-  rows only. When an earlier day arrives late, the row that was marked new
+  a state store, by buckets of users: a batch touches the buckets of its own users
+  and appends their rows only. When an earlier day arrives late, the row that was marked new
   before is corrected by a later row. ``compact_user_history`` merges the rows.
 * S3 - campaign cap deltas (H1) per micro-batch against the day's snapshot, a
   new version of which (old rows, replaced by id) each batch commits.
@@ -22,6 +22,7 @@ output replaced or its input state unchanged.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -113,37 +114,54 @@ def read_funnel(spark: SparkSession, sink_path: str) -> DataFrame:
 # ---------------------------------------------------------------- S2
 
 class FirstSeen(StatefulProcessor):
-    """The first day of a user key, in a value state. A batch gives the rows of
-    its own days; if they hold an earlier day than the state, also the row of the
-    day that was first before, which is new no more."""
+    """The first days of a bucket's users, in a value state: a call to the state
+    costs the same for a user as for hundreds, so a batch makes two for each bucket
+    it touches. A batch gives a user's rows of its own days; if they hold an earlier
+    day than the state, also the row of the day that was first before, which is new no more."""
 
     def init(self, handle):
-        self.first = handle.getValueState("first", "ymd string")
+        self.first = handle.getValueState("first", "days string")
 
     def handleInitialState(self, key, initialState, timerValues):
-        self.first.update((initialState["ymd"],))
+        self.first.update((initialState["days"],))
 
     def handleInputRows(self, key, rows, timerValues):
-        days = {r["ymd"] for r in rows}
-        old = self.first.get()[0] if self.first.exists() else None
-        first = min(days | {old} - {None})
-        if first != old:
-            self.first.update((first,))
-            days |= {old} - {None}
-        for d in sorted(days):
-            yield Row(**dict(zip(users.USER_KEYS, key)), is_new=int(d == first), ymd=d)
+        seen = {}
+        for r in rows:
+            seen.setdefault(r["user"], (r, set()))[1].add(r["ymd"])
+        known = self.first.get()
+        firsts, changed = json.loads(known[0]) if known else {}, False
+        for user, (r, days) in seen.items():
+            old = firsts.get(user)
+            first = min(days | {old} - {None})
+            if first != old:
+                firsts[user], changed = first, True
+                days |= {old} - {None}
+            for d in sorted(days):
+                yield Row(**{k: r[k] for k in users.USER_KEYS}, is_new=int(d == first), ymd=d)
+        if changed:
+            self.first.update((json.dumps(firsts),))
 
     def close(self):
         pass
 
 
+USER_BUCKETS = 1 << 13  # a checkpoint keeps to the number that it began with
+
+
+def _in_buckets(rows: DataFrame) -> DataFrame:
+    """``rows`` with the key as one text (``user``) and its ``bucket``."""
+    user = F.concat_ws(",", "publisher_id", "pub_app_id", F.length("country"), F.concat("country", "uid"))
+    return rows.withColumn("user", user).withColumn("bucket", F.pmod(F.xxhash64("user"), F.lit(USER_BUCKETS)))
+
+
 _USER_ROWS = "publisher_id int, pub_app_id int, country string, uid string, is_new int, ymd string"
 
 
 def start_user_marking_stream(lr_stream: DataFrame, history_path: str, checkpoint: str,
                               trigger: dict | None = None, history: DataFrame | None = None):
     """Run S2; read it with ``read_user_history``. A batch reads the state of
-    its own users and appends their rows alone (``changes/epoch=...``). A first
+    its own users' buckets and appends their rows alone (``changes/epoch=...``). A first
     start takes the first days of a stored C8 ``history`` as its state."""
     spark = lr_stream.sparkSession
     rows = (lr_stream.filter(F.col("serverTs").isNotNull() & F.col("publisherId").isNotNull() & F.col("pubAppId").isNotNull()
@@ -152,11 +170,12 @@ def start_user_marking_stream(lr_stream: DataFrame, history_path: str, checkpoin
                     F.date_format("dt", "yyyyMMdd").alias("ymd")))
     known = None
     if history is not None:
-        known = history.filter(F.col("is_new") == 1).groupBy(*users.USER_KEYS).agg(F.min("ymd").alias("ymd")) \
-            .groupBy(*users.USER_KEYS)
+        known = _in_buckets(history.filter(F.col("is_new") == 1).groupBy(*users.USER_KEYS).agg(F.min("ymd").alias("ymd"))) \
+            .groupBy("bucket").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("user", "ymd")))).alias("days")) \
+            .groupBy("bucket")
         if not _path_exists(spark, f"{history_path}/base"):
             history.select(*users.USER_KEYS, "is_new", "ymd").write.parquet(f"{history_path}/base/v={0:012d}")
-    marked = rows.groupBy(*users.USER_KEYS).transformWithState(FirstSeen(), _USER_ROWS, "Append", "None", initialState=known)
+    marked = _in_buckets(rows).groupBy("bucket").transformWithState(FirstSeen(), _USER_ROWS, "Append", "None", initialState=known)
 
     def sink(batch, epoch):
         write_slot(batch.withColumn("epoch", F.lit(epoch).cast("long")), f"{history_path}/changes", ["epoch"])

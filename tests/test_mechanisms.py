@@ -9,6 +9,7 @@ import random
 import tempfile
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -361,3 +362,58 @@ def test_streamed_users_start_from_history_and_compact(spark):
     assert run(2, [(0, "new"), (3, "old")]) == sorted([*first[:2], ("new", "0101", 1), ("new", "0102", 0), ("old", "0104", 0), *first[3:]])
     jobs.compact_user_history(spark, f"{root}/h")
     assert len([n for n in os.listdir(f"{root}/h/base") if n.startswith("v=")]) == 2
+
+
+def test_a_batch_asks_the_state_once_for_a_bucket_of_users():
+    class Value:
+        calls, held = [], None
+
+        def get(self):
+            self.calls.append("get")
+            return self.held
+
+        def update(self, value):
+            self.calls.append("update")
+            self.held = value
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Value()
+
+    p = jobs.FirstSeen()
+    p.init(Handle())
+
+    def batch(rows):
+        p.first.calls.clear()
+        given = [Row(publisher_id=1, pub_app_id=10, country="US", uid=u, user=f"1,10,2,US{u}", ymd=d) for u, d in rows]
+        return [(r.uid, r.ymd, r.is_new) for r in p.handleInputRows((0,), iter(given), None)], list(p.first.calls)
+
+    p.handleInitialState((0,), Row(bucket=0, days='{"1,10,2,USu0": "05"}'), None)
+    out, calls = batch([(f"u{i}", d) for i in range(100) for d in ("03", "04", "04")])
+    assert calls == ["get", "update"]
+    assert out[:3] == [("u0", "03", 1), ("u0", "04", 0), ("u0", "05", 0)] and out[3:5] == [("u1", "03", 1), ("u1", "04", 0)] and len(out) == 201
+    assert batch([("u1", "04")]) == ([("u1", "04", 0)], ["get"])
+    assert batch([("u1", "02")]) == ([("u1", "02", 1), ("u1", "03", 0)], ["get", "update"])
+
+
+def test_users_that_share_a_bucket_stay_apart(spark, monkeypatch):
+    """Keys whose parts read alike when joined, in two buckets, over batches out of order and a history."""
+    monkeypatch.setattr(jobs, "USER_BUCKETS", 2)
+    root, day = folder(), 86_400_000
+    os.makedirs(f"{root}/in")
+    keys = [(1, 10, "US", "u"), (1, 10, "U", "Su"), (11, 0, "US", "u"), (1, 10, "US", ",u\u00fc\""), (1, 10, "", "USu"), (1, 10, "US", "")]
+    files = [[(3, i) for i in range(6)], [(2, 0), (2, 3), (4, 1)], [(1, 4), (3, 2), (1, 5), (1, 0)]]
+    for n, rows in enumerate(files):
+        with open(f"{root}/in/{n}.json", "w") as f:
+            for d, i in rows:
+                f.write(json.dumps(dict(serverTs=MS + d * day, publisherId=keys[i][0], pubAppId=keys[i][1], country=keys[i][2], uid=keys[i][3])) + "\n")
+        os.utime(f"{root}/in/{n}.json", (1_700_000_000 + n, 1_700_000_000 + n))
+    history = spark.createDataFrame([(*keys[1], 1, "20231231"), (*keys[3], 1, "20240109")], schemas.PUBLISHER_USER)
+    stream = spark.readStream.schema(schemas.LR).option("maxFilesPerTrigger", 1).json(f"{root}/in") \
+        .withColumn("dt", F.to_date(F.timestamp_millis("serverTs")))
+    jobs.start_user_marking_stream(stream, f"{root}/h", f"{root}/ck", history=history).awaitTermination()
+    days = {}
+    for d, i in [(0, 1), (9, 3), *(r for rows in files for r in rows)]:
+        days.setdefault(keys[i], set()).add("20231231" if (d, i) == (0, 1) else f"{20240101 + d - (d == 9)}")
+    want = sorted((*k, int(d == min(v)), d) for k, v in days.items() for d in v)
+    assert sorted(map(tuple, jobs.read_user_history(spark, f"{root}/h").collect())) == want
